@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.functions import variant as V
+from recordloom.operators.catalogue import WRAPPED, discover
 from recordloom.operators.drift import align
+from recordloom.sources.entities import Entity
 
 
 def count_tables(tables: dict[str, DataFrame]) -> DataFrame:
@@ -77,3 +80,24 @@ def operation_summary(commits: DataFrame) -> DataFrame:
         F.count_distinct("run", "entity").alias("checkpoints"),
     )
     return sums.unpivot([], list(OPERATIONS), "operation", "operations")
+
+
+def entity_profile(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> DataFrame:
+    """Records, child elements and flat columns of one entity, in one row."""
+    catalogue = discover(records, "v", dialect)
+    v = F.col("v")
+    children = F.lit(0).cast("bigint")
+    for collection in entity.children:
+        children = children + F.coalesce(F.size(V.as_list(v, (collection.key,))), F.lit(0))
+    totals = records.agg(
+        F.count("*").alias("_records"),
+        F.count_distinct(V.pick(v, ("id",), "string")).alias("row_count"),
+        F.coalesce(F.sum(children), F.lit(0)).alias("child_count"),
+    )
+    return totals.select(
+        F.lit(entity.table).alias("entity"),
+        F.when(F.col("_records") > 0, "ok").otherwise("empty").alias("status"),
+        "row_count",
+        "child_count",
+        F.lit(len(catalogue.columns())).alias("column_count"),
+    )

@@ -16,6 +16,11 @@ from recordloom.sources.pages import read_packed_pages, read_page_files, scan_pa
 
 COMMITTED, MISSING, FAILED = "committed", "missing", "failed"
 
+
+class SyncFailed(RuntimeError):
+    """A run stopped at an entity; the cause is attached."""
+
+
 Source = Callable[[Entity], DataFrame | None]  # `page, pos, v` records, None if not there
 
 
@@ -53,19 +58,23 @@ def sync(store: TableStore, family: Family, source: Source, at_once: int = 4) ->
     configure(store.spark)
     run = store.next_run()
     versions = store.versions()
+    missing: list[dict] = []  # logged together with the next entity
     for position, entity in enumerate(family.entities):
         head = {"run": run, "position": position, "entity": entity.table}
         try:
             records = source(entity)
             if records is None:
-                entries = [{**head, "table_name": entity.table, "status": MISSING}]
-            else:
-                entries = sync_entity(store, family, entity, records, run, versions, head, at_once)
+                missing.append({**head, "table_name": entity.table, "status": MISSING})
+                continue
+            entries = sync_entity(store, family, entity, records, run, versions, head, at_once)
         except Exception as error:
             note = f"{type(error).__name__}: {error}"[:500]
-            store.commit([{**head, "table_name": entity.table, "status": FAILED, "error": note}])
-            raise
-        store.commit(entries)
+            store.commit([*missing, {**head, "table_name": entity.table, "status": FAILED, "error": note}])
+            raise SyncFailed(entity.table) from error
+        store.commit([*missing, *entries])
+        missing = []
+    if missing:
+        store.commit(missing)
     return run
 
 
