@@ -42,6 +42,8 @@ def pick(v: Column, keys: Sequence[str], as_type: str = "variant", strict: bool
 
     ``strict`` fails on a value of another type; otherwise that gives NULL.
     """
+    if not keys and as_type == "variant":
+        return v
     path = "$"
     for key in keys:
         step = _step(key)

@@ -58,7 +58,8 @@ class Catalogue:
     dialect: str
     readings: list[Reading] = field(default_factory=list)
     lists: dict[Keys, DataType] = field(default_factory=dict)
-    only_objects: bool = True  # False where a record may be a list or scalar
+    nulls: bool = True  # a record may be null
+    others: bool = False  # a record may be a list or scalar
 
     def columns(self) -> dict[str, list[Reading]]:
         """Readings by column name; of several, the deepest path comes last."""
@@ -68,10 +69,14 @@ class Catalogue:
         return dict(sorted(named.items()))
 
     def is_record(self, v: str = "v") -> Column:
-        """True for records that can be flattened; nulls merge with any schema."""
-        if self.only_objects:
-            return ~V.is_explicit_null(F.col(v))
-        return V.is_object(F.col(v))
+        """True for records that can be flattened.
+
+        Tests no more than needed: looking at the whole record would keep Spark
+        from reading single paths of it.
+        """
+        if self.others:
+            return V.is_object(F.col(v))
+        return ~V.is_explicit_null(F.col(v)) if self.nulls else F.lit(True)
 
     def collisions(self) -> dict[str, list[Keys]]:
         """Columns more than one path writes to."""
@@ -100,19 +105,24 @@ def discover(
     dialect: str = WRAPPED,
     seed: DataType | None = None,
     keeps: Keeps | None = None,
+    nulls: bool = True,
+    null_lists: dict[Keys, bool] | None = None,
 ) -> Catalogue:
     """Catalogue of the VARIANT column ``v``.
 
-    ``seed`` is the merged schema when an earlier pass already found it.
-    ``keeps(path, is_object)`` restricts the catalogue to wanted paths.
+    ``keeps(path, is_object)`` restricts the catalogue to wanted paths. What an
+    earlier pass already found may be given: the merged schema as ``seed``,
+    whether there are ``nulls`` among the records, and which lists are null
+    somewhere.
     """
-    walker = _Walker(dialect, keeps or (lambda path, is_object: True))
+    walker = _Walker(dialect, keeps or (lambda path, is_object: True), null_lists or {})
     record = F.col(v)
     if seed is None:
-        seed = merged_schema(records, record)
+        seed, nulls = merged_schema(records, record)
+    walker.catalogue.nulls = nulls
     if isinstance(seed, VariantType):  # objects among other things
-        walker.catalogue.only_objects = False
-        seed = merged_schema(records, F.when(V.is_object(record), record))
+        walker.catalogue.others = True
+        seed, _ = merged_schema(records, F.when(V.is_object(record), record))
     if isinstance(seed, StructType):
         walker.enter(seed, (), ())
     while walker.open:
@@ -120,15 +130,28 @@ def discover(
     return walker.catalogue
 
 
-def merged_schema(records: DataFrame, record: Column) -> DataType:
-    return V.parse_schema(records.agg(F.schema_of_variant_agg(record)).first()[0])
+def has_key(record: Column, dialect: str = WRAPPED) -> Column:
+    """True for objects whose ``id`` column will not be NULL."""
+    key = V.pick(record, ("id",))
+    plain = ~V.is_explicit_null(key) & ~V.is_object(key) & ~V.is_list(key)
+    if dialect == WRAPPED:
+        inner = V.pick(key, (WRAPPER_KEY,))
+        plain = plain | (V.is_wrapper(key) & ~V.is_explicit_null(inner))
+    return F.coalesce(key.isNotNull() & plain, F.lit(False))
+
+
+def merged_schema(records: DataFrame, record: Column) -> tuple[DataType, bool]:
+    """Merged type of all records, and whether any is null (nulls merge with any type)."""
+    found = records.agg(F.schema_of_variant_agg(record), F.bool_or(F.is_variant_null(record))).first()
+    return V.parse_schema(found[0]), bool(found[1])
 
 
 class _Walker:
-    def __init__(self, dialect: str, keeps: Keeps):
+    def __init__(self, dialect: str, keeps: Keeps, null_lists: dict[Keys, bool]):
         self.catalogue = Catalogue(dialect)
         self.wraps = dialect == WRAPPED
         self.keeps = keeps
+        self.null_lists = null_lists
         self.open: list[_Open] = []
 
     def enter(self, found: StructType, path: Keys, inside: tuple[Keys, ...]) -> None:
@@ -140,7 +163,10 @@ class _Walker:
     def visit(self, found: DataType, path: Keys, inside: tuple[Keys, ...]) -> None:
         if isinstance(found, ArrayType):
             self.catalogue.lists[path] = found.elementType
-            self._leave_open(path, found, inside)
+            if path not in self.null_lists:
+                self._leave_open(path, found, inside)
+            elif self.null_lists[path]:
+                self._add(path, V.VOID, inside, settled=False)
         elif isinstance(found, VariantType):
             self._leave_open(path, found, inside)
         elif isinstance(found, StructType):

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NullType, StructType, VariantType
 
 from recordloom.functions import variant as V
-from recordloom.operators.catalogue import WRAPPED, Catalogue, Keeps, discover
+from recordloom.functions.variant import Keys
+from recordloom.operators.catalogue import WRAPPED, Catalogue, Keeps, discover, has_key
 from recordloom.operators.flatten import Default, flat_columns
 from recordloom.sources.entities import Collection, Entity
 
@@ -24,6 +25,19 @@ PLACE = ("run", "page", "pos", "child", "grandchild")
 RAW_ID = ("id",)
 
 
+@dataclass(frozen=True)
+class Tally:
+    """Records met for one table: all, and those with a key."""
+
+    total: int
+    keyed: int
+    nulls: bool = True
+
+    @property
+    def quarantined(self) -> int:
+        return self.total - self.keyed
+
+
 @dataclass
 class Records:
     """Nested records of one table, before flattening."""
@@ -31,6 +45,7 @@ class Records:
     table: str
     frame: DataFrame  # at, v, and one column per entry of lineage
     catalogue: Catalogue
+    tally: Tally
     lineage: dict[str, Default] = field(default_factory=dict)
 
     def rows(self, snake: bool = False, fixed: list[str] | None = None) -> DataFrame:
@@ -38,10 +53,11 @@ class Records:
         columns = flat_columns(self.catalogue, "v", snake, self.lineage, fixed)
         return self.frame.filter(self.catalogue.is_record()).select(F.col("at").alias("_at"), *columns)
 
-    def strays(self) -> DataFrame:
-        """Records that are not objects and so have no columns."""
-        text = F.to_json("v")
-        return self.frame.filter(~self.catalogue.is_record()).select(F.col("at").alias("_at"), text.alias("record"))
+    def quarantine(self) -> DataFrame:
+        """Records without a key, and those that are not objects at all."""
+        keyed = has_key(F.col("v"), self.catalogue.dialect)
+        lost = self.frame.filter(~(self.catalogue.is_record() & keyed))
+        return lost.select(F.to_json("at").alias("at"), F.to_json("v").alias("record"))
 
 
 def place(**known: Column) -> Column:
@@ -54,6 +70,70 @@ def positioned(records: DataFrame, run: int = 0) -> DataFrame:
     return records.select(place(run=F.lit(run), page=F.col("page"), pos=F.col("pos")).alias("at"), "v")
 
 
+@dataclass
+class Survey:
+    """What one pass over all records of an entity tells about all its tables."""
+
+    schema: DataType
+    tallies: dict[str, Tally]
+    null_lists: dict[str, dict[Keys, bool]]  # per table: is a declared list null in some record
+
+
+def survey(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> Survey:
+    """Merged schema of the records with everything nested in them, and counts per table."""
+    v = F.col("v")
+    levels: dict[str, Column] = {}
+    wanted = [
+        F.schema_of_variant_agg(v).alias("schema"),
+        F.count("*").alias("total 0"),
+        F.count_if(has_key(v, dialect)).alias("keyed 0"),
+        F.bool_or(F.is_variant_null(v)).alias("nulls 0"),
+    ]
+    names = entity.tables()
+
+    def visit(collection: Collection, outer: Column | None) -> None:
+        """Elements over all records of a level, as one list per top record."""
+        n = names.index(collection.table)
+        key = (collection.key,)
+        if outer is None:
+            items, null_list = V.as_list(v, key), V.is_explicit_null(v, key)
+        else:
+            with_list = F.filter(outer, lambda e: V.is_list(e, key))
+            items = F.flatten(F.transform(with_list, lambda e: V.as_list(e, key)))
+            null_list = F.exists(outer, lambda e: V.is_explicit_null(e, key))
+        levels[f"items {n}"] = items
+        levels[f"null list {n}"] = null_list
+        here = F.col(f"`items {n}`")
+        wanted.extend(
+            [
+                F.coalesce(F.sum(F.size(here)), F.lit(0)).alias(f"total {n}"),
+                F.coalesce(F.sum(F.size(F.filter(here, lambda e: has_key(e, dialect)))), F.lit(0)).alias(f"keyed {n}"),
+                F.bool_or(F.exists(here, F.is_variant_null)).alias(f"nulls {n}"),
+                F.bool_or(F.col(f"`null list {n}`")).alias(f"null list {n}"),
+            ]
+        )
+        for nested in collection.children:
+            visit(nested, items)
+
+    for collection in entity.children:
+        visit(collection, None)
+    found = records.select("v", *[e.alias(n) for n, e in levels.items()]).agg(*wanted).first().asDict()
+    tallies = {
+        name: Tally(found[f"total {n}"], found[f"keyed {n}"], bool(found[f"nulls {n}"])) for n, name in enumerate(names)
+    }
+
+    def null_lists(collections: tuple[Collection, ...]) -> dict[Keys, bool]:
+        return {(c.key,): bool(found[f"null list {names.index(c.table)}"]) for c in collections}
+
+    per_table = {entity.table: null_lists(entity.children)}
+    pending = list(entity.children)
+    while pending:
+        collection = pending.pop()
+        per_table[collection.table] = null_lists(collection.children)
+        pending.extend(collection.children)
+    return Survey(V.parse_schema(found["schema"]), tallies, per_table)
+
+
 def normalise(
     records: DataFrame,
     entity: Entity,
@@ -61,46 +141,59 @@ def normalise(
     keeps: Keeps | None = None,
 ) -> Iterator[Records]:
     """The tables of ``entity``: the parent first, then its collections."""
-    catalogue = discover(records, "v", dialect, keeps=keeps)
-    parents = Records(entity.table, records, catalogue)
+    known = survey(records, entity, dialect)
+    tally = known.tallies[entity.table]
+    catalogue = discover(
+        records, "v", dialect, known.schema, keeps, tally.nulls, known.null_lists[entity.table]
+    )
+    parents = Records(entity.table, records, catalogue, tally)
     yield parents
     for collection in entity.children:
-        yield from _children(parents, collection, "parent_id", level=3)
+        yield from _children(parents, collection, known, "parent_id", level=3)
 
 
-def _children(outer: Records, collection: Collection, id_column: str, level: int) -> Iterator[Records]:
-    inner = explode_list(outer, collection, id_column, level)
+def _children(
+    outer: Records, collection: Collection, known: Survey, id_column: str, level: int
+) -> Iterator[Records]:
+    inner = explode_list(outer, collection, known, id_column, level)
     yield inner
     for nested in collection.children:
-        yield from _children(inner, nested, collection.id_as, level + 1)
+        yield from _children(inner, nested, known, collection.id_as, level + 1)
 
 
-def explode_list(outer: Records, collection: Collection, id_column: str = "parent_id", level: int = 3) -> Records:
+def explode_list(outer: Records, collection: Collection, known: Survey, id_column: str, level: int) -> Records:
     """Elements of one list; none for a missing, null or empty list."""
     id_type = raw_id_type(outer)
     carried = [F.col(d.column) for d in outer.lineage.values()]
-    item = F.posexplode(V.as_list(F.col("v"), (collection.key,))).alias("_index", "_item")
     column = f"_{id_column}"
-    exploded = outer.frame.filter(outer.catalogue.is_record()).select(
-        "at", *carried, V.pick(F.col("v"), RAW_ID, id_type).alias(column), item
+    # Taking id and list out first lets the scan read these two paths only.
+    lists = outer.frame.filter(outer.catalogue.is_record()).select(
+        "at",
+        *carried,
+        V.pick(F.col("v"), RAW_ID, id_type).alias(column),
+        V.as_list(F.col("v"), (collection.key,)).alias("_items"),
     )
+    exploded = lists.select("at", *carried, column, F.posexplode("_items").alias("_index", "v"))
     frame = exploded.select(
-        F.col("at").withField(PLACE[level], F.col("_index").cast("bigint")).alias("at"),
-        *carried,
-        column,
-        F.col("_item").alias("v"),
+        F.col("at").withField(PLACE[level], F.col("_index").cast("bigint")).alias("at"), *carried, column, "v"
     )
     lineage = {**outer.lineage, id_column: Default(column, id_type)}
+    tally = known.tallies[collection.table]
     element = outer.catalogue.lists.get((collection.key,))
-    return Records(collection.table, frame, _catalogue_of(frame, outer.catalogue, element), lineage)
-
-
-def _catalogue_of(frame: DataFrame, outer: Catalogue, element: DataType | None) -> Catalogue:
     if element is None or isinstance(element, NullType):
-        return Catalogue(outer.dialect)
-    if isinstance(element, (StructType, VariantType)):
-        return discover(frame, "v", outer.dialect, seed=element)
-    return Catalogue(outer.dialect, only_objects=False)
+        catalogue = Catalogue(outer.catalogue.dialect, nulls=tally.nulls)
+    elif isinstance(element, (StructType, VariantType)):
+        catalogue = discover(
+            frame,
+            "v",
+            outer.catalogue.dialect,
+            element,
+            nulls=tally.nulls,
+            null_lists=known.null_lists[collection.table],
+        )
+    else:
+        catalogue = Catalogue(outer.catalogue.dialect, others=True)
+    return Records(collection.table, frame, catalogue, tally, lineage)
 
 
 def raw_id_type(records: Records) -> str:
@@ -108,9 +201,12 @@ def raw_id_type(records: Records) -> str:
     return readings[0].type if len(readings) == 1 and readings[0].type != V.VOID else "string"
 
 
-def wrong_lists(outer: Records, collection: Collection) -> DataFrame:
-    """Records whose collection is something else than a list."""
+def wrong_lists(outer: Records, collection: Collection) -> DataFrame | None:
+    """Records whose collection is something else than a list; None if no record is."""
     keys = (collection.key,)
+    readings = outer.catalogue.readings
+    if not any(r.path[:1] == keys and r.type != V.VOID for r in readings):
+        return None
     v = F.col("v")
     odd = V.is_present(v, keys) & ~V.is_explicit_null(v, keys) & ~V.is_list(v, keys)
-    return outer.frame.filter(odd).select(F.col("at").alias("_at"), F.to_json("v").alias("record"))
+    return outer.frame.filter(odd).select(F.to_json("at").alias("at"), F.to_json("v").alias("record"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 16
+BLOCK = 1 << 14
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

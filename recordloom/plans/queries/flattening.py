@@ -8,6 +8,7 @@ from recordloom.operators.catalogue import PLAIN
 from recordloom.operators.flatten import flatten
 from recordloom.plans.feeds import record, records, table, with_parts, wrap
 from recordloom.plans.registry import query
+from recordloom.session import stage
 from recordloom.sources.families import BUSINESS, PROJECTS
 
 
@@ -153,7 +154,7 @@ def flatten_plain(spark, sf_dir):
         lines=F.array("o_orderkey"),
         _links=F.struct(F.concat(F.lit("/o/"), "o_orderkey").alias("self")),
     )
-    return flatten(records(rows, text, "o_orderkey"), dialect=PLAIN)
+    return flatten(stage(records(rows, text, "o_orderkey"), "orders"), dialect=PLAIN)
 
 
 @query(

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.operators.fanout import Records, normalise, positioned
+from recordloom.operators.fanout import Records, normalise, positioned, wrong_lists
 from recordloom.session import configure, stage
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
@@ -94,9 +94,24 @@ def sync_entity(
     tables = list(normalise(positioned(records, run), entity, family.dialect, keeps))
 
     def write(table: Records) -> dict:
-        rows = table.rows(snake=True, fixed=fixed)
-        result = store.write(table.table, rows, run, versions.get(table.table))
-        return {**head, "table_name": table.table, "status": COMMITTED, **result}
-
+        name, tally = table.table, table.tally
+        if tally.quarantined:
+            store.quarantine(name, table.quarantine(), run)
+        current = versions.get(name)
+        if tally.keyed:
+            result = store.write(name, table.rows(snake=True, fixed=fixed), run, current)
+        else:
+            result = store.keep(name, current)
+        counts = {
+            "upserts": tally.keyed,
+            "quarantined": tally.quarantined,
+            "collisions": len(table.catalogue.collisions()),
+        }
+        return {**head, "table_name": name, "status": COMMITTED, **counts, **result}
+
+    for collection in entity.children:
+        odd = wrong_lists(tables[0], collection)
+        if odd is not None:
+            store.quarantine(collection.table, odd, run)
     with ThreadPoolExecutor(at_once) as pool:
         return list(pool.map(inheritable_thread_target(store.spark)(write), tables))

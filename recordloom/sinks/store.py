@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.operators.drift import added_columns
-from recordloom.operators.upsert import upsert, without_key
+from recordloom.operators.upsert import upsert
 from recordloom.sources.entities import KEY
 
 COMMIT_SCHEMA = (
     "run bigint, position int, entity string, table_name string, status string, version string, "
-    "upserts bigint, row_count bigint, quarantined bigint, schema_changes int, error string, at timestamp"
+    "upserts bigint, row_count bigint, quarantined bigint, schema_changes int, collisions int, "
+    "error string, at timestamp"
 )
 
 
@@ -52,25 +53,27 @@ class TableStore:
     def write(self, name: str, rows: DataFrame, run: int, current: str | None) -> dict:
         """Write the next version of one table; it shows once committed."""
         existing = None if current is None else self.spark.read.parquet(f"{self.root}/{current}")
-        keys = list(KEY)
-        totals = {"upserts": 0, "quarantined": 0}
-        if "id" in rows.columns:
-            total, keyed = rows.agg(F.count("*"), F.count("id")).first()
-            totals = {"upserts": keyed, "quarantined": total - keyed}
-        if totals["quarantined"]:
-            lost = without_key(rows, keys).withColumn("_at", F.to_json("_at"))
-            lost.write.parquet(f"{self.root}/_quarantine/{name}/run={run}")
-        if not totals["upserts"]:
-            count = existing.count() if existing is not None else 0
-            return {**totals, "row_count": count, "schema_changes": 0, "version": current}
         stamped = rows.withColumn("_synced_at", F.current_timestamp())
         version = f"{name}/version={run:08d}"
         target = f"{self.root}/{version}"
-        upsert(existing, stamped, keys, ["_at"], staged=True).write.mode("overwrite").parquet(target)
+        upsert(existing, stamped, list(KEY), ["_at"], staged=True).write.mode("overwrite").parquet(target)
         written = self.spark.read.parquet(target)
-        added = added_columns(existing, written)
-        changed = int(existing is None) or len(added)
-        return {**totals, "row_count": written.count(), "schema_changes": changed, "version": version}
+        changed = int(existing is None) + (0 if existing is None else len(added_columns(existing, written)))
+        return {"row_count": written.count(), "schema_changes": changed, "version": version}
+
+    def keep(self, name: str, current: str | None) -> dict:
+        """Entry of a table a run has no rows for."""
+        count = 0 if current is None else self.spark.read.parquet(f"{self.root}/{current}").count()
+        return {"row_count": count, "schema_changes": 0, "version": current}
+
+    def quarantine(self, name: str, rows: DataFrame, run: int) -> None:
+        """Set aside raw records no table can take."""
+        rows.write.mode("append").parquet(f"{self.root}/_quarantine/table={name}/run={run}")
+
+    def quarantined(self) -> DataFrame | None:
+        if not self._exists(f"{self.root}/_quarantine"):
+            return None
+        return self.spark.read.parquet(f"{self.root}/_quarantine")
 
     def commit(self, entries: list[dict]) -> None:
         """Append the entries as one file, which makes them visible together."""
