@@ -1,8 +1,8 @@
 """Parent, child and grandchild tables from one set of nested records.
 
-``Records`` carry the VARIANT ``v``, the place ``at`` of the record in its
-source (a struct of bigints whose order is the emission order) and the raw ids
-of the records around it. Every step is narrow: lists are exploded in place and
+``Records`` carry the VARIANT ``v``, the place of the record in its source
+(``PLACE``, whose order is the emission order) and the raw ids of the records
+around it. Every step is narrow: lists are exploded in place and
 no row moves between tasks.
 """
 
@@ -21,7 +21,7 @@ from recordloom.operators.catalogue import WRAPPED, Catalogue, Keeps, discover,
 from recordloom.operators.flatten import Default, flat_columns
 from recordloom.sources.entities import Collection, Entity
 
-PLACE = ("run", "page", "pos", "child", "grandchild")
+PLACE = ("_run", "_page", "_pos", "_child", "_grandchild")
 RAW_ID = ("id",)
 
 
@@ -43,7 +43,7 @@ class Records:
     """Nested records of one table, before flattening."""
 
     table: str
-    frame: DataFrame  # at, v, and one column per entry of lineage
+    frame: DataFrame  # place, v, and one column per entry of lineage
     catalogue: Catalogue
     tally: Tally
     lineage: dict[str, Default] = field(default_factory=dict)
@@ -51,23 +51,20 @@ class Records:
     def rows(self, snake: bool = False, fixed: list[str] | None = None) -> DataFrame:
         """Flat rows, with ``_at`` to tell which of two rows came later."""
         columns = flat_columns(self.catalogue, "v", snake, self.lineage, fixed)
-        return self.frame.filter(self.catalogue.is_record()).select(F.col("at").alias("_at"), *columns)
+        return self.frame.filter(self.catalogue.is_record()).select(F.struct(*PLACE).alias("_at"), *columns)
 
     def quarantine(self) -> DataFrame:
         """Records without a key, and those that are not objects at all."""
         keyed = has_key(F.col("v"), self.catalogue.dialect)
         lost = self.frame.filter(~(self.catalogue.is_record() & keyed))
-        return lost.select(F.to_json("at").alias("at"), F.to_json("v").alias("record"))
-
-
-def place(**known: Column) -> Column:
-    """Sortable position; levels not given count as zero."""
-    return F.struct(*[known.get(level, F.lit(0)).cast("bigint").alias(level) for level in PLACE])
+        return lost.select(F.to_json(F.struct(*PLACE)).alias("at"), F.to_json("v").alias("record"))
 
 
 def positioned(records: DataFrame, run: int = 0) -> DataFrame:
-    """``page, pos, v`` records as ``at, v``."""
-    return records.select(place(run=F.lit(run), page=F.col("page"), pos=F.col("pos")).alias("at"), "v")
+    """``page, pos, v`` records with their full place; children count from there."""
+    known = {"_run": F.lit(run), "_page": F.col("page"), "_pos": F.col("pos")}
+    levels = [known.get(level, F.lit(0)).cast("bigint").alias(level) for level in PLACE]
+    return records.select(*levels, "v")
 
 
 @dataclass
@@ -168,15 +165,13 @@ def explode_list(outer: Records, collection: Collection, known: Survey, id_colum
     column = f"_{id_column}"
     # Taking id and list out first lets the scan read these two paths only.
     lists = outer.frame.filter(outer.catalogue.is_record()).select(
-        "at",
+        *PLACE,
         *carried,
         V.pick(F.col("v"), RAW_ID, id_type).alias(column),
         V.as_list(F.col("v"), (collection.key,)).alias("_items"),
     )
-    exploded = lists.select("at", *carried, column, F.posexplode("_items").alias("_index", "v"))
-    frame = exploded.select(
-        F.col("at").withField(PLACE[level], F.col("_index").cast("bigint")).alias("at"), *carried, column, "v"
-    )
+    exploded = lists.select(*lists.columns[:-1], F.posexplode("_items").alias("_index", "v"))
+    frame = exploded.withColumn(PLACE[level], F.col("_index").cast("bigint")).drop("_index")
     lineage = {**outer.lineage, id_column: Default(column, id_type)}
     tally = known.tallies[collection.table]
     element = outer.catalogue.lists.get((collection.key,))
@@ -209,4 +204,4 @@ def wrong_lists(outer: Records, collection: Collection) -> DataFrame | None:
         return None
     v = F.col("v")
     odd = V.is_present(v, keys) & ~V.is_explicit_null(v, keys) & ~V.is_list(v, keys)
-    return outer.frame.filter(odd).select(F.to_json("at").alias("at"), F.to_json("v").alias("record"))
+    return outer.frame.filter(odd).select(F.to_json(F.struct(*PLACE)).alias("at"), F.to_json("v").alias("record"))
