@@ -263,3 +263,19 @@ def snake_case_columns(spark, sf_dir):
         USRXMLSize=wrap("p_size"),
     )
     return flatten(records(table(spark, sf_dir, "part"), text, "p_partkey"), snake=True)
+
+
+@query(
+    """
+    SELECT o_orderkey AS id,
+           CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE o_orderkey END AS "Bill_Number"
+    FROM orders
+    """
+)
+def name_collision(spark, sf_dir):
+    """Two paths give one column: the deeper one wins wherever a record has it."""
+    rows = table(spark, sf_dir, "orders")
+    both = record(id="o_orderkey", Bill_Number="o_custkey", Bill=F.struct(F.col("o_orderkey").alias("Number")))
+    flat = record(id="o_orderkey", Bill_Number="o_custkey", Bill=F.struct(F.array("o_custkey").alias("Lines")))
+    text = F.when(F.col("o_orderstatus") == "P", flat).otherwise(both)
+    return flatten(records(rows, text, "o_orderkey"))

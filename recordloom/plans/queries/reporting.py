@@ -94,24 +94,75 @@ def entity_profile(spark, sf_dir):
     return reduce(DataFrame.unionByName, profiles)
 
 
-@query()
+# The declared tables, children written as child<parent.
+DECLARED_SQL = """
+    WITH lists AS (
+        SELECT 'manufacturing' AS family, regexp_split_to_array('bill_of_material bill_of_material_operation<bill_of_material
+            bill_of_material_material<bill_of_material production_order production_order_detail labor_entry
+            labor_entry_detail<labor_entry material_entry material_entry_detail<material_entry work_center machine
+            shift', '[ \\n]+') AS names
+        UNION ALL
+        SELECT 'business', regexp_split_to_array('account bill bill_detail<bill currency financial_period
+            financial_period_detail<financial_period invoice invoice_detail<invoice journal_transaction
+            journal_transaction_detail<journal_transaction ledger payment payment_method sub_account tax_category
+            tax_category_detail<tax_category tax_zone contact contact_attribute<contact employee
+            employee_attribute<employee sales_person customer customer_contact<customer customer_attribute<customer
+            customer_class customer_location sales_invoice sales_invoice_detail<sales_invoice sales_order
+            sales_order_detail<sales_order sales_order_shipment<sales_order sales_order_tax_detail<sales_order
+            shipment shipment_detail<shipment shipment_package<shipment purchase_order
+            purchase_order_detail<purchase_order purchase_order_tax_detail<purchase_order purchase_receipt
+            purchase_receipt_detail<purchase_receipt vendor vendor_contact<vendor vendor_attribute<vendor
+            vendor_class inventory_issue inventory_issue_detail<inventory_issue inventory_receipt
+            inventory_receipt_detail<inventory_receipt non_stock_item non_stock_item_attribute<non_stock_item
+            non_stock_item_cross_ref<non_stock_item physical_inventory_review
+            physical_inventory_review_detail<physical_inventory_review stock_item stock_item_attribute<stock_item
+            stock_item_warehouse_detail<stock_item stock_item_cross_ref<stock_item
+            stock_item_replenishment<stock_item warehouse warehouse_location<warehouse item_class
+            units_of_measure', '[ \\n]+')
+        UNION ALL
+        SELECT 'projects', regexp_split_to_array('account job task contact event location payment cost_item daily_log
+            comment document file', '[ \\n]+')
+    ),
+    named AS (SELECT family, unnest(names) AS name, generate_subscripts(names, 1) - 1 AS position FROM lists),
+    placed AS (SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    counted AS (
+        SELECT 'business' AS family, 'customer' AS table_name, count(*) AS n FROM customer
+        UNION ALL SELECT 'business', 'vendor', count(*) FROM supplier
+        UNION ALL SELECT 'business', 'stock_item', count(*) FROM part
+        UNION ALL SELECT 'business', 'sales_order', count(DISTINCT l_orderkey) FROM lineitem
+        UNION ALL SELECT 'business', 'sales_order_detail', count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
+        UNION ALL SELECT 'business', 'sales_order_shipment', count(DISTINCT (l_orderkey, l_linenumber))
+                  FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 'manufacturing', 'bill_of_material', count(DISTINCT o_custkey) FROM placed
+        UNION ALL SELECT 'manufacturing', 'bill_of_material_operation', count(DISTINCT l_orderkey) FROM placed
+        UNION ALL SELECT 'manufacturing', 'bill_of_material_material', count(DISTINCT (l_orderkey, l_linenumber))
+                  FROM placed
+        UNION ALL SELECT 'projects', 'event', count(*) FROM events
+    )
+    SELECT family, table_name, position,
+           CASE WHEN name LIKE '%<%' THEN split_part(name, '<', 2) ELSE name END AS entity,
+           'id' AS primary_key, coalesce(n, 0) AS row_count
+    FROM (SELECT *, split_part(name, '<', 1) AS table_name FROM named) LEFT JOIN counted USING (family, table_name)
+    """
+
+
+@query(DECLARED_SQL)
 def declared_tables(spark, sf_dir):
     """Every declared table with its key, and the rows the given data has for it."""
+    feeds_by_family = {
+        "business": business_feeds(spark, sf_dir),
+        "manufacturing": {"bill_of_material": feeds.bills(spark, sf_dir)},
+        "projects": {"event": feeds.events(spark, sf_dir)},
+    }
     counts = []
-    for family, fed in (
-        ("business", business_feeds(spark, sf_dir)),
-        ("manufacturing", {"bill_of_material": feeds.bills(spark, sf_dir)}),
-        ("projects", {"event": feeds.events(spark, sf_dir)}),
-    ):
-        spec = next(f for f in FAMILIES if f.name == family)
-        for name, feed in fed.items():
-            found = normalise(positioned(stage(feed, name)), spec.entity(name), spec.dialect)
-            rows = {t.table: t.rows(snake=True).select("id").distinct() for t in found if t.catalogue.readings}
-            counts.append(count_tables(rows).withColumn("family", F.lit(family)))
+    for family in FAMILIES:
+        for name, feed in feeds_by_family[family.name].items():
+            found = normalise(positioned(stage(feed, name)), family.entity(name), family.dialect)
+            keys = {t.table: t.rows().select("id").distinct() for t in found if t.tally.keyed}
+            counts.append(count_tables(keys).withColumn("family", F.lit(family.name)))
     declared = spark.createDataFrame(
-        [row for f in FAMILIES for row in f.declared_tables()],
-        "family string, table_name string, entity string, primary_key string",
+        [(*row, position) for f in FAMILIES for position, row in enumerate(f.declared_tables())],
+        "family string, table_name string, entity string, primary_key string, position bigint",
     )
-    found = reduce(DataFrame.unionByName, counts)
-    joined = declared.join(found, ["family", "table_name"], "left")
+    joined = declared.join(reduce(DataFrame.unionByName, counts), ["family", "table_name"], "left")
     return joined.withColumn("row_count", F.coalesce("row_count", F.lit(0)))

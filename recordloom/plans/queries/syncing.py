@@ -131,3 +131,33 @@ def stream_upsert(spark, sf_dir):
         stream = page_stream(spark, f"{root}/pages")
         ingest(stream, store, PROJECTS, PROJECTS.entity("event"), f"{root}/checkpoint").awaitTermination()
     return store.table("event").drop("_synced_at")
+
+
+@query(
+    """
+    SELECT table_name, upserts, quarantined FROM (
+        SELECT 'bill' AS table_name, count(DISTINCT l_orderkey) AS upserts, 0 AS quarantined FROM lineitem
+        UNION ALL
+        SELECT 'bill_detail', count(*) FILTER (l_returnflag = 'A'), count(*) FILTER (l_returnflag <> 'A')
+        FROM lineitem)
+    """
+)
+def quarantine_rows(spark, sf_dir):
+    """Lines that are no objects (N) or have no id (R) are set aside and counted."""
+    lines = feeds.blocked(table(spark, sf_dir, "lineitem"))
+    flag = F.col("l_returnflag")
+    text = F.when(flag == "N", F.to_json(F.array("l_partkey"))).when(
+        flag == "R", feeds.record(Part=feeds.wrap("l_partkey"))
+    )
+    packed = feeds.nest(lines, ["l_orderkey"], lines=F.coalesce(text, feeds.line_text()))
+    bill = feeds.with_parts(feeds.record(id="l_orderkey"), Details=F.col("lines"))
+    store = new_store(spark)
+    family = Family("purchases", BUSINESS.dialect, BUSINESS.paging, (BUSINESS.entity("bill"),))
+    sync(store, family, given({"bill": feeds.records(packed, bill, "l_orderkey", "_block")}))
+    aside = store.quarantined().groupBy(F.col("table").alias("table_name"))
+    aside = aside.agg(F.count("*").alias("quarantined"))
+    commits = store.commits().select("table_name", F.col("upserts"))
+    both = commits.join(aside, "table_name", "left")
+    rows = store.table("bill").agg(F.count("*").alias("rows"))
+    parents = F.when(F.col("table_name") == "bill", rows.scalar()).otherwise(F.col("upserts"))
+    return both.select("table_name", parents.alias("upserts"), F.coalesce("quarantined", F.lit(0)).alias("quarantined"))

@@ -9,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.operators.fanout import Records, normalise, positioned, wrong_lists
-from recordloom.session import configure, stage
+from recordloom.session import configure, sized_shuffles, stage
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
 from recordloom.sources.pages import read_packed_pages, read_page_files, scan_pages
@@ -113,5 +113,6 @@ def sync_entity(
         odd = wrong_lists(tables[0], collection)
         if odd is not None:
             store.quarantine(collection.table, odd, run)
-    with ThreadPoolExecutor(at_once) as pool:
+    current = [t for t in (store.read(versions.get(name)) for name in entity.tables()) if t is not None]
+    with sized_shuffles(records, *current), ThreadPoolExecutor(at_once) as pool:
         return list(pool.map(inheritable_thread_target(store.spark)(write), tables))

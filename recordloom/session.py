@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +59,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+SHUFFLE_PARTITION_BYTES = 128 << 20
+ENCODED_GROWTH = 4  # rows in a shuffle against the same rows in compressed Parquet
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+    """Shuffles inside start with partitions that fit in memory for these inputs.
+
+    Spark merges partitions that turn out small but never adds any, so the start
+    has to grow with the data. Inputs are tables read from files, whose size
+    Spark knows without a job.
+    """
+    spark = inputs[0].sparkSession
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = max(least, math.ceil(size * ENCODED_GROWTH / SHUFFLE_PARTITION_BYTES))
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, str(count))
+    try:
+        yield count
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

@@ -44,7 +44,9 @@ class TableStore:
         return {row.table_name: row.version for row in newest.collect()}
 
     def table(self, name: str) -> DataFrame | None:
-        version = self.versions().get(name)
+        return self.read(self.versions().get(name))
+
+    def read(self, version: str | None) -> DataFrame | None:
         return None if version is None else self.spark.read.parquet(f"{self.root}/{version}")
 
     def next_run(self) -> int:
@@ -52,18 +54,19 @@ class TableStore:
 
     def write(self, name: str, rows: DataFrame, run: int, current: str | None) -> dict:
         """Write the next version of one table; it shows once committed."""
-        existing = None if current is None else self.spark.read.parquet(f"{self.root}/{current}")
+        existing = self.read(current)
         stamped = rows.withColumn("_synced_at", F.current_timestamp())
         version = f"{name}/version={run:08d}"
         target = f"{self.root}/{version}"
         upsert(existing, stamped, list(KEY), ["_at"], staged=True).write.mode("overwrite").parquet(target)
-        written = self.spark.read.parquet(target)
+        written = self.read(version)
         changed = int(existing is None) + (0 if existing is None else len(added_columns(existing, written)))
         return {"row_count": written.count(), "schema_changes": changed, "version": version}
 
     def keep(self, name: str, current: str | None) -> dict:
         """Entry of a table a run has no rows for."""
-        count = 0 if current is None else self.spark.read.parquet(f"{self.root}/{current}").count()
+        existing = self.read(current)
+        count = 0 if existing is None else existing.count()
         return {"row_count": count, "schema_changes": 0, "version": current}
 
     def quarantine(self, name: str, rows: DataFrame, run: int) -> None:

@@ -23,8 +23,13 @@ NOTHING = ("", "0", "0.0", "false", '""', "{}", "[]")  # cursor values that end
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame | None:
     """``page, body`` of page files; None where the collection was never landed."""
+    return _existing(lambda: whole_pages(spark.read.text(path, wholetext=True)))
+
+
+def whole_pages(files: DataFrame) -> DataFrame:
+    """``page, body`` of files read whole, numbered by their names."""
     number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1).cast("bigint")
-    return _existing(lambda: spark.read.text(path, wholetext=True).select(number.alias("page"), F.col("value").alias("body")))
+    return files.select(number.alias("page"), F.col("value").alias("body"))
 
 
 def read_packed_pages(spark: SparkSession, path: str) -> DataFrame | None:

@@ -16,7 +16,7 @@ from recordloom.plans.sync import sync_entity
 from recordloom.session import configure, stage
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
-from recordloom.sources.pages import decode_cursor, decode_offset
+from recordloom.sources.pages import decode_cursor, decode_offset, whole_pages
 
 PACKED_SCHEMA = "page bigint, body string"
 
@@ -26,6 +26,11 @@ def page_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(PACKED_SCHEMA).parquet(path)
 
 
+def page_file_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Pages landing in ``path`` one file each."""
+    return whole_pages(spark.readStream.text(path, wholetext=True))
+
+
 def ingest(
     pages: DataFrame, store: TableStore, family: Family, entity: Entity, checkpoint: str
 ) -> StreamingQuery:
