@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordloom.functions import variant as V
 from recordloom.operators.catalogue import WRAPPED, discover
 from recordloom.operators.drift import align
+from recordloom.operators.fanout import Survey, survey
 from recordloom.sources.entities import Entity
 
 
@@ -83,21 +84,22 @@ def operation_summary(commits: DataFrame) -> DataFrame:
 
 
 def entity_profile(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> DataFrame:
-    """Records, child elements and flat columns of one entity, in one row."""
-    catalogue = discover(records, "v", dialect)
-    v = F.col("v")
-    children = F.lit(0).cast("bigint")
-    for collection in entity.children:
-        children = children + F.coalesce(F.size(V.as_list(v, (collection.key,))), F.lit(0))
-    totals = records.agg(
-        F.count("*").alias("_records"),
-        F.count_distinct(V.pick(v, ("id",), "string")).alias("row_count"),
-        F.coalesce(F.sum(children), F.lit(0)).alias("child_count"),
+    """Distinct records, child elements and flat columns of one entity, in one row."""
+    known = survey(records, entity, dialect)
+    catalogue = discover(
+        records, "v", dialect, known.schema, null_lists=known.null_lists[entity.table]
     )
-    return totals.select(
+    tallies = [known.tallies[collection.table] for collection in entity.children]
+    ids = records.agg(F.count_distinct(V.pick(F.col("v"), ("id",), "string")).alias("row_count"))
+    return ids.select(
         F.lit(entity.table).alias("entity"),
-        F.when(F.col("_records") > 0, "ok").otherwise("empty").alias("status"),
+        F.lit("ok" if known.tallies[entity.table].total else "empty").alias("status"),
         "row_count",
-        "child_count",
+        F.lit(sum(t.total for t in tallies)).cast("bigint").alias("child_count"),
         F.lit(len(catalogue.columns())).alias("column_count"),
     )
+
+
+def sync_counts(known: Survey) -> list[tuple[str, int]]:
+    """``table, rows`` a run emits, parents first."""
+    return [(table, tally.keyed) for table, tally in known.tallies.items()]

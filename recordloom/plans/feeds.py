@@ -2,7 +2,7 @@
 
 Gives the operators real input of any size: rows become wrapped or plain records
 and child rows are nested into their parents. A list never grows with a key: rows
-are nested per block of ``BLOCK`` consecutive source rows, and a parent whose
+are nested per block of consecutive source rows, and a parent whose
 children span several blocks appears in several records, as it may in pages read
 while data changes.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 14
+BLOCK_BITS = 14  # blocks of 16,384 source rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def blocked(source: DataFrame) -> DataFrame:
     """``source`` rows with the file block they come from, the same on every read."""
     file = F.col("_metadata.file_path")
-    index = F.floor(F.col("_metadata.row_index") / BLOCK)
+    index = F.shiftright(F.col("_metadata.row_index"), BLOCK_BITS)
     return source.select("*", F.xxhash64(file, index).alias("_block"))
 
 
@@ -49,10 +49,19 @@ def as_list(texts: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
 
 
-def nest(children: DataFrame, keys: list[str], **lists: Column) -> DataFrame:
+def gather(children: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of one key and block brought together, before their text is made.
+
+    Plain columns are smaller to move than their JSON, and nothing is saved by
+    collecting lists first. A hot key is spread over its blocks.
+    """
+    return children.repartition(*keys, "_block")
+
+
+def nest(gathered: DataFrame, keys: list[str], **lists: Column) -> DataFrame:
     """One row per key and block with a sorted JSON list per entry; NULL texts are left out."""
     collected = [as_list(F.array_sort(F.collect_list(text))).alias(name) for name, text in lists.items()]
-    return children.groupBy(*keys, "_block").agg(*collected)
+    return gathered.groupBy(*keys, "_block").agg(*collected)
 
 
 def attach(parents: DataFrame, packed: DataFrame, key: str, packed_key: str) -> DataFrame:
@@ -109,7 +118,7 @@ def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers ⊃ orders. By segment the list is also null, missing or empty."""
     orders = blocked(table(spark, sf_dir, "orders"))
     order = record(id="o_orderkey", Status=wrap("o_orderstatus"), Total=wrap("o_totalprice"))
-    packed = nest(orders, ["o_custkey"], orders=order)
+    packed = nest(gather(orders, ["o_custkey"]), ["o_custkey"], orders=order)
     rows = attach(table(spark, sf_dir, "customer"), packed, "c_custkey", "o_custkey")
     segment = F.col("c_mktsegment")
     listed = (
@@ -125,14 +134,12 @@ def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers ⊃ orders ⊃ lines as three-level records.
 
-    The one explicit shuffle on customer and block serves both nestings.
+    The one shuffle on customer and block serves both nestings.
     """
     lines = blocked(table(spark, sf_dir, "lineitem"))
     owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     owned = lines.join(owners, lines.l_orderkey == owners.o_orderkey)
-    owned = owned.select("o_custkey", "o_orderkey", "_block", line_text().alias("line"))
-    placed = owned.repartition("o_custkey", "_block")
-    operations = nest(placed, ["o_custkey", "o_orderkey"], lines=F.col("line"))
+    operations = nest(gather(owned, ["o_custkey"]), ["o_custkey", "o_orderkey"], lines=line_text())
     operation = with_parts(record(id="o_orderkey"), Material=F.col("lines"))
     nested = nest(operations, ["o_custkey"], operations=operation)
     text = with_parts(record(id="o_custkey"), Operations=F.col("operations"))
@@ -143,7 +150,7 @@ def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders ⊃ lines and ⊃ shipments (the lines of status F): two sibling lists."""
     lines = blocked(table(spark, sf_dir, "lineitem"))
     shipment = F.when(F.col("l_linestatus") == "F", record(id=line_id(), Shipped=wrap("l_quantity")))
-    packed = nest(lines, ["l_orderkey"], details=line_text(), shipments=shipment)
+    packed = nest(gather(lines, ["l_orderkey"]), ["l_orderkey"], details=line_text(), shipments=shipment)
     head = record(id="l_orderkey", Kind=wrap(F.lit("SO")))
     text = with_parts(head, Details=F.col("details"), Shipments=F.col("shipments"))
     return records(packed, text, "l_orderkey", "_block")

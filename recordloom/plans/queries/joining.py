@@ -28,7 +28,7 @@ def join_line_to_order(spark, sf_dir):
     lines = blocked(table(spark, sf_dir, "lineitem"))
     order_nbr = F.when(F.col("l_returnflag") != "R", F.col("l_orderkey"))
     line = record(id=line_id(), OrderNbr=wrap(order_nbr), Quantity=wrap("l_quantity"))
-    packed = nest(lines, ["l_suppkey"], lines=line)
+    packed = nest(feeds.gather(lines, ["l_suppkey"]), ["l_suppkey"], lines=line)
     invoice = with_parts(record(id="l_suppkey"), Details=F.col("lines"))
     invoices = records(packed, invoice, "l_suppkey", "_block")
     details = tables(invoices, BUSINESS.entity("sales_invoice"))["sales_invoice_detail"]

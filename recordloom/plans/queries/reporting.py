@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.audit import count_tables, freshness, inventory
 from recordloom.operators.audit import entity_profile as profile_of
-from recordloom.operators.fanout import normalise, positioned
+from recordloom.operators.audit import sync_counts as counts_of
+from recordloom.operators.fanout import normalise, positioned, survey
 from recordloom.operators.flatten import flatten
 from recordloom.plans import feeds
 from recordloom.plans.feeds import record, records, table, wrap
-from recordloom.plans.queries.fanning import tables
 from recordloom.plans.registry import query
 from recordloom.session import stage
 from recordloom.sources.families import BUSINESS, FAMILIES, MANUFACTURING
@@ -30,21 +30,20 @@ def business_feeds(spark, sf_dir):
 
 @query(
     """
-    SELECT 'bill_of_material' AS table_name, count(DISTINCT o_custkey) AS row_count
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    UNION ALL
-    SELECT 'bill_of_material_operation', count(DISTINCT l_orderkey)
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    UNION ALL
-    SELECT 'bill_of_material_material', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    SELECT 'bill_of_material' AS table_name, count(*) AS row_count FROM lineitem
+    UNION ALL SELECT 'bill_of_material_operation', count(*) FROM lineitem WHERE l_returnflag <> 'R'
+    UNION ALL SELECT 'bill_of_material_material', 2 * count(*) FROM lineitem WHERE l_returnflag <> 'R'
     """
 )
 def sync_counts(spark, sf_dir):
-    """Rows per table; parents and children split over several blocks count once."""
-    found = tables(feeds.bills(spark, sf_dir), MANUFACTURING.entity("bill_of_material"))
-    for name in ("bill_of_material", "bill_of_material_operation"):
-        found[name] = found[name].select("id").distinct()
-    return count_tables(found)
+    """A bill per line; one operation with two materials unless the line was returned."""
+    materials = F.array(*[F.struct(F.col(c).alias("id")) for c in ("l_partkey", "l_suppkey")])
+    operations = F.array(F.struct(F.col("l_orderkey").alias("id"), materials.alias("Material")))
+    kept = F.when(F.col("l_returnflag") != "R", operations)
+    lines = feeds.blocked(table(spark, sf_dir, "lineitem"))
+    bills = records(lines, record(id=feeds.line_id(), Operations=kept), "l_orderkey", "_block")
+    known = survey(positioned(bills), MANUFACTURING.entity("bill_of_material"))
+    return spark.createDataFrame(counts_of(known), "table_name string, row_count bigint")
 
 
 @query("SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_synced FROM events")
@@ -124,7 +123,6 @@ DECLARED_SQL = """
             comment document file', '[ \\n]+')
     ),
     named AS (SELECT family, unnest(names) AS name, generate_subscripts(names, 1) - 1 AS position FROM lists),
-    placed AS (SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
     counted AS (
         SELECT 'business' AS family, 'customer' AS table_name, count(*) AS n FROM customer
         UNION ALL SELECT 'business', 'vendor', count(*) FROM supplier
@@ -133,10 +131,6 @@ DECLARED_SQL = """
         UNION ALL SELECT 'business', 'sales_order_detail', count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
         UNION ALL SELECT 'business', 'sales_order_shipment', count(DISTINCT (l_orderkey, l_linenumber))
                   FROM lineitem WHERE l_linestatus = 'F'
-        UNION ALL SELECT 'manufacturing', 'bill_of_material', count(DISTINCT o_custkey) FROM placed
-        UNION ALL SELECT 'manufacturing', 'bill_of_material_operation', count(DISTINCT l_orderkey) FROM placed
-        UNION ALL SELECT 'manufacturing', 'bill_of_material_material', count(DISTINCT (l_orderkey, l_linenumber))
-                  FROM placed
         UNION ALL SELECT 'projects', 'event', count(*) FROM events
     )
     SELECT family, table_name, position,
@@ -151,12 +145,11 @@ def declared_tables(spark, sf_dir):
     """Every declared table with its key, and the rows the given data has for it."""
     feeds_by_family = {
         "business": business_feeds(spark, sf_dir),
-        "manufacturing": {"bill_of_material": feeds.bills(spark, sf_dir)},
         "projects": {"event": feeds.events(spark, sf_dir)},
     }
     counts = []
     for family in FAMILIES:
-        for name, feed in feeds_by_family[family.name].items():
+        for name, feed in feeds_by_family.get(family.name, {}).items():
             found = normalise(positioned(stage(feed, name)), family.entity(name), family.dialect)
             keys = {t.table: t.rows().select("id").distinct() for t in found if t.tally.keyed}
             counts.append(count_tables(keys).withColumn("family", F.lit(family.name)))

@@ -27,9 +27,8 @@ from recordloom.sources.pages import (
 
 
 def paged(rows: DataFrame, text, order: list[str]) -> DataFrame:
-    """``page, list`` of all rows, landed once."""
-    lists = page_lists(numbered(rows.select(*order, text.alias("record")), order), "record")
-    return stage(lists, "pages")
+    """``page, list`` of all rows."""
+    return page_lists(numbered(rows.select(*order, text.alias("record")), order), "record")
 
 
 def with_strays(pages: DataFrame, body) -> DataFrame:
@@ -55,7 +54,7 @@ def with_strays(pages: DataFrame, body) -> DataFrame:
 def scan_offset_pages(spark, sf_dir):
     text = record(id="o_orderkey", Total=feeds.wrap("o_totalprice"))
     source = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    lists = paged(source, text, ["o_orderkey"])
+    lists = stage(paged(source, text, ["o_orderkey"]), "pages")
     records = scan_pages(with_strays(lists, F.col("list")), "offset", staged=True)
     flat = flatten(records, snake=True, carry=["page", "pos"])
     return flat.withColumn("pos", F.col("pos").cast("bigint"))
@@ -68,7 +67,7 @@ def scan_offset_pages(spark, sf_dir):
 )
 def scan_envelope(spark, sf_dir):
     text = record(id="c_custkey", Name=feeds.wrap("c_name"))
-    lists = paged(table(spark, sf_dir, "customer"), text, ["c_custkey"])
+    lists = stage(paged(table(spark, sf_dir, "customer"), text, ["c_custkey"]), "pages")
     even = F.col("page") % 2 == 0
     body = F.when(even, envelope(F.col("list"))).otherwise(F.col("list"))
     records = scan_pages(with_strays(lists, body), "offset", staged=True)
@@ -83,7 +82,7 @@ def scan_envelope(spark, sf_dir):
     """
 )
 def scan_cursor_pages(spark, sf_dir):
-    lists = paged(table(spark, sf_dir, "events"), feeds.event_text(), ["event_id"])
+    lists = stage(paged(table(spark, sf_dir, "events"), feeds.event_text(), ["event_id"]), "pages")
     last = lists.agg(F.max("page")).first()[0]
     following = F.when(F.col("page") < last, F.col("page") + 1)
     body = cursor_body(F.col("list"), "events", following)

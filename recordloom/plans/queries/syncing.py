@@ -11,7 +11,7 @@ from recordloom.plans.queries.reporting import business_feeds
 from recordloom.plans.queries.scanning import paged
 from recordloom.plans.registry import query
 from recordloom.plans.sync import SyncFailed, given, landed, sync
-from recordloom.session import scratch
+from recordloom.session import scratch, stage
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Family
 from recordloom.sources.families import BUSINESS, MANUFACTURING, PROJECTS
@@ -123,7 +123,7 @@ def stream_upsert(spark, sf_dir):
     stale = source.filter("event_type IN ('error', 'click')").withColumn("event_type", F.lit("pending"))
     store = new_store(spark)
     for events in (stale, source):
-        lists = paged(events, feeds.event_text(), ["event_id"])
+        lists = stage(paged(events, feeds.event_text(), ["event_id"]), "pages")
         last = lists.agg(F.max("page")).first()[0]
         following = F.when(F.col("page") < last, F.col("page") + 1)
         pages = lists.select("page", cursor_body(F.col("list"), "events", following).alias("body"))
@@ -149,7 +149,7 @@ def quarantine_rows(spark, sf_dir):
     text = F.when(flag == "N", F.to_json(F.array("l_partkey"))).when(
         flag == "R", feeds.record(Part=feeds.wrap("l_partkey"))
     )
-    packed = feeds.nest(lines, ["l_orderkey"], lines=F.coalesce(text, feeds.line_text()))
+    packed = feeds.nest(feeds.gather(lines, ["l_orderkey"]), ["l_orderkey"], lines=F.coalesce(text, feeds.line_text()))
     bill = feeds.with_parts(feeds.record(id="l_orderkey"), Details=F.col("lines"))
     store = new_store(spark)
     family = Family("purchases", BUSINESS.dialect, BUSINESS.paging, (BUSINESS.entity("bill"),))

@@ -11,13 +11,30 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.operators.drift import added_columns
 from recordloom.operators.upsert import upsert
 from recordloom.sources.entities import KEY
 
+COMMIT_FIELDS = pa.schema(
+    [
+        ("run", pa.int64()),
+        ("position", pa.int32()),
+        ("entity", pa.string()),
+        ("table_name", pa.string()),
+        ("status", pa.string()),
+        ("version", pa.string()),
+        ("upserts", pa.int64()),
+        ("row_count", pa.int64()),
+        ("quarantined", pa.int64()),
+        ("schema_changes", pa.int32()),
+        ("collisions", pa.int32()),
+        ("error", pa.string()),
+    ]
+)
 COMMIT_SCHEMA = (
     "run bigint, position int, entity string, table_name string, status string, version string, "
     "upserts bigint, row_count bigint, quarantined bigint, schema_changes int, collisions int, "
@@ -80,9 +97,8 @@ class TableStore:
 
     def commit(self, entries: list[dict]) -> None:
         """Append the entries as one file, which makes them visible together."""
-        names = [c.strip().split(" ")[0] for c in COMMIT_SCHEMA.split(",")]
-        rows = [Row(*[entry.get(name) for name in names]) for entry in entries]
-        frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).withColumn("at", F.current_timestamp())
+        frame = self.spark.createDataFrame(pa.Table.from_pylist(entries, COMMIT_FIELDS))
+        frame = frame.withColumn("at", F.current_timestamp())
         with self._lock:
             frame.coalesce(1).write.mode("append").parquet(self._log)
 
