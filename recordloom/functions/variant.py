@@ -24,6 +24,7 @@ from pyspark.sql.types import (
 Keys = tuple[str, ...]
 
 VOID = "void"
+VARIANT = "variant"
 EXACT_INTEGER = "decimal(38,0)"
 OBJECT = "map<string,variant>"
 LIST = "array<variant>"
@@ -37,6 +38,10 @@ def _step(key: str) -> str | None:
     return None  # no path syntax can name a key holding both quotes
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def pick(v: Column, keys: Sequence[str], as_type: str = "variant", strict: bool = True) -> Column:
     """Value at ``keys`` as ``as_type``; NULL when the key is absent.
 

@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, DataType, StructType, VariantType
 
 from recordloom.functions import variant as V
 from recordloom.functions.variant import Keys
+from recordloom.operators.access import Access, Wants
 
 WRAPPED = "wrapped"  # {"value": x} stands for x, and _links is metadata
 PLAIN = "plain"  # every key is data
@@ -32,13 +33,30 @@ METADATA_KEY = "_links"
 WRAPPER_KEY = "value"
 
 
+@dataclass(frozen=True)
+class Above:
+    """What lies on the way to a path and differs from record to record.
+
+    ``wrappers`` lists objects that are a mere wrapper in some records; the path
+    counts in the others. ``mixed`` is the outermost place that is no object in
+    some records.
+    """
+
+    wrappers: tuple[Keys, ...] = ()
+    mixed: Keys | None = None
+
+    def looks_at(self, path: Keys) -> list[Keys]:
+        """Places whose value must be at hand as it is to read ``path``."""
+        return [*leading_through(path, self.wrappers), *([self.mixed] if self.mixed else [])]
+
+
 @dataclass(frozen=True)
 class Reading:
     """One place in a record a column can be read from.
 
     ``settled`` means every record with this path has a value for the column
     there; otherwise some records hold a list or an object with columns of its
-    own. ``inside`` lists objects that must not be wrappers for the path to count.
+    own.
     """
 
     path: Keys
@@ -46,12 +64,20 @@ class Reading:
     scalar: bool = True
     wrapper: bool = False
     settled: bool = True
-    inside: tuple[Keys, ...] = ()
+    above: Above = Above()
 
     @property
     def name(self) -> str:
         return "_".join(self.path)
 
+    @property
+    def value_path(self) -> Keys:
+        return (*self.path, WRAPPER_KEY) if self.wrapper else self.path
+
+    def guards(self) -> list[Keys]:
+        """Objects that must not be a wrapper in the record."""
+        return leading_through(self.path, self.above.wrappers)
+
 
 @dataclass
 class Catalogue:
@@ -68,15 +94,15 @@ class Catalogue:
             named.setdefault(reading.name, []).append(reading)
         return dict(sorted(named.items()))
 
-    def is_record(self, v: str = "v") -> Column:
+    def is_record(self, record: Access) -> Column:
         """True for records that can be flattened.
 
         Tests no more than needed: looking at the whole record would keep Spark
         from reading single paths of it.
         """
         if self.others:
-            return V.is_object(F.col(v))
-        return ~V.is_explicit_null(F.col(v)) if self.nulls else F.lit(True)
+            return V.is_object(*record.variant(()))
+        return record.exists() if self.nulls else F.lit(True)
 
     def collisions(self) -> dict[str, list[Keys]]:
         """Columns more than one path writes to."""
@@ -89,7 +115,7 @@ class _Open:
 
     path: Keys
     found: DataType
-    inside: tuple[Keys, ...]
+    above: Above
 
     @property
     def mixed(self) -> bool:
@@ -99,16 +125,18 @@ class _Open:
 Keeps = Callable[[Keys, bool], bool]
 
 
+Reach = Callable[[Wants], tuple[DataFrame, Access]]  # records, read for the given paths
+
+
 def discover(
-    records: DataFrame,
-    v: str = "v",
+    reach: Reach,
     dialect: str = WRAPPED,
     seed: DataType | None = None,
     keeps: Keeps | None = None,
     nulls: bool = True,
     null_lists: dict[Keys, bool] | None = None,
 ) -> Catalogue:
-    """Catalogue of the VARIANT column ``v``.
+    """Catalogue of the records ``reach`` gives.
 
     ``keeps(path, is_object)`` restricts the catalogue to wanted paths. What an
     earlier pass already found may be given: the merged schema as ``seed``,
@@ -116,23 +144,23 @@ def discover(
     somewhere.
     """
     walker = _Walker(dialect, keeps or (lambda path, is_object: True), null_lists or {})
-    record = F.col(v)
     if seed is None:
-        seed, nulls = merged_schema(records, record)
+        records, whole = reach(Wants())
+        seed, nulls = merged_schema(records, whole.v)
     walker.catalogue.nulls = nulls
     if isinstance(seed, VariantType):  # objects among other things
         walker.catalogue.others = True
-        seed, _ = merged_schema(records, F.when(V.is_object(record), record))
+        records, whole = reach(Wants())
+        seed, _ = merged_schema(records, F.when(V.is_object(whole.v), whole.v))
     if isinstance(seed, StructType):
-        walker.enter(seed, (), ())
+        walker.enter(seed, (), Above())
     while walker.open:
-        walker.settle(records, record)
+        walker.settle(reach)
     return walker.catalogue
 
 
-def has_key(record: Column, dialect: str = WRAPPED) -> Column:
-    """True for objects whose ``id`` column will not be NULL."""
-    key = V.pick(record, ("id",))
+def is_key(key: Column, dialect: str = WRAPPED) -> Column:
+    """True for a raw ``id`` value that gives a column value other than NULL."""
     plain = ~V.is_explicit_null(key) & ~V.is_object(key) & ~V.is_list(key)
     if dialect == WRAPPED:
         inner = V.pick(key, (WRAPPER_KEY,))
@@ -140,10 +168,13 @@ def has_key(record: Column, dialect: str = WRAPPED) -> Column:
     return F.coalesce(key.isNotNull() & plain, F.lit(False))
 
 
-def merged_schema(records: DataFrame, record: Column) -> tuple[DataType, bool]:
-    """Merged type of all records, and whether any is null (nulls merge with any type)."""
-    found = records.agg(F.schema_of_variant_agg(record), F.bool_or(F.is_variant_null(record))).first()
-    return V.parse_schema(found[0]), bool(found[1])
+def merged_schema(records: DataFrame, record: Column, *more: Column) -> tuple:
+    """Merged type of all records, whether any is null, and ``more`` aggregates.
+
+    A null merges with any type, so the type alone does not tell.
+    """
+    found = records.agg(F.schema_of_variant_agg(record), F.bool_or(F.is_variant_null(record)), *more).first()
+    return V.parse_schema(found[0]), bool(found[1]), *found[2:]
 
 
 class _Walker:
@@ -154,73 +185,76 @@ class _Walker:
         self.null_lists = null_lists
         self.open: list[_Open] = []
 
-    def enter(self, found: StructType, path: Keys, inside: tuple[Keys, ...]) -> None:
+    def enter(self, found: StructType, path: Keys, above: Above) -> None:
         for child in found.fields:
             if self.wraps and child.name == METADATA_KEY:
                 continue
-            self.visit(child.dataType, (*path, child.name), inside)
+            self.visit(child.dataType, (*path, child.name), above)
 
-    def visit(self, found: DataType, path: Keys, inside: tuple[Keys, ...]) -> None:
+    def visit(self, found: DataType, path: Keys, above: Above) -> None:
         if isinstance(found, ArrayType):
             self.catalogue.lists[path] = found.elementType
             if path not in self.null_lists:
-                self._leave_open(path, found, inside)
+                self._leave_open(path, found, above)
             elif self.null_lists[path]:
-                self._add(path, V.VOID, inside, settled=False)
+                self._add(path, V.VOID, above, settled=False)
         elif isinstance(found, VariantType):
-            self._leave_open(path, found, inside)
+            self._leave_open(path, found, above)
         elif isinstance(found, StructType):
             names = found.fieldNames()
             if not names:
-                self._add(path, V.VOID, inside)
+                self._add(path, V.VOID, above)
             elif self.wraps and names == [WRAPPER_KEY]:
-                self._add(path, V.leaf_type(found[0].dataType), inside, wrapper=True)
+                self._add(path, V.leaf_type(found[0].dataType), above, wrapper=True)
             elif self.keeps(path, True):
-                self._leave_open(path, found, inside)
+                self._leave_open(path, found, above)
                 if not self._may_wrap(found):
-                    self.enter(found, path, inside)
+                    self.enter(found, path, above)
         else:
-            self._add(path, V.leaf_type(found), inside)
+            self._add(path, V.leaf_type(found), above)
 
-    def settle(self, records: DataFrame, record: Column) -> None:
+    def settle(self, reach: Reach) -> None:
         """Answer all open questions of this round in one aggregate."""
         batch, self.open = self.open, []
+        wants = Wants(whole={p for o in batch for p in (o.path, *o.above.looks_at(o.path))})
+        records, record = reach(wants)
         wanted = [e.alias(f"{i}.{k}") for i, o in enumerate(batch) for k, e in self._questions(o, record)]
         answers = records.agg(*wanted).first().asDict()
         for i, item in enumerate(batch):
             self._resolve(item, lambda question, i=i: answers.get(f"{i}.{question}"))
 
-    def _leave_open(self, path: Keys, found: DataType, inside: tuple[Keys, ...]) -> None:
-        self.open.append(_Open(path, found, inside))
+    def _leave_open(self, path: Keys, found: DataType, above: Above) -> None:
+        self.open.append(_Open(path, found, above))
 
-    def _add(self, path, type_, inside, wrapper=False, scalar=None, settled=True) -> None:
+    def _add(self, path, type_, above, wrapper=False, scalar=None, settled=True) -> None:
         if self.keeps(path, False):
             scalar = not wrapper if scalar is None else scalar
-            self.catalogue.readings.append(Reading(path, type_, scalar, wrapper, settled, inside))
+            self.catalogue.readings.append(Reading(path, type_, scalar, wrapper, settled, above))
 
     def _may_wrap(self, found: DataType) -> bool:
         return self.wraps and WRAPPER_KEY in found.fieldNames()
 
-    def _questions(self, item: _Open, record: Column) -> Iterator[tuple[str, Column]]:
-        reached = reachable(record, item.path, item.inside)
-        null = V.is_explicit_null(record, item.path)
-        empty = V.is_empty_object(record, item.path)
+    def _questions(self, item: _Open, record: Access) -> Iterator[tuple[str, Column]]:
+        v, keys = record.variant(item.path)
+        reached = reachable(record, item.path, item.above)
+        null = V.is_explicit_null(v, keys)
+        empty = V.is_empty_object(v, keys)
         yield "blank", F.bool_or(reached & (null | empty))
         if isinstance(item.found, ArrayType):
             return
         if not item.mixed and not self._may_wrap(item.found):
             return
-        here = V.pick(record, item.path)
-        obj = V.is_object(record, item.path)
-        wrapper = V.is_wrapper(record, item.path) if self.wraps else F.lit(False)
-        inner = V.pick(record, (*item.path, WRAPPER_KEY))
+        here = V.pick(v, keys)
+        obj = V.is_object(v, keys)
+        wrapper = V.is_wrapper(v, keys) if self.wraps else F.lit(False)
+        inner = V.pick(v, (*keys, WRAPPER_KEY))
         nested = reached & obj & ~wrapper & ~empty
         yield "wrapper", F.bool_or(reached & wrapper)
         yield "wrapper_type", F.schema_of_variant_agg(F.when(reached & wrapper, inner))
         yield "nested", F.bool_or(nested)
         yield "nested_type", F.schema_of_variant_agg(F.when(nested, here))
         if item.mixed:
-            listed = V.is_list(record, item.path)
+            listed = V.is_list(v, keys)
             scalar = reached & here.isNotNull() & ~obj & ~listed & ~null
             yield "scalar", F.bool_or(scalar)
             yield "scalar_type", F.schema_of_variant_agg(F.when(scalar, here))
@@ -236,7 +270,7 @@ class _Walker:
             self._add(
                 item.path,
                 V.widest(types),
-                item.inside,
+                item.above,
                 wrapper=bool(answer("wrapper")),
                 scalar=bool(answer("scalar")),
                 settled=False,
@@ -245,17 +279,21 @@ class _Walker:
             self.catalogue.lists[item.path] = V.parse_schema(answer("list_type")).elementType
         if answer("nested") and self.keeps(item.path, True):
             nested = V.parse_schema(answer("nested_type"))
-            guards = (*item.inside, item.path) if self._may_wrap(nested) else item.inside
-            self.enter(nested, item.path, guards)
+            wrappers = item.above.wrappers
+            if self._may_wrap(nested):
+                wrappers = (*wrappers, item.path)
+            mixed = item.above.mixed or (item.path if item.mixed else None)
+            self.enter(nested, item.path, Above(wrappers, mixed))
 
 
-def reachable(record: Column, path: Keys, inside: tuple[Keys, ...]) -> Column:
-    """True unless the path leads through an object that is a wrapper here.
+def leading_through(path: Keys, wrappers: tuple[Keys, ...]) -> list[Keys]:
+    """The objects that ``path`` leaves by the wrapper key."""
+    return [outer for outer in wrappers if path[len(outer)] == WRAPPER_KEY]
 
-    A wrapper's only key is ``value``, so only paths through that key need it.
-    """
+
+def reachable(record: Access, path: Keys, above: Above) -> Column:
+    """True unless the path leads through an object that is a wrapper here."""
     result = F.lit(True)
-    for outer in inside:
-        if path[len(outer)] == WRAPPER_KEY:
-            result = result & ~V.is_wrapper(record, outer)
+    for outer in leading_through(path, above.wrappers):
+        result = result & ~V.is_wrapper(*record.variant(outer))
     return result

@@ -2,8 +2,9 @@
 
 ``Records`` carry the VARIANT ``v``, the place of the record in its source
 (``PLACE``, whose order is the emission order) and the raw ids of the records
-around it. Every step is narrow: lists are exploded in place and
-no row moves between tasks.
+around it. Every step is narrow: lists are exploded in place and no row moves
+between tasks. Lists are read as arrays of just the wanted fields; only where
+the records are too irregular for that, as arrays of VARIANTs.
 """
 
 from __future__ import annotations
@@ -13,11 +14,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NullType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, NullType, StructType, VariantType
 
 from recordloom.functions import variant as V
 from recordloom.functions.variant import Keys
-from recordloom.operators.catalogue import WRAPPED, Catalogue, Keeps, discover, has_key
+from recordloom.operators.access import Access, Typed, Wants, Whole, struct_type
+from recordloom.operators.catalogue import (
+    WRAPPED,
+    Catalogue,
+    Keeps,
+    discover,
+    is_key,
+    merged_schema,
+)
 from recordloom.operators.flatten import Default, flat_columns
 from recordloom.sources.entities import Collection, Entity
 
@@ -31,33 +40,113 @@ class Tally:
 
     total: int
     keyed: int
-    nulls: bool = True
 
     @property
     def quarantined(self) -> int:
         return self.total - self.keyed
 
 
+@dataclass(frozen=True)
+class Hop:
+    """One step from a record into a list, passing its id on as ``id_column``."""
+
+    key: str
+    id_column: str
+    id_type: str
+
+    @property
+    def carried(self) -> str:
+        return f"_{self.id_column}"
+
+
 @dataclass
 class Records:
     """Nested records of one table, before flattening."""
 
     table: str
-    frame: DataFrame  # place, v, and one column per entry of lineage
-    catalogue: Catalogue
+    top: DataFrame  # place and v of the top records
     tally: Tally
-    lineage: dict[str, Default] = field(default_factory=dict)
+    catalogue: Catalogue
+    hops: tuple[Hop, ...] = ()
+    typed: bool = False  # the lists on the way can be read as typed arrays
+
+    def read(self, wants: Wants | None = None) -> tuple[DataFrame, Access]:
+        """The records with the wanted paths; with none given, as they are."""
+        if not self.hops:
+            return self.top, Whole(F.col("v"))
+        element = struct_type(wants.tree()) if wants and self.typed and wants.tree() else None
+        types = None if element is None else _list_types(self.hops, element)
+        if types is None:
+            return _explode(self.top, self.hops, None), Whole(F.col("v"))
+        return _explode(self.top, self.hops, types), Typed(F.col("v"), wants)
 
     def rows(self, snake: bool = False, fixed: list[str] | None = None) -> DataFrame:
         """Flat rows, with ``_at`` to tell which of two rows came later."""
-        columns = flat_columns(self.catalogue, "v", snake, self.lineage, fixed)
-        return self.frame.filter(self.catalogue.is_record()).select(F.struct(*PLACE).alias("_at"), *columns)
+        defaults = {hop.id_column: Default(hop.carried, hop.id_type) for hop in self.hops}
+        columns = flat_columns(self.catalogue, snake, defaults, fixed)
+        wants = Wants()
+        for column in columns:
+            column.want(wants)
+        frame, record = self.read(wants)
+        flat = [column.expression(record, self.catalogue.dialect) for column in columns]
+        return frame.filter(self.catalogue.is_record(record)).select(F.struct(*PLACE).alias("_at"), *flat)
 
     def quarantine(self) -> DataFrame:
         """Records without a key, and those that are not objects at all."""
-        keyed = has_key(F.col("v"), self.catalogue.dialect)
-        lost = self.frame.filter(~(self.catalogue.is_record() & keyed))
-        return lost.select(F.to_json(F.struct(*PLACE)).alias("at"), F.to_json("v").alias("record"))
+        frame, record = self.read()
+        keyed = is_key(V.pick(F.col("v"), RAW_ID), self.catalogue.dialect)
+        return _raw(frame.filter(~(self.catalogue.is_record(record) & keyed)))
+
+    def wrong_lists(self, collection: Collection) -> DataFrame | None:
+        """Records whose collection is something else than a list; None if no record is."""
+        if _only_lists(self.catalogue, collection.key):
+            return None
+        frame, _ = self.read()
+        keys = (collection.key,)
+        v = F.col("v")
+        return _raw(frame.filter(V.is_present(v, keys) & ~V.is_explicit_null(v, keys) & ~V.is_list(v, keys)))
+
+
+def _raw(frame: DataFrame) -> DataFrame:
+    return frame.select(F.to_json(F.struct(*PLACE)).alias("at"), F.to_json("v").alias("record"))
+
+
+def _only_lists(catalogue: Catalogue, key: str) -> bool:
+    return not any(r.path[0] == key and r.type != V.VOID for r in catalogue.readings)
+
+
+def _list_types(hops: tuple[Hop, ...], element: str) -> list[str] | None:
+    """Array type of the list at each hop, outermost first."""
+    types = [f"array<{element}>"]
+    for outer, inner in zip(reversed(hops[:-1]), reversed(hops[1:])):
+        level = struct_type({"id": inner.id_type, inner.key: types[0]})
+        if level is None:
+            return None
+        types.insert(0, f"array<{level}>")
+    return types
+
+
+def _explode(top: DataFrame, hops: tuple[Hop, ...], types: list[str] | None) -> DataFrame:
+    """Elements of the innermost list, each with its place and the ids around it.
+
+    Missing, null and empty lists give none. Taking id and list out before each
+    explode lets the scan read these two paths only.
+    """
+    frame, carried = top, []
+    for depth, hop in enumerate(hops):
+        v = F.col("v")
+        if types is None:
+            id_, items = V.pick(v, RAW_ID, hop.id_type), V.as_list(v, (hop.key,))
+        elif depth == 0:
+            id_, items = V.pick(v, RAW_ID, hop.id_type), V.pick(v, (hop.key,), types[0])
+        else:
+            id_, items = v.getField("id"), v.getField(hop.key)
+        lists = frame.select(*PLACE, *carried, id_.alias(hop.carried), items.alias("_items"))
+        carried.append(hop.carried)
+        level = PLACE[3 + depth]
+        exploded = lists.select(*PLACE, *carried, F.posexplode("_items").alias("_index", "v"))
+        frame = exploded.withColumn(level, F.col("_index").cast("bigint")).drop("_index")
+    return frame
 
 
 def positioned(records: DataFrame, run: int = 0) -> DataFrame:
@@ -67,68 +156,172 @@ def positioned(records: DataFrame, run: int = 0) -> DataFrame:
     return records.select(*levels, "v")
 
 
+# --- counts and merged schema ---------------------------------------------------------
+
+
 @dataclass
 class Survey:
-    """What one pass over all records of an entity tells about all its tables."""
+    """Merged schema of all records of an entity and counts of all its tables."""
 
     schema: DataType
+    nulls: bool  # is any top record null
     tallies: dict[str, Tally]
     null_lists: dict[str, dict[Keys, bool]]  # per table: is a declared list null in some record
 
 
-def survey(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> Survey:
-    """Merged schema of the records with everything nested in them, and counts per table."""
-    v = F.col("v")
-    levels: dict[str, Column] = {}
-    wanted = [
-        F.schema_of_variant_agg(v).alias("schema"),
-        F.count("*").alias("total 0"),
-        F.count_if(has_key(v, dialect)).alias("keyed 0"),
-        F.bool_or(F.is_variant_null(v)).alias("nulls 0"),
-    ]
-    names = entity.tables()
-
-    def visit(collection: Collection, outer: Column | None) -> None:
-        """Elements over all records of a level, as one list per top record."""
-        n = names.index(collection.table)
-        key = (collection.key,)
-        if outer is None:
-            items, null_list = V.as_list(v, key), V.is_explicit_null(v, key)
-        else:
-            with_list = F.filter(outer, lambda e: V.is_list(e, key))
-            items = F.flatten(F.transform(with_list, lambda e: V.as_list(e, key)))
-            null_list = F.exists(outer, lambda e: V.is_explicit_null(e, key))
-        levels[f"items {n}"] = items
-        levels[f"null list {n}"] = null_list
-        here = F.col(f"`items {n}`")
-        wanted.extend(
-            [
-                F.coalesce(F.sum(F.size(here)), F.lit(0)).alias(f"total {n}"),
-                F.coalesce(F.sum(F.size(F.filter(here, lambda e: has_key(e, dialect)))), F.lit(0)).alias(f"keyed {n}"),
-                F.bool_or(F.exists(here, F.is_variant_null)).alias(f"nulls {n}"),
-                F.bool_or(F.col(f"`null list {n}`")).alias(f"null list {n}"),
-            ]
-        )
-        for nested in collection.children:
-            visit(nested, items)
+@dataclass
+class IdTree:
+    """What counting a list reads of its elements: ids, and the lists further in."""
 
-    for collection in entity.children:
-        visit(collection, None)
-    found = records.select("v", *[e.alias(n) for n, e in levels.items()]).agg(*wanted).first().asDict()
-    tallies = {
-        name: Tally(found[f"total {n}"], found[f"keyed {n}"], bool(found[f"nulls {n}"])) for n, name in enumerate(names)
-    }
+    id_type: str | None
+    lists: dict[str, IdTree]
+
+    def type(self) -> str | None:
+        tree = {} if self.id_type is None else {"id": self.id_type}
+        for key, inner in self.lists.items():
+            tree[key] = inner.type()
+        if not tree or None in tree.values():
+            return None
+        element = struct_type(tree)
+        return None if element is None else f"array<{element}>"
 
-    def null_lists(collections: tuple[Collection, ...]) -> dict[Keys, bool]:
-        return {(c.key,): bool(found[f"null list {names.index(c.table)}"]) for c in collections}
 
-    per_table = {entity.table: null_lists(entity.children)}
+def survey(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> Survey:
+    """One pass finds the merged schema, one more counts the lists if there are any.
+
+    The second reads no more than ids and list lengths where the first shows
+    nothing but lists of objects.
+    """
+    v = F.col("v")
+    top = (F.count("*"), F.count_if(is_key(V.pick(v, RAW_ID), dialect)))
+    schema, nulls, *counts = merged_schema(records, v, *top)
+    tallies = {table: Tally(0, 0) for table in entity.tables()}
+    tallies[entity.table] = Tally(*counts)
+    plans: dict[str, Column] = {}
+    for collection in entity.children:
+        found = _field_type(schema, collection.key)
+        if not _never_list(found):
+            tree = _id_tree(found, collection)
+            if tree is not None and tree.type() is None:
+                tree = None
+            _count_list(collection, tree, dialect, plans)
+    if not plans:
+        return Survey(schema, nulls, tallies, _null_lists(records, entity, []))
+    parts = ("total", "keyed", "gaps")
+    sums = [F.sum(F.col(f"`{table}`")[part]).alias(f"{table} {part}") for table in plans for part in parts]
+    found = records.select(*[plan.alias(table) for table, plan in plans.items()]).agg(*sums).first().asDict()
+    for table in plans:
+        tallies[table] = Tally(found[f"{table} total"] or 0, found[f"{table} keyed"] or 0)
+    gaps = [table for table in plans if found[f"{table} gaps"]]
+    return Survey(schema, nulls, tallies, _null_lists(records, entity, gaps))
+
+
+def _field_type(found: DataType | None, key: str) -> DataType | None:
+    if isinstance(found, StructType) and key in found.fieldNames():
+        return found[found.fieldNames().index(key)].dataType
+    return None
+
+
+def _never_list(found: DataType | None) -> bool:
+    return found is None or not isinstance(found, (ArrayType, VariantType))
+
+
+def _id_tree(found: DataType | None, collection: Collection) -> IdTree | None:
+    """None if there may be something else than lists of objects."""
+    if not isinstance(found, ArrayType) or not isinstance(found.elementType, StructType):
+        return None
+    id_found = _field_type(found.elementType, "id")
+    plain = not isinstance(id_found, (StructType, ArrayType, VariantType))
+    tree = IdTree(None if id_found is None else "string" if plain else V.VARIANT, {})
+    for nested in collection.children:
+        inner_found = _field_type(found.elementType, nested.key)
+        if not _never_list(inner_found):
+            inner = _id_tree(inner_found, nested)
+            if inner is None:
+                return None
+            tree.lists[nested.key] = inner
+    return tree
+
+
+def _count_list(
+    collection: Collection,
+    tree: IdTree | None,
+    dialect: str,
+    plans: dict[str, Column],
+    outer: Column | None = None,
+) -> None:
+    """Per top record: elements of the list, those with a key, and lists not there.
+
+    Without a ``tree`` the elements are read as VARIANTs.
+    """
+    key = (collection.key,)
+    if outer is None:
+        v = F.col("v")
+        lists = F.array(V.as_list(v, key) if tree is None else V.pick(v, key, tree.type()))
+    elif tree is None:
+        lists = F.transform(outer, lambda e: V.as_list(e, key))
+    else:
+        lists = F.transform(outer, lambda e: e.getField(collection.key))
+
+    def has_key(e: Column) -> Column:
+        if tree is None:
+            return is_key(V.pick(e, RAW_ID), dialect)
+        if tree.id_type is None:
+            return F.lit(False)
+        id_ = e.getField("id")
+        return is_key(id_, dialect) if tree.id_type == V.VARIANT else id_.isNotNull()
+
+    def add(sums: Column, items: Column) -> Column:
+        more = {
+            "total": F.coalesce(F.size(items), F.lit(0)),
+            "keyed": F.coalesce(F.size(F.filter(items, has_key)), F.lit(0)),
+            "gaps": items.isNull().cast("int"),
+        }
+        return F.struct(*[(sums[part] + n).cast("bigint").alias(part) for part, n in more.items()])
+
+    zero = F.struct(*[F.lit(0).cast("bigint").alias(part) for part in ("total", "keyed", "gaps")])
+    plans[collection.table] = F.aggregate(lists, zero, add)
+    elements = F.flatten(F.filter(lists, lambda items: items.isNotNull()))
+    for nested in collection.children:
+        if tree is None or nested.key in tree.lists:
+            inner = None if tree is None else tree.lists[nested.key]
+            _count_list(nested, inner, dialect, plans, elements)
+
+
+def _null_lists(records: DataFrame, entity: Entity, gaps: list[str]) -> dict[str, dict[Keys, bool]]:
+    """Of the lists some record does not have: which of them are explicit nulls."""
+    wanted = []
+
+    def visit(collections: tuple[Collection, ...], owner: str, outer: Column | None) -> None:
+        for collection in collections:
+            key = (collection.key,)
+            if collection.table in gaps:
+                null = (
+                    V.is_explicit_null(F.col("v"), key)
+                    if outer is None
+                    else F.exists(outer, lambda e: V.is_explicit_null(e, key))
+                )
+                wanted.append(F.bool_or(null).alias(collection.table))
+            items = V.as_list(F.col("v"), key) if outer is None else _inner(outer, key)
+            visit(collection.children, collection.table, items)
+
+    visit(entity.children, entity.table, None)
+    nulls = records.agg(*wanted).first().asDict() if wanted else {}
+    result = {entity.table: {(c.key,): bool(nulls.get(c.table)) for c in entity.children}}
     pending = list(entity.children)
     while pending:
         collection = pending.pop()
-        per_table[collection.table] = null_lists(collection.children)
+        result[collection.table] = {(c.key,): bool(nulls.get(c.table)) for c in collection.children}
         pending.extend(collection.children)
-    return Survey(V.parse_schema(found["schema"]), tallies, per_table)
+    return result
+
+
+def _inner(outer: Column, key: Keys) -> Column:
+    lists = F.transform(outer, lambda e: V.as_list(e, key))
+    return F.flatten(F.filter(lists, lambda items: items.isNotNull()))
+
+
+# --- tables ---------------------------------------------------------------------------
 
 
 def normalise(
@@ -139,69 +332,43 @@ def normalise(
 ) -> Iterator[Records]:
     """The tables of ``entity``: the parent first, then its collections."""
     known = survey(records, entity, dialect)
-    tally = known.tallies[entity.table]
-    catalogue = discover(
-        records, "v", dialect, known.schema, keeps, tally.nulls, known.null_lists[entity.table]
+    parents = Records(entity.table, records, known.tallies[entity.table], Catalogue(dialect))
+    parents.catalogue = discover(
+        parents.read, dialect, known.schema, keeps, known.nulls, known.null_lists[entity.table]
     )
-    parents = Records(entity.table, records, catalogue, tally)
     yield parents
     for collection in entity.children:
-        yield from _children(parents, collection, known, "parent_id", level=3)
+        yield from _children(parents, collection, known, "parent_id")
 
 
-def _children(
-    outer: Records, collection: Collection, known: Survey, id_column: str, level: int
-) -> Iterator[Records]:
-    inner = explode_list(outer, collection, known, id_column, level)
+def _children(outer: Records, collection: Collection, known: Survey, id_column: str) -> Iterator[Records]:
+    inner = list_records(outer, collection, known, id_column)
     yield inner
     for nested in collection.children:
-        yield from _children(inner, nested, known, collection.id_as, level + 1)
-
-
-def explode_list(outer: Records, collection: Collection, known: Survey, id_column: str, level: int) -> Records:
-    """Elements of one list; none for a missing, null or empty list."""
-    id_type = raw_id_type(outer)
-    carried = [F.col(d.column) for d in outer.lineage.values()]
-    column = f"_{id_column}"
-    # Taking id and list out first lets the scan read these two paths only.
-    lists = outer.frame.filter(outer.catalogue.is_record()).select(
-        *PLACE,
-        *carried,
-        V.pick(F.col("v"), RAW_ID, id_type).alias(column),
-        V.as_list(F.col("v"), (collection.key,)).alias("_items"),
-    )
-    exploded = lists.select(*lists.columns[:-1], F.posexplode("_items").alias("_index", "v"))
-    frame = exploded.withColumn(PLACE[level], F.col("_index").cast("bigint")).drop("_index")
-    lineage = {**outer.lineage, id_column: Default(column, id_type)}
+        yield from _children(inner, nested, known, collection.id_as)
+
+
+def list_records(outer: Records, collection: Collection, known: Survey, id_column: str) -> Records:
+    """Records of one list, and their columns."""
+    dialect = outer.catalogue.dialect
     tally = known.tallies[collection.table]
     element = outer.catalogue.lists.get((collection.key,))
+    hops = (*outer.hops, Hop(collection.key, id_column, raw_id_type(outer.catalogue)))
+    regular = (outer.typed or not outer.hops) and not outer.catalogue.others
+    typed = regular and isinstance(element, StructType) and _only_lists(outer.catalogue, collection.key)
+    inner = Records(collection.table, outer.top, tally, Catalogue(dialect), hops, typed)
     if element is None or isinstance(element, NullType):
-        catalogue = Catalogue(outer.catalogue.dialect, nulls=tally.nulls)
+        inner.catalogue.nulls = tally.quarantined > 0
     elif isinstance(element, (StructType, VariantType)):
-        catalogue = discover(
-            frame,
-            "v",
-            outer.catalogue.dialect,
-            element,
-            nulls=tally.nulls,
-            null_lists=known.null_lists[collection.table],
-        )
+        nulls = tally.quarantined > 0
+        lists = known.null_lists[collection.table]
+        inner.catalogue = discover(inner.read, dialect, element, nulls=nulls, null_lists=lists)
     else:
-        catalogue = Catalogue(outer.catalogue.dialect, others=True)
-    return Records(collection.table, frame, catalogue, tally, lineage)
+        inner.catalogue.others = True
+    return inner
 
 
-def raw_id_type(records: Records) -> str:
-    readings = [r for r in records.catalogue.readings if r.path == RAW_ID and r.scalar and not r.wrapper]
-    return readings[0].type if len(readings) == 1 and readings[0].type != V.VOID else "string"
-
-
-def wrong_lists(outer: Records, collection: Collection) -> DataFrame | None:
-    """Records whose collection is something else than a list; None if no record is."""
-    keys = (collection.key,)
-    readings = outer.catalogue.readings
-    if not any(r.path[:1] == keys and r.type != V.VOID for r in readings):
-        return None
-    v = F.col("v")
-    odd = V.is_present(v, keys) & ~V.is_explicit_null(v, keys) & ~V.is_list(v, keys)
-    return outer.frame.filter(odd).select(F.to_json(F.struct(*PLACE)).alias("at"), F.to_json("v").alias("record"))
+def raw_id_type(catalogue: Catalogue) -> str:
+    """Type ids are passed on with: their own if they are plain scalars, else text."""
+    found = [r for r in catalogue.readings if r.path == RAW_ID and r.scalar and not r.wrapper]
+    return found[0].type if len(found) == 1 and found[0].type != V.VOID else "string"

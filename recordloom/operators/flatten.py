@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import variant as V
 from recordloom.functions.naming import labels
+from recordloom.operators.access import Access, Wants, Whole
 from recordloom.operators.catalogue import (
     WRAPPED,
     WRAPPER_KEY,
@@ -27,26 +28,60 @@ class Default:
     type: str
 
 
+@dataclass(frozen=True)
+class FlatColumn:
+    """One column of a table and everything needed to read it."""
+
+    label: str
+    type: str
+    readings: list[Reading]
+    default: Default | None = None
+
+    @property
+    def chooses(self) -> bool:
+        """Some record decides between several values, so presence matters."""
+        return len(self.readings) + (self.default is not None) > 1
+
+    def want(self, wants: Wants) -> None:
+        for reading in self.readings:
+            wants.whole.update(reading.above.looks_at(reading.path))
+            if self.chooses or (not reading.settled and reading.type != V.VOID):
+                wants.whole.add(reading.path)
+            elif reading.type != V.VOID:
+                wants.leaves[reading.value_path] = self.type
+
+    def expression(self, record: Access, dialect: str) -> Column:
+        result = F.col(self.default.column).cast(self.type) if self.default else None
+        for reading in self.readings:  # the last one that a record has wins
+            value = _value(record, reading, self.type)
+            if result is None:
+                result = value
+            else:
+                result = F.when(_has(record, reading, dialect), value).otherwise(result)
+        result = F.lit(None).cast(self.type) if result is None else result
+        return result.alias(self.label)
+
+
 def flat_columns(
     catalogue: Catalogue,
-    v: str = "v",
     snake: bool = False,
     defaults: dict[str, Default] | None = None,
     fixed: list[str] | None = None,
-) -> list[Column]:
-    """One expression per column of ``catalogue``.
+) -> list[FlatColumn]:
+    """The columns of ``catalogue``.
 
     ``defaults`` fill a column only in records lacking it; an explicit null is
     a value. ``fixed`` names the exact columns wanted, present or not.
     """
-    record = F.col(v)
     readings = catalogue.columns()
     defaults = defaults or {}
     names = fixed if fixed is not None else [*readings, *(d for d in defaults if d not in readings)]
-    return [
-        _column(record, readings.get(name, []), defaults.get(name), catalogue.dialect).alias(label)
-        for name, label in labels(names, snake).items()
-    ]
+    columns = []
+    for name, label in labels(names, snake).items():
+        found, default = readings.get(name, []), defaults.get(name)
+        type_ = V.widest([r.type for r in found] + ([default.type] if default else []))
+        columns.append(FlatColumn(label, "string" if type_ == V.VOID else type_, found, default))
+    return columns
 
 
 def flatten(
@@ -59,57 +94,41 @@ def flatten(
     carry: list[str] | None = None,
 ) -> DataFrame:
     """Catalogue the records, then select their columns (and those in ``carry``)."""
-    catalogue = discover(records, v, dialect, keeps=keeps)
-    return records.select(*(carry or []), *flat_columns(catalogue, v, snake, fixed=fixed))
-
-
-def _column(record: Column, readings: list[Reading], default: Default | None, dialect: str) -> Column:
-    types = [r.type for r in readings] + ([default.type] if default else [])
-    target = V.widest(types)
-    if target == V.VOID:
-        target = "string"
-    result = F.col(default.column).cast(target) if default else None
-    for reading in readings:  # the last one that a record has wins
-        value = _value(record, reading, target)
-        if result is None:
-            result = value
-        else:
-            result = F.when(_has(record, reading, dialect), value).otherwise(result)
-    return F.lit(None).cast(target) if result is None else result
-
-
-def _value(record: Column, reading: Reading, target: str) -> Column:
+    record = Whole(F.col(v))
+    catalogue = discover(lambda wants: (records, record), dialect, keeps=keeps)
+    columns = flat_columns(catalogue, snake, fixed=fixed)
+    return records.select(*(carry or []), *[c.expression(record, dialect) for c in columns])
+
+
+def _value(record: Access, reading: Reading, target: str) -> Column:
     if reading.type == V.VOID:
         return F.lit(None).cast(target)
-    inner = (*reading.path, WRAPPER_KEY)
     if reading.settled:
-        value = V.pick(record, inner if reading.wrapper else reading.path, target)
+        value = record.leaf(reading.value_path, target)
     else:
+        v, keys = record.variant(reading.path)
         value = F.lit(None).cast(target)
         if reading.scalar:
-            nested = V.is_object(record, reading.path) | V.is_list(record, reading.path)
-            value = F.when(~nested, V.pick(record, reading.path, target, strict=False))
+            nested = V.is_object(v, keys) | V.is_list(v, keys)
+            value = F.when(~nested, V.pick(v, keys, target, strict=False))
         if reading.wrapper:
-            wrapped = V.pick(record, inner, target, strict=False)
-            value = F.when(V.is_wrapper(record, reading.path), wrapped).otherwise(value)
-    if _guarded(reading):
-        value = F.when(reachable(record, reading.path, reading.inside), value)
+            wrapped = V.pick(v, (*keys, WRAPPER_KEY), target, strict=False)
+            value = F.when(V.is_wrapper(v, keys), wrapped).otherwise(value)
+    if reading.guards():
+        value = F.when(reachable(record, reading.path, reading.above), value)
     return value
 
 
-def _has(record: Column, reading: Reading, dialect: str) -> Column:
+def _has(record: Access, reading: Reading, dialect: str) -> Column:
     """True in records that have the column, be it with a null."""
-    present = V.is_present(record, reading.path)
+    v, keys = record.variant(reading.path)
+    present = V.is_present(v, keys)
     if not reading.settled:
-        own = V.is_empty_object(record, reading.path)
+        own = V.is_empty_object(v, keys)
         if dialect == WRAPPED:
-            own = own | V.is_wrapper(record, reading.path)
-        nested = V.is_object(record, reading.path) & ~own
-        present = present & ~nested & ~V.is_list(record, reading.path)
-    if _guarded(reading):
-        present = present & reachable(record, reading.path, reading.inside)
+            own = own | V.is_wrapper(v, keys)
+        nested = V.is_object(v, keys) & ~own
+        present = present & ~nested & ~V.is_list(v, keys)
+    if reading.guards():
+        present = present & reachable(record, reading.path, reading.above)
     return present
-
-
-def _guarded(reading: Reading) -> bool:
-    return any(reading.path[len(outer)] == WRAPPER_KEY for outer in reading.inside)

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.operators.fanout import Records, normalise, positioned, wrong_lists
+from recordloom.operators.fanout import Records, normalise, positioned
 from recordloom.session import configure, sized_shuffles, stage
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
@@ -110,7 +110,7 @@ def sync_entity(
         return {**head, "table_name": name, "status": COMMITTED, **counts, **result}
 
     for collection in entity.children:
-        odd = wrong_lists(tables[0], collection)
+        odd = tables[0].wrong_lists(collection)
         if odd is not None:
             store.quarantine(collection.table, odd, run)
     current = [t for t in (store.read(versions.get(name)) for name in entity.tables()) if t is not None]

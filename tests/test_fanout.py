@@ -1,6 +1,6 @@
 """Child and grandchild tables (ids as in FIXTURES.md)."""
 
-from recordloom.operators.fanout import normalise, positioned, survey, wrong_lists
+from recordloom.operators.fanout import normalise, positioned, survey
 from recordloom.sources.entities import Collection, Entity
 from recordloom.sources.families import BUSINESS, FAMILIES, MANUFACTURING, PROJECTS
 from tests.conftest import as_dicts
@@ -81,9 +81,9 @@ def test_collection_that_is_no_list(variants):
     records = positioned(variants('{"id":1,"Details":{"a":1}}', '{"id":2,"Details":[{"id":3}]}'))
     parents, details = normalise(records, BILL)
     assert details.tally.total == 1
-    assert wrong_lists(parents, BILL.children[0]).count() == 1
+    assert parents.wrong_lists(BILL.children[0]).count() == 1
     parents, _ = normalise(positioned(variants('{"id":2,"Details":[{"id":3}]}')), BILL)
-    assert wrong_lists(parents, BILL.children[0]) is None
+    assert parents.wrong_lists(BILL.children[0]) is None
 
 
 def test_survey_counts_all_levels(variants):

@@ -1,13 +1,18 @@
 """Flatten rules, one case each (ids as in FIXTURES.md)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from recordloom.functions.naming import labels, snake_case
 from recordloom.functions.variant import parse_schema, widest
+from recordloom.operators.access import Whole
 from recordloom.operators.catalogue import discover
+from recordloom.operators.fanout import normalise, positioned
 from recordloom.operators.flatten import flatten
+from recordloom.session import stage
+from recordloom.sources.families import BUSINESS
 
-A1 = [{"A": 1}]
+BILL = BUSINESS.entity("bill")
 CASES = [
     ("N1", ['{"A":{"value":1}}'], [{"A": 1}], [{"A_value": 1}]),
     ("N2", ['{"A":{"value":null}}'], [{"A": None}], [{"A_value": None}]),
@@ -84,15 +89,30 @@ def test_rule(variants, name, texts, wrapped, plain, dialect):
     assert got == want
 
 
+@pytest.mark.parametrize("dialect", ["wrapped", "plain"])
+@pytest.mark.parametrize("name,texts,wrapped,plain", CASES, ids=[c[0] for c in CASES])
+@pytest.mark.parametrize("staged", [False, True])
+def test_rule_in_lists(variants, name, texts, wrapped, plain, dialect, staged):
+    """The same holds for the elements of a list, however the list is read."""
+    want = wrapped if dialect == "wrapped" or plain is None else plain
+    records = variants(*[f'{{"id":{i},"Details":[{t}]}}' for i, t in enumerate(texts)])
+    _, details = normalise(positioned(stage(records, "rules") if staged else records), BILL, dialect)
+    rows = details.rows().orderBy("_at").drop("_at").collect()
+    got = [{k: v for k, v in row.asDict().items() if k != "parent_id"} for row in rows]
+    assert got == want
+    assert [row.parent_id for row in rows] == list(range(len(texts)))
+
+
 def test_records_that_are_not_objects_have_no_columns(variants):
-    records = variants('{"A":1}', "null", "[1]", "5")
-    catalogue = discover(records)
+    records, record = variants('{"A":1}', "null", "[1]", "5"), Whole(F.col("v"))
+    catalogue = discover(lambda wants: (records, record))
     assert list(catalogue.columns()) == ["A"]
-    assert records.filter(catalogue.is_record()).count() == 1
+    assert records.filter(catalogue.is_record(record)).count() == 1
 
 
 def test_collisions_are_reported(variants):
-    catalogue = discover(variants('{"A_B":1,"A":{"B":2}}'))
+    records = variants('{"A_B":1,"A":{"B":2}}')
+    catalogue = discover(lambda wants: (records, Whole(F.col("v"))))
     assert catalogue.collisions() == {"A_B": [("A_B",), ("A", "B")]}
 
 
