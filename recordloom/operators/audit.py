@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import variant as V
 from recordloom.operators.access import Whole
-from recordloom.operators.catalogue import WRAPPED, discover
+from recordloom.operators.catalogue import WRAPPED, Merged, discover
 from recordloom.operators.drift import align
 from recordloom.operators.fanout import Survey, survey
 from recordloom.sources.entities import Entity
@@ -84,12 +84,14 @@ def operation_summary(commits: DataFrame) -> DataFrame:
     return sums.unpivot([], list(OPERATIONS), "operation", "operations")
 
 
-def entity_profile(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> DataFrame:
+def entity_profile(
+    records: DataFrame, entity: Entity, dialect: str = WRAPPED, merged: Merged | None = None
+) -> DataFrame:
     """Distinct records, child elements and flat columns of one entity, in one row."""
-    known = survey(records, entity, dialect)
+    known = survey(records, entity, dialect, merged)
     record = Whole(F.col("v"))
     catalogue = discover(
-        lambda wants: (records, record), dialect, known.schema, null_lists=known.null_lists[entity.table]
+        lambda wants: (records, record), dialect, known.merged.schema, null_lists=known.null_lists[entity.table]
     )
     tallies = [known.tallies[collection.table] for collection in entity.children]
     ids = records.agg(F.count_distinct(V.pick(F.col("v"), ("id",), "string")).alias("row_count"))

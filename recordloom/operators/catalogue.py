@@ -18,13 +18,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType, VariantType
 
 from recordloom.functions import variant as V
 from recordloom.functions.variant import Keys
 from recordloom.operators.access import Access, Wants
+from recordloom.session import stage
 
 WRAPPED = "wrapped"  # {"value": x} stands for x, and _links is metadata
 PLAIN = "plain"  # every key is data
@@ -146,12 +147,13 @@ def discover(
     walker = _Walker(dialect, keeps or (lambda path, is_object: True), null_lists or {})
     if seed is None:
         records, whole = reach(Wants())
-        seed, nulls = merged_schema(records, whole.v)
+        merged = merged_schema(records, whole.v)
+        seed, nulls = merged.schema, merged.nulls
     walker.catalogue.nulls = nulls
     if isinstance(seed, VariantType):  # objects among other things
         walker.catalogue.others = True
         records, whole = reach(Wants())
-        seed, _ = merged_schema(records, F.when(V.is_object(whole.v), whole.v))
+        seed = merged_schema(records, F.when(V.is_object(whole.v), whole.v)).schema
     if isinstance(seed, StructType):
         walker.enter(seed, (), Above())
     while walker.open:
@@ -168,13 +170,39 @@ def is_key(key: Column, dialect: str = WRAPPED) -> Column:
     return F.coalesce(key.isNotNull() & plain, F.lit(False))
 
 
-def merged_schema(records: DataFrame, record: Column, *more: Column) -> tuple:
-    """Merged type of all records, whether any is null, and ``more`` aggregates.
+@dataclass(frozen=True)
+class Merged:
+    """Merged type of a set of records, and whether any of them is null.
 
     A null merges with any type, so the type alone does not tell.
     """
-    found = records.agg(F.schema_of_variant_agg(record), F.bool_or(F.is_variant_null(record)), *more).first()
-    return V.parse_schema(found[0]), bool(found[1]), *found[2:]
+
+    schema: DataType
+    nulls: bool
+
+
+def _merge(record: Column) -> list[Column]:
+    return [
+        F.schema_of_variant_agg(record).alias("schema"),
+        F.bool_or(F.is_variant_null(record)).alias("nulls"),
+    ]
+
+
+def merged_schema(records: DataFrame, record: Column) -> Merged:
+    found = records.agg(*_merge(record)).first()
+    return Merged(V.parse_schema(found.schema), bool(found.nulls))
+
+
+def stage_records(records: DataFrame, label: str) -> tuple[DataFrame, Merged]:
+    """Stage records and merge their schemas on the way, without reading them again.
+
+    Observed values may cover a row twice when a lost task runs again. Merging is
+    idempotent, so the result stays exact; a count would not.
+    """
+    seen = Observation()
+    staged = stage(records.observe(seen, *_merge(F.col("v"))), label)
+    found = seen.get
+    return staged, Merged(V.parse_schema(found["schema"]), bool(found["nulls"]))
 
 
 class _Walker:

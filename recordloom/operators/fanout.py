@@ -23,6 +23,7 @@ from recordloom.operators.catalogue import (
     WRAPPED,
     Catalogue,
     Keeps,
+    Merged,
     discover,
     is_key,
     merged_schema,
@@ -163,8 +164,7 @@ def positioned(records: DataFrame, run: int = 0) -> DataFrame:
 class Survey:
     """Merged schema of all records of an entity and counts of all its tables."""
 
-    schema: DataType
-    nulls: bool  # is any top record null
+    merged: Merged
     tallies: dict[str, Tally]
     null_lists: dict[str, dict[Keys, bool]]  # per table: is a declared list null in some record
 
@@ -186,34 +186,41 @@ class IdTree:
         return None if element is None else f"array<{element}>"
 
 
-def survey(records: DataFrame, entity: Entity, dialect: str = WRAPPED) -> Survey:
-    """One pass finds the merged schema, one more counts the lists if there are any.
+def survey(
+    records: DataFrame, entity: Entity, dialect: str = WRAPPED, merged: Merged | None = None
+) -> Survey:
+    """Counts of all tables in one pass, after one for the merged schema if not known yet.
 
-    The second reads no more than ids and list lengths where the first shows
+    Counting reads no more than ids and list lengths where the schema shows
     nothing but lists of objects.
     """
     v = F.col("v")
-    top = (F.count("*"), F.count_if(is_key(V.pick(v, RAW_ID), dialect)))
-    schema, nulls, *counts = merged_schema(records, v, *top)
-    tallies = {table: Tally(0, 0) for table in entity.tables()}
-    tallies[entity.table] = Tally(*counts)
+    merged = merged or merged_schema(records, v)
+    id_found = _field_type(merged.schema, "id")
+    plain = not isinstance(id_found, (StructType, ArrayType, VariantType))
+    if isinstance(merged.schema, StructType) and plain:
+        keyed = V.pick(v, RAW_ID, "string").isNotNull()
+    else:
+        keyed = is_key(V.pick(v, RAW_ID), dialect)
     plans: dict[str, Column] = {}
     for collection in entity.children:
-        found = _field_type(schema, collection.key)
+        found = _field_type(merged.schema, collection.key)
         if not _never_list(found):
             tree = _id_tree(found, collection)
             if tree is not None and tree.type() is None:
                 tree = None
             _count_list(collection, tree, dialect, plans)
-    if not plans:
-        return Survey(schema, nulls, tallies, _null_lists(records, entity, []))
     parts = ("total", "keyed", "gaps")
     sums = [F.sum(F.col(f"`{table}`")[part]).alias(f"{table} {part}") for table in plans for part in parts]
-    found = records.select(*[plan.alias(table) for table, plan in plans.items()]).agg(*sums).first().asDict()
+    flags = records.select(keyed.alias(" keyed"), *[plan.alias(table) for table, plan in plans.items()])
+    top = [F.count("*").alias(" total"), F.count_if(F.col("` keyed`")).alias(" keyed")]
+    counts = flags.agg(*top, *sums).first().asDict()
+    tallies = {table: Tally(0, 0) for table in entity.tables()}
+    tallies[entity.table] = Tally(counts[" total"], counts[" keyed"])
     for table in plans:
-        tallies[table] = Tally(found[f"{table} total"] or 0, found[f"{table} keyed"] or 0)
-    gaps = [table for table in plans if found[f"{table} gaps"]]
-    return Survey(schema, nulls, tallies, _null_lists(records, entity, gaps))
+        tallies[table] = Tally(counts[f"{table} total"] or 0, counts[f"{table} keyed"] or 0)
+    gaps = [table for table in plans if counts[f"{table} gaps"]]
+    return Survey(merged, tallies, _null_lists(records, entity, gaps))
 
 
 def _field_type(found: DataType | None, key: str) -> DataType | None:
@@ -329,12 +336,18 @@ def normalise(
     entity: Entity,
     dialect: str = WRAPPED,
     keeps: Keeps | None = None,
+    merged: Merged | None = None,
 ) -> Iterator[Records]:
     """The tables of ``entity``: the parent first, then its collections."""
-    known = survey(records, entity, dialect)
+    known = survey(records, entity, dialect, merged)
     parents = Records(entity.table, records, known.tallies[entity.table], Catalogue(dialect))
     parents.catalogue = discover(
-        parents.read, dialect, known.schema, keeps, known.nulls, known.null_lists[entity.table]
+        parents.read,
+        dialect,
+        known.merged.schema,
+        keeps,
+        known.merged.nulls,
+        known.null_lists[entity.table],
     )
     yield parents
     for collection in entity.children:

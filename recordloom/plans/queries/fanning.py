@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recordloom.operators.catalogue import WRAPPED, stage_records
 from recordloom.operators.fanout import normalise, positioned
 from recordloom.operators.upsert import upsert
 from recordloom.plans import feeds
 from recordloom.plans.feeds import blocked, line_id, nest, record, records, table, with_parts, wrap
 from recordloom.plans.registry import query
-from recordloom.session import stage
 from recordloom.sources.entities import Collection, Entity
 from recordloom.sources.families import BUSINESS, MANUFACTURING
 
 CUSTOMER = Entity("customer", "Customer", (Collection("Orders", "customer_order"),))
 
 
+def read(feed, entity, dialect=WRAPPED):
+    """Nested records of each table, from a feed staged once for all of them."""
+    records, merged = stage_records(feed, entity.table)
+    return normalise(positioned(records), entity, dialect, merged=merged)
+
+
 def tables(feed, entity):
-    """Normalised tables by name, from a feed staged once for all of them."""
-    found = normalise(positioned(stage(feed, entity.table)), entity)
+    """Normalised tables by name."""
+    found = read(feed, entity)
     return {t.table: t.rows(snake=True).drop("_at") for t in found}
 
 
@@ -62,8 +68,7 @@ def child_null_tolerant(spark, sf_dir):
     """
 )
 def parent_rows(spark, sf_dir):
-    feed = stage(feeds.customers_with_orders(spark, sf_dir), "customer")
-    parents = next(normalise(positioned(feed), CUSTOMER))
+    parents = next(read(feeds.customers_with_orders(spark, sf_dir), CUSTOMER))
     return upsert(None, parents.rows(snake=True), ["id"], ["_at"])
 
 

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordloom.operators.fanout import normalise, positioned
 from recordloom.operators.flatten import flatten
 from recordloom.operators.joins import child_to_parent, line_to_order
 from recordloom.operators.upsert import latest
 from recordloom.plans import feeds
 from recordloom.plans.feeds import blocked, line_id, nest, record, records, table, with_parts, wrap
-from recordloom.plans.queries.fanning import CUSTOMER, tables
+from recordloom.plans.queries.fanning import CUSTOMER, read, tables
 from recordloom.plans.registry import query
-from recordloom.session import stage
 from recordloom.sources.families import BUSINESS
 
 
@@ -51,7 +49,6 @@ def join_line_to_order(spark, sf_dir):
     """
 )
 def join_child_parent(spark, sf_dir):
-    feed = stage(feeds.customers_with_orders(spark, sf_dir), "customer")
-    parents, orders = normalise(positioned(feed), CUSTOMER)
+    parents, orders = read(feeds.customers_with_orders(spark, sf_dir), CUSTOMER)
     customers = latest(parents.rows(snake=True), ["id"], ["_at"]).select("id", "name")
     return child_to_parent(orders.rows(snake=True).drop("_at"), customers)

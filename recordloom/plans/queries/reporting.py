@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from recordloom.operators.audit import count_tables, freshness, inventory
 from recordloom.operators.audit import entity_profile as profile_of
 from recordloom.operators.audit import sync_counts as counts_of
-from recordloom.operators.fanout import normalise, positioned, survey
+from recordloom.operators.catalogue import stage_records
+from recordloom.operators.fanout import positioned, survey
 from recordloom.operators.flatten import flatten
 from recordloom.plans import feeds
 from recordloom.plans.feeds import record, records, table, wrap
+from recordloom.plans.queries.fanning import read
 from recordloom.plans.registry import query
-from recordloom.session import stage
 from recordloom.sources.families import BUSINESS, FAMILIES, MANUFACTURING
 
 
@@ -86,10 +87,10 @@ def table_inventory(spark, sf_dir):
     """
 )
 def entity_profile(spark, sf_dir):
-    profiles = [
-        profile_of(positioned(stage(feed, name)), BUSINESS.entity(name))
-        for name, feed in business_feeds(spark, sf_dir).items()
-    ]
+    profiles = []
+    for name, feed in business_feeds(spark, sf_dir).items():
+        staged, merged = stage_records(feed, name)
+        profiles.append(profile_of(positioned(staged), BUSINESS.entity(name), merged=merged))
     return reduce(DataFrame.unionByName, profiles)
 
 
@@ -150,7 +151,7 @@ def declared_tables(spark, sf_dir):
     counts = []
     for family in FAMILIES:
         for name, feed in feeds_by_family.get(family.name, {}).items():
-            found = normalise(positioned(stage(feed, name)), family.entity(name), family.dialect)
+            found = read(feed, family.entity(name), family.dialect)
             keys = {t.table: t.rows().select("id").distinct() for t in found if t.tally.keyed}
             counts.append(count_tables(keys).withColumn("family", F.lit(family.name)))
     declared = spark.createDataFrame(

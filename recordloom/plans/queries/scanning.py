@@ -17,11 +17,12 @@ from recordloom.session import scratch, stage
 from recordloom.sources.families import BUSINESS
 from recordloom.sources.pages import (
     cursor_body,
+    decode,
     envelope,
     head,
     numbered,
     page_lists,
-    scan_pages,
+    scan_staged,
     write_packed_pages,
 )
 
@@ -55,7 +56,7 @@ def scan_offset_pages(spark, sf_dir):
     text = record(id="o_orderkey", Total=feeds.wrap("o_totalprice"))
     source = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     lists = stage(paged(source, text, ["o_orderkey"]), "pages")
-    records = scan_pages(with_strays(lists, F.col("list")), "offset", staged=True)
+    records, _ = scan_staged(decode(with_strays(lists, F.col("list")), "offset"))
     flat = flatten(records, snake=True, carry=["page", "pos"])
     return flat.withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -70,7 +71,7 @@ def scan_envelope(spark, sf_dir):
     lists = stage(paged(table(spark, sf_dir, "customer"), text, ["c_custkey"]), "pages")
     even = F.col("page") % 2 == 0
     body = F.when(even, envelope(F.col("list"))).otherwise(F.col("list"))
-    records = scan_pages(with_strays(lists, body), "offset", staged=True)
+    records, _ = scan_staged(decode(with_strays(lists, body), "offset"))
     return flatten(records, snake=True)
 
 
@@ -86,7 +87,7 @@ def scan_cursor_pages(spark, sf_dir):
     last = lists.agg(F.max("page")).first()[0]
     following = F.when(F.col("page") < last, F.col("page") + 1)
     body = cursor_body(F.col("list"), "events", following)
-    records = scan_pages(with_strays(lists, body), "cursor", "events", staged=True)
+    records, _ = scan_staged(decode(with_strays(lists, body), "cursor", "events"))
     return flatten(records, dialect="plain")
 
 
@@ -106,7 +107,7 @@ def scan_missing_entity(spark, sf_dir):
     for name in ("customer", "customer_class"):
         found = source(BUSINESS.entity(name))
         empty = spark.createDataFrame([], "page bigint, pos int, v variant")
-        count = (empty if found is None else found).agg(F.count("*").alias("records"))
+        count = (empty if found is None else found[0]).agg(F.count("*").alias("records"))
         status = F.lit("missing" if found is None else "found")
         reports.append(count.select(F.lit(name).alias("entity"), status.alias("status"), "records"))
     return reduce(DataFrame.unionByName, reports)

@@ -8,11 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from recordloom.operators.catalogue import Merged, stage_records
 from recordloom.operators.fanout import Records, normalise, positioned
-from recordloom.session import configure, sized_shuffles, stage
+from recordloom.session import configure, sized_shuffles
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
-from recordloom.sources.pages import read_packed_pages, read_page_files, scan_pages
+from recordloom.sources.pages import decode, read_packed_pages, read_page_files, scan_staged
 
 COMMITTED, MISSING, FAILED = "committed", "missing", "failed"
 
@@ -21,18 +22,17 @@ class SyncFailed(RuntimeError):
     """A run stopped at an entity; the cause is attached."""
 
 
-Source = Callable[[Entity], DataFrame | None]  # `page, pos, v` records, None if not there
+# `page, pos, v` records and what is known of their schema; None if not there
+Source = Callable[[Entity], tuple[DataFrame, Merged | None] | None]
 
 
 def landed(spark: SparkSession, root: str, family: Family, packed: bool = True) -> Source:
     """Reads ``<root>/entity=<collection>`` of one run, staged as VARIANT."""
     read = read_packed_pages if packed else read_page_files
 
-    def source(entity: Entity) -> DataFrame | None:
+    def source(entity: Entity):
         pages = read(spark, f"{root}/entity={entity.collection}")
-        if pages is None:
-            return None
-        return scan_pages(pages, family.paging, entity.collection, staged=True)
+        return None if pages is None else scan_staged(decode(pages, family.paging, entity.collection))
 
     return source
 
@@ -40,9 +40,9 @@ def landed(spark: SparkSession, root: str, family: Family, packed: bool = True)
 def given(frames: dict[str, DataFrame]) -> Source:
     """Records already at hand, by parent table name; staged when first used."""
 
-    def source(entity: Entity) -> DataFrame | None:
+    def source(entity: Entity):
         frame = frames.get(entity.table)
-        return None if frame is None else stage(frame, entity.table)
+        return None if frame is None else stage_records(frame, entity.table)
 
     return source
 
@@ -62,11 +62,11 @@ def sync(store: TableStore, family: Family, source: Source, at_once: int = 4) ->
     for position, entity in enumerate(family.entities):
         head = {"run": run, "position": position, "entity": entity.table}
         try:
-            records = source(entity)
-            if records is None:
+            found = source(entity)
+            if found is None:
                 missing.append({**head, "table_name": entity.table, "status": MISSING})
                 continue
-            entries = sync_entity(store, family, entity, records, run, versions, head, at_once)
+            entries = sync_entity(store, family, entity, *found, run, versions, head, at_once)
         except Exception as error:
             note = f"{type(error).__name__}: {error}"[:500]
             store.commit([*missing, {**head, "table_name": entity.table, "status": FAILED, "error": note}])
@@ -83,6 +83,7 @@ def sync_entity(
     family: Family,
     entity: Entity,
     records: DataFrame,
+    merged: Merged | None,
     run: int,
     versions: dict[str, str],
     head: dict,
@@ -91,7 +92,7 @@ def sync_entity(
     """Write all tables of one entity and return their commit entries."""
     fixed = entity.requested_columns()
     keeps = entity.keeps if fixed else None
-    tables = list(normalise(positioned(records, run), entity, family.dialect, keeps))
+    tables = list(normalise(positioned(records, run), entity, family.dialect, keeps, merged))
 
     def write(table: Records) -> dict:
         name, tally = table.table, table.tally

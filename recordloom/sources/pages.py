@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recordloom.functions import variant as V
+from recordloom.operators.catalogue import Merged, stage_records
 from recordloom.session import stage
 
 PAGE_SIZE = 100  # fixed value: records per full page
@@ -68,25 +69,31 @@ def decode_cursor(pages: DataFrame, collection: str, root: str = "organization")
     return body.select("page", V.as_list(v, (root, collection, "nodes")).alias("items"), ends.alias("last"))
 
 
-def scan(decoded: DataFrame, staged: bool = False) -> DataFrame:
+def scan(decoded: DataFrame) -> DataFrame:
     """``page, pos, v`` of every record a page-by-page reader reaches.
 
     Reading stops after the first page marked last, and before the first page
-    that is empty or was not landed. ``staged`` writes the decoded records to
-    the shared folder first: the text is then parsed once, and the stop point
-    reads three narrow columns.
+    that is empty or was not landed.
     """
-    records = decoded.select("page", "last", F.posexplode("items").alias("pos", "v"))
-    if staged:
-        records = stage(records, "records")
-        heads = records.filter("pos = 0").select("page", "last")
-    else:
-        heads = decoded.filter(F.size("items") > 0).select("page", "last")
-    return records.filter(F.col("page") <= _stop(heads).scalar()).drop("last")
+    records = decoded.select("page", F.posexplode("items").alias("pos", "v"))
+    heads = decoded.filter(F.size("items") > 0).select("page", "last")
+    return records.filter(F.col("page") <= _stop(heads).select("stop").scalar())
+
+
+def scan_staged(decoded: DataFrame) -> tuple[DataFrame, Merged | None]:
+    """The same from records staged first, with their merged schema.
+
+    The text is parsed once, and the stop point reads three narrow columns. The
+    schema is unknown (None) if it saw pages past that point.
+    """
+    records, merged = stage_records(decoded.select("page", "last", F.posexplode("items").alias("pos", "v")), "records")
+    end = _stop(records.filter("pos = 0").select("page", "last")).first()
+    reached = records.filter(F.col("page") <= F.lit(end.stop)).drop("last")
+    return reached, merged if end.stop == end.highest else None
 
 
 def _stop(heads: DataFrame) -> DataFrame:
-    """One row: the last page read, NULL when there is no page 0.
+    """One row: the last page read, NULL when there is no page 0, and the highest.
 
     A page ends the scan if it is marked last or no page follows it. Whether one
     follows is found by letting every page vouch for the one before, which
@@ -97,14 +104,11 @@ def _stop(heads: DataFrame) -> DataFrame:
     known = own.unionByName(before).groupBy("page").agg(F.max("last").alias("last"), F.max("followed").alias("followed"))
     real = known.filter(F.col("last").isNotNull())
     ends = F.min(F.when(F.col("last") | ~F.col("followed"), F.col("page")))
-    return real.agg(F.when(F.min("page") == 0, ends).alias("stop"))
+    return real.agg(F.when(F.min("page") == 0, ends).alias("stop"), F.max("page").alias("highest"))
 
 
-def scan_pages(
-    pages: DataFrame, paging: str, collection: str | None = None, staged: bool = False
-) -> DataFrame:
-    decoded = decode_cursor(pages, collection) if paging == "cursor" else decode_offset(pages)
-    return scan(decoded, staged)
+def decode(pages: DataFrame, paging: str, collection: str | None = None) -> DataFrame:
+    return decode_cursor(pages, collection) if paging == "cursor" else decode_offset(pages)
 
 
 def numbered(records: DataFrame, order: list[str], page_size: int = PAGE_SIZE) -> DataFrame:

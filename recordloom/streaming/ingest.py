@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from recordloom.operators.catalogue import stage_records
 from recordloom.plans.sync import sync_entity
-from recordloom.session import configure, stage
+from recordloom.session import configure
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
-from recordloom.sources.pages import decode_cursor, decode_offset, whole_pages
+from recordloom.sources.pages import decode, whole_pages
 
 PACKED_SCHEMA = "page bigint, body string"
 
@@ -38,12 +39,13 @@ def ingest(
     configure(store.spark)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        cursor = family.paging == "cursor"
-        decoded = decode_cursor(batch, entity.collection) if cursor else decode_offset(batch)
-        records = stage(decoded.select("page", F.posexplode("items").alias("pos", "v")), entity.table)
+        decoded = decode(batch, family.paging, entity.collection)
+        records, merged = stage_records(
+            decoded.select("page", F.posexplode("items").alias("pos", "v")), entity.table
+        )
         run = store.next_run()
         head = {"run": run, "position": 0, "entity": entity.table}
-        store.commit(sync_entity(store, family, entity, records, run, store.versions(), head))
+        store.commit(sync_entity(store, family, entity, records, merged, run, store.versions(), head))
 
     return (
         pages.writeStream.trigger(availableNow=True)

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 
 from recordloom.plans.sync import landed
 from recordloom.sources.families import BUSINESS
-from recordloom.sources.pages import head, numbered, page_lists, read_page_files, scan_pages, write_packed_pages
+from recordloom.sources.pages import (
+    decode,
+    head,
+    numbered,
+    page_lists,
+    read_page_files,
+    scan_staged,
+    write_packed_pages,
+)
+from recordloom.sources.pages import scan as scan_pages
 
 
 def records(first, count):
@@ -19,7 +28,8 @@ def scan(spark, bodies, paging="offset", collection=None, staged=False, numbers=
     numbers = numbers or range(len(bodies))
     rows = [(n, b if isinstance(b, str) else json.dumps(b)) for n, b in zip(numbers, bodies)]
     pages = spark.createDataFrame(rows, "page bigint, body string")
-    out = scan_pages(pages, paging, collection, staged)
+    decoded = decode(pages, paging, collection)
+    out = scan_staged(decoded)[0] if staged else scan_pages(decoded)
     ids = out.select("page", "pos", F.variant_get("v", "$.id", "bigint")).orderBy("page", "pos")
     return [r[2] for r in ids.collect()]
 
@@ -81,7 +91,8 @@ def test_page_files(spark, tmp_path):
     folder.mkdir()
     for n, size in enumerate([100, 100, 7]):
         (folder / f"{n}.json").write_text(json.dumps(records(100 * n, size), indent=1))
-    found = landed(spark, str(tmp_path), BUSINESS, packed=False)(BUSINESS.entity("customer"))
+    found, merged = landed(spark, str(tmp_path), BUSINESS, packed=False)(BUSINESS.entity("customer"))
+    assert merged.schema.fieldNames() == ["id"]
     assert found.count() == 207
     assert [r.pos for r in head(found).collect()] == [0, 1, 2]
 
@@ -98,6 +109,20 @@ def test_cutting_into_pages_and_back(spark, tmp_path):
     paged = numbered(rows, ["id"])
     assert [(r.page, r.pos) for r in paged.orderBy("id").collect()] == [divmod(i, 100) for i in range(1234)]
     write_packed_pages(page_lists(paged, "record").withColumnRenamed("list", "body"), f"{tmp_path}/entity=Customer")
-    found = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
+    found, _ = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
     got = found.select(F.variant_get("v", "$.id", "bigint").alias("id"), "page", "pos")
     assert sorted(tuple(r) for r in got.collect()) == [(i, *divmod(i, 100)) for i in range(1234)]
+
+
+def test_schema_of_unreached_pages_is_not_used(spark):
+    bodies = [json.dumps(records(0, 5)), json.dumps([{"id": 7, "Stray": 1}])]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "page bigint, body string")
+    found, merged = scan_staged(decode(pages, "offset"))
+    assert merged is None
+    assert found.count() == 5
+
+
+def test_nothing_landed_yet(spark):
+    pages = spark.createDataFrame([], "page bigint, body string")
+    found, _ = scan_staged(decode(pages, "offset"))
+    assert found.count() == 0
