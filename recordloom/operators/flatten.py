@@ -14,9 +14,11 @@ from recordloom.operators.catalogue import (
     WRAPPED,
     WRAPPER_KEY,
     Catalogue,
+    Merged,
     Reading,
     discover,
     reachable,
+    stage_records,
 )
 
 
@@ -92,14 +94,22 @@ def flatten(
     keeps=None,
     fixed: list[str] | None = None,
     carry: list[str] | None = None,
+    merged: Merged | None = None,
 ) -> DataFrame:
     """Catalogue the records, then select their columns (and those in ``carry``)."""
     record = Whole(F.col(v))
-    catalogue = discover(lambda wants: (records, record), dialect, keeps=keeps)
+    known = {"seed": merged.schema, "nulls": merged.nulls} if merged else {}
+    catalogue = discover(lambda wants: (records, record), dialect, keeps=keeps, **known)
     columns = flat_columns(catalogue, snake, fixed=fixed)
     return records.select(*(carry or []), *[c.expression(record, dialect) for c in columns])
 
 
+def flatten_once(records: DataFrame, label: str, **options) -> DataFrame:
+    """Flatten records that are costly to produce: they are staged, so made only once."""
+    staged, merged = stage_records(records, label)
+    return flatten(staged, merged=merged, **options)
+
+
 def _value(record: Access, reading: Reading, target: str) -> Column:
     if reading.type == V.VOID:
         return F.lit(None).cast(target)

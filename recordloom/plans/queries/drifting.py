@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordloom.operators.drift import renamed, union_drift
-from recordloom.operators.flatten import flatten
+from recordloom.operators.flatten import flatten_once
 from recordloom.plans.feeds import record, records, table, wrap
 from recordloom.plans.registry import query
 
@@ -17,7 +17,7 @@ def _halves(spark, sf_dir, before, after):
     orders = table(spark, sf_dir, "orders")
     early = F.col("o_orderdate") < F.lit(CHANGE).cast("timestamp_ntz")
     parts = ((orders.filter(early), before), (orders.filter(~early), after))
-    return [flatten(records(rows, text, "o_orderkey"), snake=True) for rows, text in parts]
+    return [flatten_once(records(rows, text, "o_orderkey"), "orders", snake=True) for rows, text in parts]
 
 
 def _order(**more):

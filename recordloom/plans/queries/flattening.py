@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordloom.operators.catalogue import PLAIN
-from recordloom.operators.flatten import flatten
+from recordloom.operators.flatten import flatten_once
 from recordloom.plans.feeds import record, records, table, with_parts, wrap
 from recordloom.plans.registry import query
-from recordloom.session import stage
 from recordloom.sources.families import BUSINESS, PROJECTS
 
 
@@ -37,7 +36,7 @@ def flatten_wrapped(spark, sf_dir):
     )
     credit = with_parts(record(Balance=wrap("c_acctbal")), Rules=F.lit("{}"))
     text = with_parts(head, Credit=credit, Note=F.lit("{}"))
-    return flatten(records(rows, text, "c_custkey"))
+    return flatten_once(records(rows, text, "c_custkey"), "customer")
 
 
 @query(
@@ -60,7 +59,7 @@ def unwrap_value(spark, sf_dir):
         Memo=wrap(F.lit(None).cast("string")),
         Extra=wrap(F.struct(F.col("o_orderpriority").alias("rank"))),
     )
-    return flatten(records(rows, text, "o_orderkey"))
+    return flatten_once(records(rows, text, "o_orderkey"), "orders")
 
 
 @query(
@@ -77,7 +76,7 @@ def unwrap_ambiguous(spark, sf_dir):
     final = record(id="o_orderkey", Total=wrap("o_totalprice"))
     partial = F.struct(F.col("o_totalprice").alias("value"), F.lit("not final").alias("error"))
     text = F.when(F.col("o_orderstatus") == "F", final).otherwise(record(id="o_orderkey", Total=partial))
-    return flatten(records(rows, text, "o_orderkey"))
+    return flatten_once(records(rows, text, "o_orderkey"), "orders")
 
 
 @query(
@@ -98,7 +97,7 @@ def drop_links(spark, sf_dir):
         Named=F.struct(F.col("s_name").alias("value"), links),  # two keys, so no wrapper
         Bare=F.struct(links),
     )
-    return flatten(records(rows, text, "s_suppkey"))
+    return flatten_once(records(rows, text, "s_suppkey"), "supplier")
 
 
 @query(
@@ -114,7 +113,7 @@ def empty_object_null(spark, sf_dir):
     sized = record(Size=wrap("p_size"))
     dimensions = F.when(F.col("p_size") < 10, F.lit("{}")).otherwise(sized)
     text = with_parts(record(id="p_partkey"), Dimensions=dimensions, Remarks=F.lit("{}"))
-    return flatten(records(rows, text, "p_partkey"))
+    return flatten_once(records(rows, text, "p_partkey"), "part")
 
 
 @query(
@@ -132,7 +131,7 @@ def flatten_drop_lists(spark, sf_dir):
     head = record(id="c_custkey", Info=info, Lists=only_lists, Orders=F.array(F.struct("c_custkey")))
     scalar = F.concat(F.lit('"'), "c_mktsegment", F.lit('"'))
     text = with_parts(head, Codes=F.coalesce(codes, scalar))
-    return flatten(records(rows, text, "c_custkey"))
+    return flatten_once(records(rows, text, "c_custkey"), "customer")
 
 
 @query(
@@ -154,7 +153,7 @@ def flatten_plain(spark, sf_dir):
         lines=F.array("o_orderkey"),
         _links=F.struct(F.concat(F.lit("/o/"), "o_orderkey").alias("self")),
     )
-    return flatten(stage(records(rows, text, "o_orderkey"), "orders"), dialect=PLAIN)
+    return flatten_once(records(rows, text, "o_orderkey"), "orders", dialect=PLAIN)
 
 
 @query(
@@ -191,7 +190,7 @@ def project_subselect(spark, sf_dir):
         internalCode="o_custkey",
     )
     rows = records(table(spark, sf_dir, "orders"), text, "o_orderkey")
-    return flatten(rows, dialect=PLAIN, keeps=document.keeps, fixed=document.requested_columns())
+    return flatten_once(rows, "orders", dialect=PLAIN, keeps=document.keeps, fixed=document.requested_columns())
 
 
 @query(
@@ -218,7 +217,7 @@ def inline_expand(spark, sf_dir):
         RemitContact=F.struct(address.alias("Address")),
     )
     rows = records(table(spark, sf_dir, "supplier"), text, "s_suppkey")
-    return flatten(rows, keeps=vendor.keeps)
+    return flatten_once(rows, "supplier", keeps=vendor.keeps)
 
 
 @query(
@@ -242,7 +241,7 @@ def custom_fields(spark, sf_dir):
         custom=F.struct(document.alias("Document"), other.alias("Transactions")),
     )
     rows = records(table(spark, sf_dir, "orders"), text, "o_orderkey")
-    return flatten(rows, keeps=order.keeps)
+    return flatten_once(rows, "orders", keeps=order.keeps)
 
 
 @query(
@@ -262,7 +261,7 @@ def snake_case_columns(spark, sf_dir):
         custom=F.struct(F.struct(wrap("p_type").alias("AttributeSHLTRTYPE")).alias("Document")),
         USRXMLSize=wrap("p_size"),
     )
-    return flatten(records(table(spark, sf_dir, "part"), text, "p_partkey"), snake=True)
+    return flatten_once(records(table(spark, sf_dir, "part"), text, "p_partkey"), "part", snake=True)
 
 
 @query(
@@ -278,4 +277,4 @@ def name_collision(spark, sf_dir):
     both = record(id="o_orderkey", Bill_Number="o_custkey", Bill=F.struct(F.col("o_orderkey").alias("Number")))
     flat = record(id="o_orderkey", Bill_Number="o_custkey", Bill=F.struct(F.array("o_custkey").alias("Lines")))
     text = F.when(F.col("o_orderstatus") == "P", flat).otherwise(both)
-    return flatten(records(rows, text, "o_orderkey"))
+    return flatten_once(records(rows, text, "o_orderkey"), "orders")

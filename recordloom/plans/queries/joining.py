@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordloom.operators.flatten import flatten
+from recordloom.operators.flatten import flatten_once
 from recordloom.operators.joins import child_to_parent, line_to_order
 from recordloom.operators.upsert import latest
 from recordloom.plans import feeds
@@ -31,7 +31,7 @@ def join_line_to_order(spark, sf_dir):
     invoices = records(packed, invoice, "l_suppkey", "_block")
     details = tables(invoices, BUSINESS.entity("sales_invoice"))["sales_invoice_detail"]
     order = record(OrderNbr=wrap("o_orderkey"), Status=wrap("o_orderstatus"), Total=wrap("o_totalprice"))
-    orders = flatten(records(table(spark, sf_dir, "orders"), order, "o_orderkey"), snake=True)
+    orders = flatten_once(records(table(spark, sf_dir, "orders"), order, "o_orderkey"), "orders", snake=True)
     named = orders.select(
         F.col("order_nbr").alias("order_key"),
         F.col("status").alias("order_status"),

@@ -12,7 +12,7 @@ from recordloom.operators.audit import entity_profile as profile_of
 from recordloom.operators.audit import sync_counts as counts_of
 from recordloom.operators.catalogue import stage_records
 from recordloom.operators.fanout import positioned, survey
-from recordloom.operators.flatten import flatten
+from recordloom.operators.flatten import flatten_once
 from recordloom.plans import feeds
 from recordloom.plans.feeds import record, records, table, wrap
 from recordloom.plans.queries.fanning import read
@@ -43,13 +43,14 @@ def sync_counts(spark, sf_dir):
     kept = F.when(F.col("l_returnflag") != "R", operations)
     lines = feeds.blocked(table(spark, sf_dir, "lineitem"))
     bills = records(lines, record(id=feeds.line_id(), Operations=kept), "l_orderkey", "_block")
-    known = survey(positioned(bills), MANUFACTURING.entity("bill_of_material"))
+    staged, merged = stage_records(bills, "bill_of_material")
+    known = survey(positioned(staged), MANUFACTURING.entity("bill_of_material"), merged=merged)
     return spark.createDataFrame(counts_of(known), "table_name string, row_count bigint")
 
 
 @query("SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_synced FROM events")
 def freshness_max(spark, sf_dir):
-    return freshness(flatten(feeds.events(spark, sf_dir), dialect="plain"), "createdAt")
+    return freshness(flatten_once(feeds.events(spark, sf_dir), "events", dialect="plain"), "createdAt")
 
 
 @query(
@@ -66,7 +67,7 @@ def table_inventory(spark, sf_dir):
     def dated(name, key, date):
         rows = table(spark, sf_dir, name)
         text = record(Key=wrap(key), Synced=wrap(F.date_format(date, "yyyy-MM-dd")))
-        return flatten(records(rows, text, key), snake=True)
+        return flatten_once(records(rows, text, key), name, snake=True)
 
     found = {
         ("projects", "event"): dated("events", "event_id", "ts"),

@@ -8,9 +8,9 @@ from recordloom.operators.audit import change_counts
 from recordloom.operators.upsert import upsert
 from recordloom.plans import feeds
 from recordloom.plans.feeds import line_id, record, records, table, wrap
+from recordloom.plans.queries.fanning import read
 from recordloom.plans.registry import query
 from recordloom.plans.sync import given, sync
-from recordloom.operators.fanout import normalise, positioned
 from recordloom.session import scratch
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
@@ -23,8 +23,7 @@ def order_rows(rows):
     text = record(
         id="o_orderkey", Status=wrap("o_orderstatus"), Total=wrap("o_totalprice"), Priority=wrap("o_orderpriority")
     )
-    parents = next(normalise(positioned(records(rows, text, "o_orderkey")), ORDER))
-    return parents.rows(snake=True)
+    return next(read(records(rows, text, "o_orderkey"), ORDER)).rows(snake=True)
 
 
 @query(
