@@ -92,6 +92,10 @@ class Records:
         flat = [column.expression(record, self.catalogue.dialect) for column in columns]
         return frame.filter(self.catalogue.is_record(record)).select(F.struct(*PLACE).alias("_at"), *flat)
 
+    def keys(self) -> DataFrame:
+        """Just the key column of the rows."""
+        return self.rows(fixed=list(RAW_ID)).select(*RAW_ID)
+
     def quarantine(self) -> DataFrame:
         """Records without a key, and those that are not objects at all."""
         frame, record = self.read()

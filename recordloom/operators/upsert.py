@@ -37,19 +37,26 @@ def without_key(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert(
-    existing: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str], staged: bool = False
+    existing: DataFrame | None,
+    batch: DataFrame,
+    keys: list[str],
+    order: list[str],
+    staged: bool = False,
+    batch_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``existing`` with the latest ``batch`` row of every key put in.
 
     Only keys are compared: existing rows are read once and not shuffled by this
     operator unless Spark finds the list of untouched keys too big to broadcast.
     ``staged`` writes that list out first, which gives Spark its true size (in
-    a full refresh it holds just the keys gone from the source).
+    a full refresh it holds just the keys gone from the source). ``batch_keys``
+    are the keys of ``batch`` if they can be read for less than its rows.
     """
     fresh = latest(with_key(batch, keys), keys, order).drop(*order)
     if existing is None:
         return fresh
-    touched = with_key(batch, keys).select(*keys).distinct()
+    batch_keys = batch.select(*keys) if batch_keys is None else batch_keys
+    touched = with_key(batch_keys, keys).distinct()
     if not staged:
         old, new = align(existing, fresh)
         return old.join(_like(touched, old, keys), keys, "left_anti").select(old.columns).unionByName(new)

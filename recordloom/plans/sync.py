@@ -100,7 +100,8 @@ def sync_entity(
             store.quarantine(name, table.quarantine(), run)
         current = versions.get(name)
         if tally.keyed:
-            result = store.write(name, table.rows(snake=True, fixed=fixed), run, current)
+            rows = table.rows(snake=True, fixed=fixed)
+            result = store.write(name, rows, run, current, table.keys())
         else:
             result = store.keep(name, current)
         counts = {

@@ -69,13 +69,16 @@ class TableStore:
     def next_run(self) -> int:
         return (self.commits().agg(F.max("run")).first()[0] or 0) + 1
 
-    def write(self, name: str, rows: DataFrame, run: int, current: str | None) -> dict:
+    def write(
+        self, name: str, rows: DataFrame, run: int, current: str | None, row_keys: DataFrame | None = None
+    ) -> dict:
         """Write the next version of one table; it shows once committed."""
         existing = self.read(current)
         stamped = rows.withColumn("_synced_at", F.current_timestamp())
         version = f"{name}/version={run:08d}"
         target = f"{self.root}/{version}"
-        upsert(existing, stamped, list(KEY), ["_at"], staged=True).write.mode("overwrite").parquet(target)
+        merged = upsert(existing, stamped, list(KEY), ["_at"], staged=True, batch_keys=row_keys)
+        merged.write.mode("overwrite").parquet(target)
         written = self.read(version)
         changed = int(existing is None) + (0 if existing is None else len(added_columns(existing, written)))
         return {"row_count": written.count(), "schema_changes": changed, "version": version}

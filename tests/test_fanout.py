@@ -1,6 +1,12 @@
 """Child and grandchild tables (ids as in FIXTURES.md)."""
 
+import json
+import random
+
+import pytest
+
 from recordloom.operators.fanout import normalise, positioned, survey
+from recordloom.session import stage
 from recordloom.sources.entities import Collection, Entity
 from recordloom.sources.families import BUSINESS, FAMILIES, MANUFACTURING, PROJECTS
 from tests.conftest import as_dicts
@@ -120,3 +126,36 @@ def test_new_entity_is_a_declaration(variants):
     entity = Entity("my_new_table", "MyNewEntity", (Collection("Lines", "my_new_table_line"),))
     out = tables(variants('{"id":1,"Lines":[{"id":2}]}'), entity)
     assert out["my_new_table_line"] == [{"id": 2, "parent_id": 1}]
+
+
+def random_value(rng, depth):
+    kind = rng.randrange(9)
+    if kind == 0 and depth < 3:
+        return {"value": random_value(rng, depth + 1)}
+    if kind in (1, 2) and depth < 3:
+        return {k: random_value(rng, depth + 1) for k in rng.sample(["A", "B", "value", "_links"], rng.randint(0, 3))}
+    if kind == 3:
+        return [rng.randint(0, 9)] * rng.randint(0, 2)
+    return rng.choice([None, True, rng.randint(0, 99), 1.5, "text", {}])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_all_ways_to_read_a_list_agree(variants, seed):
+    """Typed or as VARIANTs, staged or not: one result for irregular records."""
+    rng = random.Random(seed)
+    texts = []
+    for top in range(12):
+        items = [
+            {"id": f"{top}-{i}", **{k: random_value(rng, 0) for k in rng.sample("PQRST", 3)}}
+            for i in range(rng.randint(0, 4))
+        ]
+        texts.append(json.dumps({"id": top, "Details": rng.choice([items, items, items, None])}))
+    results = []
+    for records in (variants(*texts), stage(variants(*texts), "random")):
+        _, details = normalise(positioned(records), BILL)
+        assert details.typed
+        for typed in (True, False):
+            details.typed = typed
+            results.append((details.rows().columns, [tuple(r) for r in details.rows().orderBy("_at").collect()]))
+            assert details.keys().count() == details.tally.keyed
+    assert all(r == results[0] for r in results[1:])
