@@ -49,7 +49,7 @@ def sync_all_counts(spark, sf_dir):
 
 @query(
     """
-    SELECT 1 AS position, 'customer' AS entity, 3 AS tables, count(*) AS upserts FROM customer
+    SELECT 1 AS position, 'customer' AS entity, 3::BIGINT AS tables, count(*) AS upserts FROM customer
     UNION ALL SELECT 2, 'vendor', 3, count(*) FROM supplier
     UNION ALL SELECT 3, 'stock_item', 5, count(*) FROM part
     """
