@@ -17,7 +17,10 @@ from recordloom.sources.entities import Entity
 
 def count_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, row_count`` of each table; only counts leave a task."""
-    counts = [t.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, t in tables.items()]
+    counts = [
+        table.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, table in tables.items()
+    ]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -75,7 +75,8 @@ class TestCursor:
         assert scan(spark, bodies, "cursor", "jobs") == [0]
 
     def test_missing_levels(self, spark):  # G10
-        for body in ({"organization": None}, {}, {"organization": {"jobs": None}}, {"organization": {"jobs": {"nodes": None}}}):
+        bodies = ({"organization": None}, {}, {"organization": {"jobs": None}}, cursor_page(None, None))
+        for body in bodies:
             assert scan(spark, [body], "cursor", "jobs") == []
 
     def test_falsy_cursors(self, spark):

@@ -73,7 +73,12 @@ CASES = [
     ("null list", ['{"L":[1]}', '{"L":null}'], [{"L": None}] * 2, None),
     ("repeated key keeps the last", ['{"A":1,"A":2}'], [{"A": 2}], None),
     ("names that differ by case", ['{"id":1,"ID":"u"}'], [{"id": 1, "ID_2": "u"}], None),
-    ("names with dots, quotes and spaces", ['{"a.b":{"c d":{"value":1}},"q\'s":2,"d\\"q":3}'], [{"a.b_c d": 1, "q's": 2, 'd"q': 3}], [{"a.b_c d_value": 1, "q's": 2, 'd"q': 3}]),
+    (
+        "names with dots, quotes and spaces",
+        ['{"a.b":{"c d":{"value":1}},"q\'s":2,"d\\"q":3}'],
+        [{"a.b_c d": 1, "q's": 2, 'd"q': 3}],
+        [{"a.b_c d_value": 1, "q's": 2, 'd"q': 3}],
+    ),
     ("a name with both quotes", ['{"x\'\\"y":{"value":4}}'], [{"x'\"y": 4}], [{"x'\"y_value": 4}]),
     ("big integers stay exact", ['{"A":12345678901234567890}', '{"A":1}'], [{"A": 12345678901234567890}, {"A": 1}], None),
     ("whole fractions are fractions", ['{"A":23.0}', '{"A":17.0}'], [{"A": 23.0}, {"A": 17.0}], None),
