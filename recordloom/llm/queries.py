@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import exact_dedup, mixing, sharding
+from recordloom.llm import (
+    byte_bpe,
+    exact_dedup,
+    mixing,
+    quality_ranker,
+    quality_rules,
+    secret_scan,
+    sharding,
+    token_counts,
+)
 from recordloom.llm.texts import read, text_of, word_count
 from recordloom.plans.registry import Query
 
@@ -130,3 +139,72 @@ JOIN filled f ON f.slot = CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARC
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, F.col("doc_id"), SHARDS)
+
+
+OVER = 2048
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(read(spark, sf_dir, "documents"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > OVER)
+
+
+def span_text(spans: str) -> Column:
+    """``kind:start:end`` of all spans, comma-joined."""
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(text, ",")
+
+
+def base_digest(spans: str, kinds: tuple[str, ...], by_kind: bool) -> Column:
+    """SHA-256 of the spans of these kinds, by start or by kind first."""
+    if by_kind:
+        parts = [F.filter(spans, lambda s, kind=kind: s["kind"] == kind) for kind in kinds]
+        chosen = F.concat(*parts)
+    else:
+        chosen = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    text = F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.sha2(F.array_join(text, ","), 256)
+
+
+def of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[of_kind("spans", kind).alias(f"n_{kind}") for kind in secret_scan.PATTERN_KINDS],
+        base_digest("spans", secret_scan.PATTERN_KINDS, by_kind=False).alias("base_sha256"),
+        span_text("spans").alias("spans"),
+    )
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = byte_bpe.round_trip(read(spark, sf_dir, "documents"))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    ranker = quality_ranker.fit(docs, read(spark, sf_dir, "labels"))
+    return quality_ranker.score(docs, ranker).select(
+        "doc_id",
+        (quality_ranker.fold() == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_ranker.THRESHOLD).cast("int").alias("predicted"),
+    )

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import recordloom
 from recordloom.session import configure, stage
 
-__all__ = ["WORD", "batches", "prepare", "read", "stage", "text_of", "word_count"]
+__all__ = ["WORD", "batches", "prepare", "read", "ship", "stage", "text_of", "word_count"]
 
 # a word is a run of anything but these six ASCII blanks
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,9 +26,27 @@ PYTHON_SETTINGS = {
 }
 
 
+SHIPPED = "spark.recordloom.shipped"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it wherever they run."""
+    application = spark.sparkContext.applicationId
+    if spark.conf.get(SHIPPED, "") == application:
+        return
+    root = Path(recordloom.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="recordloom-")) / "recordloom_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    spark.conf.set(SHIPPED, application)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on; safe to call repeatedly."""
+    """Session settings the operators rely on and the code its tasks run; safe to call repeatedly."""
     configure(spark)
+    ship(spark)
     for key, value in PYTHON_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -62,7 +83,3 @@ def batches(
 
     return chosen.mapInArrow(task, schema)
 
-
-def fresh(prefix: str) -> str:
-    """A column or view name nothing else has."""
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
