@@ -28,6 +28,7 @@ FOLDS = 5
 RIDGE = 1e-3
 QUANTILES = 2000
 SMOOTH = 200  # bytes of neutral text that every text is thought to have besides its own
+SMOOTH_WORDS = 30
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
@@ -48,12 +49,12 @@ def features(text: bytes) -> list[float]:
     repeats = sum(map(bytes.__eq__, words, words[1:]))
     return [
         *map(np.sqrt, shares),
-        np.log1p(len(words)),
-        min(n_bytes / n, 40.0) / 10,
-        len(set(words)) / n**0.8,  # vocabulary grows slower than the text
-        repeats / (n + SMOOTH / 10),
-        1 - len(set(lines)) / max(1, len(lines)),
-        np.log1p(n / max(1, len(lines))),
+        np.log1p(len(words) / SMOOTH_WORDS),
+        np.log((n_bytes + 6 * SMOOTH_WORDS) / (n + SMOOTH_WORDS)),
+        np.log((len(set(words)) + SMOOTH_WORDS) / (n + SMOOTH_WORDS)),
+        repeats / (n + SMOOTH_WORDS),
+        (len(lines) - len(set(lines))) / (len(lines) + 2),
+        np.log((n + SMOOTH_WORDS) / (len(lines) + 2)),
     ]
 
 
