@@ -250,3 +250,21 @@ def round_trip(
 
     schema = "doc_id bigint, ids array<int>, decoded binary"
     return batches(docs, {"doc_id": id_col, "text": text_col}, run, schema)
+
+
+def checked(
+    docs: DataFrame, tokenizer: Tokenizer | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, ids, round_trip``: ids, and whether decoding them gives the text back. NULL counts as empty."""
+    tokenizer = tokenizer or Tokenizer()
+
+    def run(part: pa.RecordBatch) -> dict:
+        codec = tokenizer.codec()
+        texts = [text or "" for text in part.column("text").to_pylist()]
+        packed = [codec.encode(text) for text in texts]
+        back = [codec.decode(np.frombuffer(ids, np.int32).tolist()) for ids in packed]
+        same = [raw == text.encode("utf-8") for raw, text in zip(back, texts, strict=True)]
+        return {"doc_id": part.column("doc_id"), "ids": ids_array(packed), "round_trip": pa.array(same)}
+
+    schema = "doc_id bigint, ids array<int>, round_trip boolean"
+    return batches(docs, {"doc_id": id_col, "text": text_col}, run, schema)

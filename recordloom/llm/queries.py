@@ -9,6 +9,8 @@ from recordloom.llm import (
     byte_bpe,
     exact_dedup,
     mixing,
+    ngram_join,
+    personal_data,
     quality_ranker,
     quality_rules,
     secret_scan,
@@ -208,3 +210,22 @@ def op10_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality_ranker.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.similar_groups(read(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = personal_data.scan(docs, personal_data.fit(docs))
+    found = found.withColumn("strict", F.filter("spans", lambda s: s["strict"]))
+    return found.select(
+        "doc_id",
+        *[of_kind("strict", kind).alias(f"n_{kind}") for kind in personal_data.KINDS],
+        base_digest("strict", personal_data.KINDS, by_kind=True).alias("base_sha256"),
+        span_text("spans").alias("spans"),
+    )
