@@ -14,7 +14,7 @@ from recordloom.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality_ra
 from recordloom.llm.queries import readable
 from recordloom.llm.texts import prepare, read, stage, word_count
 
-NEAR_WORDS, NEAR_PERCENT = 5, 85
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def only_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,19 +158,18 @@ def span_text(spans: str) -> Column:
     return F.array_join(text, ",")
 
 
-def base_digest(spans: str, kinds: tuple[str, ...], by_kind: bool) -> Column:
-    """SHA-256 of the spans of these kinds, by start or by kind first."""
-    if by_kind:
-        parts = [F.filter(spans, lambda s, kind=kind: s["kind"] == kind) for kind in kinds]
-        chosen = F.concat(*parts)
-    else:
-        chosen = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+def only(spans: str, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
+def digest(chosen: Column) -> Column:
+    """SHA-256 of spans written out."""
     text = F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     return F.sha2(F.array_join(text, ","), 256)
 
 
 def of_kind(spans: str, kind: str) -> Column:
-    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+    return F.size(only(spans, kind)).cast("bigint")
 
 
 @query()
@@ -179,7 +178,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[of_kind("spans", kind).alias(f"n_{kind}") for kind in secret_scan.PATTERN_KINDS],
-        base_digest("spans", secret_scan.PATTERN_KINDS, by_kind=False).alias("base_sha256"),
+        digest(F.filter("spans", lambda s: s["kind"].isin(*secret_scan.PATTERN_KINDS))).alias("base_sha256"),
         span_text("spans").alias("spans"),
     )
 
@@ -226,6 +225,6 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[of_kind("strict", kind).alias(f"n_{kind}") for kind in personal_data.KINDS],
-        base_digest("strict", personal_data.KINDS, by_kind=True).alias("base_sha256"),
+        digest(F.concat(*[only("strict", kind) for kind in personal_data.KINDS])).alias("base_sha256"),
         span_text("spans").alias("spans"),
     )
