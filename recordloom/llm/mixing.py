@@ -179,8 +179,9 @@ def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFra
     ``doc_id`` must be unique here. Documents taken once, which are most, and those never taken
     do not travel: only the counts that differ from 1 are joined.
     """
-    other = stage(mixed.where("copies <> 1").select(F.col("doc_id").alias("_mixed"), "copies"), "mix-copies")
+    counts = mixed.where("copies <> 1").select(F.col("doc_id").alias("_mixed"), F.col("copies").alias("_copies"))
+    other = stage(counts, "mix-copies")
     joined = docs.join(other, docs[id_col] == other["_mixed"], "left")
-    times = F.coalesce("copies", F.lit(1)).cast("int")
+    times = F.coalesce("_copies", F.lit(1)).cast("int")
     spread = joined.withColumn("_copy", F.explode(F.sequence(F.lit(0), times))).where(F.col("_copy") < times)
     return spread.select(*[docs[c] for c in docs.columns])
