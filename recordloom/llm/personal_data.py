@@ -111,7 +111,7 @@ SHAPES = {
     "phone": re.compile(r"(?:\+|00)?\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}"),
 }
 GROUPED_CARD = re.compile(r"[0-9]{4}([\x20.-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}")
-LOCAL_PHONE = re.compile(r"(?:1[\x20.-])?\(?[0-9]{3}\)?[\x20./-]{1,2}[0-9]{3}[\x20.-][0-9]{4}")
+LOCAL_PHONE = re.compile(r"(?:\+?1[\x20.-])?\(?[0-9]{3}\)?[\x20./-]{1,2}[0-9]{3}[\x20.-][0-9]{4}")
 DATE = re.compile(r"[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./][0-9]{2,4}")
 
 # Beliefs before any data, by feature; a segment is chosen when its sum is above zero.

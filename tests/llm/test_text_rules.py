@@ -1,0 +1,263 @@
+"""Secrets, personal data, quality rules and the ranker against plain versions."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+import struct
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from recordloom.llm import personal_data, quality_ranker, quality_rules, secret_scan
+from recordloom.llm.queries import digest, only
+from tests.llm.conftest import odd_rows
+
+
+def der(tag, body):
+    n = len(body)
+    length = bytes([n]) if n < 128 else bytes([0x82]) + struct.pack(">H", n)
+    return bytes([tag]) + length + body
+
+
+NUMBER = bytes(range(1, 65))
+RSA = der(0x30, der(2, b"\0") + b"".join(der(2, NUMBER) for _ in range(8)))
+PKCS8 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48")) + der(4, RSA))
+CURVE = der(0x30, der(2, b"\1") + der(4, bytes(32)))
+
+
+def field(data):
+    return struct.pack(">I", len(data)) + data
+
+
+SSH = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + struct.pack(">I", 1) + field(NUMBER) + field(NUMBER * 2)
+
+
+def part(data):
+    return base64.urlsafe_b64encode(json.dumps(data).encode()).decode().rstrip("=")
+
+
+TOKEN = f"{part({'alg': 'HS256'})}.{part({'sub': 'x'})}.{base64.urlsafe_b64encode(NUMBER[:32]).decode().rstrip('=')}"
+
+
+def plain_secrets(text):
+    out = []
+    for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A):
+        out += [("assign", *m.span())] if len(m[2]) >= 12 else []
+    out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    return out + [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+
+
+def pieces(rng, bits):
+    return "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+
+
+def test_secret_patterns():
+    rng = random.Random(3)
+    bits = ["password", "TOKEN", "api_key", "ApiKey", "secret", "paſſwd", "toKen", " ", "=", ": ", '"', "'", "abc123def456",
+            "short", "AKIA", "AKIAABCDEFGHIJ12345", "0123456789abcdef", "é", "\n", ".", "deadbeef"]
+    for _ in range(4000):
+        text = pieces(rng, bits)
+        assert sorted(tuple(s) for s in secret_scan.pattern_spans(text)) == sorted(plain_secrets(text))
+
+
+@pytest.mark.parametrize("data", [RSA, PKCS8, CURVE, SSH])
+def test_keys_are_confirmed(data):
+    assert secret_scan.is_key(data)
+    assert not secret_scan.is_key(data[:-1])
+    assert not secret_scan.is_key(data + b"\0")
+    text = base64.b64encode(data).decode()
+    found = secret_scan.confirmed_spans(f"é key {text} end")
+    assert [(s.kind, s.start, s.end) for s in found] == [("key", 6, 6 + len(text))]
+    assert secret_scan.confirmed_spans(text[:10] + ("A" if text[10] != "A" else "B") + text[11:] + "QUJD") == []
+    lines = "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+    pem = f"-----BEGIN PRIVATE KEY-----\n{lines}\n-----END PRIVATE KEY-----"
+    assert ("pem", 1, 1 + len(pem)) in [tuple(s) for s in secret_scan.confirmed_spans(" " + pem)]
+    if len(data.hex()) >= 96:
+        assert ("key", 0, 2 * len(data)) in [tuple(s) for s in secret_scan.confirmed_spans(data.hex())]
+
+
+def test_signed_tokens():
+    assert [tuple(s) for s in secret_scan.confirmed_spans(f"Bearer {TOKEN}.")] == [("jwt", 7, 7 + len(TOKEN))]
+    broken = TOKEN.replace(part({"alg": "HS256"}), part({"typ": "x"}))
+    assert secret_scan.confirmed_spans(broken) == []
+    assert secret_scan.confirmed_spans("eyJ" + "[" * 5000 + ".a.b") == []
+
+
+def test_secret_table(make, nothing):
+    texts = [t for _, t, _ in odd_rows()] + [f"token = {TOKEN} AKIAABCDEFGHIJ12345 0123456789abcdef"]
+    rows = secret_scan.scan(make([(i, t, "s") for i, t in enumerate(texts)]))
+    rows = rows.withColumn("digest", digest(F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))))
+    for r in rows.collect():
+        want = secret_scan.listed([secret_scan.Span(*s) for s in plain_secrets(texts[r.doc_id] or "")])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.digest == hashlib.sha256(joined.encode()).hexdigest()
+        if r.doc_id == len(texts) - 1:
+            assert [s.kind for s in r.spans] == ["assign", "jwt", "access", "hex"]
+    assert secret_scan.scan(nothing).collect() == []
+
+
+def plain_personal(text):
+    number = lambda m: re.sub("[^0-9]", "", m[0])
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        out += [("ip", *m.span())] if all(int(p) <= 255 for p in m[0].split(".")) else []
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        out += [("card", *m.span())] if 13 <= len(number(m)) <= 19 and personal_data.luhn(number(m)) else []
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        out += [("phone", *m.span())] if 9 <= len(number(m)) <= 15 else []
+    return out
+
+
+def test_personal_patterns():
+    rng = random.Random(5)
+    bits = list("ab19.@+- ()%4\n") + ["4111111111111111", "10.0.0.1", "joe@x.org", "+1 (555) 123-4567", "é"]
+    for _ in range(6000):
+        text = pieces(rng, bits)
+        assert sorted(tuple(s)[:3] for s in personal_data.strict_spans(text)) == sorted(plain_personal(text))
+
+
+FOUND = [
+    ("call me (555) 123-4567 now", "phone", "(555) 123-4567"),
+    ("mail joe (at) example (dot) com please", "email", "joe (at) example (dot) com"),
+    ("card 4111.1111.1111.1111 ok", "card", "4111.1111.1111.1111"),
+    ("ip 10[.]0[.]0[.]1 x", "ip", "10[.]0[.]0[.]1"),
+    ("to +1 (269) 555-3296 4524132264652876 and", "phone", "+1 (269) 555-3296"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind", "piece"), FOUND)
+def test_the_field_adds_other_notations(text, kind, piece):
+    spans = personal_data.all_spans(text, personal_data.PRIOR)
+    assert (kind, text.index(piece), text.index(piece) + len(piece)) in [s[:3] for s in spans]
+
+
+@pytest.mark.parametrize("text", ["on 2024-05-06 at 12:30", "pi is 3.14159 or 22/7", "in 1999 12345678 people", "v4.0.", "x@", "@@@ 1"])
+def test_plain_numbers_are_left_alone(text):
+    assert personal_data.all_spans(text, personal_data.PRIOR) == []
+
+
+def test_best_segmentation_is_the_best_of_all():
+    rng = random.Random(1)
+    for _ in range(200):
+        n = rng.randint(1, 6)
+        segments = [personal_data.Segment("ip", i, j, (f"f{rng.randint(0, 5)}",)) for i in range(n) for j in range(i + 1, n + 1) if rng.random() < 0.5]
+        weights = {f"f{k}": rng.uniform(-2, 2) for k in range(6)}
+
+        def every(at):
+            yield []
+            for s in segments:
+                if s.first >= at:
+                    yield from ([s, *more] for more in every(s.last))
+
+        value = lambda ss: sum(personal_data.score(weights, s) for s in ss)
+        choices = list(every(0))
+        assert abs(value(personal_data.best(n, segments, weights)) - max(map(value, choices))) < 1e-9
+        total = sum(np.exp(value(c)) for c in choices)
+        for s, p in zip(segments, personal_data.expected(n, segments, weights), strict=True):
+            assert abs(p - sum(np.exp(value(c)) for c in choices if s in c) / total) < 1e-9
+
+
+def test_fitting_follows_the_patterns():
+    texts = [f"see {i % 200}.7.{i % 90}.4 and joe{i}@mail.example.com or +1 (555) 123-{1000 + i}" for i in range(60)]
+    weights = personal_data.fit_windows(texts)
+    assert weights["ip:small"] >= personal_data.PRIOR["ip:small"]
+    assert personal_data.fit_windows([]) == personal_data.PRIOR
+
+
+def test_personal_table(make, nothing):
+    texts = [t for _, t, _ in odd_rows()] + [t for t, _, _ in FOUND] + ["joe@x.org 10.0.0.1 4111111111111111 é +1 (555) 123-4567"]
+    docs = make([(i, t, "s") for i, t in enumerate(texts)])
+    found = personal_data.scan(docs, personal_data.fit(docs)).withColumn("strict", F.filter("spans", lambda s: s["strict"]))
+    found = found.withColumn("digest", digest(F.concat(*[only("strict", k) for k in personal_data.KINDS])))
+    for r in found.collect():
+        want = sorted(plain_personal(texts[r.doc_id] or ""), key=lambda s: (personal_data.KINDS.index(s[0]), s[1]))
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.digest == hashlib.sha256(joined.encode()).hexdigest()
+    assert personal_data.scan(nothing, personal_data.fit(nothing)).collect() == []
+
+
+def plain_rules(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    count = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(3)}
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed)
+
+
+def test_quality_counts(make, nothing):
+    rng = random.Random(4)
+    texts = [t for _, t, _ in odd_rows()]
+    texts += [" ".join(rng.choice(["a", "b", "c#", "d|", "é x", "\n", "e."]) for _ in range(rng.randint(0, 120))) for _ in range(60)]
+    for r in quality_rules.apply_rules(make([(i, t, "s") for i, t in enumerate(texts)])).collect():
+        got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+        assert got == plain_rules(texts[r.doc_id] or "")
+        assert not (r.base_failed and r.kept)
+    assert quality_rules.apply_rules(nothing).collect() == []
+
+
+PROSE = "\n".join(" ".join(f"word{i * 13 + k * k}" for k in range(13)) + "." for i in range(12))
+
+
+@pytest.mark.parametrize(
+    ("line", "bad"),
+    [("Home | About | Contact | Help", True), ("Read more", True), ("All rights reserved.", True), ("BUY!! NOW!! CHEAP!! GOODS!! HERE!! TODAY!!", True),
+     ("spam spam spam spam spam spam spam.", True), ("some*** words&&& with%%% marks$$$ here###", True),
+     ("A plain sentence with a full stop.", False), ("a long line of plain words that simply has no mark at its end", False)],
+)
+def test_line_rules(line, bad):
+    assert quality_rules.bad_line(line.encode(), line.encode().split()) is bad
+
+
+def test_clean_prose_stays_and_menus_go(make):
+    menu = "\n".join(f"Home | Page {i} | About | Item {i * 3}" for i in range(40))
+    rows = [(1, PROSE, "s"), (2, menu, "s"), (3, PROSE + "\nAll rights reserved.\nHome | About | Help", "s"), (4, PROSE + "\n" + menu, "s")]
+    docs = make(rows)
+    assert {r.doc_id: r.kept for r in quality_rules.apply_rules(docs).collect()} == {1: True, 2: False, 3: True, 4: False}
+    clean = {r.doc_id: r.text for r in quality_rules.clean_lines(docs).collect()}
+    assert clean[3] == PROSE and clean[2] == ""
+
+
+def marked(n=400):
+    rng = random.Random(9)
+    rows, marks = [], []
+    for i in range(n):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(5, 80))]
+        bad = i % 5 == 0
+        rows.append((i, " ".join(w.upper() + "!!" if bad else w for w in words), "s"))
+        marks.append((i, 0 if bad else 1))
+    return rows, marks
+
+
+def test_ranker_learns_the_held_out_fold(spark, make):
+    rows, marks = marked()
+    docs = make(rows + [(None if i is None else 1000 + i, t, s) for i, t, s in odd_rows()])
+    labels = spark.createDataFrame(marks + [(3, None), (5, 7)], "doc_id bigint, quality int")
+    ranker = quality_ranker.fit(docs, labels)
+    scored = {r.doc_id: r.score for r in quality_ranker.score(docs, ranker).collect()}
+    assert len(scored) == len({r[0] for r in rows} | {1000 + i for i, _, _ in odd_rows() if i is not None} | {None})
+    held = [(i, m) for i, m in marks if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((scored[i] >= 0.3) == bool(m) for i, m in held) >= 0.97 * len(held)
+    assert all(0 <= s <= 1 for s in scored.values())
+    column = docs.select("doc_id", quality_ranker.score_column(ranker).alias("s")).collect()
+    assert all(abs(r.s - scored[r.doc_id]) < 1e-12 for r in column if r.doc_id != 1006)
+
+
+def test_held_out_labels_change_nothing(spark, make):
+    rows, marks = marked(200)
+    docs, kind = make(rows), "doc_id bigint, quality int"
+    flipped = [(i, 1 - m if zlib.crc32(str(i).encode()) % 5 == 0 else m) for i, m in marks]
+    one, two = (quality_ranker.fit(docs, spark.createDataFrame(m, kind)) for m in (marks, flipped))
+    assert np.array_equal(one.weights, two.weights) and one.cut == two.cut
+
+
+def test_ranker_without_marks_keeps_all(spark, make, nothing):
+    ranker = quality_ranker.fit(make(odd_rows()), spark.createDataFrame([], "doc_id bigint, quality int"))
+    assert all(r.score >= 0.3 for r in quality_ranker.score(make(odd_rows()), ranker).collect())
+    assert quality_ranker.score(nothing, ranker).collect() == []
