@@ -11,10 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.operators.upsert import latest, with_key
 
-def line_to_order(lines: DataFrame, orders: DataFrame, line_key: str, order_key: str) -> DataFrame:
-    """Every line with the order it came from, NULL where it has none."""
-    return lines.join(orders, lines[line_key] == orders[order_key], "left")
+
+def line_to_order(
+    lines: DataFrame, orders: DataFrame, line_key: str, order_key: str, newest: list[str] | None = None
+) -> DataFrame:
+    """Every line with the order it came from, NULL where it has none.
+
+    With ``newest``, the columns that order an order's repeats, only its last row counts and these
+    columns are dropped; without, ``orders`` must hold each key once. Lines without a key match
+    nothing and go around the join, as they would all meet in one task.
+    """
+    if newest is not None:
+        orders = latest(with_key(orders, [order_key]), [order_key], newest).drop(*newest)
+    keyed = lines.filter(lines[line_key].isNotNull())
+    joined = keyed.join(orders, keyed[line_key] == orders[order_key], "left")
+    return joined.unionByName(lines.filter(lines[line_key].isNull()), allowMissingColumns=True)
 
 
 def child_to_parent(

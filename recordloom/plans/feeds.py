@@ -1,10 +1,10 @@
 """Nested JSON records built from flat tables.
 
 Gives the operators real input of any size: rows become wrapped or plain records
-and child rows are nested into their parents. A list never grows with a key: rows
-are nested per block of consecutive source rows, and a parent whose
-children span several blocks appears in several records, as it may in pages read
-while data changes.
+and child rows are nested into their parents. Rows are nested by values only, in
+groups that are bounded by nature (the lines of one order) or by a range of unique
+keys that is part of the parent's id, so the same rows give the same records however
+their files are cut.
 """
 
 from __future__ import annotations
@@ -12,20 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 14  # blocks of 16,384 source rows
+from recordloom.session import shuffle_partitions
+
+SPAN_BITS = 10  # a customer's orders are nested by ranges of 1,024 order keys
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def blocked(source: DataFrame) -> DataFrame:
-    """``source`` rows with the file block they come from, the same on every read."""
-    file = F.col("_metadata.file_path")
-    index = F.shiftright(F.col("_metadata.row_index"), BLOCK_BITS)
-    return source.select("*", F.xxhash64(file, index).alias("_block"))
-
-
 def wrap(value: Column | str) -> Column:
     value = F.col(value) if isinstance(value, str) else value
     return F.struct(value.alias("value"))
@@ -50,30 +45,18 @@ def as_list(texts: Column) -> Column:
 
 
 def gather(children: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of one key and block brought together, before their text is made.
+    """Rows of one key brought together, before their text is made.
 
     Plain columns are smaller to move than their JSON, and nothing is saved by
-    collecting lists first. A hot key is spread over its blocks.
+    collecting lists first. The keys must bound their groups.
     """
-    return children.repartition(*keys, "_block")
+    return children.repartition(shuffle_partitions(children), *keys)
 
 
 def nest(gathered: DataFrame, keys: list[str], **lists: Column) -> DataFrame:
-    """One row per key and block with a sorted JSON list per entry; NULL texts are left out."""
+    """One row per key with a sorted JSON list per entry; NULL texts are left out."""
     collected = [as_list(F.array_sort(F.collect_list(text))).alias(name) for name, text in lists.items()]
-    return gathered.groupBy(*keys, "_block").agg(*collected)
-
-
-def attach(parents: DataFrame, packed: DataFrame, key: str, packed_key: str) -> DataFrame:
-    """Parents with their packed lists, and those without any.
-
-    The inner join may be split on a hot key on either side; the distinct keys
-    of the other join are reduced before they move.
-    """
-    owned = packed.join(parents, packed[packed_key] == parents[key])
-    have = packed.select(packed_key).distinct()
-    bare = parents.join(have, parents[key] == have[packed_key], "left_anti")
-    return owned.unionByName(bare, allowMissingColumns=True)
+    return gathered.groupBy(*keys).agg(*collected)
 
 
 def records(rows: DataFrame, text: Column, page: Column | str, pos: Column | str | int = 0) -> DataFrame:
@@ -114,12 +97,23 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(rows, text, "c_custkey")
 
 
+def span(key: str) -> Column:
+    return F.shiftright(F.col(key), SPAN_BITS)
+
+
 def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers ⊃ orders. By segment the list is also null, missing or empty."""
-    orders = blocked(table(spark, sf_dir, "orders"))
+    """Customers ⊃ orders, a record per range of order keys. By segment the list is also null, missing or empty.
+
+    The inner join may be split on a hot customer; customers without orders are found from the order table's keys alone.
+    """
+    orders = table(spark, sf_dir, "orders").withColumn("span", span("o_orderkey"))
     order = record(id="o_orderkey", Status=wrap("o_orderstatus"), Total=wrap("o_totalprice"))
-    packed = nest(gather(orders, ["o_custkey"]), ["o_custkey"], orders=order)
-    rows = attach(table(spark, sf_dir, "customer"), packed, "c_custkey", "o_custkey")
+    packed = nest(gather(orders, ["o_custkey", "span"]), ["o_custkey", "span"], orders=order)
+    parents = table(spark, sf_dir, "customer")
+    owned = packed.join(parents, packed.o_custkey == parents.c_custkey)
+    owners = table(spark, sf_dir, "orders").select("o_custkey")
+    bare = parents.join(owners, parents.c_custkey == owners.o_custkey, "left_anti")
+    rows = owned.unionByName(bare, allowMissingColumns=True)
     segment = F.col("c_mktsegment")
     listed = (
         F.when(segment == "AUTOMOBILE", F.lit("null"))
@@ -127,33 +121,35 @@ def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(segment == "FURNITURE", F.lit("[]"))
         .otherwise(F.coalesce("orders", F.lit("[]")))
     )
-    head = record(id="c_custkey", Name=wrap("c_name"))
-    return records(rows, with_parts(head, Orders=listed), "c_custkey", F.coalesce("_block", F.lit(0)))
+    head = record(id=F.concat_ws("-", "c_custkey", F.coalesce("span", F.lit(0))), Name=wrap("c_name"))
+    return records(rows, with_parts(head, Orders=listed), "c_custkey", F.coalesce("span", F.lit(0)))
+
+
+def flagged_id() -> Column:
+    return F.concat_ws("-", "l_orderkey", "l_returnflag")
 
 
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers ⊃ orders ⊃ lines as three-level records.
+    """Orders ⊃ return flags ⊃ lines as three-level records.
 
-    The one shuffle on customer and block serves both nestings.
+    The one shuffle on the order serves both nestings.
     """
-    lines = blocked(table(spark, sf_dir, "lineitem"))
-    owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    owned = lines.join(owners, lines.l_orderkey == owners.o_orderkey)
-    operations = nest(gather(owned, ["o_custkey"]), ["o_custkey", "o_orderkey"], lines=line_text())
-    operation = with_parts(record(id="o_orderkey"), Material=F.col("lines"))
-    nested = nest(operations, ["o_custkey"], operations=operation)
-    text = with_parts(record(id="o_custkey"), Operations=F.col("operations"))
-    return records(nested, text, "o_custkey", "_block")
+    lines = gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+    operations = nest(lines, ["l_orderkey", "l_returnflag"], lines=line_text())
+    operation = with_parts(record(id=flagged_id()), Material=F.col("lines"))
+    nested = nest(operations, ["l_orderkey"], operations=operation)
+    text = with_parts(record(id="l_orderkey"), Operations=F.col("operations"))
+    return records(nested, text, "l_orderkey")
 
 
 def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders ⊃ lines and ⊃ shipments (the lines of status F): two sibling lists."""
-    lines = blocked(table(spark, sf_dir, "lineitem"))
+    lines = gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
     shipment = F.when(F.col("l_linestatus") == "F", record(id=line_id(), Shipped=wrap("l_quantity")))
-    packed = nest(gather(lines, ["l_orderkey"]), ["l_orderkey"], details=line_text(), shipments=shipment)
+    packed = nest(lines, ["l_orderkey"], details=line_text(), shipments=shipment)
     head = record(id="l_orderkey", Kind=wrap(F.lit("SO")))
     text = with_parts(head, Details=F.col("details"), Shipments=F.col("shipments"))
-    return records(packed, text, "l_orderkey", "_block")
+    return records(packed, text, "l_orderkey")
 
 
 def stock_items(spark: SparkSession, sf_dir: str) -> DataFrame:

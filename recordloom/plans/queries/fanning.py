@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.catalogue import WRAPPED, stage_records
 from recordloom.operators.fanout import normalise, positioned
-from recordloom.operators.upsert import upsert
 from recordloom.plans import feeds
-from recordloom.plans.feeds import blocked, line_id, nest, record, records, table, with_parts, wrap
+from recordloom.plans.feeds import line_id, nest, record, records, table, with_parts, wrap
 from recordloom.plans.registry import query
 from recordloom.sources.entities import Collection, Entity
 from recordloom.sources.families import BUSINESS, MANUFACTURING
@@ -30,9 +29,10 @@ def tables(feed, entity):
 
 @query(
     """
-    SELECT o_custkey AS parent_id, o_orderkey AS operation_id, l_orderkey || '-' || l_linenumber AS id,
-           l_partkey AS inventory_id, l_quantity AS quantity, l_extendedprice AS price, l_returnflag AS flag
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    SELECT l_orderkey AS parent_id, l_orderkey || '-' || l_returnflag AS operation_id,
+           l_orderkey || '-' || l_linenumber AS id, l_partkey AS inventory_id, l_quantity AS quantity,
+           l_extendedprice AS price, l_returnflag AS flag
+    FROM lineitem
     """
 )
 def fanout_grandchild(spark, sf_dir):
@@ -42,18 +42,19 @@ def fanout_grandchild(spark, sf_dir):
 
 @query(
     """
-    SELECT DISTINCT o_custkey AS parent_id, o_orderkey AS id
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    SELECT l_orderkey AS parent_id, l_orderkey || '-' || l_returnflag AS id
+    FROM lineitem GROUP BY l_orderkey, l_returnflag
     """
 )
 def fanout_child(spark, sf_dir):
     found = tables(feeds.bills(spark, sf_dir), MANUFACTURING.entity("bill_of_material"))
-    return found["bill_of_material_operation"].distinct()  # one row per block an order's lines span
+    return found["bill_of_material_operation"]
 
 
 @query(
     """
-    SELECT o_custkey AS parent_id, o_orderkey AS id, o_orderstatus AS status, o_totalprice AS total
+    SELECT o_custkey || '-' || o_orderkey // 1024 AS parent_id, o_orderkey AS id, o_orderstatus AS status,
+           o_totalprice AS total
     FROM orders JOIN customer ON o_custkey = c_custkey
     WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
     """
@@ -64,12 +65,13 @@ def child_null_tolerant(spark, sf_dir):
 
 @query(
     """
-    SELECT c_custkey AS id, c_name AS name, CAST(NULL AS VARCHAR) AS orders FROM customer
+    SELECT c_custkey || '-' || coalesce(span, 0) AS id, c_name AS name, CAST(NULL AS VARCHAR) AS orders
+    FROM customer LEFT JOIN (SELECT DISTINCT o_custkey, o_orderkey // 1024 AS span FROM orders) ON o_custkey = c_custkey
     """
 )
 def parent_rows(spark, sf_dir):
     parents = next(read(feeds.customers_with_orders(spark, sf_dir), CUSTOMER))
-    return upsert(None, parents.rows(snake=True), ["id"], ["_at"])
+    return parents.rows(snake=True).drop("_at")
 
 
 @query(
@@ -100,7 +102,7 @@ def fanout_siblings(spark, sf_dir):
     """
 )
 def lineage_setdefault(spark, sf_dir):
-    lines = blocked(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     flag = F.col("l_returnflag")
     part = wrap("l_partkey")
     line = (
@@ -111,4 +113,4 @@ def lineage_setdefault(spark, sf_dir):
     packed = nest(feeds.gather(lines, ["l_orderkey"]), ["l_orderkey"], lines=line)
     text = with_parts(record(id="l_orderkey"), Details=F.col("lines"))
     entity = BUSINESS.entity("bill")
-    return tables(records(packed, text, "l_orderkey", "_block"), entity)["bill_detail"]
+    return tables(records(packed, text, "l_orderkey"), entity)["bill_detail"]

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.operators.audit import count_tables, freshness, inventory
+from recordloom.operators.audit import freshness, inventory
 from recordloom.operators.audit import entity_profile as profile_of
 from recordloom.operators.audit import sync_counts as counts_of
 from recordloom.operators.catalogue import stage_records
@@ -15,7 +15,6 @@ from recordloom.operators.fanout import positioned, survey
 from recordloom.operators.flatten import flatten_once
 from recordloom.plans import feeds
 from recordloom.plans.feeds import record, records, table, wrap
-from recordloom.plans.queries.fanning import read
 from recordloom.plans.registry import query
 from recordloom.sources.families import BUSINESS, FAMILIES, MANUFACTURING
 
@@ -41,8 +40,8 @@ def sync_counts(spark, sf_dir):
     materials = F.array(*[F.struct(F.col(c).alias("id")) for c in ("l_partkey", "l_suppkey")])
     operations = F.array(F.struct(F.col("l_orderkey").alias("id"), materials.alias("Material")))
     kept = F.when(F.col("l_returnflag") != "R", operations)
-    lines = feeds.blocked(table(spark, sf_dir, "lineitem"))
-    bills = records(lines, record(id=feeds.line_id(), Operations=kept), "l_orderkey", "_block")
+    lines = table(spark, sf_dir, "lineitem")
+    bills = records(lines, record(id=feeds.line_id(), Operations=kept), "l_orderkey", "l_linenumber")
     staged, merged = stage_records(bills, "bill_of_material")
     known = survey(positioned(staged), MANUFACTURING.entity("bill_of_material"), merged=merged)
     return spark.createDataFrame(counts_of(known), "table_name string, row_count bigint")
@@ -95,69 +94,136 @@ def entity_profile(spark, sf_dir):
     return reduce(DataFrame.unionByName, profiles)
 
 
-# The declared tables, children written as child<parent.
-DECLARED_SQL = """
-    WITH lists AS (
-        SELECT 'manufacturing' AS family, regexp_split_to_array('bill_of_material bill_of_material_operation<bill_of_material
-            bill_of_material_material<bill_of_material production_order production_order_detail labor_entry
-            labor_entry_detail<labor_entry material_entry material_entry_detail<material_entry work_center machine
-            shift', '[ \\n]+') AS names
-        UNION ALL
-        SELECT 'business', regexp_split_to_array('account bill bill_detail<bill currency financial_period
-            financial_period_detail<financial_period invoice invoice_detail<invoice journal_transaction
-            journal_transaction_detail<journal_transaction ledger payment payment_method sub_account tax_category
-            tax_category_detail<tax_category tax_zone contact contact_attribute<contact employee
-            employee_attribute<employee sales_person customer customer_contact<customer customer_attribute<customer
-            customer_class customer_location sales_invoice sales_invoice_detail<sales_invoice sales_order
-            sales_order_detail<sales_order sales_order_shipment<sales_order sales_order_tax_detail<sales_order
-            shipment shipment_detail<shipment shipment_package<shipment purchase_order
-            purchase_order_detail<purchase_order purchase_order_tax_detail<purchase_order purchase_receipt
-            purchase_receipt_detail<purchase_receipt vendor vendor_contact<vendor vendor_attribute<vendor
-            vendor_class inventory_issue inventory_issue_detail<inventory_issue inventory_receipt
-            inventory_receipt_detail<inventory_receipt non_stock_item non_stock_item_attribute<non_stock_item
-            non_stock_item_cross_ref<non_stock_item physical_inventory_review
-            physical_inventory_review_detail<physical_inventory_review stock_item stock_item_attribute<stock_item
-            stock_item_warehouse_detail<stock_item stock_item_cross_ref<stock_item
-            stock_item_replenishment<stock_item warehouse warehouse_location<warehouse item_class
-            units_of_measure', '[ \\n]+')
-        UNION ALL
-        SELECT 'projects', regexp_split_to_array('account job task contact event location payment cost_item daily_log
-            comment document file', '[ \\n]+')
-    ),
-    named AS (SELECT family, unnest(names) AS name, generate_subscripts(names, 1) - 1 AS position FROM lists),
+# Family, table, position and entity of the declared tables.
+DECLARED = """
+        ('manufacturing', 'bill_of_material', 0, 'bill_of_material'),
+        ('manufacturing', 'bill_of_material_operation', 1, 'bill_of_material'),
+        ('manufacturing', 'bill_of_material_material', 2, 'bill_of_material'),
+        ('manufacturing', 'production_order', 3, 'production_order'),
+        ('manufacturing', 'production_order_detail', 4, 'production_order_detail'),
+        ('manufacturing', 'labor_entry', 5, 'labor_entry'),
+        ('manufacturing', 'labor_entry_detail', 6, 'labor_entry'),
+        ('manufacturing', 'material_entry', 7, 'material_entry'),
+        ('manufacturing', 'material_entry_detail', 8, 'material_entry'),
+        ('manufacturing', 'work_center', 9, 'work_center'),
+        ('manufacturing', 'machine', 10, 'machine'),
+        ('manufacturing', 'shift', 11, 'shift'),
+        ('business', 'account', 0, 'account'),
+        ('business', 'bill', 1, 'bill'),
+        ('business', 'bill_detail', 2, 'bill'),
+        ('business', 'currency', 3, 'currency'),
+        ('business', 'financial_period', 4, 'financial_period'),
+        ('business', 'financial_period_detail', 5, 'financial_period'),
+        ('business', 'invoice', 6, 'invoice'),
+        ('business', 'invoice_detail', 7, 'invoice'),
+        ('business', 'journal_transaction', 8, 'journal_transaction'),
+        ('business', 'journal_transaction_detail', 9, 'journal_transaction'),
+        ('business', 'ledger', 10, 'ledger'),
+        ('business', 'payment', 11, 'payment'),
+        ('business', 'payment_method', 12, 'payment_method'),
+        ('business', 'sub_account', 13, 'sub_account'),
+        ('business', 'tax_category', 14, 'tax_category'),
+        ('business', 'tax_category_detail', 15, 'tax_category'),
+        ('business', 'tax_zone', 16, 'tax_zone'),
+        ('business', 'contact', 17, 'contact'),
+        ('business', 'contact_attribute', 18, 'contact'),
+        ('business', 'employee', 19, 'employee'),
+        ('business', 'employee_attribute', 20, 'employee'),
+        ('business', 'sales_person', 21, 'sales_person'),
+        ('business', 'customer', 22, 'customer'),
+        ('business', 'customer_contact', 23, 'customer'),
+        ('business', 'customer_attribute', 24, 'customer'),
+        ('business', 'customer_class', 25, 'customer_class'),
+        ('business', 'customer_location', 26, 'customer_location'),
+        ('business', 'sales_invoice', 27, 'sales_invoice'),
+        ('business', 'sales_invoice_detail', 28, 'sales_invoice'),
+        ('business', 'sales_order', 29, 'sales_order'),
+        ('business', 'sales_order_detail', 30, 'sales_order'),
+        ('business', 'sales_order_shipment', 31, 'sales_order'),
+        ('business', 'sales_order_tax_detail', 32, 'sales_order'),
+        ('business', 'shipment', 33, 'shipment'),
+        ('business', 'shipment_detail', 34, 'shipment'),
+        ('business', 'shipment_package', 35, 'shipment'),
+        ('business', 'purchase_order', 36, 'purchase_order'),
+        ('business', 'purchase_order_detail', 37, 'purchase_order'),
+        ('business', 'purchase_order_tax_detail', 38, 'purchase_order'),
+        ('business', 'purchase_receipt', 39, 'purchase_receipt'),
+        ('business', 'purchase_receipt_detail', 40, 'purchase_receipt'),
+        ('business', 'vendor', 41, 'vendor'),
+        ('business', 'vendor_contact', 42, 'vendor'),
+        ('business', 'vendor_attribute', 43, 'vendor'),
+        ('business', 'vendor_class', 44, 'vendor_class'),
+        ('business', 'inventory_issue', 45, 'inventory_issue'),
+        ('business', 'inventory_issue_detail', 46, 'inventory_issue'),
+        ('business', 'inventory_receipt', 47, 'inventory_receipt'),
+        ('business', 'inventory_receipt_detail', 48, 'inventory_receipt'),
+        ('business', 'non_stock_item', 49, 'non_stock_item'),
+        ('business', 'non_stock_item_attribute', 50, 'non_stock_item'),
+        ('business', 'non_stock_item_cross_ref', 51, 'non_stock_item'),
+        ('business', 'physical_inventory_review', 52, 'physical_inventory_review'),
+        ('business', 'physical_inventory_review_detail', 53, 'physical_inventory_review'),
+        ('business', 'stock_item', 54, 'stock_item'),
+        ('business', 'stock_item_attribute', 55, 'stock_item'),
+        ('business', 'stock_item_warehouse_detail', 56, 'stock_item'),
+        ('business', 'stock_item_cross_ref', 57, 'stock_item'),
+        ('business', 'stock_item_replenishment', 58, 'stock_item'),
+        ('business', 'warehouse', 59, 'warehouse'),
+        ('business', 'warehouse_location', 60, 'warehouse'),
+        ('business', 'item_class', 61, 'item_class'),
+        ('business', 'units_of_measure', 62, 'units_of_measure'),
+        ('projects', 'account', 0, 'account'),
+        ('projects', 'job', 1, 'job'),
+        ('projects', 'task', 2, 'task'),
+        ('projects', 'contact', 3, 'contact'),
+        ('projects', 'event', 4, 'event'),
+        ('projects', 'location', 5, 'location'),
+        ('projects', 'payment', 6, 'payment'),
+        ('projects', 'cost_item', 7, 'cost_item'),
+        ('projects', 'daily_log', 8, 'daily_log'),
+        ('projects', 'comment', 9, 'comment'),
+        ('projects', 'document', 10, 'document'),
+        ('projects', 'file', 11, 'file')
+"""
+
+DECLARED_SQL = f"""
+    WITH declared(family, table_name, position, entity) AS (VALUES {DECLARED}),
     counted AS (
         SELECT 'business' AS family, 'customer' AS table_name, count(*) AS n FROM customer
         UNION ALL SELECT 'business', 'vendor', count(*) FROM supplier
         UNION ALL SELECT 'business', 'stock_item', count(*) FROM part
         UNION ALL SELECT 'business', 'sales_order', count(DISTINCT l_orderkey) FROM lineitem
-        UNION ALL SELECT 'business', 'sales_order_detail', count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
-        UNION ALL SELECT 'business', 'sales_order_shipment', count(DISTINCT (l_orderkey, l_linenumber))
-                  FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 'business', 'sales_order_detail', count(*) FROM lineitem
+        UNION ALL SELECT 'business', 'sales_order_shipment', count(*) FROM lineitem WHERE l_linestatus = 'F'
         UNION ALL SELECT 'projects', 'event', count(*) FROM events
+        UNION ALL SELECT 'manufacturing', 'bill_of_material', count(DISTINCT l_orderkey) FROM lineitem
+        UNION ALL SELECT 'manufacturing', 'bill_of_material_operation', count(DISTINCT (l_orderkey, l_returnflag))
+                  FROM lineitem
+        UNION ALL SELECT 'manufacturing', 'bill_of_material_material', count(*) FROM lineitem
     )
-    SELECT family, table_name, position,
-           CASE WHEN name LIKE '%<%' THEN split_part(name, '<', 2) ELSE name END AS entity,
-           'id' AS primary_key, coalesce(n, 0) AS row_count
-    FROM (SELECT *, split_part(name, '<', 1) AS table_name FROM named) LEFT JOIN counted USING (family, table_name)
+    SELECT family, table_name, position, entity, 'id' AS primary_key, coalesce(n, 0) AS row_count
+    FROM declared LEFT JOIN counted USING (family, table_name)
     """
 
 
 @query(DECLARED_SQL)
 def declared_tables(spark, sf_dir):
-    """Every declared table with its key, and the rows the given data has for it."""
-    feeds_by_family = {
+    """Every declared table with its key, and the rows a run would emit for it from the given data.
+
+    The counts come from the pass that surveys a feed; nothing is shuffled for them.
+    """
+    found = {
+        "manufacturing": {"bill_of_material": feeds.bills(spark, sf_dir)},
         "business": business_feeds(spark, sf_dir),
         "projects": {"event": feeds.events(spark, sf_dir)},
     }
-    counts = []
+    counts = {}
     for family in FAMILIES:
-        for name, feed in feeds_by_family.get(family.name, {}).items():
-            found = read(feed, family.entity(name), family.dialect)
-            keys = {t.table: t.rows().select("id").distinct() for t in found if t.tally.keyed}
-            counts.append(count_tables(keys).withColumn("family", F.lit(family.name)))
-    declared = spark.createDataFrame(
-        [(*row, position) for f in FAMILIES for position, row in enumerate(f.declared_tables())],
-        "family string, table_name string, entity string, primary_key string, position bigint",
-    )
-    joined = declared.join(reduce(DataFrame.unionByName, counts), ["family", "table_name"], "left")
-    return joined.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+        for name, feed in found[family.name].items():
+            staged, merged = stage_records(feed, name)
+            known = survey(positioned(staged), family.entity(name), family.dialect, merged)
+            counts.update({(family.name, table): n for table, n in counts_of(known)})
+    declared = [
+        (*row, position, counts.get(row[:2], 0)) for f in FAMILIES for position, row in enumerate(f.declared_tables())
+    ]
+    schema = "family string, table_name string, entity string, primary_key string, position bigint, row_count bigint"
+    return spark.createDataFrame(declared, schema)

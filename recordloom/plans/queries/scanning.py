@@ -56,7 +56,7 @@ def scan_offset_pages(spark, sf_dir):
     text = record(id="o_orderkey", Total=feeds.wrap("o_totalprice"))
     source = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     lists = stage(paged(source, text, ["o_orderkey"]), "pages")
-    records, _ = scan_staged(decode(with_strays(lists, F.col("list")), "offset"))
+    records, *_ = scan_staged(decode(with_strays(lists, F.col("list")), "offset"))
     flat = flatten(records, snake=True, carry=["page", "pos"])
     return flat.withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -71,7 +71,7 @@ def scan_envelope(spark, sf_dir):
     lists = stage(paged(table(spark, sf_dir, "customer"), text, ["c_custkey"]), "pages")
     even = F.col("page") % 2 == 0
     body = F.when(even, envelope(F.col("list"))).otherwise(F.col("list"))
-    records, _ = scan_staged(decode(with_strays(lists, body), "offset"))
+    records, *_ = scan_staged(decode(with_strays(lists, body), "offset"))
     return flatten(records, snake=True)
 
 
@@ -87,7 +87,7 @@ def scan_cursor_pages(spark, sf_dir):
     last = lists.agg(F.max("page")).first()[0]
     following = F.when(F.col("page") < last, F.col("page") + 1)
     body = cursor_body(F.col("list"), "events", following)
-    records, _ = scan_staged(decode(with_strays(lists, body), "cursor", "events"))
+    records, *_ = scan_staged(decode(with_strays(lists, body), "cursor", "events"))
     return flatten(records, dialect="plain")
 
 

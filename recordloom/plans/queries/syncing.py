@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.functions.naming import snake_case
 from recordloom.operators.audit import operation_summary
 from recordloom.plans import feeds
 from recordloom.plans.feeds import table
-from recordloom.plans.queries.reporting import business_feeds
+from recordloom.plans.queries.reporting import DECLARED, business_feeds
 from recordloom.plans.queries.scanning import paged
 from recordloom.plans.registry import query
 from recordloom.plans.sync import SyncFailed, given, landed, sync
@@ -16,7 +21,7 @@ from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Family
 from recordloom.sources.families import BUSINESS, MANUFACTURING, PROJECTS
 from recordloom.sources.pages import cursor_body, write_packed_pages
-from recordloom.streaming.ingest import ingest, page_stream
+from recordloom.streaming.ingest import ingest, landing_stream, page_stream
 
 
 def new_store(spark):
@@ -29,22 +34,63 @@ def new_store(spark):
     UNION ALL SELECT 'vendor', count(*), count(*) FROM supplier
     UNION ALL SELECT 'stock_item', count(*), count(*) FROM part
     UNION ALL SELECT 'event', count(*), count(*) FROM events
+    UNION ALL SELECT 'sales_order', count(DISTINCT l_orderkey), count(DISTINCT l_orderkey) FROM lineitem
     UNION ALL SELECT 'sales_order_detail', count(*), count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
     UNION ALL SELECT 'sales_order_shipment', count(*), count(DISTINCT (l_orderkey, l_linenumber))
               FROM lineitem WHERE l_linestatus = 'F'
-    UNION ALL SELECT 'bill_of_material_material', count(*), count(DISTINCT (l_orderkey, l_linenumber))
-              FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    UNION ALL SELECT 'bill_of_material', count(DISTINCT l_orderkey), count(DISTINCT l_orderkey) FROM lineitem
+    UNION ALL SELECT 'bill_of_material_operation', count(DISTINCT (l_orderkey, l_returnflag)),
+              count(DISTINCT (l_orderkey, l_returnflag)) FROM lineitem
+    UNION ALL SELECT 'bill_of_material_material', count(*), count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
     """
 )
 def sync_all_counts(spark, sf_dir):
-    """All three families into one store; tables whose rows are not split over blocks."""
+    """All three families into one store; every table that got rows."""
     store = new_store(spark)
     sync(store, MANUFACTURING, given({"bill_of_material": feeds.bills(spark, sf_dir)}))
     sync(store, BUSINESS, given(business_feeds(spark, sf_dir)))
     sync(store, PROJECTS, given({"event": feeds.events(spark, sf_dir)}))
-    split = ("bill_of_material", "bill_of_material_operation", "sales_order")
     done = store.commits().filter("status = 'committed' AND upserts > 0")
-    return done.filter(~F.col("table_name").isin(*split)).select("table_name", "upserts", "row_count")
+    return done.select("table_name", "upserts", "row_count")
+
+
+@query(
+    """
+    SELECT 'business' AS family, 'account' AS table_name, n_nationkey::BIGINT AS id, n_name AS name FROM nation
+    UNION ALL SELECT 'projects', 'account', r_regionkey, r_name FROM region
+    UNION ALL SELECT 'business', 'contact', c_custkey, c_name FROM customer
+    UNION ALL SELECT 'projects', 'contact', s_suppkey, s_name FROM supplier
+    UNION ALL SELECT 'business', 'payment', o_orderkey, o_orderstatus FROM orders
+    UNION ALL SELECT 'projects', 'payment', event_id, event_type FROM events
+    """
+)
+def sync_shared_names(spark, sf_dir):
+    """Two families that declare tables of the same names, in one store."""
+    kinds = {
+        ("business", "account"): ("nation", "n_nationkey", "n_name", "Description"),
+        ("projects", "account"): ("region", "r_regionkey", "r_name", "name"),
+        ("business", "contact"): ("customer", "c_custkey", "c_name", "DisplayName"),
+        ("projects", "contact"): ("supplier", "s_suppkey", "s_name", "name"),
+        ("business", "payment"): ("orders", "o_orderkey", "o_orderstatus", "Status"),
+        ("projects", "payment"): ("events", "event_id", "event_type", "type"),
+    }
+    store = new_store(spark)
+    for family in (BUSINESS, PROJECTS):
+        frames = {}
+        for (owner, name), (source, key, text, label) in kinds.items():
+            if owner == family.name:
+                value = feeds.wrap(text) if family is BUSINESS else F.col(text)
+                rows = table(spark, sf_dir, source)
+                frames[name] = feeds.records(rows, feeds.record(id=key, **{label: value}), key)
+        only = tuple(family.entity(name) for name in frames)
+        sync(store, replace(family, entities=only), given(frames))
+    found = []
+    for (family, name), (*_, label) in kinds.items():
+        rows = store.table(name, family)
+        column = snake_case(label)
+        shown = F.col(column) if column in rows.columns else F.lit(None).cast("string")
+        found.append(rows.select(F.lit(family).alias("family"), F.lit(name).alias("table_name"), "id", shown.alias("name")))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(
@@ -94,18 +140,22 @@ def audit_status(spark, sf_dir):
 
 
 @query(
-    """
-    WITH counted AS (
-        SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM part) AS n)
-    SELECT 'upserts' AS operation, n AS operations FROM counted
+    f"""
+    WITH declared(family, table_name, position, entity) AS (VALUES {DECLARED}),
+    tables AS (
+        SELECT count(*) AS n FROM customer UNION ALL SELECT count(*) FROM supplier UNION ALL SELECT count(*) FROM part
+        UNION ALL SELECT count(DISTINCT l_orderkey) FROM lineitem UNION ALL SELECT count(*) FROM lineitem
+        UNION ALL SELECT count(*) FROM lineitem WHERE l_linestatus = 'F')
+    SELECT 'upserts' AS operation, sum(n)::BIGINT AS operations FROM tables
     UNION ALL SELECT 'updates', 0 UNION ALL SELECT 'deletes', 0 UNION ALL SELECT 'truncates', 0
-    UNION ALL SELECT 'schema_changes', 3 UNION ALL SELECT 'checkpoints', 3
+    UNION ALL SELECT 'schema_changes', count(*) FROM tables WHERE n > 0
+    UNION ALL SELECT 'checkpoints', count(DISTINCT entity) FROM declared WHERE family = 'business'
     """
 )
 def op_summary(spark, sf_dir):
+    """One run of the business family: a table made is a schema change, an entity scanned a checkpoint."""
     store = new_store(spark)
-    feed = {k: f for k, f in business_feeds(spark, sf_dir).items() if k != "sales_order"}
-    sync(store, BUSINESS, given(feed))
+    sync(store, BUSINESS, given(business_feeds(spark, sf_dir)))
     return operation_summary(store.commits())
 
 
@@ -133,31 +183,101 @@ def stream_upsert(spark, sf_dir):
     return store.table("event").drop("_synced_at")
 
 
+def event_landing(spark, events, folder, landing):
+    """Cursor pages of events as one landing."""
+    lists = stage(paged(events, feeds.event_text(), ["event_id"]), "pages")
+    last = lists.agg(F.max("page")).first()[0]
+    following = F.when(F.col("page") < last, F.col("page") + 1)
+    pages = lists.select("page", cursor_body(F.col("list"), "events", following).alias("body"))
+    pages.write.parquet(f"{folder}/run_id={landing}")
+
+
+LANDINGS_SQL = """
+    SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN event_type ELSE 'pending' END AS type,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
+           user_id AS organization_id, 'user ' || user_id AS organization_name
+    FROM events
+    """
+
+
+def two_landings(spark, sf_dir):
+    """An older landing of all events, still pending, and a newer one of every third, on earlier pages."""
+    folder = f"{scratch(spark, 'landings')}/entity=events"
+    source = table(spark, sf_dir, "events")
+    event_landing(spark, source.withColumn("event_type", F.lit("pending")), folder, 1)
+    event_landing(spark, source.filter("event_id % 3 = 0"), folder, 2)
+    return folder
+
+
+@query(LANDINGS_SQL)
+def stream_two_landings(spark, sf_dir):
+    """Two landings wait for one trigger: the newer row wins wherever its page stands."""
+    folder, store = two_landings(spark, sf_dir), new_store(spark)
+    stream = landing_stream(spark, folder)
+    ingest(stream, store, PROJECTS, PROJECTS.entity("event"), scratch(spark, "checkpoint")).awaitTermination()
+    return store.table("event").drop("_synced_at")
+
+
+@query(LANDINGS_SQL)
+def batch_two_landings(spark, sf_dir):
+    """The same two landings read by one batch run."""
+    folder, store = two_landings(spark, sf_dir), new_store(spark)
+    family = replace(PROJECTS, entities=(PROJECTS.entity("event"),))
+    sync(store, family, landed(spark, folder.removesuffix("/entity=events"), family))
+    return store.table("event").drop("_synced_at")
+
+
 @query(
     """
-    SELECT table_name, upserts, quarantined FROM (
-        SELECT 'bill' AS table_name, count(DISTINCT l_orderkey) AS upserts, 0 AS quarantined FROM lineitem
-        UNION ALL
-        SELECT 'bill_detail', count(*) FILTER (l_returnflag = 'A'), count(*) FILTER (l_returnflag <> 'A')
-        FROM lineitem)
+    SELECT 'bill' AS table_name, count(DISTINCT l_orderkey) AS upserts, 0::BIGINT AS quarantined FROM lineitem
+    UNION ALL
+    SELECT 'bill_detail', count(*) FILTER (l_returnflag = 'A'), count(*) FILTER (l_returnflag <> 'A') FROM lineitem
     """
 )
 def quarantine_rows(spark, sf_dir):
     """Lines that are no objects (N) or have no id (R) are set aside and counted."""
-    lines = feeds.blocked(table(spark, sf_dir, "lineitem"))
     flag = F.col("l_returnflag")
     text = F.when(flag == "N", F.to_json(F.array("l_partkey"))).when(
         flag == "R", feeds.record(Part=feeds.wrap("l_partkey"))
     )
-    packed = feeds.nest(feeds.gather(lines, ["l_orderkey"]), ["l_orderkey"], lines=F.coalesce(text, feeds.line_text()))
+    lines = feeds.gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+    packed = feeds.nest(lines, ["l_orderkey"], lines=F.coalesce(text, feeds.line_text()))
     bill = feeds.with_parts(feeds.record(id="l_orderkey"), Details=F.col("lines"))
     store = new_store(spark)
     family = Family("purchases", BUSINESS.dialect, BUSINESS.paging, (BUSINESS.entity("bill"),))
-    sync(store, family, given({"bill": feeds.records(packed, bill, "l_orderkey", "_block")}))
-    aside = store.quarantined().groupBy(F.col("table").alias("table_name"))
-    aside = aside.agg(F.count("*").alias("quarantined"))
-    commits = store.commits().select("table_name", F.col("upserts"))
-    both = commits.join(aside, "table_name", "left")
-    rows = store.table("bill").agg(F.count("*").alias("rows"))
-    parents = F.when(F.col("table_name") == "bill", rows.scalar()).otherwise(F.col("upserts"))
-    return both.select("table_name", parents.alias("upserts"), F.coalesce("quarantined", F.lit(0)).alias("quarantined"))
+    sync(store, family, given({"bill": feeds.records(packed, bill, "l_orderkey")}))
+    return with_rows_aside(store)
+
+
+def with_rows_aside(store):
+    """Upserts of the log, and the rows that were really set aside; the log must count as many."""
+    aside = store.quarantined().groupBy(F.col("table").alias("table_name")).agg(F.count("*").alias("aside"))
+    both = store.commits().select("table_name", "upserts", F.col("quarantined").alias("logged"))
+    both = both.join(aside, "table_name", "left")
+    agreed = F.when(F.col("logged") == F.coalesce("aside", F.lit(0)), F.col("logged"))
+    return both.select("table_name", "upserts", agreed.alias("quarantined"))
+
+
+@query(
+    """
+    SELECT 'bill_of_material' AS table_name, count(DISTINCT l_orderkey) AS upserts, 0::BIGINT AS quarantined FROM lineitem
+    UNION ALL
+    SELECT 'bill_of_material_operation', count(DISTINCT (l_orderkey, l_returnflag)), 0 FROM lineitem
+    UNION ALL
+    SELECT 'bill_of_material_material', count(*) FILTER (l_returnflag = 'A'),
+           count(DISTINCT (l_orderkey, l_returnflag)) FILTER (l_returnflag <> 'A') FROM lineitem
+    """
+)
+def quarantine_grandchildren(spark, sf_dir):
+    """Grandchild lists that are an object (N) or a text (R) are set aside with their operation, and counted."""
+    lines = feeds.gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+    operations = feeds.nest(lines, ["l_orderkey", "l_returnflag"], lines=feeds.line_text())
+    flag = F.col("l_returnflag")
+    material = F.when(flag == "A", F.col("lines")).when(flag == "N", F.lit('{"id":3}')).otherwise(F.lit('"x"'))
+    operation = feeds.with_parts(feeds.record(id=feeds.flagged_id()), Material=material)
+    nested = feeds.nest(operations, ["l_orderkey"], operations=operation)
+    text = feeds.with_parts(feeds.record(id="l_orderkey"), Operations=F.col("operations"))
+    store = new_store(spark)
+    family = replace(MANUFACTURING, entities=(MANUFACTURING.entity("bill_of_material"),))
+    sync(store, family, given({"bill_of_material": feeds.records(nested, text, "l_orderkey")}))
+    return with_rows_aside(store)
