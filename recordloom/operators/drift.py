@@ -23,13 +23,38 @@ def common_types(*tables: DataFrame) -> dict[str, str]:
     return {name: widest(types) for name, types in found.items()}
 
 
+FRACTIONS = ("double", "float")
+PLAIN = "decimal(38,18)"
+
+
+def as_text(value: Column, type_: str) -> Column:
+    """Text of a value, the same whether its column is text from the start or becomes it later.
+
+    Fractions are written out in digits where these say the number exactly, as their JSON text does; others, too large or
+    too small for that, keep their exponent.
+    """
+    if type_ not in FRACTIONS:
+        return value.cast("string")
+    digits = F.try_cast(value, PLAIN) if hasattr(F, "try_cast") else value.try_cast(PLAIN)
+    plain = F.regexp_replace(F.regexp_replace(digits.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(plain.cast("double") == value, plain).otherwise(value.cast("string"))
+
+
+def widened(column: Column, from_type: str, to_type: str) -> Column:
+    return as_text(column, from_type) if to_type == "string" else column.cast(to_type)
+
+
 def align(*tables: DataFrame) -> list[DataFrame]:
     """The tables with the same columns and types; what one lacks is NULL."""
     types = common_types(*tables)
     return [
         table.select(
             *[
-                (F.col(f"`{name}`") if name in table.columns else F.lit(None)).cast(type_).alias(name)
+                (
+                    widened(F.col(f"`{name}`"), table.schema[name].dataType.simpleString(), type_)
+                    if name in table.columns
+                    else F.lit(None).cast(type_)
+                ).alias(name)
                 for name, type_ in types.items()
             ]
         )
@@ -49,3 +74,8 @@ def renamed(*names: str) -> Column:
 
 def added_columns(old: DataFrame | None, new: DataFrame) -> list[str]:
     return [c for c in new.columns if old is None or c not in old.columns]
+
+
+def changed_columns(old: DataFrame, new: DataFrame) -> list[str]:
+    """Columns of both whose type is another one."""
+    return [c for c in old.columns if c in new.columns and old.schema[c].dataType != new.schema[c].dataType]

@@ -155,8 +155,12 @@ def _explode(top: DataFrame, hops: tuple[Hop, ...], types: list[str] | None) ->
 
 
 def positioned(records: DataFrame, run: int = 0) -> DataFrame:
-    """``page, pos, v`` records with their full place; children count from there."""
-    known = {"_run": F.lit(run), "_page": F.col("page"), "_pos": F.col("pos")}
+    """``page, pos, v`` records with their full place; children count from there.
+
+    Records of several landings are ordered by ``run_id`` first; else all are of ``run``.
+    """
+    landing = F.col("run_id") if "run_id" in records.columns else F.lit(run)
+    known = {"_run": landing, "_page": F.col("page"), "_pos": F.col("pos")}
     levels = [known.get(level, F.lit(0)).cast("bigint").alias(level) for level in PLACE]
     return records.select(*levels, "v")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recordloom.operators.drift import align
+from recordloom.operators.drift import align, widened
 from recordloom.session import stage
 
 
@@ -70,4 +70,5 @@ def upsert(
 
 def _like(key_rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """Key rows with the key types of ``table``."""
-    return key_rows.select(*[F.col(k).cast(table.schema[k].dataType).alias(k) for k in keys])
+    types = {k: (key_rows.schema[k].dataType.simpleString(), table.schema[k].dataType.simpleString()) for k in keys}
+    return key_rows.select(*[widened(F.col(k), *types[k]).alias(k) for k in keys])

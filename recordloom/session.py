@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,26 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/recordloom/{label}-{uuid.uuid4().hex}"
 
 
+STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Folders staged inside are removed at the end; nothing read from them may be used after it.
+
+    Threads belong to it if they run in a copy of its context.
+    """
+    paths: list[str] = []
+    token = STAGED.set(paths)
+    try:
+        yield
+    finally:
+        STAGED.reset(token)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -57,15 +78,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     are written shredded, so a later pass reads only the paths it extracts.
     """
     path = scratch(df.sparkSession, label)
+    kept = STAGED.get()
+    if kept is not None:
+        kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 SHUFFLE_PARTITION_BYTES = 128 << 20
 ENCODED_GROWTH = 4  # rows in a shuffle against the same rows in compressed Parquet
+UNKNOWN_BYTES = 1 << 60  # a size from here on means that Spark does not know it
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+def shuffle_partitions(*inputs: DataFrame) -> int:
+    """Partitions a shuffle of these inputs needs, no fewer than the session's setting."""
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs]
+    known = sum(size for size in sizes if size < UNKNOWN_BYTES)
+    least = int(inputs[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(known * ENCODED_GROWTH / SHUFFLE_PARTITION_BYTES))
+
+
 @contextmanager
 def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
     """Shuffles inside start with partitions that fit in memory for these inputs.
@@ -75,9 +108,7 @@ def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
     Spark knows without a job.
     """
     spark = inputs[0].sparkSession
-    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    count = max(least, math.ceil(size * ENCODED_GROWTH / SHUFFLE_PARTITION_BYTES))
+    count = shuffle_partitions(*inputs)
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     spark.conf.set(INITIAL_PARTITIONS, str(count))
     try:

@@ -1,28 +1,35 @@
 """Normalised tables as Parquet versions, published through a commit log.
 
-A run writes each changed table as a new version folder and then appends one
-small file to the commit log naming the versions of one entity's tables. Readers
-take versions from the log only, so all tables of an entity change at once, a run
-that dies leaves no trace readers can see, and no file is changed in place. One
-run at a time may write to a store.
+A table's rows are spread over a fixed number of buckets by a hash of their key. A run writes the buckets its rows fall into
+as a new version folder; the commit log then maps every bucket to the version that holds it, so what a run does not touch
+is neither read nor written. Readers take versions from the log only: all tables of an entity change at once, a run that dies
+leaves no trace readers can see, and no file is changed in place. Rows set aside are versions too, named by the same log
+entry. Tables are kept by family and name. One run at a time may write to a store.
 """
 
 from __future__ import annotations
 
+import json
 import threading
+import uuid
+from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.operators.drift import added_columns
+from recordloom.operators.drift import added_columns, as_text, changed_columns, union_drift
 from recordloom.operators.upsert import upsert
 from recordloom.sources.entities import KEY
 
+BUCKETS = 16  # of a new table; the log keeps the number a table was begun with
+BUCKET = "_bucket"
+
 COMMIT_FIELDS = pa.schema(
     [
         ("run", pa.int64()),
         ("position", pa.int32()),
+        ("family", pa.string()),
         ("entity", pa.string()),
         ("table_name", pa.string()),
         ("status", pa.string()),
@@ -30,22 +37,49 @@ COMMIT_FIELDS = pa.schema(
         ("upserts", pa.int64()),
         ("row_count", pa.int64()),
         ("quarantined", pa.int64()),
+        ("quarantine", pa.string()),
         ("schema_changes", pa.int32()),
         ("collisions", pa.int32()),
+        ("unread_pages", pa.int64()),
+        ("unread_from", pa.string()),
         ("error", pa.string()),
     ]
 )
 COMMIT_SCHEMA = (
-    "run bigint, position int, entity string, table_name string, status string, version string, "
-    "upserts bigint, row_count bigint, quarantined bigint, schema_changes int, collisions int, "
-    "error string, at timestamp"
+    "run bigint, position int, family string, entity string, table_name string, status string, version string, "
+    "upserts bigint, row_count bigint, quarantined bigint, quarantine string, schema_changes int, collisions int, "
+    "unread_pages bigint, unread_from string, error string, at timestamp"
 )
 
 
+@dataclass
+class Version:
+    """Which folder holds each bucket of a table, and how many rows; logged as JSON."""
+
+    buckets: int
+    parts: dict[int, tuple[str, int]] = field(default_factory=dict)
+
+    @property
+    def row_count(self) -> int:
+        return sum(rows for _, rows in self.parts.values())
+
+    def only(self, buckets: set[int]) -> Version:
+        return Version(self.buckets, {b: part for b, part in self.parts.items() if b in buckets})
+
+    def to_json(self) -> str:
+        return json.dumps({"buckets": self.buckets, "parts": self.parts})
+
+    @staticmethod
+    def from_json(text: str) -> Version:
+        found = json.loads(text)
+        return Version(found["buckets"], {int(b): tuple(part) for b, part in found["parts"].items()})
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self._log = f"{self.root}/_commits"
         self._lock = threading.Lock()
 
@@ -54,49 +88,91 @@ class TableStore:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
 
-    def versions(self) -> dict[str, str]:
-        """Current version folder of each table (one entry per declared table)."""
+    def versions(self) -> dict[tuple[str, str], Version]:
+        """Current version of each table by family and name (one entry per declared table)."""
         published = self.commits().filter("version is not null")
-        newest = published.groupBy("table_name").agg(F.max_by("version", "run").alias("version"))
-        return {row.table_name: row.version for row in newest.collect()}
-
-    def table(self, name: str) -> DataFrame | None:
-        return self.read(self.versions().get(name))
-
-    def read(self, version: str | None) -> DataFrame | None:
-        return None if version is None else self.spark.read.parquet(f"{self.root}/{version}")
+        newest = published.groupBy("family", "table_name").agg(F.max_by("version", "run").alias("version"))
+        return {(row.family, row.table_name): Version.from_json(row.version) for row in newest.collect()}
+
+    def table(self, name: str, family: str | None = None) -> DataFrame | None:
+        """A table as it stands; ``family`` is needed where several have one of that name."""
+        found = {key: v for key, v in self.versions().items() if key[1] == name and family in (None, key[0])}
+        if len(found) > 1:
+            raise ValueError(f"{name} is a table of {sorted(f for f, _ in found)}")
+        return self.read(next(iter(found.values()), None))
+
+    def read(self, version: Version | None) -> DataFrame | None:
+        """The rows of a version; buckets of one folder are read together, folders are aligned."""
+        if version is None or not version.parts:
+            return None
+        folders: dict[str, list[str]] = {}
+        for bucket, (folder, _) in sorted(version.parts.items()):
+            folders.setdefault(folder, []).append(f"{self.root}/{folder}/{BUCKET}={bucket}")
+        return union_drift(*[self.spark.read.parquet(*paths) for paths in folders.values()])
 
     def next_run(self) -> int:
         return (self.commits().agg(F.max("run")).first()[0] or 0) + 1
 
+    def bucket_of(self, key: Column, key_type: str, buckets: int) -> Column:
+        """Depends on the key's text, so that it survives a change of the key's type."""
+        return F.pmod(F.xxhash64(as_text(key, key_type)), F.lit(buckets)).cast("int")
+
     def write(
-        self, name: str, rows: DataFrame, run: int, current: str | None, row_keys: DataFrame | None = None
+        self,
+        family: str,
+        name: str,
+        rows: DataFrame,
+        run: int,
+        current: Version | None,
+        row_keys: DataFrame | None = None,
     ) -> dict:
-        """Write the next version of one table; it shows once committed."""
-        existing = self.read(current)
+        """Write the next version of one table; it shows once committed.
+
+        Only buckets that rows fall into are read and written.
+        """
+        buckets = current.buckets if current else self.buckets
+        key_type = rows.schema[KEY[0]].dataType.simpleString()
+        place = self.bucket_of(F.col(KEY[0]), key_type, buckets)
         stamped = rows.withColumn("_synced_at", F.current_timestamp())
-        version = f"{name}/version={run:08d}"
-        target = f"{self.root}/{version}"
-        merged = upsert(existing, stamped, list(KEY), ["_at"], staged=True, batch_keys=row_keys)
-        merged.write.mode("overwrite").parquet(target)
-        written = self.read(version)
-        changed = int(existing is None) + (0 if existing is None else len(added_columns(existing, written)))
-        return {"row_count": written.count(), "schema_changes": changed, "version": version}
-
-    def keep(self, name: str, current: str | None) -> dict:
+        keys = rows.select(*KEY) if row_keys is None else row_keys
+        before = current or Version(buckets)
+        existing = touched = None
+        if before.parts:
+            found = keys.select(place.alias(BUCKET)).distinct().collect()  # no more rows than buckets
+            touched = {row[0] for row in found}
+            existing = self.read(before.only(touched))
+        merged = upsert(existing, stamped, list(KEY), ["_at"], staged=True, batch_keys=keys)
+        merged_type = merged.schema[KEY[0]].dataType.simpleString()
+        placed = merged.withColumn(BUCKET, self.bucket_of(F.col(KEY[0]), merged_type, buckets))
+        folder = f"{family}/{name}/version={run:08d}-{uuid.uuid4().hex[:8]}"
+        placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
+        written = self.spark.read.parquet(f"{self.root}/{folder}")
+        counts = written.groupBy(BUCKET).agg(F.count("*").alias("n")).collect()
+        parts = {**before.parts, **{row[BUCKET]: (folder, row.n) for row in counts}}
+        version = Version(buckets, parts)
+        changed = 1
+        if before.parts:
+            old = self.read(before)
+            changed = len(added_columns(old, merged)) + len(changed_columns(old, merged))
+        return {"row_count": version.row_count, "schema_changes": changed, "version": version.to_json()}
+
+    def keep(self, current: Version | None) -> dict:
         """Entry of a table a run has no rows for."""
-        existing = self.read(current)
-        count = 0 if existing is None else existing.count()
-        return {"row_count": count, "schema_changes": 0, "version": current}
+        version = None if current is None else current.to_json()
+        return {"row_count": 0 if current is None else current.row_count, "schema_changes": 0, "version": version}
 
-    def quarantine(self, name: str, rows: DataFrame, run: int) -> None:
-        """Set aside raw records no table can take."""
-        rows.write.mode("append").parquet(f"{self.root}/_quarantine/table={name}/run={run}")
+    def quarantine(self, family: str, name: str, rows: DataFrame, run: int) -> str:
+        """Set aside raw records no table can take; they show once the returned folder is committed."""
+        folder = f"_quarantine/{family}/{name}/version={run:08d}-{uuid.uuid4().hex[:8]}"
+        named = rows.select(F.lit(family).alias("family"), F.lit(name).alias("table"), F.lit(run).alias("run"), "*")
+        named.write.parquet(f"{self.root}/{folder}")
+        return folder
 
     def quarantined(self) -> DataFrame | None:
-        if not self._exists(f"{self.root}/_quarantine"):
-            return None
-        return self.spark.read.parquet(f"{self.root}/_quarantine")
+        """All rows set aside by committed runs."""
+        logged = self.commits().filter("quarantine is not null").select("quarantine").collect()
+        folders = [folder for row in logged for folder in json.loads(row.quarantine)]
+        return self.spark.read.parquet(*[f"{self.root}/{folder}" for folder in folders]) if folders else None
 
     def commit(self, entries: list[dict]) -> None:
         """Append the entries as one file, which makes them visible together."""

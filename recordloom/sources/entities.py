@@ -83,12 +83,18 @@ def _starts(path: Keys, beginning: Keys) -> bool:
 
 @dataclass(frozen=True)
 class Family:
-    """Entities of one source: how they are paged and how records are written."""
+    """Entities of one source: how they are paged and how records are written.
+
+    ``filtered``: pages hold just what the requests ask for, as the service filters them. Where full records were
+    landed, set it to False and runs leave out what an entity's request would not return.
+    """
 
     name: str
     dialect: str
     paging: str
     entities: tuple[Entity, ...]
+    page_size: int = 100  # records of a full page
+    filtered: bool = True
 
     def entity(self, table: str) -> Entity:
         return next(e for e in self.entities if e.table == table)

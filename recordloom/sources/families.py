@@ -179,51 +179,51 @@ LOCATION = ("location", ("id", "name"))
 JOB = ("job", ("id", "name", "number"))
 
 
-def _requested(table: str, collection: str, scalars: str, *relations) -> Entity:
-    return Entity(table, collection, scalars=tuple(scalars.split()), relations=relations)
+def _requested(table: str, collection: str, scalars: tuple[str, ...], *relations) -> Entity:
+    return Entity(table, collection, scalars=scalars, relations=relations)
 
 
-# Invoices cannot be read from this source, and its events accept no other
+# The fields each request asks for. Invoices cannot be read from this source, and its events accept no other
 # relation than the organization.
 PROJECTS = Family(
     "projects",
     PLAIN,
     "cursor",
     (
-        _requested("account", "accounts", "id name type createdAt archivedAt", ORGANIZATION),
+        _requested("account", "accounts", ("id", "name", "type", "createdAt", "archivedAt"), ORGANIZATION),
         _requested(
-            "job", "jobs", "id name number status description createdAt closedOn", ORGANIZATION, LOCATION
+            "job", "jobs", ("id", "name", "number", "status", "description", "createdAt", "closedOn"), ORGANIZATION, LOCATION
         ),
         _requested(
             "task",
             "tasks",
-            "id name description createdAt startDate endDate progress",
+            ("id", "name", "description", "createdAt", "startDate", "endDate", "progress"),
             ACCOUNT,
             ORGANIZATION,
             LOCATION,
             JOB,
         ),
-        _requested("contact", "contacts", "id name title createdAt", ACCOUNT),
-        _requested("event", "events", "id type createdAt", ORGANIZATION),
-        _requested("location", "locations", "id name createdAt", ACCOUNT),
+        _requested("contact", "contacts", ("id", "name", "title", "createdAt"), ACCOUNT),
+        _requested("event", "events", ("id", "type", "createdAt"), ORGANIZATION),
+        _requested("location", "locations", ("id", "name", "createdAt"), ACCOUNT),
         _requested(
-            "payment", "payments", "id type description createdAt amount externalId", ACCOUNT, ORGANIZATION
+            "payment", "payments", ("id", "type", "description", "createdAt", "amount", "externalId"), ACCOUNT, ORGANIZATION
         ),
         _requested(
-            "cost_item", "costItems", "id name description createdAt price cost quantity", ORGANIZATION, JOB
+            "cost_item", "costItems", ("id", "name", "description", "createdAt", "price", "cost", "quantity"), ORGANIZATION, JOB
         ),
-        _requested("daily_log", "dailyLogs", "id notes createdAt", ORGANIZATION, JOB),
-        _requested("comment", "comments", "id name createdAt", ACCOUNT, ORGANIZATION, JOB),
+        _requested("daily_log", "dailyLogs", ("id", "notes", "createdAt"), ORGANIZATION, JOB),
+        _requested("comment", "comments", ("id", "name", "createdAt"), ACCOUNT, ORGANIZATION, JOB),
         _requested(
             "document",
             "documents",
-            "id name number status type description createdAt closedAt dueDate tax price cost externalId",
+            ("id", "name", "number", "status", "type", "description", "createdAt", "closedAt", "dueDate", "tax", "price", "cost", "externalId"),
             ACCOUNT,
             ORGANIZATION,
             JOB,
         ),
         _requested(
-            "file", "files", "id name type description createdAt", ACCOUNT, ORGANIZATION, LOCATION, JOB
+            "file", "files", ("id", "name", "type", "description", "createdAt"), ACCOUNT, ORGANIZATION, LOCATION, JOB
         ),
     ),
 )

@@ -4,11 +4,14 @@ A page is the body of one response. Pages are landed either one file per page
 (``<number>.json``, read whole) or packed, as a Parquet table of ``page, body``
 rows; the second form avoids one file per hundred records at scale. Pages are
 decoded in parallel, and the point where a page-by-page reader would have
-stopped is found from the page sizes alone.
+stopped is found from the page sizes alone. Several landings of one collection
+lie in folders ``run_id=<n>``; each is a scan of its own, and later ones come later.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -16,9 +19,10 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import variant as V
 from recordloom.operators.catalogue import Merged, stage_records
-from recordloom.session import stage
+from recordloom.session import shuffle_partitions, stage
 
-PAGE_SIZE = 100  # fixed value: records per full page
+PAGE_SIZE = 100  # fixed value: records per full page, unless a family says otherwise
+PACKED_SCHEMA = "page bigint, body string, run_id bigint"
 NOTHING = ("", "0", "0.0", "false", '""', "{}", "[]")  # cursor values that end a scan
 
 
@@ -30,11 +34,17 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame | None:
 def whole_pages(files: DataFrame) -> DataFrame:
     """``page, body`` of files read whole, numbered by their names."""
     number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1).cast("bigint")
-    return files.select(number.alias("page"), F.col("value").alias("body"))
+    return files.select(number.alias("page"), F.col("value").alias("body"), run_id(files))
+
+
+def run_id(pages: DataFrame) -> Column:
+    """The landing a page belongs to, 0 where there is just one."""
+    known = F.col("run_id") if "run_id" in pages.columns else F.lit(None)
+    return F.coalesce(known.cast("bigint"), F.lit(0).cast("bigint")).alias("run_id")
 
 
 def read_packed_pages(spark: SparkSession, path: str) -> DataFrame | None:
-    return _existing(lambda: spark.read.schema("page bigint, body string").parquet(path))
+    return _existing(lambda: spark.read.schema(PACKED_SCHEMA).parquet(path))
 
 
 def _existing(read) -> DataFrame | None:
@@ -46,69 +56,89 @@ def _existing(read) -> DataFrame | None:
         raise
 
 
-def decode_offset(pages: DataFrame) -> DataFrame:
-    """``page, items, last``: the body is a list or ``{"value": [...]}``.
+def decode_offset(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``run_id, page, items, last``: the body is a list or ``{"value": [...]}``.
 
     Any other body is an empty page. A page short of the full size is the last.
     """
-    body = pages.select("page", F.parse_json("body").alias("v"))
+    body = pages.select(run_id(pages), "page", F.parse_json("body").alias("v"))
     v = F.col("v")
-    items = body.select("page", F.coalesce(V.as_list(v), V.as_list(v, ("value",))).alias("items"))
-    return items.withColumn("last", F.size("items") < PAGE_SIZE)
+    items = body.select("run_id", "page", F.coalesce(V.as_list(v), V.as_list(v, ("value",))).alias("items"))
+    return items.withColumn("last", F.size("items") < page_size)
 
 
 def decode_cursor(pages: DataFrame, collection: str, root: str = "organization") -> DataFrame:
-    """``page, items, last``: nodes and cursor under ``root.collection``.
+    """``run_id, page, items, last``: nodes and cursor under ``root.collection``.
 
     Missing or null levels read as no nodes. No cursor means the last page.
     """
-    body = pages.select("page", F.parse_json("body").alias("v"))
+    body = pages.select(run_id(pages), "page", F.parse_json("body").alias("v"))
     v = F.col("v")
     cursor = V.pick(v, (root, collection, "nextPage"))
     ends = cursor.isNull() | F.is_variant_null(cursor) | F.to_json(cursor).isin(*NOTHING)
-    return body.select("page", V.as_list(v, (root, collection, "nodes")).alias("items"), ends.alias("last"))
+    return body.select("run_id", "page", V.as_list(v, (root, collection, "nodes")).alias("items"), ends.alias("last"))
+
+
+@dataclass(frozen=True)
+class Unread:
+    """Landed pages a scan does not reach: how many, and the first as ``run_id:page``."""
+
+    pages: int = 0
+    first: str | None = None
 
 
 def scan(decoded: DataFrame) -> DataFrame:
-    """``page, pos, v`` of every record a page-by-page reader reaches.
+    """``run_id, page, pos, v`` of every record a page-by-page reader reaches.
 
-    Reading stops after the first page marked last, and before the first page
+    Reading a landing stops after the first page marked last, and before the first page
     that is empty or was not landed.
     """
-    records = decoded.select("page", F.posexplode("items").alias("pos", "v"))
-    heads = decoded.filter(F.size("items") > 0).select("page", "last")
-    return records.filter(F.col("page") <= _stop(heads).select("stop").scalar())
+    records = decoded.select("run_id", "page", F.posexplode("items").alias("pos", "v"))
+    stops = _stops(decoded.filter(F.size("items") > 0).select("run_id", "page", "last"))
+    return records.join(stops.select("run_id", "stop"), "run_id").filter("page <= stop").drop("stop")
 
 
-def scan_staged(decoded: DataFrame) -> tuple[DataFrame, Merged | None]:
-    """The same from records staged first, with their merged schema.
+def scan_staged(decoded: DataFrame) -> tuple[DataFrame, Merged | None, Unread]:
+    """The same from records staged first, with their merged schema and the pages left unread.
 
-    The text is parsed once, and the stop point reads three narrow columns. The
-    schema is unknown (None) if it saw pages past that point.
+    The text is parsed once, and the stop points read few narrow columns. The
+    schema is unknown (None) if it saw pages past one.
     """
-    records, merged = stage_records(decoded.select("page", "last", F.posexplode("items").alias("pos", "v")), "records")
-    end = _stop(records.filter("pos = 0").select("page", "last")).first()
-    reached = records.filter(F.col("page") <= F.lit(end.stop)).drop("last")
-    return reached, merged if end.stop == end.highest else None
-
-
-def _stop(heads: DataFrame) -> DataFrame:
-    """One row: the last page read, NULL when there is no page 0, and the highest.
+    exploded = decoded.select("run_id", "page", "last", F.posexplode("items").alias("pos", "v"))
+    records, merged = stage_records(exploded, "records")
+    heads = records.filter("pos = 0").select("run_id", "page", "last")
+    stops = stage(_stops(heads), "stops")  # a row per landing
+    if stops.filter("stop is null or stop < highest").isEmpty():
+        return records.drop("last"), merged, Unread()
+    past = F.col("stop").isNull() | (F.col("page") > F.col("stop"))
+    beyond = heads.join(stops, "run_id").filter(past)
+    found = beyond.agg(F.count("*").alias("n"), F.min(F.struct("run_id", "page")).alias("first")).first()
+    reached = records.join(stops.select("run_id", "stop"), "run_id").filter("page <= stop").drop("last", "stop")
+    return reached, None, Unread(found.n, f"{found.first.run_id}:{found.first.page}")
+
+
+def _stops(heads: DataFrame) -> DataFrame:
+    """Per landing: the last page read, NULL when there is no page 0, and the highest.
 
     A page ends the scan if it is marked last or no page follows it. Whether one
     follows is found by letting every page vouch for the one before, which
     groups by page number and so spreads evenly.
     """
-    own = heads.select("page", F.col("last"), F.lit(False).alias("followed"))
-    before = heads.select((F.col("page") - 1).alias("page"), F.lit(None).alias("last"), F.lit(True).alias("followed"))
-    known = own.unionByName(before).groupBy("page").agg(F.max("last").alias("last"), F.max("followed").alias("followed"))
+    own = heads.select("run_id", "page", F.col("last"), F.lit(False).alias("followed"))
+    page = (F.col("page") - 1).alias("page")
+    before = heads.select("run_id", page, F.lit(None).alias("last"), F.lit(True).alias("followed"))
+    both = own.unionByName(before).groupBy("run_id", "page")
+    known = both.agg(F.max("last").alias("last"), F.max("followed").alias("followed"))
     real = known.filter(F.col("last").isNotNull())
     ends = F.min(F.when(F.col("last") | ~F.col("followed"), F.col("page")))
-    return real.agg(F.when(F.min("page") == 0, ends).alias("stop"), F.max("page").alias("highest"))
+    stop = F.when(F.min("page") == 0, ends).alias("stop")
+    return real.groupBy("run_id").agg(stop, F.max("page").alias("highest"))
 
 
-def decode(pages: DataFrame, paging: str, collection: str | None = None) -> DataFrame:
-    return decode_cursor(pages, collection) if paging == "cursor" else decode_offset(pages)
+def decode(
+    pages: DataFrame, paging: str, collection: str | None = None, page_size: int = PAGE_SIZE
+) -> DataFrame:
+    return decode_cursor(pages, collection) if paging == "cursor" else decode_offset(pages, page_size)
 
 
 def numbered(records: DataFrame, order: list[str], page_size: int = PAGE_SIZE) -> DataFrame:
@@ -118,7 +148,7 @@ def numbered(records: DataFrame, order: list[str], page_size: int = PAGE_SIZE) -
     one task. Here each range of the sorted data numbers its own rows, and only
     the row counts, one per range, are summed up in one place.
     """
-    ranges = records.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = records.repartitionByRange(shuffle_partitions(records), *order).sortWithinPartitions(*order)
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     kept = stage(ranges.select("*", F.spark_partition_id().alias("_range"), within.alias("_within")), "ranges")
     counts = kept.groupBy("_range").agg(F.count("*").alias("_rows"))
@@ -154,5 +184,10 @@ def write_packed_pages(pages: DataFrame, path: str) -> None:
 
 
 def head(records: DataFrame, n: int = 3) -> DataFrame:
-    """The first ``n`` records in page order."""
-    return records.orderBy("page", "pos").limit(n)
+    """The first ``n`` records in page order.
+
+    Pages are looked at from the first on, so that records of later ones are not even parsed: the page numbers
+    alone say which pages hold the first ``n``.
+    """
+    places = records.select("page", "pos").orderBy("page", "pos").limit(n)
+    return records.join(F.broadcast(places), ["page", "pos"], "left_semi").orderBy("page", "pos").limit(n)

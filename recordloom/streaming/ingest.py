@@ -2,8 +2,11 @@
 
 The file source remembers which page files it has read, so each run takes the
 new ones only. Every micro-batch is one run of the upsert; with the default
-``availableNow`` trigger all waiting files form one batch. A batch replayed after
-a failure upserts the same rows again, which changes nothing.
+``availableNow`` trigger all waiting files form one batch. Landings waiting together are
+told apart by their ``run_id=<n>`` folders: each is scanned on its own, up to where a page-by-page reader would
+stop, and rows of a later one win. Without such folders every file is a page of the same landing, which may go on in
+a later batch, so no page is left out. A batch replayed after
+a failure writes the same rows again; what the failed attempt left is named by no commit and not seen.
 """
 
 from __future__ import annotations
@@ -14,12 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from recordloom.operators.catalogue import stage_records
 from recordloom.plans.sync import sync_entity
-from recordloom.session import configure
+from recordloom.session import configure, staged_until_done
 from recordloom.sinks.store import TableStore
 from recordloom.sources.entities import Entity, Family
-from recordloom.sources.pages import decode, whole_pages
+from recordloom.sources.pages import PACKED_SCHEMA, Unread, decode, scan_staged, whole_pages
 
-PACKED_SCHEMA = "page bigint, body string"
+WHOLE = "_whole"  # marks pages of landings that are complete
 
 
 def page_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -27,6 +30,11 @@ def page_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(PACKED_SCHEMA).parquet(path)
 
 
+def landing_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Packed pages landing in folders ``run_id=<n>`` of ``path``, each a whole landing."""
+    return page_stream(spark, path).withColumn(WHOLE, F.lit(True))
+
+
 def page_file_stream(spark: SparkSession, path: str) -> DataFrame:
     """Pages landing in ``path`` one file each."""
     return whole_pages(spark.readStream.text(path, wholetext=True))
@@ -39,13 +47,16 @@ def ingest(
     configure(store.spark)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(batch, family.paging, entity.collection)
-        records, merged = stage_records(
-            decoded.select("page", F.posexplode("items").alias("pos", "v")), entity.table
-        )
-        run = store.next_run()
-        head = {"run": run, "position": 0, "entity": entity.table}
-        store.commit(sync_entity(store, family, entity, records, merged, run, store.versions(), head))
+        with staged_until_done(store.spark):
+            decoded = decode(batch, family.paging, entity.collection, family.page_size)
+            if WHOLE in batch.columns:
+                records, merged, unread = scan_staged(decoded)
+            else:
+                exploded = decoded.select("run_id", "page", F.posexplode("items").alias("pos", "v"))
+                records, merged, unread = *stage_records(exploded, entity.table), Unread()
+            run = store.next_run()
+            head = {"run": run, "position": 0, "family": family.name, "entity": entity.table}
+            store.commit(sync_entity(store, family, entity, records, merged, unread, run, store.versions(), head))
 
     return (
         pages.writeStream.trigger(availableNow=True)

@@ -2,6 +2,7 @@
 
 import json
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ def test_page_files(spark, tmp_path):
     folder.mkdir()
     for n, size in enumerate([100, 100, 7]):
         (folder / f"{n}.json").write_text(json.dumps(records(100 * n, size), indent=1))
-    found, merged = landed(spark, str(tmp_path), BUSINESS, packed=False)(BUSINESS.entity("customer"))
+    found, merged, _ = landed(spark, str(tmp_path), BUSINESS, packed=False)(BUSINESS.entity("customer"))
     assert merged.schema.fieldNames() == ["id"]
     assert found.count() == 207
     assert [r.pos for r in head(found).collect()] == [0, 1, 2]
@@ -110,7 +111,7 @@ def test_cutting_into_pages_and_back(spark, tmp_path):
     paged = numbered(rows, ["id"])
     assert [(r.page, r.pos) for r in paged.orderBy("id").collect()] == [divmod(i, 100) for i in range(1234)]
     write_packed_pages(page_lists(paged, "record").withColumnRenamed("list", "body"), f"{tmp_path}/entity=Customer")
-    found, _ = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
+    found, *_ = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
     got = found.select(F.variant_get("v", "$.id", "bigint").alias("id"), "page", "pos")
     assert sorted(tuple(r) for r in got.collect()) == [(i, *divmod(i, 100)) for i in range(1234)]
 
@@ -118,12 +119,39 @@ def test_cutting_into_pages_and_back(spark, tmp_path):
 def test_schema_of_unreached_pages_is_not_used(spark):
     bodies = [json.dumps(records(0, 5)), json.dumps([{"id": 7, "Stray": 1}])]
     pages = spark.createDataFrame(list(enumerate(bodies)), "page bigint, body string")
-    found, merged = scan_staged(decode(pages, "offset"))
+    found, merged, _ = scan_staged(decode(pages, "offset"))
     assert merged is None
     assert found.count() == 5
 
 
 def test_nothing_landed_yet(spark):
     pages = spark.createDataFrame([], "page bigint, body string")
-    found, _ = scan_staged(decode(pages, "offset"))
+    found, *_ = scan_staged(decode(pages, "offset"))
     assert found.count() == 0
+
+
+def landing(spark, folder, landing, sizes, start=0):
+    rows, at = [], start
+    for page, size in enumerate(sizes):
+        rows.append((page, json.dumps(records(at, size))))
+        at += size
+    pages = spark.createDataFrame(rows, "page bigint, body string")
+    write_packed_pages(pages, f"{folder}/entity=Customer/run_id={landing}")
+
+
+def test_landings_are_scans_of_their_own(spark, tmp_path):
+    landing(spark, tmp_path, 1, [100, 30, 100])
+    landing(spark, tmp_path, 2, [100, 100, 5], start=1000)
+    found, _, unread = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
+    counts = {r.run_id: r["count"] for r in found.groupBy("run_id").count().collect()}
+    assert counts == {1: 130, 2: 205}
+    assert (unread.pages, unread.first) == (1, "1:2")
+
+
+def test_page_size_of_the_family(spark, tmp_path):
+    landing(spark, tmp_path, 1, [50, 50, 50, 50])
+    family = replace(BUSINESS, page_size=50)
+    found, _, unread = landed(spark, str(tmp_path), family)(family.entity("customer"))
+    assert (found.count(), unread.pages) == (200, 0)
+    found, _, unread = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
+    assert (found.count(), unread.pages, unread.first) == (50, 3, "1:1")

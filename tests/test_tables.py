@@ -9,7 +9,7 @@ from recordloom.operators.flatten import flatten
 from recordloom.operators.upsert import latest, upsert, with_key, without_key
 from recordloom.plans.sync import SyncFailed, given, sync
 from recordloom.session import INITIAL_PARTITIONS, sized_shuffles, stage
-from recordloom.sinks.store import TableStore
+from recordloom.sinks.store import TableStore, Version
 from recordloom.sources.entities import Collection, Entity, Family
 from tests.conftest import as_dicts
 
@@ -52,6 +52,16 @@ class TestDrift:
         run(store, variants, '{"id":2,"a":"x"}')
         assert rows(store) == [{"id": 1, "a": "1"}, {"id": 2, "a": "x"}]
 
+    def test_number_that_becomes_text_later(self, spark, store, variants, tmp_path):
+        numbers = ['{"id":1,"a":12345678.9}', '{"id":2,"a":0.5}', '{"id":3,"a":-7.25}', '{"id":4,"a":100.0}']
+        run(store, variants, *numbers)
+        run(store, variants, '{"id":9,"a":"x"}')
+        at_once = TableStore(spark, str(tmp_path / "other"))
+        run(at_once, variants, *numbers, '{"id":9,"a":"x"}')
+        assert rows(store) == rows(at_once)
+        assert rows(store)[0]["a"] == "12345678.9"
+        assert [r.schema_changes for r in store.commits().orderBy("run").collect()] == [1, 1]
+
     def test_changed_key_type(self, store, variants):
         run(store, variants, '{"id":1,"a":1}', '{"id":2,"a":2}')
         run(store, variants, '{"id":"2","a":3}', '{"id":"k","a":4}')
@@ -78,8 +88,8 @@ class TestUpsert:
         for _ in range(2):
             run(store, variants, '{"id":1,"a":1}', '{"id":2,"a":2}')
         assert rows(store) == [{"id": 1, "a": 1}, {"id": 2, "a": 2}]
-        versions = [f"{store.root}/item/version={n:08d}" for n in (1, 2)]
-        old, new = [store.spark.read.parquet(v).drop("_synced_at") for v in versions]
+        logged = [Version.from_json(r.version) for r in store.commits().orderBy("run").collect()]
+        old, new = [store.read(v).drop("_synced_at") for v in logged]
         assert as_dicts(change_counts(old, new, ["id"])) == [{"change_kind": "same", "row_count": 2}]
 
     @pytest.mark.parametrize("staged", [False, True])
@@ -146,9 +156,9 @@ class TestRuns:
     def test_uncommitted_version_is_not_seen(self, store, variants):
         run(store, variants, '{"id":1,"a":1}')
         table = variants('{"id":1,"a":2}').select(F.lit(1).alias("id"), F.lit(2).alias("a"), F.lit(1).alias("_at"))
-        store.write("item", table, 2, store.versions()["item"])
+        store.write("items", "item", table, 2, store.versions()["items", "item"])
         assert rows(store) == [{"id": 1, "a": 1}]
-        run(store, variants, '{"id":1,"a":3}')  # reuses the abandoned version number
+        run(store, variants, '{"id":1,"a":3}')  # reuses the abandoned run number
         assert rows(store) == [{"id": 1, "a": 3}]
 
     def test_quarantine(self, store, variants):
@@ -158,10 +168,60 @@ class TestRuns:
         assert (commit["upserts"], commit["quarantined"]) == (1, 3)
         assert store.quarantined().count() == 3
 
+    def test_a_run_that_dies_leaves_no_quarantine(self, store, variants, monkeypatch):
+        texts = ('{"id":1}', '{"a":5}')
+        with monkeypatch.context() as dying, pytest.raises(SyncFailed):
+            dying.setattr(TableStore, "write", lambda *a, **k: 1 / 0)
+            run(store, variants, *texts)
+        assert store.quarantined() is None
+        run(store, variants, *texts)
+        assert store.quarantined().count() == 1
+
+    def test_wrong_lists_at_every_level(self, store, variants):
+        deep = Collection("Ops", "op", (Collection("Parts", "part"),))
+        family = Family("deep", "wrapped", "offset", (Entity("item", "Item", (deep,)),))
+        texts = ['{"id":1,"Ops":[{"id":2,"Parts":{"id":3}},{"id":4,"Parts":[{"id":5}]}]}', '{"id":6,"Ops":"x"}']
+        run(store, variants, *texts, family=family)
+        counts = {r["table_name"]: (r["upserts"], r["quarantined"]) for r in as_dicts(store.commits())}
+        assert counts == {"item": (2, 0), "op": (2, 1), "part": (1, 1)}
+        assert {r["table"] for r in as_dicts(store.quarantined())} == {"op", "part"}
+
+    def test_families_do_not_share_tables(self, store, variants):
+        other = Family("others", "plain", "cursor", (Entity("item", "Item"),))
+        run(store, variants, '{"id":1,"a":1}')
+        run(store, variants, '{"id":1,"a":2}', '{"id":2,"a":2}', family=other)
+        assert [r["id"] for r in as_dicts(store.table("item", "items"))] == [1]
+        assert store.table("item", "others").count() == 2
+        with pytest.raises(ValueError):
+            store.table("item")
+
+    def test_untouched_buckets_stay_as_they_are(self, store, variants):
+        run(store, variants, *[f'{{"id":{i},"a":1}}' for i in range(60)])
+        before = store.versions()["items", "item"]
+        run(store, variants, '{"id":7,"a":2}')
+        after = store.versions()["items", "item"]
+        assert sum(after.parts[b] != before.parts[b] for b in before.parts) == 1
+        assert after.row_count == store.table("item").count() == 60
+        assert [r["a"] for r in rows(store) if r["id"] == 7] == [2]
+
+    def test_error_text_is_kept_whole(self, store, variants):
+        def fail(entity):
+            raise RuntimeError("x" * 5000)
+
+        with pytest.raises(SyncFailed):
+            sync(store, ITEM, fail)
+        assert len(as_dicts(store.commits())[0]["error"]) > 5000
+
+    def test_request_filter_of_full_dumps(self, store, variants):
+        entity = Entity("item", "Item", inline=("Address",))
+        text = '{"id":1,"Address":{"City":{"value":"x"}},"Other":{"City":{"value":"y"}}}'
+        run(store, variants, text, family=Family("items", "wrapped", "offset", (entity,), filtered=False))
+        assert rows(store) == [{"id": 1, "address_city": "x"}]
+
     def test_operation_summary(self, store, variants):
         sync(store, THREE, given({"item": variants('{"id":1,"Lines":[{"id":2},{"id":3}]}')}))
         got = {r["operation"]: r["operations"] for r in as_dicts(operation_summary(store.commits()))}
-        assert got == {"upserts": 3, "updates": 0, "deletes": 0, "truncates": 0, "schema_changes": 2, "checkpoints": 1}
+        assert got == {"upserts": 3, "updates": 0, "deletes": 0, "truncates": 0, "schema_changes": 2, "checkpoints": 3}
 
 
 def test_shuffle_size_follows_the_input(spark, tmp_path):
