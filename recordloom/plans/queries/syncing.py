@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.naming import snake_case
-from recordloom.operators.audit import operation_summary
+from recordloom.operators.audit import inventory, operation_summary
 from recordloom.plans import feeds
 from recordloom.plans.feeds import table
 from recordloom.plans.queries.reporting import DECLARED, business_feeds
@@ -281,3 +281,24 @@ def quarantine_grandchildren(spark, sf_dir):
     family = replace(MANUFACTURING, entities=(MANUFACTURING.entity("bill_of_material"),))
     sync(store, family, given({"bill_of_material": feeds.records(nested, text, "l_orderkey")}))
     return with_rows_aside(store)
+
+
+@query(
+    """
+    SELECT 'business' AS table_schema, 'customer' AS table_name, count(*) AS row_count, true AS by_last_run FROM customer
+    UNION ALL SELECT 'business', 'stock_item', count(*), true FROM part
+    UNION ALL SELECT 'business', 'vendor', count(*), false FROM supplier
+    UNION ALL SELECT 'projects', 'event', count(*), false FROM events
+    """
+)
+def store_inventory(spark, sf_dir):
+    """Inventory of a store after a run of all and one that brings customers and items only."""
+    store = new_store(spark)
+    feed = {k: f for k, f in business_feeds(spark, sf_dir).items() if k != "sales_order"}
+    sync(store, PROJECTS, given({"event": feeds.events(spark, sf_dir)}))
+    sync(store, BUSINESS, given(feed))
+    first = store.commits().agg(F.max("at")).first()[0]
+    sync(store, BUSINESS, given({k: feed[k] for k in ("customer", "stock_item")}))
+    names = [("business", n) for n in ("customer", "stock_item", "vendor")] + [("projects", "event")]
+    found = inventory({(family, name): store.table(name, family) for family, name in names})
+    return found.withColumn("by_last_run", F.col("last_altered") > F.lit(first)).drop("last_altered")

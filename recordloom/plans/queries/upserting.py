@@ -89,7 +89,7 @@ def upsert_idempotent(spark, sf_dir):
          new AS (SELECT o_orderkey, o_orderstatus,
                         CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END
                             AS o_totalprice
-                 FROM orders WHERE o_orderstatus <> 'P')
+                 FROM orders WHERE o_orderstatus <> 'P' OR o_orderdate >= DATE '2000-01-01')
     SELECT CASE WHEN old.o_orderkey IS NULL THEN 'added' WHEN new.o_orderkey IS NULL THEN 'absent'
                 WHEN old.o_totalprice = new.o_totalprice THEN 'same' ELSE 'changed' END AS change_kind,
            count(*) AS row_count
@@ -100,6 +100,7 @@ def changed_rows(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     urgent = F.col("o_orderpriority") == "1-URGENT"
     repriced = F.when(urgent, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    old = orders.filter("o_orderdate < timestamp_ntz'2000-01-01'")
-    new = orders.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", repriced)
+    late = F.col("o_orderdate") >= F.expr("timestamp_ntz'2000-01-01'")
+    old = orders.filter(~late)
+    new = orders.filter((F.col("o_orderstatus") != "P") | late).withColumn("o_totalprice", repriced)
     return change_counts(order_rows(old).drop("_at"), order_rows(new).drop("_at"), ["id"])
