@@ -42,8 +42,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, as many words in all as came in. Texts without words stay once."""
     prepare(spark)
-    sized = docs.select("doc_id", "source", "text").withColumn("_size", word_count("text"))
-    return mixing.repeat(docs, mixing.mix(sized, F.col("_size"), readable(F.col("_size"))))
+    size = word_count("text")
+    return mixing.repeat(docs, size, readable(size))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,21 +58,39 @@ def mix(
     by size. Documents without words cost nothing and are never repeated. An empty
     table gives an empty mix.
     """
-    weight = F.greatest(F.least(F.coalesce(quality.cast("double"), F.lit(0.0)), F.lit(1.0)), F.lit(LEAST_QUALITY))
-    source = F.col(f"`{source_col}`")
+    drawn = draws(size, quality, seed, id_col, source_col)
     narrow = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
-        source.alias("source"),
-        F.coalesce(F.concat(F.lit("0"), source), F.lit("1")).alias("place"),
-        F.greatest(F.coalesce(size.cast("bigint"), F.lit(0)), F.lit(0)).alias("size"),
-        (-F.log(uniform(id_col, seed)) / weight).alias("key"),
+        F.col(f"`{source_col}`").alias("source"),
+        *[column.alias(name) for name, column in drawn.items()],
     )
-    cell = F.floor((1 - F.exp(-F.col("key"))) * (CELLS * CELLS)).cast("int")
-    rows = stage(narrow.withColumn("cell", cell), "mix-rows")
+    rows, plan = planned(narrow, weights, most, share)
+    return select(rows, plan)
+
+
+def draws(size: Column, quality: Column, seed: int, id_col: str, source_col: str) -> dict[str, Column]:
+    """What the mix needs of a document: where its source stands, its size and its key."""
+    weight = F.greatest(F.least(F.coalesce(quality.cast("double"), F.lit(0.0)), F.lit(1.0)), F.lit(LEAST_QUALITY))
+    return {
+        "place": F.coalesce(F.concat(F.lit("0"), F.col(f"`{source_col}`")), F.lit("1")),
+        "size": F.greatest(F.coalesce(size.cast("bigint"), F.lit(0)), F.lit(0)),
+        "key": -F.log(uniform(id_col, seed)) / weight,
+    }
+
+
+def cell_of(key: str) -> Column:
+    return F.floor((1 - F.exp(-F.col(key))) * (CELLS * CELLS)).cast("int")
+
+
+def planned(
+    narrow: DataFrame, weights: Sequence[int], most: int, share: float
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their cells, and per source its budget and the cell it ends in; both staged."""
+    rows = stage(narrow.withColumn("cell", cell_of("key")), "mix-rows")
     plan = stage(budgets(rows, list(weights), most, share), "mix-plan")
     for level in (CELLS, 1):
         plan = stage(refine(rows, plan, level), "mix-plan")
-    return select(rows, plan)
+    return rows, plan
 
 
 def budgets(rows: DataFrame, weights: list[int], most: int, share: float) -> DataFrame:
@@ -157,31 +175,57 @@ def refine(rows: DataFrame, plan: DataFrame, width: int) -> DataFrame:
     )
 
 
-def select(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Epochs plus sample for every row; only rows of the last cell are sorted."""
-    known = rows.join(plan, "place")
-    last = F.col("cell").between(F.col("cell_from"), F.col("cell_to") - 1)
+def last_cells(known: DataFrame) -> DataFrame:
+    """The rows of the cells in which budgets end, with ``extra``: 1 for those the sample still has room for."""
     order = W.partitionBy("place").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
     until = F.col("before") + F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
-    split = known.where(last).withColumn("until", until)
-    chosen = (2 * F.col("until") - F.col("size") <= 2 * F.col("rest")).cast("int")
-    clear = known.where(~last).withColumn("extra", (F.col("cell") < F.col("cell_from")).cast("int"))
-    both = split.withColumn("extra", chosen).drop("until").unionByName(clear)
+    split = known.where(F.col("cell").between(F.col("cell_from"), F.col("cell_to") - 1)).withColumn("until", until)
+    chosen = 2 * F.col("until") - F.col("size") <= 2 * F.col("rest")
+    return split.withColumn("extra", chosen.cast("int")).drop("until")
+
+
+def select(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Epochs plus sample for every row; only rows of the last cells are sorted."""
+    known = rows.join(plan, "place")
+    before = F.col("cell") < F.col("cell_from")
+    clear = known.where(before | (F.col("cell") >= F.col("cell_to"))).withColumn("extra", before.cast("int"))
+    both = last_cells(known).unionByName(clear)
     copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("extra")).otherwise(F.lit(1).cast("bigint"))
     return both.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
-def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with their own columns.
+def repeat(
+    docs: DataFrame,
+    size: Column,
+    quality: Column,
+    weights: Sequence[int] = (5, 2, 1),
+    most: int = 3,
+    share: float = 1.0,
+    seed: int = 0,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them, with their own columns.
 
-    ``doc_id`` must be unique here. Documents taken once, which are most, and those never taken
-    do not travel: only the counts that differ from 1 are joined.
+    ``doc_id`` must be unique here. A document's cell and its source's budget tell how often it is taken, so texts
+    stay where they are: joined are one row per source, and the few documents of the cells in which budgets end.
     """
-    counts = mixed.where("copies <> 1").select(F.col("doc_id").alias("_mixed"), F.col("copies").alias("_copies"))
-    other = stage(counts, "mix-copies")
-    joined = docs.join(other, docs[id_col] == other["_mixed"], "left")
-    times = F.coalesce("_copies", F.lit(1)).cast("int")
-    spread = joined.withColumn("_copy", F.explode(F.sequence(F.lit(0), times))).where(F.col("_copy") < times)
+    drawn = draws(size, quality, seed, id_col, source_col)
+    wide = docs.withColumns({f"_mix_{name}": column for name, column in drawn.items()})
+    narrow = wide.select(F.col(f"`{id_col}`").alias("doc_id"), *[F.col(f"_mix_{name}").alias(name) for name in drawn])
+    rows, plan = planned(narrow, weights, most, share)
+    decided = stage(last_cells(rows.join(plan, "place")).select(F.col("doc_id").alias("_mix_id"), "extra"), "mix-last")
+    budget = plan.select("place", "epochs", "cell_from", "cell_to")
+    budget = budget.select(*[F.col(c).alias(f"_mix_{c}") for c in budget.columns])
+    known = wide.withColumn("_mix_cell", cell_of("_mix_key")).join(budget, "_mix_place")
+    known = known.join(decided.withColumnRenamed("extra", "_mix_extra"), known[id_col] == decided["_mix_id"], "left")
+    extra = (
+        F.when(F.col("_mix_cell") < F.col("_mix_cell_from"), 1)
+        .when(F.col("_mix_cell") >= F.col("_mix_cell_to"), 0)
+        .otherwise(F.coalesce("_mix_extra", F.lit(0)))
+    )
+    times = F.when(F.col("_mix_size") > 0, F.col("_mix_epochs") + extra).otherwise(1).cast("int")
+    spread = known.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), times)))
     return spread.select(*[docs[c] for c in docs.columns])

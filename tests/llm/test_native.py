@@ -80,10 +80,12 @@ def test_mix_stays_within_limits(make):
     assert all(abs(taken[s] - target[s]) <= 50 for s in target)
 
 
-def test_repeat(make):
-    docs = make([(i, "word " * (1 + i % 5), f"s{i % 4}") for i in range(60)])
+@pytest.mark.parametrize("n", [0, 1, 60, 400])
+def test_repeat(make, n):
+    docs = make([(i, "word " * (i % 5), f"s{i % 4}") for i in range(n)])
     counts = {r.doc_id: r.copies for r in mixed(docs).collect()}
-    out = mixing.repeat(docs, mixed(docs))
+    size = word_count("text")
+    out = mixing.repeat(docs, size, readable(size))
     assert out.columns == docs.columns
     assert Counter(r.doc_id for r in out.collect()) == +Counter(counts)
 
