@@ -215,7 +215,8 @@ def lattice(text: str) -> tuple[list[tuple[int, int]], list[Segment]]:
                 kinds += ["ip", "card", "phone"]
             for kind in kinds:
                 if SHAPES[kind].fullmatch(piece):
-                    out.append(Segment(kind, i, j + 1, span_features(kind, piece, text[max(0, start - MARGIN) : start], text[b : b + 4])))
+                    before, after = text[max(0, start - MARGIN) : start], text[b : b + 4]
+                    out.append(Segment(kind, i, j + 1, span_features(kind, piece, before, after)))
     return tokens, out
 
 
@@ -349,8 +350,9 @@ def scan(
 ) -> DataFrame:
     """``doc_id, spans`` of every row; a span is ``kind, start, end, strict`` in code points, its end exclusive.
 
-    ``strict`` tells what the patterns found from what the field added. Spans are ordered by kind (``email, ip, card, phone``), then by start. A NULL or empty text has none. An entity of the field has at
-    most ``MOST_TOKENS`` tokens and lies within one line; strict spans have no such bound.
+    ``strict`` tells what the patterns found from what the field added. Spans are ordered by kind (``email, ip, card,
+    phone``), then by start. A NULL or empty text has none. An entity of the field has at most ``MOST_TOKENS`` tokens and
+    lies within one line; strict spans have no such bound.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("strict", pa.bool_())]))
 
