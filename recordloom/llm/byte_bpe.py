@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from recordloom.llm.texts import batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CACHED = 600_000  # pre-tokens and stretches a worker remembers, each; about 250 MB when both are full
+CACHED = 350_000  # pre-tokens and stretches a worker remembers, each; about 150 MB when both are full
 LONG_KEY = 64
 PER_BUCKET = 4
 MASK, SPREAD, STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93

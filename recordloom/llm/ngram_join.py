@@ -37,7 +37,7 @@ PART_ENTRIES = 2_000_000  # n-grams one task counts
 BLOCK_ENTRIES = 1_000_000  # n-grams in a block
 BLOCK_SETS = 60_000  # sets in a block, numbered in 16 bits
 SEVERAL = 0xFFFF
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 HASH_BYTES = 6
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
