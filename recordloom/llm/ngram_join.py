@@ -10,9 +10,11 @@ What keeps this small:
   them can have no partner and leaves at once.
 * A pair that is similar enough shares one of each side's rarest n-grams (its prefix), and all n-grams before the first
   shared one are unmatched on both sides, which bounds how late that may come.
-* Links are found in two turns. First every class of a bucket is compared with one member only, so a
-  group of near copies joins up in linear work. Then the pairs whose sides are still apart are compared; two classes that are
-  already connected need not be.
+* Groups are found in two turns. First every class of a bucket is compared with one member only, so a
+  group of near copies joins up in linear work. Then the pairs whose sides are still apart are compared. Two classes that are
+  already connected need not be, so these turns give the groups but not all links.
+* Every link lies within a group. ``similar_links`` and ``link_counts`` then compare all classes of a group, which is cut into
+  cells of bounded size: a task gets two cells and counts the overlaps of all their pairs at once.
 
 Counting how many classes hold an n-gram takes one exchange of packed blocks: sorted hashes with the place of their
 document in the block. N-grams that repeat within a block are sent once, so a very frequent one brings one entry per block.
@@ -21,10 +23,12 @@ document in the block. N-grams that repeat within a block are sent once, so a ve
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +43,9 @@ BLOCK_SETS = 60_000  # sets in a block, numbered in 16 bits
 SEVERAL = 0xFFFF
 KNOWN_WORDS = 100_000
 HASH_BYTES = 6
+CELL_ENTRIES = 250_000  # n-grams in a cell of classes, about
+CELL_CLASSES = 1_000
+EXPANDED = 2_000_000  # shared n-grams of pairs, counted at once
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -351,6 +358,148 @@ def class_links(alive: DataFrame, percent: int, fragments: int) -> DataFrame:
     return first.union(stage(verified(rest, parts, percent), "links"))
 
 
+# --- all links --------------------------------------------------------------------------
+
+LINK = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("overlap", pa.int64())])
+COUNT = pa.schema([("key", pa.binary()), ("links", pa.int64())])
+
+
+def cells(alive: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``low, high, cell, key, n, copies, grams``: the classes of groups, once for each pair of cells they are compared in.
+
+    A group that fits one cell shares it with others; a larger one has cells of its own. Either way a hash deals them
+    out, and every pair of classes of a group meets in exactly one pair of cells.
+    """
+    nodes = roots.select(F.col("node").alias("key"), "root").join(sizes, "key")
+    held = nodes.groupBy("root").agg(F.sum("n_shingles").alias("entries"), F.count("*").alias("classes"))
+    enough = F.greatest(F.ceil(F.col("entries") / CELL_ENTRIES), F.ceil(F.col("classes") / CELL_CLASSES))
+    held = stage(held.withColumn("cut", enough.cast("int")), "groups")
+    small = held.where("cut = 1").agg(F.sum("entries"), F.sum("classes")).first()
+    bundles = max(1, math.ceil((small[0] or 0) / CELL_ENTRIES), math.ceil((small[1] or 0) / CELL_CLASSES))
+    placed = nodes.join(held.select("root", "cut"), "root")
+    bundle = F.concat(F.lit("bundle "), F.pmod(F.xxhash64("root"), F.lit(bundles)))
+    own = F.pmod(F.xxhash64("key"), F.col("cut")).cast("int")
+    placed = placed.select(
+        "key",
+        "copies",
+        "cut",
+        F.when(F.col("cut") == 1, bundle.cast("binary")).otherwise(F.col("root")).alias("cell_group"),
+        own.alias("cell"),
+    )
+    known = alive.select("key", "n", "grams").join(placed, "key")
+    other = F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other")
+    return known.select("cell_group", "cell", other, "key", "n", "copies", "grams").select(
+        "cell_group",
+        F.least("cell", "other").alias("low"),
+        F.greatest("cell", "other").alias("high"),
+        "cell",
+        "key",
+        "n",
+        "copies",
+        "grams",
+    )
+
+
+def entries(sets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of some sets in order, and the sets that hold them."""
+    sizes = pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False)
+    grams = pa.compute.list_flatten(sets).to_numpy(zero_copy_only=False)
+    order = np.argsort(grams, kind="stable")
+    return grams[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+
+
+def overlaps(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """How many n-grams every set of ``x`` shares with every set of ``y``."""
+    grams, owners = entries(x)
+    others, holders = entries(y)
+    first = np.searchsorted(others, grams, "left")
+    held = np.searchsorted(others, grams, "right") - first
+    owners, first, held = owners[held > 0], first[held > 0], held[held > 0]
+    counts = np.zeros(len(x) * len(y), np.int64)
+    until = np.cumsum(held)
+    at = 0
+    while at < len(held):
+        done = until[at] - held[at]
+        end = max(at + 1, int(np.searchsorted(until, done + EXPANDED, "right")))
+        many = held[at:end]
+        start = np.repeat(first[at:end] - (until[at:end] - many - done), many)
+        found = holders[start + np.arange(len(start))]
+        counts += np.bincount(np.repeat(owners[at:end], many) * len(y) + found, minlength=len(counts))
+        at = end
+    return counts.reshape(len(x), len(y))
+
+
+def linked(table: pa.Table, percent: int) -> tuple[pa.Table, pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """The classes of both cells, the places of those that link, and their overlaps; each pair once."""
+    low, high = table["low"][0].as_py(), table["high"][0].as_py()
+    x = table.filter(pa.compute.equal(table["cell"], low))
+    y = table.filter(pa.compute.equal(table["cell"], high))
+    overlap = overlaps(x["grams"].combine_chunks(), y["grams"].combine_chunks())
+    total = np.add.outer(*(t["n"].to_numpy().astype(np.int64) for t in (x, y)))
+    similar = overlap * 100 >= (total - overlap) * percent
+    i, j = np.nonzero(np.triu(similar, 1) if low == high else similar)
+    return x, y, i, j, overlap[i, j]
+
+
+def links_of_cells(table: pa.Table, percent: int) -> pa.Table:
+    x, y, i, j, overlap = linked(table, percent)
+    a, b = x["key"].combine_chunks().take(pa.array(i)), y["key"].combine_chunks().take(pa.array(j))
+    ordered = pa.compute.less(a, b)
+    ends = pa.compute.if_else(ordered, a, b), pa.compute.if_else(ordered, b, a)
+    return pa.table([*ends, pa.array(overlap, pa.int64())], schema=LINK)
+
+
+def counts_of_cells(table: pa.Table, percent: int) -> pa.Table:
+    """To how many documents of the other classes every class links here."""
+    x, y, i, j, _ = linked(table, percent)
+    sums = []
+    for own, other, at, partner in ((x, y, i, j), (y, x, j, i)):
+        found = np.zeros(own.num_rows, np.int64)
+        np.add.at(found, at, other["copies"].to_numpy()[partner])
+        sums.append(pa.table([own["key"], pa.array(found)], schema=COUNT))
+    return pa.concat_tables(sums)
+
+
+class Join(NamedTuple):
+    sets: DataFrame
+    alive: DataFrame
+    roots: DataFrame
+    sizes: DataFrame  # ``key, n_shingles, copies, class_id`` of the classes
+
+
+def join(docs: DataFrame, n: int, percent: int, fragments: int, id_col: str, text_col: str) -> Join:
+    found = stage(sets(docs, n, id_col, text_col), "sets")
+    alive = stage(survivors(docs, found, n, percent, text_col), "survivors")
+    roots = components(class_links(alive, percent, fragments))
+    sizes = found.where("key is not null").groupBy("key").agg(
+        F.max("n_shingles").alias("n_shingles"), F.count("*").alias("copies"), F.min("doc_id").alias("class_id")
+    )
+    return Join(found, alive, roots, sizes)
+
+
+def in_cells(found: Join, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    dealt = cells(found.alive, found.roots, found.sizes.select("key", "n_shingles", "copies"))
+    return dealt.groupBy("cell_group", "low", "high").applyInArrow(run, schema)
+
+
+def members(found: Join) -> DataFrame:
+    """``doc_id, n_shingles, key, class_id, component_id, copies`` of every row."""
+    classes, roots = found.sizes.drop("n_shingles"), found.roots
+    rooted = classes.join(roots, classes["key"] == roots["node"], "left")
+    rooted = rooted.select("key", "class_id", "copies", F.coalesce("root", "key").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    known = rooted.join(lowest, "root").select(F.col("key").alias("_key"), "class_id", "component_id", "copies")
+    out = found.sets.join(known, found.sets["key"] == known["_key"], "left")
+    return out.select(
+        "doc_id",
+        "n_shingles",
+        "key",
+        F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id"),
+        F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("component_id"),
+        "copies",
+    )
+
+
 def similar_groups(
     docs: DataFrame,
     n: int = 4,
@@ -359,29 +508,56 @@ def similar_groups(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Every document with the group it is linked to.
+    """Every document with the group it is linked to, for callers that need no links.
 
     Two documents link when their sets of word n-grams overlap by ``percent`` of their union or more. Returns one row
     per input row, ``doc_id, n_shingles, class_id, component_id``: the size of its set, the smallest id with an equal set and the
     smallest id reachable by links. A-Z count as a-z; a text of fewer than ``n`` words is one n-gram; one without words
     (or NULL) links with nothing, so its class and component are its own id. A NULL id is never the
-    smallest; rows that repeat an id are each a document.
+    smallest; rows that repeat an id are each a document. Pairs that are connected already are not compared.
     """
-    found = stage(sets(docs, n, id_col, text_col), "sets")
-    alive = stage(survivors(docs, found, n, percent, text_col), "survivors")
-    roots = components(class_links(alive, percent, fragments))
-    classes = found.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"))
-    rooted = classes.join(roots, classes["key"] == roots["node"], "left")
-    rooted = rooted.select("key", "class_id", F.coalesce("root", "key").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    known = rooted.join(lowest, "root").select(F.col("key").alias("_key"), "class_id", "component_id")
-    out = found.join(known, found["key"] == known["_key"], "left")
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id"),
-        F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("component_id"),
-    )
+    found = join(docs, n, percent, fragments, id_col, text_col)
+    return members(found).select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def similar_links(
+    docs: DataFrame,
+    n: int = 4,
+    percent: int = 85,
+    fragments: int = FRAGMENTS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """The whole join, as members and links.
+
+    Members are the rows of ``similar_groups`` with ``key``, the name of the set (NULL for an empty one): documents of equal
+    keys link. Links are all pairs of different sets that are similar enough, ``a, b, overlap``: their keys, a < b, and
+    how many n-grams they share. Their number grows with the square of a group of near copies.
+    """
+    found = join(docs, n, percent, fragments, id_col, text_col)
+    links = in_cells(found, lambda table: links_of_cells(table, percent), "a binary, b binary, overlap bigint")
+    return members(found).select("doc_id", "n_shingles", "key", "class_id", "component_id"), links
+
+
+def link_counts(
+    docs: DataFrame,
+    n: int = 4,
+    percent: int = 85,
+    fragments: int = FRAGMENTS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``similar_groups`` with ``n_links``: to how many other rows a document links, equal sets included.
+
+    All links are verified; their rows are summed where they are found.
+    """
+    found = join(docs, n, percent, fragments, id_col, text_col)
+    partial = in_cells(found, lambda table: counts_of_cells(table, percent), "key binary, links bigint")
+    counted = partial.groupBy(F.col("key").alias("_key")).agg(F.sum("links").alias("links"))
+    rows = members(found)
+    rows = rows.join(counted, rows["key"] == counted["_key"], "left")
+    n_links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
+    return rows.select("doc_id", "n_shingles", "class_id", "component_id", n_links.alias("n_links"))
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:

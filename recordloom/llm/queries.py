@@ -213,8 +213,8 @@ def op10_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = ngram_join.similar_groups(read(spark, sf_dir, "documents"))
-    return groups.select("doc_id", "n_shingles", "component_id")
+    linked = ngram_join.link_counts(read(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query()

@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,59 @@ def test_join_of_odd_rows(make, nothing):
     assert joined(ngram_join.similar_groups(nothing)) == []
 
 
+def plain_links(rows, n=4, percent=85):
+    """All links between different sets with their overlaps, and to how many other rows every row links."""
+    sets = [gram_set(t, n) for _, t, _ in rows]
+    similar = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    different = sorted({s for s in sets if s}, key=sorted)
+    links = {(a, b): len(a & b) for i, b in enumerate(different) for a in different[:i] if similar(a, b)}
+    counts = [sum(1 for j, b in enumerate(sets) if j != i and similar(a, b)) for i, a in enumerate(sets)]
+    return {frozenset(pair): overlap for pair, overlap in links.items()}, counts
+
+
+@pytest.mark.parametrize(("seed", "n", "percent", "cell"), [(1, 4, 85, None), (4, 2, 60, (400, 3))])
+def test_every_link_is_there(make, monkeypatch, seed, n, percent, cell):
+    if cell:
+        monkeypatch.setattr(ngram_join, "CELL_ENTRIES", cell[0])
+        monkeypatch.setattr(ngram_join, "CELL_CLASSES", cell[1])
+    rows = near_rows(seed)
+    words = [f"w{i}" for i in range(200)]
+    star = [" ".join([*words[: 12 * i], f"x{i}", *words[12 * i + 1 :]]) for i in range(12)]
+    rows += [(len(rows) + i, text, "s") for i, text in enumerate(star)]  # each pair of these links
+    want, counts = plain_links(rows, n, percent)
+    members, links = ngram_join.similar_links(make(rows), n, percent)
+    set_of = {bytes(r.key): gram_set(rows[r.doc_id][1], n) for r in members.collect() if r.key}
+    found = links.collect()
+    assert len(found) == len(want) >= 66
+    assert all(r.a < r.b for r in found)
+    assert {frozenset((set_of[bytes(r.a)], set_of[bytes(r.b)])): r.overlap for r in found} == want
+    got = ngram_join.link_counts(make(rows), n, percent)
+    assert sorted((r.doc_id, r.n_links) for r in got.collect()) == list(enumerate(counts))
+
+
+def test_links_of_odd_rows(make, nothing):
+    counts = plain_links(odd_rows())[1]
+    want = sorted(((r[0], c) for r, c in zip(odd_rows(), counts, strict=True)), key=repr)
+    got = ngram_join.link_counts(make(odd_rows()))
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=repr) == want
+    members, links = ngram_join.similar_links(nothing)
+    assert members.collect() == links.collect() == ngram_join.link_counts(nothing).collect() == []
+
+
+def test_links_of_the_query(spark):
+    rows = [(r.doc_id, r.text, None) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    got = {r.doc_id: r.n_links for r in QUERIES["op4_ngram_join"](spark, SF_DIR).collect()}
+    assert got == {r[0]: c for r, c in zip(rows, plain_links(rows)[1], strict=True)}
+
+
+def test_overlaps_in_small_steps(monkeypatch):
+    monkeypatch.setattr(ngram_join, "EXPANDED", 3)
+    rng = random.Random(8)
+    x, y = ([sorted(rng.sample(range(30), rng.randint(0, 12))) for _ in range(n)] for n in (9, 7))
+    got = ngram_join.overlaps(*(pa.array(s, pa.list_(pa.int64())) for s in (x, y)))
+    assert got.tolist() == [[len(set(a) & set(b)) for b in y] for a in x]
+
+
 def test_keep_one(make):
     rows = near_rows(6)
     docs = make(rows)
