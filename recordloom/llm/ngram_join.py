@@ -244,8 +244,8 @@ def gather_block(table: pa.Table, percent: int) -> pa.Table:
     grams = np.concatenate((grams[~several], again))
     owners = np.concatenate((places[~several], np.frombuffer(head["c"], np.uint16))).astype(np.int64)
     counts = np.concatenate((counts[~several], known_counts[np.searchsorted(known, again)]))
-    # rarest first, then by hash: one number whose order is the global order
-    ordered = counts << 47 | (grams >> np.uint64(17)).astype(np.int64)
+    # rarest first, then by hash: one number whose order is the global order; mixed, as the top bits of a name are its part's
+    ordered = counts << 47 | (mixed(grams) >> np.uint64(17)).astype(np.int64)
     order = np.lexsort((ordered, owners))
     owners, ordered = owners[order], ordered[order]
     once = np.concatenate(([True], (owners[1:] != owners[:-1]) | (ordered[1:] != ordered[:-1])))

@@ -139,6 +139,29 @@ def test_links_of_the_query(spark):
     assert got == {r[0]: c for r, c in zip(rows, plain_links(rows)[1], strict=True)}
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_long_texts_at_the_threshold(parts):
+    common = [f"c{i}" for i in range(289_003)]
+    tails = [f"x{i}" for i in range(25_000)], [f"y{i}" for i in range(26_000)]
+    found = [ngram_join.shingles(" ".join(common + tail).encode(), 4) for tail in tails]
+    rows = []
+    for one in found:  # a block each, so that n-grams meet where parts are counted
+        rows += list(ngram_join.block_rows({ngram_join.set_key(one): one}, parts))
+    counted = []
+    for part in range(parts):
+        here = pa.Table.from_pylist([row for row in rows if row["part"] == part], ngram_join.ROW)
+        counted += ngram_join.count_part(here).to_pylist()
+    grams, unshared = [], []
+    for block in sorted({row["block"] for row in rows}):
+        own = pa.Table.from_pylist([row for row in counted if row["block"] == block], ngram_join.ROW)
+        alive = ngram_join.gather_block(own, 85).to_pylist()
+        grams += [row["grams"] for row in alive]
+        unshared += [row["unshared"] for row in alive]
+    assert sorted(unshared) == [25_000, 26_000]
+    overlap = len(set(grams[0]) & set(grams[1]))
+    assert overlap == 289_000 and 100 * overlap == 85 * (sum(map(len, found)) - overlap)
+
+
 def test_overlaps_in_small_steps(monkeypatch):
     monkeypatch.setattr(ngram_join, "EXPANDED", 3)
     rng = random.Random(8)
