@@ -11,6 +11,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -29,7 +31,13 @@ ASSIGN = re.compile(
 # Runs are taken whole, so asking for the least length at once finds the same ones.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-ENCODED = re.compile(r"[A-Za-z0-9+/_-]{48,}={0,2}")
+LETTERS = re.compile(r"[A-Za-z0-9+/_-]+")
+BREAK = r"(?:[ \t]*+(?:\r\n?|\n|(?:\\r)?\\n))++[ \t]*+"  # line breaks, also escaped ones
+BREAKS = re.compile(BREAK)
+ENCODED = re.compile(rf"{LETTERS.pattern}(?:{BREAK}{LETTERS.pattern})*={{0,2}}")
+LEAST_LETTERS = 48
+# A key starts as a sequence (0x30 and any length) or with the words of its format.
+KEY_START = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjE")
 HEX_KEY = re.compile(r"[0-9A-Fa-f]{96,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]*)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)PRIVATE KEY-----")
@@ -112,6 +120,96 @@ def unbase64(text: str) -> bytes | None:
         return None
 
 
+class Run:
+    """Encoded letters over line breaks, with where its lines end and where in the text its letters are."""
+
+    def __init__(self, found: re.Match):
+        bare, start = found[0].rstrip("="), found.start()
+        lines = BREAKS.split(bare)
+        self.end = found.end()
+        self.letters = "".join(lines)
+        self.places = [start, *(start + m.end() for m in BREAKS.finditer(bare))]  # of the lines in the text
+        self.ends = list(accumulate(map(len, lines)))  # of the lines in the letters
+        self.firsts = [0, *self.ends[:-1]]
+
+    def letter(self, place: int) -> int:
+        line = bisect_right(self.places, place) - 1
+        return self.firsts[line] + place - self.places[line]
+
+    def line_ends(self, letter: int) -> bool:
+        line = bisect_left(self.ends, letter)
+        return line < len(self.ends) and self.ends[line] == letter
+
+    def place_after(self, letter: int) -> int:
+        """Where in the text a line ends; the last one with its padding."""
+        if letter == self.ends[-1]:
+            return self.end
+        line = bisect_left(self.ends, letter)
+        return self.places[line] + letter - self.firsts[line]
+
+
+def letters_for(size: int) -> int:
+    return -(-4 * size // 3)
+
+
+def der_end(run: Run, first: int) -> int | None:
+    """Where the letters of a sequence end by its length, if that is the end of a line."""
+    head = unbase64(run.letters[first : first + 8]) or b""
+    if len(head) < 6:
+        return None
+    size, n = 2 + head[1], head[1] & 0x7F
+    if head[1] & 0x80:
+        if not 1 <= n <= 4:
+            return None
+        size = 2 + n + int.from_bytes(head[2 : 2 + n], "big")
+    end = first + letters_for(size)
+    return end if run.line_ends(end) else None
+
+
+def ssh_end(run: Run, first: int) -> int | None:
+    """Where the letters of an OpenSSH key end by its fields, or where the run does."""
+    data = unbase64(run.letters[first:]) or unbase64(run.letters[first:-1]) or b""
+    at = len(SSH_MAGIC)
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    for _ in range(keys + 1):
+        if at >= len(data):
+            break
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    end = first + letters_for(at)
+    return end if run.line_ends(end) else run.ends[-1]
+
+
+def encoded_keys(text: str) -> list[Span]:
+    """Keys in base64 without armour, from any letter of a run to the end of one of its lines.
+
+    What lies in a key is part of it. A value that starts a run and ends with a line, but is no key, is broken, and so is
+    what it holds to its end.
+    """
+    out: list[Span] = []
+    run, passed, broken = None, 0, set()
+    for m in KEY_START.finditer(text):
+        place = m.start()
+        if place < passed:
+            continue
+        if run is None or place >= run.end:
+            run, broken = Run(ENCODED.match(text, place)), set()
+        if len(run.letters) < LEAST_LETTERS:
+            continue
+        first = run.letter(place)
+        end = der_end(run, first) if m[0][0] == "M" else ssh_end(run, first)
+        if end is None or end in broken or end - first < LEAST_LETTERS:
+            continue
+        if is_key(unbase64(run.letters[first:end]) or b""):
+            passed = run.place_after(end)
+            out.append(Span("key", place, passed))
+        elif not LETTERS.match(text[max(place - 1, 0) : place]):
+            broken.add(end)
+    return out
+
+
 def json_object(text: str) -> dict | None:
     data = unbase64(text)
     try:
@@ -149,12 +247,9 @@ def confirmed_spans(text: str) -> list[Span]:
         for begin in PEM_BEGIN.finditer(text):
             closing = f"-----END {begin[1]}PRIVATE KEY-----"
             end = text.find(closing, begin.end())
-            if end >= 0 and is_key(unbase64("".join(text[begin.end() : end].split())) or b""):
+            if end >= 0 and is_key(unbase64("".join(BREAKS.sub(" ", text[begin.end() : end]).split())) or b""):
                 out.append(Span("pem", begin.start(), end + len(closing)))
-    for m in ENCODED.finditer(text):
-        # A key starts as a sequence or with the words of its format: the first letters tell.
-        if m[0].startswith(("MI", "MC", "MG", "MF", "MH", "b3BlbnNzaC1rZXktdjE")) and is_key(unbase64(m[0]) or b""):
-            out.append(Span("key", *m.span()))
+    out += encoded_keys(text)
     for m in HEX_KEY.finditer(text):
         if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
             out.append(Span("key", *m.span()))

@@ -6,6 +6,7 @@ import json
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -81,6 +82,44 @@ def test_keys_are_confirmed(data):
         assert ("key", 0, 2 * len(data)) in [tuple(s) for s in secret_scan.confirmed_spans(data.hex())]
 
 
+P256 = der(6, bytes.fromhex("2a8648ce3d030107"))
+NAMED = der(0x30, der(2, b"\1") + der(4, NUMBER[:32]) + der(0xA0, P256))
+WRAPPED = der(0x30, der(2, b"\0") + der(0x30, der(6, bytes.fromhex("2a8648ce3d0201")) + P256)
+              + der(4, der(0x30, der(2, b"\1") + der(4, NUMBER[:32]))))
+ED448 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x71")) + der(4, der(4, NUMBER[:57])))
+SHORT_FORMS = [(NAMED, "MD"), (WRAPPED, "ME"), (ED448, "ME")]
+
+
+@pytest.mark.parametrize(("data", "letters"), SHORT_FORMS)
+def test_short_keys_are_found_in_base64(data, letters):
+    text = base64.b64encode(data).decode()
+    assert text.startswith(letters) and ("key", 0, 2 * len(data)) in secret_scan.confirmed_spans(data.hex())
+    assert secret_scan.confirmed_spans(f"key {text} end") == [("key", 4, 4 + len(text))]
+
+
+@pytest.mark.parametrize("data", [RSA, PKCS8, CURVE, SSH, NAMED, WRAPPED, ED448])
+def test_keys_glued_and_wrapped(data):
+    text = base64.b64encode(data).decode()
+    for glue in ("x", "/", "_", "MA", "MIIE", "path/to/"):
+        assert secret_scan.confirmed_spans(f"é {glue}{text} end") == [("key", 2 + len(glue), 2 + len(glue) + len(text))]
+    for newline in ("\n", "\r\n", "  \n  ", "\\n", "\\r\\n", "\n\n"):
+        for width in (32, 64):
+            lines = newline.join(text[i : i + width] for i in range(0, len(text), width))
+            for before, after in (("", ""), (f"MIKE{newline}", f"{newline}MAX and more"), ("a key: ", " end")):
+                want = ("key", len(before), len(before) + len(lines))
+                assert secret_scan.confirmed_spans(before + lines + after) == [want]
+        for width in (64, 10_000):
+            lines = newline.join(text[i : i + width] for i in range(0, len(text), width))
+            pem = f"-----BEGIN EC PRIVATE KEY-----{newline}{lines}{newline}-----END EC PRIVATE KEY-----"
+            assert ("pem", 1, 1 + len(pem)) in secret_scan.confirmed_spans(f'"{pem}"')
+
+
+def test_many_starts_take_linear_time():
+    began = time.process_time()
+    assert secret_scan.confirmed_spans("MIIE" * 200_000 + "\n" + "MAX\n" * 100_000) == []
+    assert time.process_time() - began < 20
+
+
 def test_signed_tokens():
     assert [tuple(s) for s in secret_scan.confirmed_spans(f"Bearer {TOKEN}.")] == [("jwt", 7, 7 + len(TOKEN))]
     broken = TOKEN.replace(part({"alg": "HS256"}), part({"typ": "x"}))
