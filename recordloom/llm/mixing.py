@@ -8,12 +8,14 @@ divided by its quality weight, and documents are taken in key order until the
 running sum of their sizes reaches the rest.
 
 The running sum never sorts a source in one task. Keys are mapped to a fixed grid
-of cells in key order; sums per cell are small whatever the size of the source,
-and only the documents of the one cell the budget ends in are sorted.
+of cells in key order, even in the logarithm of the key: whatever the weights are, a
+cell is expected to hold at most a hundred-thousandth of a source. Only the documents of
+the one cell the budget ends in are sorted.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,8 @@ from recordloom.llm.texts import stage
 DIGITS = 13  # hexadecimal digits of the hash, 52 bits: exact in a double
 CELLS = 1024  # cells per level; two levels
 LEAST_QUALITY = 0.01
+LEAST_KEY = 2.0**-26  # the first cell has all smaller keys
+MOST_KEY = 4 * DIGITS * math.log(2) / LEAST_QUALITY
 
 
 def uniform(id_col: str, seed: int) -> Column:
@@ -79,7 +83,8 @@ def draws(size: Column, quality: Column, seed: int, id_col: str, source_col: str
 
 
 def cell_of(key: str) -> Column:
-    return F.floor((1 - F.exp(-F.col(key))) * (CELLS * CELLS)).cast("int")
+    height = F.log(F.greatest(F.col(key), F.lit(LEAST_KEY)) / F.lit(LEAST_KEY)) / F.lit(math.log(MOST_KEY / LEAST_KEY))
+    return F.floor(F.least(height, F.lit(1.0)) * (CELLS * CELLS)).cast("int")
 
 
 def planned(

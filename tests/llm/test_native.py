@@ -80,6 +80,25 @@ def test_mix_stays_within_limits(make):
     assert all(abs(taken[s] - target[s]) <= 50 for s in target)
 
 
+@pytest.mark.parametrize("weight", [0.01, 0.1, 0.5, 1.0])
+def test_cells_are_small_at_any_weight(spark, weight):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"))
+    drawn = mixing.draws(F.lit(1), F.lit(weight), 0, "doc_id", "source")
+    rows = docs.withColumns(drawn).withColumn("cell", mixing.cell_of("key"))
+    cells = rows.groupBy("cell").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).collect()
+    assert max(r.n for r in cells) <= 8
+    cells.sort(key=lambda r: r.cell)
+    assert 0 <= cells[0].cell and cells[-1].cell <= mixing.CELLS**2
+    assert all(a.high < b.low for a, b in zip(cells, cells[1:]))
+
+
+def test_extreme_keys_have_cells(spark):
+    keys = [0.0, -0.0, 1e-300, 2.0**-26, 1.0, mixing.MOST_KEY, 2 * mixing.MOST_KEY]
+    rows = spark.createDataFrame([(k,) for k in keys], "key double").withColumn("cell", mixing.cell_of("key"))
+    cells = [r.cell for r in rows.collect()]
+    assert cells[:4] == [0] * 4 and cells == sorted(cells) and cells[-1] == cells[-2] <= mixing.CELLS**2
+
+
 @pytest.mark.parametrize("n", [0, 1, 60, 400])
 def test_repeat(make, n):
     docs = make([(i, "word " * (i % 5), f"s{i % 4}") for i in range(n)])
