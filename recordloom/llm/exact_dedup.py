@@ -89,23 +89,24 @@ def spelled_out(plain: DataFrame, recipes: DataFrame, shared: DataFrame, identif
 
 
 def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns.
+    """The rows of ``docs`` that stay, with their own columns: one of each group of equal texts.
 
     Only the ids that go are joined, so texts stay where they are while that list is small enough to
-    broadcast. Rows that repeat an id are told apart by their text.
+    broadcast. Rows with a NULL or repeated id are told apart by the digest of their text.
     """
-    gone = stage(
-        found.groupBy("doc_id").agg(F.max("kept").alias("any")).where("not any").select(F.col("doc_id").alias("_gone")),
-        "gone",
-    )
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.count("*").alias("rows"))
+    ids = stage(ids.where("not any or rows > 1 or doc_id is null"), "ids")
+    gone = ids.where("not any and doc_id is not null").select(F.col("doc_id").alias("_gone"))
     left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    repeated = stage(
-        found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")), "repeated"
-    )
-    if repeated.isEmpty():
+    unclear = ids.where("any and rows > 1 or doc_id is null").select(F.col("doc_id").alias("_again"))
+    if unclear.isEmpty():
         return left
-    same = docs[id_col].eqNullSafe(repeated["_again"])
+    same = docs[id_col].eqNullSafe(unclear["_again"])
+    stay = found.where("kept").select(F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_sha256"))
+    stay = stage(stay.join(unclear, stay["_kept"].eqNullSafe(unclear["_again"]), "left_semi"), "kept")
     bare = F.sha2(F.regexp_replace(text_of(text_col), BLANKS, ""), 256)
-    turn = F.row_number().over(W.partitionBy(id_col, bare).orderBy(F.length(text_of(text_col)).desc()))
-    once = left.join(repeated, same, "left_semi").withColumn("_turn", turn).where("_turn = 1").drop("_turn")
-    return left.join(repeated, same, "left_anti").unionByName(once)
+    doubtful = left.join(unclear, same, "left_semi").withColumn("_bare", bare)
+    ours = doubtful[id_col].eqNullSafe(stay["_kept"]) & (doubtful["_bare"] == stay["_sha256"])
+    turn = F.row_number().over(W.partitionBy(id_col, "_bare").orderBy(F.length(text_of(text_col)).desc()))
+    once = doubtful.join(stay, ours, "left_semi").withColumn("_turn", turn).where("_turn = 1").drop("_turn", "_bare")
+    return left.join(unclear, same, "left_anti").unionByName(once)

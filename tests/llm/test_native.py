@@ -152,6 +152,17 @@ def test_keep_first(make, nothing):
     assert exact_dedup.exact_groups(nothing).collect() == []
 
 
+def test_keep_first_by_text(make):
+    rows = [(None, "a copy", "s"), (1, "a copy", "s"), (2, "other", "s"), (2, "a  copy", "s"), (2, "a copy", "s"),
+            (3, "other text", "s"), (3, "a copy", "s"), (None, "only here", "s"), (None, "only here", "s"),
+            (4, "only here", "s"), (None, "two", "s"), (None, "two ", "s")]
+    docs = make(rows)
+    kept = exact_dedup.keep_first(docs, exact_dedup.exact_groups(docs))
+    assert kept.columns == docs.columns
+    want = [(2, "a  copy"), (2, "other"), (3, "other text"), (4, "only here"), (None, "two ")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 def plain_table(shards, slots):
     number = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:8], 16)
     orders = [((number(f"start:{n}") % slots), number(f"step:{n}") % (slots - 1) + 1) for n in shards]
