@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import (
+    alignment,
     byte_bpe,
     exact_dedup,
     mixing,
@@ -228,3 +229,8 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.concat(*[only("strict", kind) for kind in personal_data.KINDS])).alias("base_sha256"),
         span_text("spans").alias("spans"),
     )
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_statistics(read(spark, sf_dir, "documents"))
