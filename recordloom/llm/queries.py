@@ -9,9 +9,11 @@ from recordloom.llm import (
     alignment,
     byte_bpe,
     exact_dedup,
+    merkle,
     mixing,
     ngram_join,
     personal_data,
+    projected_search,
     quality_ranker,
     quality_rules,
     secret_scan,
@@ -234,3 +236,72 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_statistics(read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE bits AS (
+    SELECT doc_id, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: list_concat([ascii(c)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), hashed AS (
+    SELECT d.doc_id, coalesce('1' || source, '0') AS tree,
+        coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+        sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        coalesce(xor(crc, 4294967295) % 5 = 0, false) AS tampered,
+        CASE WHEN tampered THEN sha256(head || coalesce(strlen(text) || ':' ||
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) ELSE leaf END AS given
+    FROM documents d LEFT JOIN bits USING (doc_id)
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+        count(*) OVER (PARTITION BY tree) AS n FROM hashed
+), nodes(tree, level, idx, n, digest) AS (
+    SELECT tree, 0, rank, n, leaf FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM nodes WHERE n > 1 GROUP BY tree, level, n, idx // 16
+), groups AS (
+    SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops(level, idx, n, digest) AS (
+    SELECT 0, rank, n, subroot FROM groups
+    UNION ALL
+    SELECT level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM tops WHERE n > 1 GROUP BY level, n, idx // 16
+), steps AS (
+    SELECT l.tree, l.rank, s.level AS step, s.idx AS place, s.digest, s.idx = l.rank // (16 ** s.level)::BIGINT AS own
+    FROM leaves l JOIN nodes s ON s.tree = l.tree AND s.n > 1 AND s.idx // 16 = l.rank // (16 ** (s.level + 1))::BIGINT
+    UNION ALL
+    SELECT l.tree, l.rank, 100 + s.level, s.idx, s.digest, s.idx = g.rank // (16 ** s.level)::BIGINT
+    FROM leaves l JOIN groups g ON g.tree = l.tree JOIN tops s ON s.n > 1 AND s.idx // 16 = g.rank // (16 ** (s.level + 1))::BIGINT
+), ways AS (
+    SELECT tree, rank, row_number() OVER (PARTITION BY tree, rank ORDER BY step) AS turn,
+        coalesce(string_agg(digest, '' ORDER BY place) FILTER (WHERE place < mine), '') AS before,
+        coalesce(string_agg(digest, '' ORDER BY place) FILTER (WHERE place > mine), '') AS after
+    FROM (SELECT *, max(place) FILTER (WHERE own) OVER (PARTITION BY tree, rank, step) AS mine FROM steps)
+    GROUP BY tree, rank, step
+), folds(tree, rank, turn, digest) AS (
+    SELECT tree, rank, 0, given FROM leaves
+    UNION ALL
+    SELECT f.tree, f.rank, w.turn, sha256(w.before || f.digest || w.after)
+    FROM folds f JOIN ways w ON w.tree = f.tree AND w.rank = f.rank AND w.turn = f.turn + 1
+), folded AS (
+    SELECT tree, rank, max_by(digest, turn) AS folded_root FROM folds GROUP BY tree, rank
+), proofs AS (
+    SELECT tree, rank, sha256(string_agg(before || after, '' ORDER BY turn)) AS proof FROM ways GROUP BY tree, rank
+)
+SELECT l.doc_id, l.leaf, g.subroot, t.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+    f.folded_root, f.folded_root = t.digest AS verified
+FROM leaves l JOIN groups g ON g.tree = l.tree JOIN tops t ON t.n = 1
+JOIN folded f ON f.tree = l.tree AND f.rank = l.rank LEFT JOIN proofs p ON p.tree = l.tree AND p.rank = l.rank
+"""
+
+
+@query(OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_search.nearest(read(spark, sf_dir, "embeddings"))
