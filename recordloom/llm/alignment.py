@@ -35,7 +35,8 @@ from recordloom.llm.texts import batches, stage
 A_DEFINITION, B_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"  # how the second tokenizer writes a space
 STRIDE = 16  # every so many ends search from the start of their text, the others from the one before
-CACHED_IDS = 7_000_000  # token ids a worker remembers, with their pieces about 200 MB
+CACHED_IDS = 3_500_000  # token ids a worker remembers, with their pieces about 100 MB
+TOGETHER = 500_000  # characters of texts aligned side by side; a longer text is alone
 FREQUENT = 200_000  # pairs whose counts every task gets, 17 bytes each
 FLUSH = 500_000  # pairs a task counts before it passes them on
 
@@ -88,12 +89,12 @@ class Tokenizers:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(definitions.a)
-        self.a.encode_special_tokens = True  # strings of special tokens are plain text
+        a = Tokenizer.from_str(definitions.a)
+        a.encode_special_tokens = True  # strings of special tokens are plain text
         self.b = SentencePieceProcessor(model_proto=definitions.b)
         letters = byte_letters()
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
+        self.a_bytes = [b""] * a.get_vocab_size()
+        for token, i in a.get_vocab().items():
             plain = all(letter in letters for letter in token)
             self.a_bytes[i] = bytes(letters[c] for c in token) if plain else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -101,9 +102,11 @@ class Tokenizers:
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
             for i, piece in enumerate(pieces)
         ]
-        steps = json.loads(definitions.a).get("pre_tokenizer") or {}
+        model = json.loads(definitions.a)
+        steps = model.get("pre_tokenizer") or {}
         level = steps.get("type") == "ByteLevel" and not steps.get("add_prefix_space") and steps.get("use_regex", True)
-        self.by_ranks = self.ranked(json.loads(definitions.a)["model"]) if level else None
+        self.by_ranks = self.ranked(model["model"]) if level else None
+        self.a = a if self.by_ranks is None else None  # one form of a vocabulary is enough memory
         self.cuts = level and not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in pieces)
         self.a_length = np.array([len(token) for token in self.a_bytes], np.int64)
         self.b_length = np.array([len(token) for token in self.b_bytes], np.int64)
@@ -336,8 +339,17 @@ def align_texts(texts: list[str], tokenizers: Tokenizers) -> Aligned:
     return Aligned(a, b, a_counts, b_counts, *cuts, len(tokenizers.a_bytes), len(tokenizers.b_bytes))
 
 
-def texts_of(part: pa.RecordBatch) -> list[str]:
-    return [text or "" for text in part.column("text").to_pylist()]
+def aligned_parts(part: pa.RecordBatch, tokenizers: Tokenizers) -> Iterator[Aligned]:
+    """The texts of a batch, NULL as empty, a bounded number of characters at a time."""
+    texts, size = [], 0
+    for text in part.column("text"):
+        text = text.as_py() or ""
+        if texts and size + len(text) > TOGETHER:
+            yield align_texts(texts, tokenizers)
+            texts, size = [], 0
+        texts.append(text)
+        size += len(text)
+    yield align_texts(texts, tokenizers)
 
 
 def lists_of(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -358,15 +370,16 @@ def alignments(
     definitions = definitions or Definitions.read()
 
     def run(part: pa.RecordBatch) -> dict:
-        found = align_texts(texts_of(part), Tokenizers.of(definitions))
-        first_a = np.repeat(np.cumsum(found.a_counts) - found.a_counts, found.groups)
-        first_b = np.repeat(np.cumsum(found.b_counts) - found.b_counts, found.groups)
+        parts = list(aligned_parts(part, Tokenizers.of(definitions)))
+        a_counts, b_counts, groups = (np.concatenate([getattr(p, n) for p in parts]) for n in ("a_counts", "b_counts", "groups"))
+        a_cuts = [p.a_cuts - np.repeat(np.cumsum(p.a_counts) - p.a_counts, p.groups) for p in parts]
+        b_cuts = [p.b_cuts - np.repeat(np.cumsum(p.b_counts) - p.b_counts, p.groups) for p in parts]
         return {
             "id": part.column("id"),
-            "a_ids": lists_of(found.a, found.a_counts),
-            "b_ids": lists_of(found.b, found.b_counts),
-            "a_cuts": lists_of(found.a_cuts - first_a, found.groups),
-            "b_cuts": lists_of(found.b_cuts - first_b, found.groups),
+            "a_ids": lists_of(np.concatenate([p.a for p in parts]), a_counts),
+            "b_ids": lists_of(np.concatenate([p.b for p in parts]), b_counts),
+            "a_cuts": lists_of(np.concatenate(a_cuts), groups),
+            "b_cuts": lists_of(np.concatenate(b_cuts), groups),
         }
 
     schema = f"id {id_type(docs, id_col)}, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>"
@@ -382,15 +395,23 @@ def links(docs: DataFrame, id_col: str, text_col: str, definitions: Definitions)
 
     def run(part: pa.RecordBatch) -> dict:
         tokenizers = Tokenizers.of(definitions)
-        found = align_texts(texts_of(part), tokenizers)
-        written = found.written(tokenizers.written)
+        n_a, n_b, groups, digests, link_a, link_b = [], [], [], [], [], []
+        for found in aligned_parts(part, tokenizers):
+            n_a.append(found.a_counts)
+            n_b.append(found.b_counts)
+            groups.append(found.groups)
+            link_a.append(found.a[found.a_cuts])
+            link_b.append(found.b[found.b_cuts])
+            written = found.written(tokenizers.written)
+            digests += [hashlib.sha256(text.encode()).hexdigest() if text else "" for text in written]
+        each = np.concatenate(groups)
         return {
             "id": part.column("id"),
-            "n_a": found.a_counts,
-            "n_b": found.b_counts,
-            "groups_sha256": [hashlib.sha256(text.encode()).hexdigest() if text else "" for text in written],
-            "link_a": lists_of(found.a[found.a_cuts], found.groups),
-            "link_b": lists_of(found.b[found.b_cuts], found.groups),
+            "n_a": np.concatenate(n_a),
+            "n_b": np.concatenate(n_b),
+            "groups_sha256": digests,
+            "link_a": lists_of(np.concatenate(link_a), each),
+            "link_b": lists_of(np.concatenate(link_b), each),
         }
 
     schema = (

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -139,6 +140,17 @@ def test_partial_counts_passed_on_early(make, libraries, loaded, monkeypatch):
     assert collected(alignment.link_statistics(make(rows))) == want
 
 
+@pytest.mark.parametrize("together", [1, 30, 10_000])
+def test_parts_of_a_batch(loaded, together, monkeypatch):
+    monkeypatch.setattr(alignment, "TOGETHER", together)
+    texts = [None, "", "some words", "more words than that here", "", "漢字 かな", "x" * 50]
+    parts = list(alignment.aligned_parts(pa.RecordBatch.from_pydict({"text": texts}), loaded))
+    got = [text for part in parts for text in part.written(loaded.written)]
+    whole = alignment.align_texts([text or "" for text in texts], loaded)
+    assert got == list(whole.written(loaded.written))
+    assert np.concatenate([part.groups for part in parts]).tolist() == whole.groups.tolist()
+
+
 def test_no_rows(nothing):
     assert alignment.link_statistics(nothing).collect() == []
     assert alignment.alignments(nothing).collect() == []
