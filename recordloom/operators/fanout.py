@@ -28,7 +28,7 @@ from recordloom.operators.catalogue import (
     is_key,
     merged_schema,
 )
-from recordloom.operators.flatten import Default, flat_columns
+from recordloom.operators.flatten import Default, FlatColumn, flat_columns
 from recordloom.sources.entities import Collection, Entity
 
 PLACE = ("_run", "_page", "_pos", "_child", "_grandchild")
@@ -81,10 +81,18 @@ class Records:
             return _explode(self.top, self.hops, None), Whole(F.col("v"))
         return _explode(self.top, self.hops, types), Typed(F.col("v"), wants)
 
-    def rows(self, snake: bool = False, fixed: list[str] | None = None) -> DataFrame:
-        """Flat rows, with ``_at`` to tell which of two rows came later."""
+    def columns(
+        self, snake: bool = False, fixed: list[str] | None = None, known: dict[str, str] | None = None
+    ) -> list[FlatColumn]:
+        """Columns of the flat rows; names met before keep the labels in ``known``."""
         defaults = {hop.id_column: Default(hop.carried, hop.id_type) for hop in self.hops}
-        columns = flat_columns(self.catalogue, snake, defaults, fixed)
+        return flat_columns(self.catalogue, snake, defaults, fixed, known)
+
+    def rows(
+        self, snake: bool = False, fixed: list[str] | None = None, columns: list[FlatColumn] | None = None
+    ) -> DataFrame:
+        """Flat rows, with ``_at`` to tell which of two rows came later."""
+        columns = self.columns(snake, fixed) if columns is None else columns
         wants = Wants()
         for column in columns:
             column.want(wants)

@@ -36,6 +36,7 @@ class FlatColumn:
 
     label: str
     type: str
+    name: str
     readings: list[Reading]
     default: Default | None = None
 
@@ -69,20 +70,22 @@ def flat_columns(
     snake: bool = False,
     defaults: dict[str, Default] | None = None,
     fixed: list[str] | None = None,
+    known: dict[str, str] | None = None,
 ) -> list[FlatColumn]:
     """The columns of ``catalogue``.
 
     ``defaults`` fill a column only in records lacking it; an explicit null is
-    a value. ``fixed`` names the exact columns wanted, present or not.
+    a value. ``fixed`` names the exact columns wanted, present or not. ``known`` are the
+    labels names got before.
     """
     readings = catalogue.columns()
     defaults = defaults or {}
     names = fixed if fixed is not None else [*readings, *(d for d in defaults if d not in readings)]
     columns = []
-    for name, label in labels(names, snake).items():
+    for name, label in labels(names, snake, known).items():
         found, default = readings.get(name, []), defaults.get(name)
         type_ = V.widest([r.type for r in found] + ([default.type] if default else []))
-        columns.append(FlatColumn(label, "string" if type_ == V.VOID else type_, found, default))
+        columns.append(FlatColumn(label, "string" if type_ == V.VOID else type_, name, found, default))
     return columns
 
 

@@ -283,22 +283,93 @@ def quarantine_grandchildren(spark, sf_dir):
     return with_rows_aside(store)
 
 
+def event_pages(spark, events):
+    """Cursor pages of events, numbered from 0."""
+    lists = stage(paged(events, feeds.event_text(), ["event_id"]), "pages")
+    last = lists.agg(F.max("page")).first()[0]
+    following = F.when(F.col("page") < last, F.col("page") + 1)
+    return stage(lists.select("page", cursor_body(F.col("list"), "events", following).alias("body")), "bodies"), last
+
+
+@query(
+    """
+    SELECT event_id AS id, event_type AS type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
+           user_id AS organization_id, 'user ' || user_id AS organization_name
+    FROM events
+    """
+)
+def stream_landing_in_parts(spark, sf_dir):
+    """One landing over three triggers: its first quarter, then every second page of the rest, then what lies between."""
+    folder = f"{scratch(spark, 'landings')}/entity=events"
+    pages, last = event_pages(spark, table(spark, sf_dir, "events"))
+    first, odd = F.col("page") <= last // 4, F.col("page") % 2 == 1
+    store, checkpoint = new_store(spark), scratch(spark, "checkpoint")
+    for part in (first, ~first & odd, ~first & ~odd):
+        pages.filter(part).write.mode("append").parquet(f"{folder}/run_id=1")
+        ingest(landing_stream(spark, folder), store, PROJECTS, PROJECTS.entity("event"), checkpoint).awaitTermination()
+    return store.table("event").drop("_synced_at")
+
+
+@query(LANDINGS_SQL)
+def stream_late_landing(spark, sf_dir):
+    """The older landing, all pending, arrives a trigger after the newer one of every third event: newer rows stay."""
+    folder = f"{scratch(spark, 'landings')}/entity=events"
+    source = table(spark, sf_dir, "events")
+    landings = {2: source.filter("event_id % 3 = 0"), 1: source.withColumn("event_type", F.lit("pending"))}
+    store, checkpoint = new_store(spark), scratch(spark, "checkpoint")
+    for landing, events in landings.items():
+        event_landing(spark, events, folder, landing)
+        ingest(landing_stream(spark, folder), store, PROJECTS, PROJECTS.entity("event"), checkpoint).awaitTermination()
+    return store.table("event").drop("_synced_at")
+
+
+@query(
+    """
+    WITH pages AS (SELECT (count(*) + 99) // 100 AS n FROM events)
+    SELECT 1::BIGINT AS run_id, n + 1 + i AS page, 'after the end' AS reason FROM pages, range(n) t(i)
+    UNION ALL SELECT 2, i, 'no first page' FROM pages, range(1, n) t(i)
+    UNION ALL SELECT 3, i, 'after a gap' FROM pages, range(3, n) t(i)
+    """
+)
+def unread_pages(spark, sf_dir):
+    """Three landings of the same pages: one with pages past its end, one without its first, one without its third."""
+    root = scratch(spark, "landings")
+    pages, last = event_pages(spark, table(spark, sf_dir, "events"))
+    strays = pages.withColumn("page", F.col("page") + last + 2)
+    landings = {1: pages.unionByName(strays), 2: pages.filter("page <> 0"), 3: pages.filter("page <> 2")}
+    for landing, rows in landings.items():
+        rows.write.parquet(f"{root}/entity=events/run_id={landing}")
+    store = new_store(spark)
+    family = replace(PROJECTS, entities=(PROJECTS.entity("event"),))
+    sync(store, family, landed(spark, root, family))
+    return store.unread().select("run_id", "page", "reason")
+
+
 @query(
     """
-    SELECT 'business' AS table_schema, 'customer' AS table_name, count(*) AS row_count, true AS by_last_run FROM customer
-    UNION ALL SELECT 'business', 'stock_item', count(*), true FROM part
-    UNION ALL SELECT 'business', 'vendor', count(*), false FROM supplier
-    UNION ALL SELECT 'projects', 'event', count(*), false FROM events
+    WITH counted AS (
+        SELECT 'business' AS table_schema, 'customer' AS table_name, count(*) AS row_count, true AS by_last_run FROM customer
+        UNION ALL SELECT 'business', 'stock_item', count(*), true FROM part
+        UNION ALL SELECT 'business', 'vendor', count(*), false FROM supplier
+        UNION ALL SELECT 'business', 'sales_order', count(DISTINCT l_orderkey), false FROM lineitem
+        UNION ALL SELECT 'business', 'sales_order_detail', count(DISTINCT (l_orderkey, l_linenumber)), false FROM lineitem
+        UNION ALL SELECT 'business', 'sales_order_shipment', count(DISTINCT (l_orderkey, l_linenumber)), false
+                  FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 'projects', 'event', count(*), false FROM events)
+    SELECT *, table_name = 'stock_item' AS changed_by_last_run FROM counted
     """
 )
 def store_inventory(spark, sf_dir):
-    """Inventory of a store after a run of all and one that brings customers and items only."""
+    """Inventory of a whole store, from its log: a run of all feeds, then one of customers as they were and items renamed."""
     store = new_store(spark)
-    feed = {k: f for k, f in business_feeds(spark, sf_dir).items() if k != "sales_order"}
+    feed = business_feeds(spark, sf_dir)
     sync(store, PROJECTS, given({"event": feeds.events(spark, sf_dir)}))
     sync(store, BUSINESS, given(feed))
     first = store.commits().agg(F.max("at")).first()[0]
-    sync(store, BUSINESS, given({k: feed[k] for k in ("customer", "stock_item")}))
-    names = [("business", n) for n in ("customer", "stock_item", "vendor")] + [("projects", "event")]
-    found = inventory({(family, name): store.table(name, family) for family, name in names})
-    return found.withColumn("by_last_run", F.col("last_altered") > F.lit(first)).drop("last_altered")
+    parts = table(spark, sf_dir, "part")
+    items = feeds.records(parts, feeds.record(id="p_partkey", Name=feeds.wrap(F.upper("p_name"))), "p_partkey")
+    sync(store, BUSINESS, given({"customer": feed["customer"], "stock_item": items}))
+    found = store.inventory()
+    later = [F.coalesce(F.col(c) > F.lit(first), F.lit(False)).alias(n) for c, n in
+             (("last_synced", "by_last_run"), ("last_changed", "changed_by_last_run"))]
+    return found.select("table_schema", "table_name", "row_count", *later).filter("row_count > 0")

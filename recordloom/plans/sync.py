@@ -91,8 +91,10 @@ def sync_entity(
     versions: dict[tuple[str, str], Version],
     head: dict,
     at_once: int = 4,
+    beside: dict | None = None,
 ) -> list[dict]:
-    """Write all tables of one entity and return their commit entries."""
+    """Write all tables of one entity and return their commit entries; the parent's gets what is ``beside``."""
+    numbered = "run_id" in records.columns
     fixed = entity.requested_columns()
     keeps = entity.keeps if fixed or not family.filtered else None
     tables = list(normalise(positioned(records, run), entity, family.dialect, keeps, merged))
@@ -112,8 +114,9 @@ def sync_entity(
             folders.append(store.quarantine(family.name, name, odd, run))
         current = versions.get((family.name, name))
         if tally.keyed:
-            rows = table.rows(snake=True, fixed=fixed)
-            result = store.write(family.name, name, rows, run, current, table.keys())
+            columns = table.columns(True, fixed, current.labels if current else None)
+            rows, names = table.rows(columns=columns), {column.name: column.label for column in columns}
+            result = store.write(family.name, name, rows, run, current, table.keys(), numbered, names)
         else:
             result = store.keep(current)
         counts = {
@@ -123,12 +126,13 @@ def sync_entity(
             "collisions": len(table.catalogue.collisions()),
         }
         if name == entity.table:
-            counts |= {"unread_pages": unread.pages, "unread_from": unread.first}
+            counts |= {"unread_pages": unread.pages, "unread_from": unread.first, **(beside or {})}
+            if unread.rows is not None:
+                counts["unread"] = store.put("unread", family.name, name, unread.rows, run)
         return {**head, "table_name": name, "status": COMMITTED, **counts, **result}
 
-    known = (store.read(versions.get((family.name, name))) for name in entity.tables())
-    current = [t for t in known if t is not None]
-    with sized_shuffles(records, *current), ThreadPoolExecutor(at_once) as pool:
+    stored = sum(versions[key].size for name in entity.tables() if (key := (family.name, name)) in versions)
+    with sized_shuffles(records, more=stored), ThreadPoolExecutor(at_once) as pool:
         target = inheritable_thread_target(store.spark)(write)
         contexts = [copy_context() for _ in tables]
         return list(pool.map(lambda context, table: context.run(target, table), contexts, tables))

@@ -91,16 +91,16 @@ UNKNOWN_BYTES = 1 << 60  # a size from here on means that Spark does not know it
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def shuffle_partitions(*inputs: DataFrame) -> int:
-    """Partitions a shuffle of these inputs needs, no fewer than the session's setting."""
+def shuffle_partitions(*inputs: DataFrame, more: int = 0) -> int:
+    """Partitions a shuffle of these inputs and ``more`` bytes of files needs, no fewer than the session's setting."""
     sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs]
-    known = sum(size for size in sizes if size < UNKNOWN_BYTES)
+    known = more + sum(size for size in sizes if size < UNKNOWN_BYTES)
     least = int(inputs[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, math.ceil(known * ENCODED_GROWTH / SHUFFLE_PARTITION_BYTES))
 
 
 @contextmanager
-def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+def sized_shuffles(*inputs: DataFrame, more: int = 0) -> Iterator[int]:
     """Shuffles inside start with partitions that fit in memory for these inputs.
 
     Spark merges partitions that turn out small but never adds any, so the start
@@ -108,7 +108,7 @@ def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
     Spark knows without a job.
     """
     spark = inputs[0].sparkSession
-    count = shuffle_partitions(*inputs)
+    count = shuffle_partitions(*inputs, more=more)
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     spark.conf.set(INITIAL_PARTITIONS, str(count))
     try:

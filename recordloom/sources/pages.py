@@ -81,48 +81,81 @@ def decode_cursor(pages: DataFrame, collection: str, root: str = "organization")
 
 @dataclass(frozen=True)
 class Unread:
-    """Landed pages a scan does not reach: how many, and the first as ``run_id:page``."""
+    """Landed pages a scan does not reach: how many, the first as ``run_id:page``, and ``run_id, page, reason`` of all."""
 
     pages: int = 0
     first: str | None = None
+    rows: DataFrame | None = None
+
+
+NO_FIRST, AFTER_END, AFTER_GAP, READ_BEFORE = "no first page", "after the end", "after a gap", "read before"
 
 
 def scan(decoded: DataFrame) -> DataFrame:
     """``run_id, page, pos, v`` of every record a page-by-page reader reaches.
 
-    Reading a landing stops after the first page marked last, and before the first page
-    that is empty or was not landed.
+    Reading a landing stops after the first page marked last or empty, and before the first page that was not landed.
     """
     records = decoded.select("run_id", "page", F.posexplode("items").alias("pos", "v"))
-    stops = _stops(decoded.filter(F.size("items") > 0).select("run_id", "page", "last"))
+    ends = F.coalesce(F.col("last") | (F.size("items") <= 0), F.lit(True))
+    stops = _stops(decoded.select("run_id", "page", ends.alias("last")))
     return records.join(stops.select("run_id", "stop"), "run_id").filter("page <= stop").drop("stop")
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Decoded pages with their records, staged: the text is parsed once."""
+
+    rows: DataFrame  # run_id, page, last, pos, v; a page without records is one row without pos and v
+    merged: Merged  # merged schema of all records, reached or not
+
+    @property
+    def heads(self) -> DataFrame:
+        """``run_id, page, last`` of every page; one without records is always the last."""
+        first = self.rows.filter("pos is null or pos = 0")
+        return first.select("run_id", "page", F.coalesce(F.col("last") | F.col("pos").isNull(), F.lit(True)).alias("last"))
+
+    @property
+    def records(self) -> DataFrame:
+        return self.rows.filter("pos is not null").drop("last")
+
+
+def stage_pages(decoded: DataFrame) -> Staged:
+    exploded = decoded.select("run_id", "page", "last", F.posexplode_outer("items").alias("pos", "v"))
+    return Staged(*stage_records(exploded, "records"))
+
+
 def scan_staged(decoded: DataFrame) -> tuple[DataFrame, Merged | None, Unread]:
-    """The same from records staged first, with their merged schema and the pages left unread.
+    """The records of ``scan``, staged first, with their merged schema and the pages left unread.
 
     The text is parsed once, and the stop points read few narrow columns. The
     schema is unknown (None) if it saw pages past one.
     """
-    exploded = decoded.select("run_id", "page", "last", F.posexplode("items").alias("pos", "v"))
-    records, merged = stage_records(exploded, "records")
-    heads = records.filter("pos = 0").select("run_id", "page", "last")
+    pages = stage_pages(decoded)
+    heads = pages.heads
     stops = stage(_stops(heads), "stops")  # a row per landing
     if stops.filter("stop is null or stop < highest").isEmpty():
-        return records.drop("last"), merged, Unread()
+        return pages.records, pages.merged, Unread()
+    reached = pages.records.join(stops.select("run_id", "stop"), "run_id").filter("page <= stop").drop("stop")
+    return reached, None, unread_pages(heads, stops)
+
+
+def unread_pages(heads: DataFrame, stops: DataFrame) -> Unread:
+    """The pages no scan reaches: an anti join of the landed pages with what ``stops`` says was reached."""
     past = F.col("stop").isNull() | (F.col("page") > F.col("stop"))
-    beyond = heads.join(stops, "run_id").filter(past)
-    found = beyond.agg(F.count("*").alias("n"), F.min(F.struct("run_id", "page")).alias("first")).first()
-    reached = records.join(stops.select("run_id", "stop"), "run_id").filter("page <= stop").drop("last", "stop")
-    return reached, None, Unread(found.n, f"{found.first.run_id}:{found.first.page}")
+    why = F.when(F.col("stop").isNull(), NO_FIRST).when(F.col("ended"), AFTER_END).otherwise(AFTER_GAP)
+    beyond = heads.select("run_id", "page").join(stops, "run_id").filter(past)
+    rows = stage(beyond.select("run_id", "page", why.alias("reason")).distinct(), "unread")
+    found = rows.agg(F.count("*").alias("n"), F.min(F.struct("run_id", "page")).alias("first")).first()
+    return Unread(found.n, f"{found.first.run_id}:{found.first.page}", rows) if found.n else Unread()
 
 
-def _stops(heads: DataFrame) -> DataFrame:
-    """Per landing: the last page read, NULL when there is no page 0, and the highest.
+def _stops(heads: DataFrame, begun: DataFrame | None = None) -> DataFrame:
+    """Per landing: the last page reached, NULL when there is none, whether the scan ended there, and the highest page.
 
     A page ends the scan if it is marked last or no page follows it. Whether one
     follows is found by letting every page vouch for the one before, which
-    groups by page number and so spreads evenly.
+    groups by page number and so spreads evenly. A scan starts at page 0, or at ``next`` where ``begun`` has the landing.
     """
     own = heads.select("run_id", "page", F.col("last"), F.lit(False).alias("followed"))
     page = (F.col("page") - 1).alias("page")
@@ -130,9 +163,66 @@ def _stops(heads: DataFrame) -> DataFrame:
     both = own.unionByName(before).groupBy("run_id", "page")
     known = both.agg(F.max("last").alias("last"), F.max("followed").alias("followed"))
     real = known.filter(F.col("last").isNotNull())
-    ends = F.min(F.when(F.col("last") | ~F.col("followed"), F.col("page")))
-    stop = F.when(F.min("page") == 0, ends).alias("stop")
-    return real.groupBy("run_id").agg(stop, F.max("page").alias("highest"))
+    if begun is None:
+        real = real.withColumn("next", F.lit(0).cast("bigint"))
+    else:
+        real = real.join(begun.select("run_id", "next"), "run_id", "left").fillna(0, ["next"])
+    end = F.min(F.when(F.col("last") | ~F.col("followed"), F.struct("page", F.col("last").alias("ended"))))
+    stops = real.groupBy("run_id").agg(
+        F.min("page").alias("lowest"), F.max("next").alias("next"), end.alias("end"), F.max("page").alias("highest")
+    )
+    starts = F.col("lowest") == F.col("next")
+    stop = F.when(starts, F.col("end")["page"]).alias("stop")
+    ended = F.coalesce(starts & F.col("end")["ended"], F.lit(False)).alias("ended")
+    return stops.select("run_id", "next", stop, ended, "highest")
+
+
+@dataclass(frozen=True)
+class Continued:
+    """What a trigger makes of landings that arrive piece by piece."""
+
+    records: DataFrame
+    merged: Merged | None
+    unread: Unread
+    pending: DataFrame  # run_id, page, body of pages that wait for one before them
+    progress: DataFrame  # run_id, next, ended of every landing met so far
+
+
+def continue_scan(pages: DataFrame, progress: DataFrame | None, decode_pages) -> Continued:
+    """Go on reading landings where the triggers before left off.
+
+    ``pages`` are ``run_id, page, body`` of new pages and of those that were waiting. Every landing is read on from its ``next``
+    page up to the first that is missing; pages past that wait, for a later trigger may bring it. Past a landing's end, and
+    before ``next``, pages are unread for good. A page that waits twice counts once. What is read over all triggers is
+    what one scan of the whole landing reads.
+    """
+    pages = stage(pages.select("run_id", "page", "body"), "pages")
+    once = pages.groupBy("run_id", "page").agg(F.max("body").alias("body"))
+    staged = stage_pages(decode_pages(once))
+    heads = staged.heads
+    if progress is None:
+        progress = pages.sparkSession.createDataFrame([], "run_id bigint, next bigint, ended boolean")
+    begun = progress.withColumnsRenamed({"next": "begins", "ended": "done"})
+    known = heads.join(begun, "run_id", "left").fillna({"begins": 0, "done": False})
+    late = known.filter("done or page < begins")
+    fresh = stage(known.filter("not done and page >= begins").select("run_id", "page", "last"), "heads")
+    stops = stage(_stops(fresh, progress), "stops")
+    reached = fresh.join(stops, "run_id").filter("page <= stop")
+    read = staged.records.join(reached.select("run_id", "page"), ["run_id", "page"], "left_semi")
+    beyond = fresh.join(stops, "run_id").filter("stop is null or page > stop")
+    waiting = beyond.filter("not ended").select("run_id", "page")
+    why = F.when(F.col("page") >= F.col("begins"), AFTER_END).otherwise(READ_BEFORE)
+    skipped = late.select("run_id", "page", why.alias("reason")).unionByName(
+        beyond.filter("ended").select("run_id", "page", F.lit(AFTER_END).alias("reason"))
+    )
+    skipped = stage(skipped, "unread")
+    found = skipped.agg(F.count("*").alias("n"), F.min(F.struct("run_id", "page")).alias("first")).first()
+    unread = Unread(found.n, f"{found.first.run_id}:{found.first.page}", skipped) if found.n else Unread()
+    everything = not found.n and waiting.isEmpty()
+    pending = once.join(waiting, ["run_id", "page"], "left_semi")
+    moved = stops.select("run_id", F.coalesce(F.col("stop") + 1, F.col("next")).alias("next"), "ended")
+    kept = progress.join(moved, "run_id", "left_anti").select("run_id", "next", "ended")
+    return Continued(read, staged.merged if everything else None, unread, pending, kept.unionByName(moved))
 
 
 def decode(
