@@ -202,7 +202,7 @@ def test_query_is_its_sql(spark, duck, name):
     assert check(QUERIES[name](spark, SF_DIR), duck, SQL[name]) > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"op12_nearest_vectors"}))
 def test_query_has_a_row_for_every_document(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     assert sorted(r.doc_id for r in QUERIES[name](spark, SF_DIR).collect()) == sorted(r.doc_id for r in docs.collect())
@@ -215,7 +215,7 @@ def test_join_query(spark):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
