@@ -219,7 +219,7 @@ def encode(
         packed = [codec.encode(text or "") for text in part.column("text").to_pylist()]
         return {"doc_id": part.column("doc_id"), "ids": ids_array(packed)}
 
-    return batches(docs, {"doc_id": id_col, "text": text_col}, run, "doc_id bigint, ids array<int>")
+    return batches(docs, {"doc_id": id_col, "text": text_col}, run, "doc_id {id}, ids array<int>")
 
 
 def decode(
@@ -233,7 +233,7 @@ def decode(
         texts = [codec.decode(ids or []) for ids in part.column("ids").to_pylist()]
         return {"doc_id": part.column("doc_id"), "decoded": pa.array(texts, pa.binary())}
 
-    return batches(rows, {"doc_id": id_col, "ids": ids_col}, run, "doc_id bigint, decoded binary")
+    return batches(rows, {"doc_id": id_col, "ids": ids_col}, run, "doc_id {id}, decoded binary")
 
 
 def round_trip(
@@ -248,7 +248,7 @@ def round_trip(
         texts = [codec.decode(np.frombuffer(ids, np.int32).tolist()) for ids in packed]
         return {"doc_id": part.column("doc_id"), "ids": ids_array(packed), "decoded": pa.array(texts, pa.binary())}
 
-    schema = "doc_id bigint, ids array<int>, decoded binary"
+    schema = "doc_id {id}, ids array<int>, decoded binary"
     return batches(docs, {"doc_id": id_col, "text": text_col}, run, schema)
 
 
@@ -266,5 +266,5 @@ def checked(
         same = [raw == text.encode("utf-8") for raw, text in zip(back, texts, strict=True)]
         return {"doc_id": part.column("doc_id"), "ids": ids_array(packed), "round_trip": pa.array(same)}
 
-    schema = "doc_id bigint, ids array<int>, round_trip boolean"
+    schema = "doc_id {id}, ids array<int>, round_trip boolean"
     return batches(docs, {"doc_id": id_col, "text": text_col}, run, schema)

@@ -153,7 +153,7 @@ def score(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str
         x = matrix(part.column("text").cast(pa.binary()).to_pylist())
         return {"doc_id": part.column("doc_id"), "score": pa.array(ranker.score(x))}
 
-    return batches(docs, {"doc_id": id_col, "text": text_col}, run, "doc_id bigint, score double")
+    return batches(docs, {"doc_id": id_col, "text": text_col}, run, "doc_id {id}, score double")
 
 
 def score_column(ranker: Ranker, text_col: str = "text") -> Column:

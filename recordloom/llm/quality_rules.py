@@ -31,7 +31,7 @@ BOILERPLATE = re.compile(
 MOST_BOILERPLATE_WORDS = 25  # a longer line is prose that mentions the phrase
 
 SCHEMA = (
-    "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
+    "doc_id {id}, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
     "base_failed boolean, kept boolean, n_lines bigint, n_bad_lines bigint, kept_words bigint"
 )
 
@@ -147,4 +147,4 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         clean = [None if text is None else cleaned(text).decode("utf-8") for text in texts]
         return {"doc_id": part.column("doc_id"), "text": pa.array(clean, pa.string())}
 
-    return batches(docs, {"doc_id": id_col, "text": text_col}, run, "doc_id bigint, text string")
+    return batches(docs, {"doc_id": id_col, "text": text_col}, run, "doc_id {id}, text string")

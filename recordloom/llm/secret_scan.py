@@ -393,5 +393,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         return {"doc_id": part.column("doc_id"), "spans": pa.array(found, kind)}
 
-    schema = "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>"
+    schema = "doc_id {id}, spans array<struct<kind:string,start:int,end:int>>"
     return batches(docs, {"doc_id": id_col, "text": text_col}, run, schema)

@@ -72,7 +72,7 @@ def batches(
 
     ``columns`` gives each input name inside the function its column of ``rows``;
     other columns never leave the scan, so their names cannot clash. The function
-    returns one array or list per column of ``schema``.
+    returns one array or list per column of ``schema``, where ``{id}`` stands for the type of the ids.
     """
     chosen = rows.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
@@ -81,5 +81,6 @@ def batches(
             if part.num_rows:
                 yield pa.RecordBatch.from_pydict(run(part))
 
-    return chosen.mapInArrow(task, schema)
+    known = {"id": chosen.schema["doc_id"].dataType.simpleString()} if "doc_id" in columns else {}
+    return chosen.mapInArrow(task, schema.format(**known))
 

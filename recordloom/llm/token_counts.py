@@ -26,7 +26,7 @@ WORD_END = "</w>"
 CACHED = 250_000  # pre-tokens a worker remembers, about 40 MB
 LONG_KEY = 64  # longer ones are encoded each time they occur
 
-SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint"
+SCHEMA = "doc_id {id}, n_bytes bigint, n_tokens bigint"
 
 
 def load_tokenizer(definition: str):

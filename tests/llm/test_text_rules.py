@@ -334,12 +334,82 @@ def test_best_segmentation_is_the_best_of_all():
 
         value = lambda ss: sum(personal_data.score(weights, s) for s in ss)
         choices = list(every(0))
-        assert abs(value(personal_data.best(n, segments, weights)) - max(map(value, choices))) < 1e-9
+        assert abs(value(personal_data.best(segments, weights)) - max(map(value, choices))) < 1e-9
         total = sum(np.exp(value(c)) for c in choices)
         for s, p in zip(segments, personal_data.expected(n, segments, weights), strict=True):
             assert abs(p - sum(np.exp(value(c)) for c in choices if s in c) / total) < 1e-9
 
 
+NUMBERS = [*"0123456789. -+()/@\n", "00", "4111", "1111", "2024-05-06 ", "10.0.0.1", "joe", "a.b", "x.org", " (at) ", "[.]", "card ",
+           "555-1234", "call "]
+
+
+def plain_candidates(text):
+    """Every stretch from the start of a token to the end of one that has the shape of a kind."""
+    tokens = [m.span() for m in personal_data.TOKEN.finditer(text)]
+    out = set()
+    for i, (start, _) in enumerate(tokens):
+        for _, end in tokens[i : i + personal_data.MOST_TOKENS]:
+            for kind, shape in personal_data.SHAPES.items():
+                if shape.fullmatch(text, start, end) and text[end - 1].isalnum():
+                    if kind != "email" or text[start].isalnum() or text[start] == "+":
+                        out.add((kind, start, end))
+    return out
+
+
+def test_candidates_are_all_shapes():
+    rng = random.Random(21)
+    for _ in range(3000):
+        text = "".join(rng.choice(NUMBERS) for _ in range(rng.randint(1, 25)))
+        got = [s[:3] for s in personal_data.candidates(text)]
+        assert len(got) == len(set(got))
+        assert set(got) == plain_candidates(text), text
+
+
+def test_leaving_out_hopeless_segments_changes_no_choice():
+    rng = random.Random(22)
+    for turn in range(1500):
+        text = "".join(rng.choice(NUMBERS) for _ in range(rng.randint(5, 40)))
+        weights = personal_data.PRIOR if turn % 2 else {n: rng.uniform(-4, 4) for n in personal_data.PRIOR}
+        every, some = personal_data.candidates(text), personal_data.candidates(text, weights)
+        assert {s for s in every if personal_data.score(weights, s) > 0} <= set(some) <= set(every)
+        value = [sum(personal_data.score(weights, s) for s in personal_data.best(ss, weights)) for ss in (every, some)]
+        assert abs(value[0] - value[1]) < 1e-9
+
+
+def log_lines(n):
+    rng = random.Random(2)
+    return "".join(
+        f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d} {rng.randint(0, 23):02d}:{rng.randint(0, 59):02d}:30.{rng.randint(0, 999):03d} "
+        f"INFO [{rng.randint(1, 99)}] GET /a/b{rng.randint(1, 9)} 200 {rng.randint(10, 99999)}\n" for _ in range(n)
+    )
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        log_lines(4000),
+        ",".join(str(10 ** (i % 9) + i) for i in range(40_000)),
+        "\t".join(f"{i * 0.37:.4f}" for i in range(30_000)),
+        "11 " * 90_000,
+        "1." * 130_000,
+        "7" * 300_000,
+        "a." * 100_000 + "@x.org",
+    ],
+)
+def test_digit_rich_texts_take_linear_time(text):
+    began = time.process_time()
+    personal_data.all_spans(text, personal_data.PRIOR)
+    assert (time.process_time() - began) / len(text) * 1e9 < 12_000  # CPU seconds a GB, on a machine that may be busy
+
+
+def test_long_windows_are_cut_not_left_out():
+    text = "12 x " * 3000
+    cut = list(personal_data.windows(text))
+    assert max(b - a for a, b in cut) <= personal_data.MOST_WINDOW
+    assert "".join(text[a:b] for a, b in cut) == text
+
+
 def test_fitting_follows_the_patterns():
     texts = [f"see {i % 200}.7.{i % 90}.4 and joe{i}@mail.example.com or +1 (555) 123-{1000 + i}" for i in range(60)]
     weights = personal_data.fit_windows(texts)
