@@ -67,6 +67,7 @@ def mix(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{source_col}`").alias("source"),
         *[column.alias(name) for name, column in drawn.items()],
+        F.monotonically_increasing_id().alias("row"),
     )
     rows, plan = planned(narrow, weights, most, share)
     return select(rows, plan)
@@ -180,22 +181,67 @@ def refine(rows: DataFrame, plan: DataFrame, width: int) -> DataFrame:
     )
 
 
+SALTS = 1024
+
+
 def last_cells(known: DataFrame) -> DataFrame:
-    """The rows of the cells in which budgets end, with ``extra``: 1 for those the sample still has room for."""
+    """``place, doc_id, size, rows, chosen`` of the cells in which budgets end: how many of the rows the sample has room for.
+
+    Rows of one id, size and key are counted together, so their number, as many as it may be, is one row of the sort.
+    """
+    inside = known.where(F.col("cell").between(F.col("cell_from"), F.col("cell_to") - 1))
+    alike = inside.groupBy("place", "key", "doc_id", "size", "before", "rest").agg(F.count("*").alias("rows"))
     order = W.partitionBy("place").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
-    until = F.col("before") + F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
-    split = known.where(F.col("cell").between(F.col("cell_from"), F.col("cell_to") - 1)).withColumn("until", until)
-    chosen = 2 * F.col("until") - F.col("size") <= 2 * F.col("rest")
-    return split.withColumn("extra", chosen.cast("int")).drop("until")
+    mass = F.col("rows") * F.col("size")
+    until = F.col("before") + F.sum(mass).over(order.rowsBetween(W.unboundedPreceding, 0))
+    summed = alike.withColumn("until", until).withColumn("start", F.col("until") - mass)
+    all_fit = 2 * F.col("until") - F.col("size") <= 2 * F.col("rest")
+    some = F.floor((2 * F.col("rest") - 2 * F.col("start") + F.col("size")) / (2 * F.greatest("size", F.lit(1))))
+    part = F.least(F.greatest(some, F.lit(0)), F.col("rows") - 1)
+    chosen = F.when(all_fit, F.col("rows")).when(F.col("size") > 0, part).otherwise(0).cast("bigint")
+    counted = summed.withColumn("chosen", chosen).groupBy("place", "doc_id", "size")
+    return counted.agg(F.sum("rows").alias("rows"), F.sum("chosen").alias("chosen"))
+
+
+def with_extra(rows: DataFrame, decided: DataFrame, place: str, id_col: str, size: str, salt: Column) -> DataFrame:
+    """``rows`` of the last cells with ``_extra``: 1 for as many rows of each id and size as ``decided`` has chosen.
+
+    Nearly always all or none are; where it is some, rows are numbered within ``salt``s, so that one id may have any number of rows.
+    """
+    listed = decided.select(
+        F.col("place").alias("_place"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"),
+        F.col("rows").alias("_rows"), F.col("chosen").alias("_chosen"), F.monotonically_increasing_id().alias("_group"),
+    )
+    listed = stage(listed, "mix-decided")
+    same = (F.col(place) == F.col("_place")) & F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(size) == F.col("_size"))
+    columns = rows.columns
+    known = rows.join(listed, same)
+    clear = known.where("_chosen = 0 or _chosen = _rows").withColumn("_extra", (F.col("_chosen") > 0).cast("int"))
+    clear = clear.select(*columns, "_extra")
+    if listed.where("_chosen > 0 and _chosen < _rows").isEmpty():
+        return clear
+    some = known.where("_chosen > 0 and _chosen < _rows").withColumn("_salt", salt)
+    counts = some.groupBy("_group", "_salt").agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy("_group").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("_group").alias("_of"), F.col("_salt").alias("_in"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
+    )
+    starts = stage(starts, "mix-turns")
+    turn = F.row_number().over(W.partitionBy("_group", "_salt").orderBy(F.lit(0)))
+    numbered = some.withColumn("_turn", turn).join(starts, (F.col("_group") == F.col("_of")) & (F.col("_salt") == F.col("_in")))
+    extra = (F.col("_start") + F.col("_turn") <= F.col("_chosen")).cast("int")
+    return clear.unionByName(numbered.withColumn("_extra", extra).select(*columns, "_extra"))
 
 
 def select(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Epochs plus sample for every row; only rows of the last cells are sorted."""
     known = rows.join(plan, "place")
     before = F.col("cell") < F.col("cell_from")
-    clear = known.where(before | (F.col("cell") >= F.col("cell_to"))).withColumn("extra", before.cast("int"))
-    both = last_cells(known).unionByName(clear)
-    copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("extra")).otherwise(F.lit(1).cast("bigint"))
+    clear = known.where(before | (F.col("cell") >= F.col("cell_to"))).withColumn("_extra", before.cast("int"))
+    inside = known.where(F.col("cell").between(F.col("cell_from"), F.col("cell_to") - 1))
+    last = with_extra(inside, last_cells(known), "place", "doc_id", "size", F.pmod(F.col("row"), F.lit(SALTS)))
+    both = clear.unionByName(last)
+    copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("_extra")).otherwise(F.lit(1).cast("bigint"))
     return both.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -214,23 +260,23 @@ def repeat(
 ) -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` takes them, with their own columns.
 
-    ``doc_id`` must be unique here. A document's cell and its source's budget tell how often it is taken, so texts
-    stay where they are: joined are one row per source, and the few documents of the cells in which budgets end.
+    A document's cell and its source's budget tell how often it is taken, so texts stay where they are: joined are one row per
+    source, and what was decided for the few documents of the cells in which budgets end. Rows that repeat an id, also
+    NULL, are taken each for itself, none more than ``most`` times; of such rows of one size any may be the sampled ones.
     """
     drawn = draws(size, quality, seed, id_col, source_col)
     wide = docs.withColumns({f"_mix_{name}": column for name, column in drawn.items()})
     narrow = wide.select(F.col(f"`{id_col}`").alias("doc_id"), *[F.col(f"_mix_{name}").alias(name) for name in drawn])
     rows, plan = planned(narrow, weights, most, share)
-    decided = stage(last_cells(rows.join(plan, "place")).select(F.col("doc_id").alias("_mix_id"), "extra"), "mix-last")
     budget = plan.select("place", "epochs", "cell_from", "cell_to")
     budget = budget.select(*[F.col(c).alias(f"_mix_{c}") for c in budget.columns])
-    known = wide.withColumn("_mix_cell", cell_of("_mix_key")).join(budget, "_mix_place")
-    known = known.join(decided.withColumnRenamed("extra", "_mix_extra"), known[id_col] == decided["_mix_id"], "left")
-    extra = (
-        F.when(F.col("_mix_cell") < F.col("_mix_cell_from"), 1)
-        .when(F.col("_mix_cell") >= F.col("_mix_cell_to"), 0)
-        .otherwise(F.coalesce("_mix_extra", F.lit(0)))
-    )
-    times = F.when(F.col("_mix_size") > 0, F.col("_mix_epochs") + extra).otherwise(1).cast("int")
-    spread = known.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), times)))
-    return spread.select(*[docs[c] for c in docs.columns])
+    known = wide.withColumn("_mix_cell", cell_of("_mix_key"))
+    known = known.join(budget.withColumnRenamed("_mix_place", "_mix_of"), F.col("_mix_place") == F.col("_mix_of"))
+    inside = (F.col("_mix_cell") >= F.col("_mix_cell_from")) & (F.col("_mix_cell") < F.col("_mix_cell_to"))
+    clear = known.where(~inside).withColumn("_extra", (F.col("_mix_cell") < F.col("_mix_cell_from")).cast("int"))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(SALTS))
+    decided = last_cells(rows.join(plan, "place"))
+    both = clear.unionByName(with_extra(known.where(inside), decided, "_mix_place", id_col, "_mix_size", salt))
+    times = F.when(F.col("_mix_size") > 0, F.col("_mix_epochs") + F.col("_extra")).otherwise(1).cast("int")
+    spread = both.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), times)))
+    return spread.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recordloom.llm.components import components
@@ -89,18 +90,25 @@ def set_key(found: np.ndarray) -> bytes:
 
 
 def sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, key``: the key names the set, NULL for an empty one."""
+    """``doc_id, digest, n_shingles, key``: a hash of the text, and the key that names the set, NULL for an empty one."""
 
     def run(part: pa.RecordBatch) -> dict:
         found = [shingles(text or b"", n) for text in part.column("text").cast(pa.binary()).to_pylist()]
         return {
             "doc_id": part.column("doc_id"),
+            "digest": part.column("digest"),
             "n_shingles": pa.array([len(s) for s in found], pa.int64()),
             "key": pa.array([set_key(s) if len(s) else None for s in found], pa.binary()),
         }
 
-    columns = {"doc_id": id_col, "text": text_col}
-    return batches(docs, columns, run, "doc_id bigint, n_shingles bigint, key binary")
+    known = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    known = known.withColumn("digest", text_digest("text"))
+    columns = {name: name for name in ("doc_id", "text", "digest")}
+    return batches(known, columns, run, "doc_id {id}, digest bigint, n_shingles bigint, key binary")
+
+
+def text_digest(column: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{column}`"), F.lit("")))
 
 
 # --- which n-grams are shared -----------------------------------------------------------
@@ -121,7 +129,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def named(low: np.ndarray, part: np.ndarray | int) -> np.ndarray:
     """One number for an n-gram from its part and the bits that are sent."""
-    return low ^ (np.uint64(part) if np.isscalar(part) else part.astype(np.uint64)) * MIX
+    return low ^ np.asarray(part).astype(np.uint64).reshape(-1) * MIX  # of one part too: arrays wrap without a warning
 
 
 def block_rows(chosen: dict[bytes, np.ndarray], parts: int) -> Iterator[dict]:
@@ -483,17 +491,24 @@ def in_cells(found: Join, run: Callable[[pa.Table], pa.Table], schema: str) -> D
 
 
 def members(found: Join) -> DataFrame:
-    """``doc_id, n_shingles, key, class_id, component_id, copies`` of every row."""
+    """``doc_id, digest, n_shingles, key, class_id, component_id, component, copies`` of every row.
+
+    ``component`` names the group also where no row of it has an id; it is NULL where the set is empty.
+    """
     classes, roots = found.sizes.drop("n_shingles"), found.roots
     rooted = classes.join(roots, classes["key"] == roots["node"], "left")
     rooted = rooted.select("key", "class_id", "copies", F.coalesce("root", "key").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    known = rooted.join(lowest, "root").select(F.col("key").alias("_key"), "class_id", "component_id", "copies")
+    known = rooted.join(lowest, "root").select(
+        F.col("key").alias("_key"), "class_id", "component_id", F.col("root").alias("component"), "copies"
+    )
     out = found.sets.join(known, found.sets["key"] == known["_key"], "left")
     return out.select(
         "doc_id",
+        "digest",
         "n_shingles",
         "key",
+        "component",
         F.coalesce("class_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("class_id"),
         F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("component_id"),
         "copies",
@@ -515,9 +530,10 @@ def similar_groups(
     smallest id reachable by links. A-Z count as a-z; a text of fewer than ``n`` words is one n-gram; one without words
     (or NULL) links with nothing, so its class and component are its own id. A NULL id is never the
     smallest; rows that repeat an id are each a document. Pairs that are connected already are not compared.
+    ``digest``, a hash of the text, and ``component``, a name of the group, tell rows apart that have no id of their own.
     """
     found = join(docs, n, percent, fragments, id_col, text_col)
-    return members(found).select("doc_id", "n_shingles", "class_id", "component_id")
+    return members(found).select("doc_id", "n_shingles", "class_id", "component_id", "digest", "component")
 
 
 def similar_links(
@@ -560,9 +576,32 @@ def link_counts(
     return rows.select("doc_id", "n_shingles", "class_id", "component_id", n_links.alias("n_links"))
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, with their own columns; an id that stays once stays."""
-    leads = F.max(F.col("doc_id") == F.col("component_id")).alias("leads")
-    gone = groups.where("doc_id is not null").groupBy("doc_id").agg(leads).where("not leads")
-    gone = stage(gone.select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with their own columns: one of each group, and all without words.
+
+    The row of the smallest id stays, NULL after all others, then the one of the smallest text digest. Ids of which there is one
+    row decide by themselves, and only those that go are joined; rows of a NULL or repeated id are told apart by their text, and
+    of rows that agree in both one stays.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    leaders = groups.where("component is not null").groupBy("component").agg(F.min(order).alias("first"))
+    led = groups.join(leaders.withColumnRenamed("component", "_component"), F.col("component") == F.col("_component"), "left")
+    stays = F.coalesce(F.col("first") == order, F.lit(True))  # an empty set has no group
+    decided = stage(led.select("doc_id", "digest", stays.alias("stays"), F.col("component").isNull().alias("empty")), "decided")
+    ids = decided.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or("stays").alias("any"))
+    ids = stage(ids.where("rows > 1 or doc_id is null or not any"), "ids")
+    several = F.col("doc_id").isNull() | (F.col("rows") > 1)
+    gone = ids.where(~several).select(F.col("doc_id").alias("_gone"))
+    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    unclear = ids.where(several).select(F.col("doc_id").alias("_again"))
+    if unclear.isEmpty():
+        return left
+    again = docs[id_col].eqNullSafe(unclear["_again"])
+    chosen = decided.join(unclear, decided["doc_id"].eqNullSafe(unclear["_again"]), "left_semi").where("stays")
+    chosen = stage(chosen.groupBy("doc_id", "digest").agg(F.bool_or("empty").alias("_empty")), "chosen")
+    chosen = chosen.withColumnsRenamed({"doc_id": "_chosen", "digest": "_digest"})
+    rows = left.join(unclear, again, "left_semi").withColumn("_text_digest", text_digest(text_col))
+    found = rows.join(chosen, rows[id_col].eqNullSafe(chosen["_chosen"]) & (F.col("_text_digest") == F.col("_digest")))
+    turn = F.row_number().over(W.partitionBy(F.col(f"`{id_col}`"), "_digest").orderBy(F.lit(0)))
+    first = found.where("not _empty").withColumn("_turn", turn).where("_turn = 1").select(docs.columns)
+    return left.join(unclear, again, "left_anti").unionByName(first).unionByName(found.where("_empty").select(docs.columns))

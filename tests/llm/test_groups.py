@@ -246,10 +246,45 @@ def test_pipeline(spark):
 
 
 def test_pipeline_stages_on_odd_rows(spark, make, nothing):
+    """NULL and repeated ids, NULL and equal texts: every stage keeps what is no copy, and nothing is taken four times."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    unique = [row for i, row in enumerate(odd_rows()) if row[0] is not None and row[0] not in [r[0] for r in odd_rows()[:i]]]
-    for rows in (make(unique), nothing):
-        docs = rows.select(*columns)
+    rows = odd_rows()
+    for docs, expected in ((make(rows).select(*columns), rows), (nothing.select(*columns), [])):
         for name, function in corpus_pipeline.STAGES:
-            docs = texts.stage(function(spark, docs, SF_DIR), name)
-        assert docs.count() <= 3 * len(unique)
+            before, docs = docs, texts.stage(function(spark, docs, SF_DIR), name)
+            if name in ("quality", "exact_dedup", "near_dedup"):
+                assert docs.count() <= before.count()
+                assert docs.exceptAll(before).isEmpty()
+            elif name == "mix":
+                taken = docs.groupBy(*columns).count().withColumnRenamed("count", "taken")
+                had = before.groupBy(*columns).count().withColumnRenamed("count", "had")
+                both = taken.join(had, [taken[c].eqNullSafe(had[c]) for c in columns])
+                assert both.count() == taken.count()
+                assert both.where("taken > 3 * had").isEmpty()
+        assert (docs.count() > 0) == bool(expected)
+
+
+def near_copies(n, words=40):
+    """Texts that are linked with each other by five-word n-grams at 0.8."""
+    return [" ".join([*(f"word{i}" for i in range(words)), f"end{i}"]) for i in range(n)]
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3], [None, None, None], [7, 7, 7], [5, None, 5], [None, 9, 2], [4, 4, 1]])
+def test_one_near_copy_stays_whatever_the_ids(make, ids):
+    rows = [(i, text, "s") for i, text in zip(ids, near_copies(3), strict=True)]
+    other = " ".join(f"other{i}" for i in range(30))
+    rows += [(ids[0], other, "s"), (None, "", "s"), (None, None, "s"), (ids[0], "  ", "s")]
+    docs = make(rows)
+    kept = ngram_join.keep_one(docs, ngram_join.similar_groups(docs, 5, 80))
+    texts_ = [r.text for r in kept.collect()]
+    assert kept.columns == docs.columns
+    assert sorted(t or "" for t in texts_ if not (t or "").startswith("word")) == ["", "", "  ", other]
+    near = [r for r in kept.collect() if (r.text or "").startswith("word")]
+    assert len(near) == 1
+    known = [i for i in ids if i is not None]
+    assert near[0].doc_id == (min(known) if known else None)
+
+
+def test_equal_rows_of_one_id_stay_once(make):
+    docs = make([(1, near_copies(1)[0], "s")] * 5 + [(2, near_copies(2)[1], "s")] * 2)
+    assert ngram_join.keep_one(docs, ngram_join.similar_groups(docs, 5, 80)).count() == 1

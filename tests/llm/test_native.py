@@ -207,3 +207,37 @@ def test_place(odd, nothing):
 def test_bad_tables(spark, shards, slots):
     with pytest.raises(ValueError):
         sharding.lookup_table(spark, shards, slots)
+
+
+@pytest.mark.parametrize("ids", [[3] * 6, [None] * 6, list(range(6)), [1, 1, None, None, 2, 2]])
+def test_rows_of_one_id_are_taken_each_for_itself(make, ids):
+    """Words near the target, no row more often than three times, whether ids repeat or not."""
+    rows = [(i, " ".join(["word"] * (20 + 7 * (n % 3))) + f" {n}", "a") for n, i in enumerate(ids)]
+    rows += [(100 + n, "other words " * 40, f"s{n % 2}") for n in range(30)]
+    docs = make(rows)
+    size = word_count("text")
+    mixed_rows = mixing.repeat(docs, size, readable(size))
+    assert mixed_rows.columns == docs.columns
+    taken = Counter(r.text for r in mixed_rows.collect() if r.source == "a")
+    assert max(taken.values(), default=0) <= 3
+    words = sum(len(WORD.findall(t)) * n for t, n in taken.items())
+    plan = {r.source: r.target for r in mixed(docs).collect()}
+    assert abs(words - plan["a"]) <= 40
+    counted = Counter()
+    for r in mixed(docs).collect():
+        assert r.taken <= 3 * r.size
+        counted[r.source] += r.taken
+    assert counted["a"] == words
+
+
+@pytest.mark.parametrize("salts", [1, 2, 1024])
+def test_many_rows_of_one_id_at_the_end_of_a_budget(make, salts, monkeypatch):
+    monkeypatch.setattr(mixing, "SALTS", salts)
+    rows = [(None, f"one two three {n}", "a") for n in range(300)] + [(n, "w " * 50, "b") for n in range(20)]
+    docs = make(rows)
+    taken = [r.copies for r in mixed(docs).where("source = 'a'").collect()]
+    target = mixed(docs).where("source = 'a'").first().target
+    assert max(taken) - min(taken) <= 1 and abs(4 * sum(taken) - target) <= 4
+    size = word_count("text")
+    spread = Counter(r.text for r in mixing.repeat(docs, size, readable(size)).collect() if r.source == "a")
+    assert sum(spread.values()) == sum(taken)
