@@ -56,15 +56,31 @@ def _existing(read) -> DataFrame | None:
         raise
 
 
+# Text longer than this is not parsed as one VARIANT, which can hold 128 MiB, but record by record. FAILFAST, as small pages are
+# parsed: text that is no JSON ends the run instead of reading as an empty page.
+BIG_BODY = 32 << 20
+STRICT = {"mode": "FAILFAST"}
+
+
+def _parsed() -> tuple[Column, Column]:
+    """The body as a VARIANT, NULL where it is too big for that, and the body where it is."""
+    big = F.length("body") > BIG_BODY
+    return F.parse_json(F.when(~big, F.col("body"))), F.when(big, F.col("body"))
+
+
 def decode_offset(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """``run_id, page, items, last``: the body is a list or ``{"value": [...]}``.
 
-    Any other body is an empty page. A page short of the full size is the last.
+    Any other body is an empty page, but for a big one whose ``value`` is neither a list nor null: that is an error. A page short of
+    the full size is the last.
     """
-    body = pages.select(run_id(pages), "page", F.parse_json("body").alias("v"))
-    v = F.col("v")
-    items = body.select("run_id", "page", F.coalesce(V.as_list(v), V.as_list(v, ("value",))).alias("items"))
-    return items.withColumn("last", F.size("items") < page_size)
+    small, big = _parsed()
+    body = pages.select(run_id(pages), "page", small.alias("v"), big.alias("big"))
+    v, opening = F.col("v"), F.regexp_extract("big", r"^\s*(.)", 1)
+    listed = F.from_json(F.when(opening == "[", F.col("big")), "array<variant>", STRICT)
+    wrapped = F.from_json(F.when(opening == "{", F.col("big")), "value array<variant>", STRICT)["value"]
+    items = F.coalesce(V.as_list(v), V.as_list(v, ("value",)), listed, wrapped)
+    return body.select("run_id", "page", items.alias("items")).withColumn("last", F.size("items") < page_size)
 
 
 def decode_cursor(pages: DataFrame, collection: str, root: str = "organization") -> DataFrame:
@@ -72,11 +88,14 @@ def decode_cursor(pages: DataFrame, collection: str, root: str = "organization")
 
     Missing or null levels read as no nodes. No cursor means the last page.
     """
-    body = pages.select(run_id(pages), "page", F.parse_json("body").alias("v"))
-    v = F.col("v")
-    cursor = V.pick(v, (root, collection, "nextPage"))
+    small, big = _parsed()
+    body = pages.select(run_id(pages), "page", small.alias("v"), big.alias("big"))
+    v, schema = F.col("v"), f"`{root}` struct<`{collection}`: struct<nodes: array<variant>, nextPage: variant>>"
+    inner = F.from_json("big", schema, STRICT)[root][collection]
+    cursor = F.coalesce(V.pick(v, (root, collection, "nextPage")), inner["nextPage"])
+    items = F.coalesce(V.as_list(v, (root, collection, "nodes")), inner["nodes"])
     ends = cursor.isNull() | F.is_variant_null(cursor) | F.to_json(cursor).isin(*NOTHING)
-    return body.select("run_id", "page", V.as_list(v, (root, collection, "nodes")).alias("items"), ends.alias("last"))
+    return body.select("run_id", "page", items.alias("items"), ends.alias("last"))
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.plans.sync import landed
+from recordloom.sources import pages
 from recordloom.sources.families import BUSINESS
 from recordloom.sources.pages import (
     decode,
@@ -155,3 +156,41 @@ def test_page_size_of_the_family(spark, tmp_path):
     assert (found.count(), unread.pages) == (200, 0)
     found, _, unread = landed(spark, str(tmp_path), BUSINESS)(BUSINESS.entity("customer"))
     assert (found.count(), unread.pages, unread.first) == (50, 3, "1:1")
+
+
+@pytest.mark.parametrize("staged", [False, True])
+class TestBigPages:
+    """Pages too big for one VARIANT are parsed record by record."""
+
+    @pytest.fixture(autouse=True)
+    def small_limit(self, monkeypatch):
+        monkeypatch.setattr(pages, "BIG_BODY", 50)
+
+    def test_offset(self, spark, staged):
+        full = [records(0, 100), {"value": records(100, 100)}, [{"id": 200}]]
+        assert scan(spark, full, staged=staged) == list(range(201))
+        assert scan(spark, [{"message": "x" * 60}, records(0, 3)], staged=staged) == []
+        assert scan(spark, [{"value": None, "message": "x" * 60}], staged=staged) == []
+
+    def test_cursor(self, spark, staged):
+        bodies = [cursor_page(records(0, 9), "c1"), cursor_page(records(9, 20), None), cursor_page(records(50, 20), None)]
+        assert scan(spark, bodies, "cursor", "jobs", staged) == list(range(29))
+        assert scan(spark, [{"organization": None, "x": "y" * 60}], "cursor", "jobs", staged) == []
+
+    def test_text_that_is_no_json_is_an_error(self, spark, staged):
+        with pytest.raises(Exception, match="MALFORMED"):
+            scan(spark, [json.dumps(records(0, 30))[:-5]], staged=staged)
+
+
+def test_records_of_a_big_page_are_those_of_small_ones(spark, monkeypatch):
+    odd = [{"id": 1, "a": 1.10, "b": None, "c": {"value": [1, {"x": "y"}]}}, None, "text", 5, [1], {}, {"id": 12345678901234567890123}]
+    body = json.dumps(odd) + " " * 40
+
+    def parsed():
+        frame = spark.createDataFrame([(0, body)], "page bigint, body string")
+        found = decode(frame, "offset").select(F.posexplode("items").alias("pos", "v"))
+        return [tuple(r) for r in found.select("pos", F.to_json("v"), F.schema_of_variant("v")).collect()]
+
+    whole = parsed()
+    monkeypatch.setattr(pages, "BIG_BODY", 10)
+    assert parsed() == whole
