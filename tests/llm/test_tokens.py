@@ -2,6 +2,7 @@
 
 import base64
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -78,10 +79,35 @@ def test_counts_are_the_librarys(odd, nothing):
     assert token_counts.token_counts(nothing).collect() == []
 
 
-def test_counting_odd_letters(monkeypatch):
+@pytest.mark.parametrize("pieces", [[], [b"a", "é漢".encode(), b"<|endoftext|>", b"12"]])
+def test_counting_odd_letters(monkeypatch, pieces):
     definition = open(public_tokenizers.path(token_counts.VOCABULARY), encoding="utf-8").read()
     library = Library.from_str(definition)
     monkeypatch.setattr(token_counts, "CACHED", 50)
-    counter = token_counts.Counter(definition, token_counts.frequent_lengths(definition))
+    counter = token_counts.Counter(definition, token_counts.Table.of(pieces, definition))
     for text in [*fuzz(3000), "a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|>"]:
         assert counter.count(text.encode()) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_table_is_counted_from_the_texts(spark, make):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = token_counts.frequent_pieces(docs, "doc_id", "text")
+    counts = Counter(piece for r in docs.collect() for piece in (r.text or "").encode().split() if len(piece) <= 64)
+    want = sorted(counts, key=lambda piece: (-counts[piece], piece))[: token_counts.FREQUENT]
+    assert pieces == want
+    assert any(not piece.isascii() for piece in pieces[:1000])
+    definition = open(public_tokenizers.path(token_counts.VOCABULARY), encoding="utf-8").read()
+    table = token_counts.Table.of(pieces[:5000], definition)
+    library = Library.from_str(definition)
+    for piece, n in table.lookup().items():
+        assert n == len(library.encode(piece.decode(), add_special_tokens=False).ids)
+    assert max(table.lookup().values()) > 1
+    share = sum(counts[piece] for piece in pieces[:20_000]) / sum(counts.values())
+    assert share > 0.6  # the table resolves most words, of all scripts
+
+
+def test_a_small_sample_changes_no_count(odd, monkeypatch):
+    whole = sorted(map(tuple, token_counts.token_counts(odd).collect()), key=repr)
+    monkeypatch.setattr(token_counts, "SAMPLE_DOCS", 2)
+    monkeypatch.setattr(token_counts, "FREQUENT", 1)
+    assert sorted(map(tuple, token_counts.token_counts(odd).collect()), key=repr) == whole
