@@ -214,7 +214,33 @@ def op10_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS gram FROM places
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reached(a, b) AS (
+    SELECT x, y FROM links UNION SELECT a, y FROM reached JOIN links ON x = b
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles,
+    coalesce((SELECT least(min(b), d.doc_id) FROM reached WHERE a = d.doc_id), d.doc_id) AS component_id,
+    (SELECT count(*) FROM links WHERE x = d.doc_id) AS n_links
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+
+@query(OP4_SQL)
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = ngram_join.link_counts(read(spark, sf_dir, "documents"))
     return linked.select("doc_id", "n_shingles", "component_id", "n_links")
