@@ -25,6 +25,7 @@ def common_types(*tables: DataFrame) -> dict[str, str]:
 
 FRACTIONS = ("double", "float")
 PLAIN = "decimal(38,18)"
+USUAL = (0.1, 9_999_999.0)
 
 
 def as_text(value: Column, type_: str) -> Column:
@@ -37,7 +38,13 @@ def as_text(value: Column, type_: str) -> Column:
         return value.cast("string")
     digits = F.try_cast(value, PLAIN) if hasattr(F, "try_cast") else value.try_cast(PLAIN)
     plain = F.regexp_replace(F.regexp_replace(digits.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.when(plain.cast("double") == value, plain).otherwise(value.cast("string"))
+    text = F.when(plain.cast("double") == value, plain).otherwise(value.cast("string"))
+    if type_ != "double":
+        return text
+    # most numbers are of a size whose text has no exponent and no more decimals than fit: it only ends in zeros to leave out
+    usual = F.abs(value).between(*USUAL)
+    short = F.rtrim(F.rtrim(value.cast("string"), F.lit("0")), F.lit("."))
+    return F.when(usual, short).otherwise(text)
 
 
 def widened(column: Column, from_type: str, to_type: str) -> Column:

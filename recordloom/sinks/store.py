@@ -560,6 +560,8 @@ def row_hash(types: dict[str, str]) -> Column:
     """Hash of a row's values by column name: the same with more empty columns, in any order, and when a type is widened."""
     result = F.lit(0).cast("bigint")
     for name, type_ in sorted(types.items()):
-        value = as_text(F.col(f"`{name}`"), type_)
-        result = result.bitwiseXOR(F.when(value.isNotNull(), F.xxhash64(F.lit(name), value)).otherwise(F.lit(0)))
+        # the column is asked for NULL, not its text, which would then be made twice
+        value = F.col(f"`{name}`")
+        hashed = F.xxhash64(F.lit(name), as_text(value, type_))
+        result = result.bitwiseXOR(F.when(value.isNotNull(), hashed).otherwise(F.lit(0)))
     return result

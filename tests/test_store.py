@@ -164,6 +164,19 @@ class TestSweep:
         run(store, variants, '{"id":1,"a":0,"Lines":[{"id":10,"a":"kept"}]}', family=family)
         for value in range(1, 4):
             run(store, variants, json.dumps({"id": 1, "a": value}), family=family)
+def test_the_text_of_a_hashed_number_is_made_once(spark):
+    numbers = spark.createDataFrame([(0, 17.0), (1, 0.1), (2, -12345.67), (3, 1e7), (4, 1e-7), (5, None)], "id int, x double")
+    shown = {0: "17", 1: "0.1", 2: "-12345.67", 3: "10000000", 4: "0.0000001"}
+    for n, text in shown.items():
+        as_number = numbers.filter(f"id = {n}").select(row_hash({"x": "double"})).first()[0]
+        as_string = spark.sql(f"SELECT '{text}' AS x").select(row_hash({"x": "string"})).first()[0]
+        assert as_number == as_string
+    assert numbers.filter("id = 5").select(row_hash({"x": "double"})).first()[0] == 0
+    # usual numbers take no pattern, and NULL is found without the text
+    formula = str(row_hash({"x": "double"}))
+    assert formula.lower().count("trim") == 2 and formula.count("xxhash64") == 1
+
+
         store.sweep()
         assert rows(store) == {1: 3} and rows(store, "line") == {10: "kept"}
 
