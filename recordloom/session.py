@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # allowDuplicateKeys: a repeated key in one JSON object keeps its last value.
 # The adaptive settings let Spark split hot join keys at run time, also where
-# the split costs one more shuffle downstream.
+# the split costs one more shuffle downstream. A table is as many folders as it
+# has buckets: they are listed by so many tasks, not by a task each.
 RUNTIME_SETTINGS = {
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -32,13 +32,14 @@ from pyspark.sql.types import StructType
 from recordloom.functions.variant import widest
 from recordloom.operators.drift import added_columns, as_text, changed_columns, union_drift, widened
 from recordloom.operators.upsert import latest, with_key
-from recordloom.session import stage
+from recordloom.session import shuffle_partitions, stage
 from recordloom.sources.entities import KEY
 
 BUCKETS = 16  # of a new table
 BUCKET_BYTES = 1 << 30  # a bucket is split beyond this on average
 COMPACT_SHARE = 0.25  # deltas over base, in rows, from which a bucket is written anew
 MOST_DELTAS = 8  # and the number of deltas
+FILES_PER_TASK = 64  # buckets a task may write small pieces of
 BUCKET = "_bucket"
 ID = KEY[0]
 
@@ -371,7 +372,12 @@ class TableStore:
         at = self.bucket_of(F.col(ID), rows.schema[ID].dataType.simpleString(), version.buckets)
         placed = rows.withColumn(BUCKET, at)
         path = f"{self.root}/{folder}"
-        placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        if kind == BASE or version.buckets <= FILES_PER_TASK:
+            spread = placed.hint("rebalance", BUCKET)
+        else:  # few rows a bucket: by size alone one task would open the files of all buckets
+            least = -(-version.buckets // FILES_PER_TASK)
+            spread = placed.repartition(min(version.buckets, max(least, shuffle_partitions(rows))), BUCKET)
+        spread.write.partitionBy(BUCKET).parquet(path)
         schema = StructType([f for f in placed.schema.fields if f.name != BUCKET])
         written = self.spark.read.schema(placed.schema).parquet(path)
         files = written.groupBy(BUCKET, "_metadata.file_path", "_metadata.file_size").agg(F.count("*").alias("n"))

@@ -63,6 +63,21 @@ class TestBuckets:
 
 
 class TestDeltas:
+    def test_many_buckets_are_listed_and_written_by_some_tasks(self, spark, variants, tmp_path):
+        store = TableStore(spark, str(tmp_path / "wide"), buckets=160)
+        run(store, variants, *texts(range(4000), "old"))
+        run(store, variants, *texts(range(0, 4000, 20), "new"))
+        delta = store._pieces(version(store), (DELTA,)).select(F.input_file_name()).distinct().collect()
+        assert len({row[0].rsplit("/part-", 1)[1][:5] for row in delta}) > 1
+        spark.sparkContext.setJobGroup("read many buckets", "")
+        try:
+            assert rows(store) == {i: "new" if i % 20 == 0 else "old" for i in range(4000)}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("read many buckets") for s in tracker.getJobInfo(j).stageIds]
+        assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages) <= 64
+
     def test_a_small_batch_writes_a_small_delta(self, store, variants):
         run(store, variants, *texts(range(2000), "old"))
         before = version(store)
@@ -149,6 +164,19 @@ def test_row_hash_ignores_order_empty_columns_and_widening(spark):
     assert len(set(hashes)) == 3
 
 
+def test_the_text_of_a_hashed_number_is_made_once(spark):
+    numbers = spark.createDataFrame([(0, 17.0), (1, 0.1), (2, -12345.67), (3, 1e7), (4, 1e-7), (5, None)], "id int, x double")
+    shown = {0: "17", 1: "0.1", 2: "-12345.67", 3: "10000000", 4: "0.0000001"}
+    for n, text in shown.items():
+        as_number = numbers.filter(f"id = {n}").select(row_hash({"x": "double"})).first()[0]
+        as_string = spark.sql(f"SELECT '{text}' AS x").select(row_hash({"x": "string"})).first()[0]
+        assert as_number == as_string
+    assert numbers.filter("id = 5").select(row_hash({"x": "double"})).first()[0] == 0
+    # usual numbers take no pattern, and NULL is found without the text
+    formula = str(row_hash({"x": "double"}))
+    assert formula.lower().count("trim") == 2 and formula.count("xxhash64") == 1
+
+
 class TestSweep:
     def test_only_the_latest_run_is_kept(self, store, variants):
         for value in range(3):
@@ -164,19 +192,6 @@ class TestSweep:
         run(store, variants, '{"id":1,"a":0,"Lines":[{"id":10,"a":"kept"}]}', family=family)
         for value in range(1, 4):
             run(store, variants, json.dumps({"id": 1, "a": value}), family=family)
-def test_the_text_of_a_hashed_number_is_made_once(spark):
-    numbers = spark.createDataFrame([(0, 17.0), (1, 0.1), (2, -12345.67), (3, 1e7), (4, 1e-7), (5, None)], "id int, x double")
-    shown = {0: "17", 1: "0.1", 2: "-12345.67", 3: "10000000", 4: "0.0000001"}
-    for n, text in shown.items():
-        as_number = numbers.filter(f"id = {n}").select(row_hash({"x": "double"})).first()[0]
-        as_string = spark.sql(f"SELECT '{text}' AS x").select(row_hash({"x": "string"})).first()[0]
-        assert as_number == as_string
-    assert numbers.filter("id = 5").select(row_hash({"x": "double"})).first()[0] == 0
-    # usual numbers take no pattern, and NULL is found without the text
-    formula = str(row_hash({"x": "double"}))
-    assert formula.lower().count("trim") == 2 and formula.count("xxhash64") == 1
-
-
         store.sweep()
         assert rows(store) == {1: 3} and rows(store, "line") == {10: "kept"}
 
