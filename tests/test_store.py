@@ -76,7 +76,8 @@ class TestDeltas:
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         tracker = spark.sparkContext.statusTracker()
         stages = [s for j in tracker.getJobIdsForGroup("read many buckets") for s in tracker.getJobInfo(j).stageIds]
-        assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages) <= 64
+        found = [info for s in stages if (info := tracker.getStageInfo(s)) is not None]  # none is kept of skipped ones
+        assert 0 < max(info.numTasks for info in found) <= 64
 
     def test_a_small_batch_writes_a_small_delta(self, store, variants):
         run(store, variants, *texts(range(2000), "old"))
