@@ -28,6 +28,7 @@ VARIANT = "variant"
 EXACT_INTEGER = "decimal(38,0)"
 OBJECT = "map<string,variant>"
 LIST = "array<variant>"
+ANY_OBJECT = "struct<>"  # none of its values is copied
 
 
 def _step(key: str) -> str | None:
@@ -70,7 +71,7 @@ def as_list(v: Column, keys: Sequence[str] = ()) -> Column:
 
 
 def is_object(v: Column, keys: Sequence[str] = ()) -> Column:
-    return as_object(v, keys).isNotNull()
+    return pick(v, keys, ANY_OBJECT, strict=False).isNotNull()
 
 
 def is_list(v: Column, keys: Sequence[str] = ()) -> Column:

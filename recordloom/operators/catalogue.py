@@ -25,11 +25,15 @@ from pyspark.sql.types import ArrayType, DataType, StructType, VariantType
 from recordloom.functions import variant as V
 from recordloom.functions.variant import Keys
 from recordloom.operators.access import Access, Wants
-from recordloom.session import stage
+from recordloom.session import settings, stage
 
 WRAPPED = "wrapped"  # {"value": x} stands for x, and _links is metadata
 PLAIN = "plain"  # every key is data
 
+# Lists of nested records are collected in key order: a group at a time, and one sort serves all levels.
+HASHED_LISTS = "spark.sql.execution.useObjectHashAggregateExec"
+SHREDDING = "spark.sql.variant.writeShredding.enabled"
+
 METADATA_KEY = "_links"
 WRAPPER_KEY = "value"
 
@@ -193,14 +197,19 @@ def merged_schema(records: DataFrame, record: Column) -> Merged:
     return Merged(V.parse_schema(found.schema), bool(found.nulls))
 
 
-def stage_records(records: DataFrame, label: str) -> tuple[DataFrame, Merged]:
+def stage_records(records: DataFrame, label: str, shredded: bool = True) -> tuple[DataFrame, Merged]:
     """Stage records and merge their schemas on the way, without reading them again.
 
+    Shredding pays where several passes read typed paths. Records that are read once, or whole because their lists hold
+    all sorts of things, cost less when they are not ``shredded``.
+
     Observed values may cover a row twice when a lost task runs again. Merging is
     idempotent, so the result stays exact; a count would not.
     """
     seen = Observation()
-    staged = stage(records.observe(seen, *_merge(F.col("v"))), label)
+    planned = {HASHED_LISTS: "false"} if shredded else {HASHED_LISTS: "false", SHREDDING: "false"}
+    with settings(records.sparkSession, planned):
+        staged = stage(records.observe(seen, *_merge(F.col("v"))), label)
     found = seen.get
     return staged, Merged(V.parse_schema(found["schema"]), bool(found["nulls"]))
 

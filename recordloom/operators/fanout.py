@@ -286,18 +286,16 @@ def _count_list(
     else:
         lists = F.transform(outer, lambda e: e.getField(collection.key))
 
-    def has_key(e: Column) -> Column:
-        if tree is None:
-            return is_key(V.pick(e, RAW_ID), dialect)
-        if tree.id_type is None:
-            return F.lit(False)
-        id_ = e.getField("id")
-        return is_key(id_, dialect) if tree.id_type == V.VARIANT else id_.isNotNull()
+    def keyed(items: Column) -> Column:
+        if tree is None or tree.id_type == V.VARIANT:  # ids are taken out first: the test looks at each several times
+            ids = F.transform(items, lambda e: V.pick(e, RAW_ID) if tree is None else e.getField("id"))
+            return F.filter(ids, lambda id_: is_key(id_, dialect))
+        return F.filter(items, lambda e: F.lit(False) if tree.id_type is None else e.getField("id").isNotNull())
 
     def add(sums: Column, items: Column) -> Column:
         more = {
             "total": F.coalesce(F.size(items), F.lit(0)),
-            "keyed": F.coalesce(F.size(F.filter(items, has_key)), F.lit(0)),
+            "keyed": F.coalesce(F.size(keyed(items)), F.lit(0)),
             "gaps": items.isNull().cast("int"),
         }
         return F.struct(*[(sums[part] + n).cast("bigint").alias(part) for part, n in more.items()])

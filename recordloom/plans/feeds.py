@@ -44,16 +44,17 @@ def as_list(texts: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
 
 
-def gather(children: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of one key brought together, before their text is made.
+def gather(children: DataFrame, keys: list[str], by: list[str] | None = None, **texts: Column) -> DataFrame:
+    """Keys and texts of the children, those of one key (or what of it ``by`` names) brought together.
 
-    Plain columns are smaller to move than their JSON, and nothing is saved by
-    collecting lists first. The keys must bound their groups.
+    The texts are made before the rows move: inside an aggregate Spark would interpret their expressions row by row.
+    The keys must bound their groups.
     """
-    return children.repartition(shuffle_partitions(children), *keys)
+    made = children.select(*keys, *[text.alias(name) for name, text in texts.items()])
+    return made.repartition(shuffle_partitions(children), *(by or keys))
 
 
-def nest(gathered: DataFrame, keys: list[str], **lists: Column) -> DataFrame:
+def nest(gathered: DataFrame, keys: list[str], **lists: Column | str) -> DataFrame:
     """One row per key with a sorted JSON list per entry; NULL texts are left out."""
     collected = [as_list(F.array_sort(F.collect_list(text))).alias(name) for name, text in lists.items()]
     return gathered.groupBy(*keys).agg(*collected)
@@ -108,7 +109,7 @@ def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders").withColumn("span", span("o_orderkey"))
     order = record(id="o_orderkey", Status=wrap("o_orderstatus"), Total=wrap("o_totalprice"))
-    packed = nest(gather(orders, ["o_custkey", "span"]), ["o_custkey", "span"], orders=order)
+    packed = nest(gather(orders, ["o_custkey", "span"], order=order), ["o_custkey", "span"], orders="order")
     parents = table(spark, sf_dir, "customer")
     owned = packed.join(parents, packed.o_custkey == parents.c_custkey)
     owners = table(spark, sf_dir, "orders").select("o_custkey")
@@ -134,8 +135,8 @@ def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The one shuffle on the order serves both nestings.
     """
-    lines = gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
-    operations = nest(lines, ["l_orderkey", "l_returnflag"], lines=line_text())
+    keys = ["l_orderkey", "l_returnflag"]
+    operations = nest(gather(table(spark, sf_dir, "lineitem"), keys, keys[:1], line=line_text()), keys, lines="line")
     operation = with_parts(record(id=flagged_id()), Material=F.col("lines"))
     nested = nest(operations, ["l_orderkey"], operations=operation)
     text = with_parts(record(id="l_orderkey"), Operations=F.col("operations"))
@@ -144,9 +145,9 @@ def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders ⊃ lines and ⊃ shipments (the lines of status F): two sibling lists."""
-    lines = gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
     shipment = F.when(F.col("l_linestatus") == "F", record(id=line_id(), Shipped=wrap("l_quantity")))
-    packed = nest(lines, ["l_orderkey"], details=line_text(), shipments=shipment)
+    lines = gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"], detail=line_text(), shipment=shipment)
+    packed = nest(lines, ["l_orderkey"], details="detail", shipments="shipment")
     head = record(id="l_orderkey", Kind=wrap(F.lit("SO")))
     text = with_parts(head, Details=F.col("details"), Shipments=F.col("shipments"))
     return records(packed, text, "l_orderkey")

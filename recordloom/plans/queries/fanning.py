@@ -110,7 +110,7 @@ def lineage_setdefault(spark, sf_dir):
         .when(flag == "N", record(id=line_id(), Part=part, parent_id=F.lit(None).cast("bigint")))
         .otherwise(record(id=line_id(), Part=part))
     )
-    packed = nest(feeds.gather(lines, ["l_orderkey"]), ["l_orderkey"], lines=line)
+    packed = nest(feeds.gather(lines, ["l_orderkey"], line=line), ["l_orderkey"], lines="line")
     text = with_parts(record(id="l_orderkey"), Details=F.col("lines"))
     entity = BUSINESS.entity("bill")
     return tables(records(packed, text, "l_orderkey"), entity)["bill_detail"]

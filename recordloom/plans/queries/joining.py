@@ -18,7 +18,7 @@ def invoice_lines(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     order_nbr = F.when(F.col("l_returnflag") != "R", F.col("l_orderkey"))
     line = record(id=line_id(), OrderNbr=wrap(order_nbr), Quantity=wrap("l_quantity"))
-    packed = nest(feeds.gather(lines, ["l_orderkey"]), ["l_orderkey"], lines=line)
+    packed = nest(feeds.gather(lines, ["l_orderkey"], line=line), ["l_orderkey"], lines="line")
     invoice = with_parts(record(id="l_orderkey"), Details=F.col("lines"))
     found = tables(records(packed, invoice, "l_orderkey"), BUSINESS.entity("sales_invoice"))
     return found["sales_invoice_detail"]

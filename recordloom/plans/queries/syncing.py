@@ -240,8 +240,8 @@ def quarantine_rows(spark, sf_dir):
     text = F.when(flag == "N", F.to_json(F.array("l_partkey"))).when(
         flag == "R", feeds.record(Part=feeds.wrap("l_partkey"))
     )
-    lines = feeds.gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
-    packed = feeds.nest(lines, ["l_orderkey"], lines=F.coalesce(text, feeds.line_text()))
+    lines = feeds.gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"], line=F.coalesce(text, feeds.line_text()))
+    packed = feeds.nest(lines, ["l_orderkey"], lines="line")
     bill = feeds.with_parts(feeds.record(id="l_orderkey"), Details=F.col("lines"))
     store = new_store(spark)
     family = Family("purchases", BUSINESS.dialect, BUSINESS.paging, (BUSINESS.entity("bill"),))
@@ -270,8 +270,9 @@ def with_rows_aside(store):
 )
 def quarantine_grandchildren(spark, sf_dir):
     """Grandchild lists that are an object (N) or a text (R) are set aside with their operation, and counted."""
-    lines = feeds.gather(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
-    operations = feeds.nest(lines, ["l_orderkey", "l_returnflag"], lines=feeds.line_text())
+    keys = ["l_orderkey", "l_returnflag"]
+    lines = feeds.gather(table(spark, sf_dir, "lineitem"), keys, keys[:1], line=feeds.line_text())
+    operations = feeds.nest(lines, keys, lines="line")
     flag = F.col("l_returnflag")
     material = F.when(flag == "A", F.col("lines")).when(flag == "N", F.lit('{"id":3}')).otherwise(F.lit('"x"'))
     operation = feeds.with_parts(feeds.record(id=feeds.flagged_id()), Material=material)

@@ -42,12 +42,12 @@ def landed(spark: SparkSession, root: str, family: Family, packed: bool = True)
     return source
 
 
-def given(frames: dict[str, DataFrame]) -> Source:
-    """Records already at hand, by parent table name; staged when first used."""
+def given(frames: dict[str, DataFrame], shredded: bool = True) -> Source:
+    """Records already at hand, by parent table name; staged when first used, ``shredded`` unless their lists are irregular."""
 
     def source(entity: Entity):
         frame = frames.get(entity.table)
-        return None if frame is None else (*stage_records(frame, entity.table), Unread())
+        return None if frame is None else (*stage_records(frame, entity.table, shredded), Unread())
 
     return source
 

@@ -77,7 +77,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Later passes then start from a committed table instead of recomputing
     (or, after a lost executor, re-reading) everything above it. VARIANT columns
-    are written shredded, so a later pass reads only the paths it extracts.
+    are written shredded unless the session's settings say otherwise, so a later
+    pass reads only the paths it extracts.
     """
     path = scratch(df.sparkSession, label)
     kept = STAGED.get()
@@ -87,6 +88,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Run-time settings for what is planned inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 SHUFFLE_PARTITION_BYTES = 128 << 20
 ENCODED_GROWTH = 4  # rows in a shuffle against the same rows in compressed Parquet
 UNKNOWN_BYTES = 1 << 60  # a size from here on means that Spark does not know it
@@ -111,12 +128,5 @@ def sized_shuffles(*inputs: DataFrame, more: int = 0) -> Iterator[int]:
     """
     spark = inputs[0].sparkSession
     count = shuffle_partitions(*inputs, more=more)
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    spark.conf.set(INITIAL_PARTITIONS, str(count))
-    try:
+    with settings(spark, {INITIAL_PARTITIONS: str(count)}):
         yield count
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
