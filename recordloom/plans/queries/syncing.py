@@ -245,7 +245,7 @@ def quarantine_rows(spark, sf_dir):
     bill = feeds.with_parts(feeds.record(id="l_orderkey"), Details=F.col("lines"))
     store = new_store(spark)
     family = Family("purchases", BUSINESS.dialect, BUSINESS.paging, (BUSINESS.entity("bill"),))
-    sync(store, family, given({"bill": feeds.records(packed, bill, "l_orderkey")}))
+    sync(store, family, given({"bill": feeds.records(packed, bill, "l_orderkey")}, shredded=False))
     return with_rows_aside(store)
 
 
