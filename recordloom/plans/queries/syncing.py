@@ -280,7 +280,7 @@ def quarantine_grandchildren(spark, sf_dir):
     text = feeds.with_parts(feeds.record(id="l_orderkey"), Operations=F.col("operations"))
     store = new_store(spark)
     family = replace(MANUFACTURING, entities=(MANUFACTURING.entity("bill_of_material"),))
-    sync(store, family, given({"bill_of_material": feeds.records(nested, text, "l_orderkey")}))
+    sync(store, family, given({"bill_of_material": feeds.records(nested, text, "l_orderkey")}, shredded=False))
     return with_rows_aside(store)
 
 
