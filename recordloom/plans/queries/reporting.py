@@ -219,7 +219,7 @@ def declared_tables(spark, sf_dir):
     counts = {}
     for family in FAMILIES:
         for name, feed in found[family.name].items():
-            staged, merged = stage_records(feed, name)
+            staged, merged = stage_records(feed, name, shredded=False)  # one pass reads it
             known = survey(positioned(staged), family.entity(name), family.dialect, merged)
             counts.update({(family.name, table): n for table, n in counts_of(known)})
     declared = [
