@@ -277,14 +277,17 @@ def _count_list(
 
     Without a ``tree`` the elements are read as VARIANTs.
     """
-    key = (collection.key,)
+    key, plain = (collection.key,), tree is not None and tree.id_type == "string"
     if outer is None:
         v = F.col("v")
-        lists = F.array(V.as_list(v, key) if tree is None else V.pick(v, key, tree.type()))
+        whole = V.as_list(v, key) if tree is None else V.pick(v, key, tree.type())
+        lists = F.array(whole)
     elif tree is None:
         lists = F.transform(outer, lambda e: V.as_list(e, key))
+        whole = F.flatten(lists)  # NULL where a list is not there
     else:
-        lists = F.transform(outer, lambda e: e.getField(collection.key))
+        lists = outer.getField(collection.key)
+        whole = F.flatten(lists)
 
     def keyed(items: Column) -> Column:
         if tree is None or tree.id_type == V.VARIANT:  # ids are taken out first: the test looks at each several times
@@ -301,8 +304,16 @@ def _count_list(
         return F.struct(*[(sums[part] + n).cast("bigint").alias(part) for part, n in more.items()])
 
     zero = F.struct(*[F.lit(0).cast("bigint").alias(part) for part in ("total", "keyed", "gaps")])
-    plans[collection.table] = F.aggregate(lists, zero, add)
-    elements = F.flatten(F.filter(lists, lambda items: items.isNotNull()))
+    counted = F.aggregate(lists, zero, add)
+    if plain:
+        # functions over elements are interpreted; sizes say it all where no list and no id is missing, which a search tells:
+        # it gives NULL instead of false where it met a NULL
+        complete = F.coalesce(~F.array_contains(whole.getField("id"), F.lit("")), F.lit(False))
+        size = F.size(whole).cast("bigint")
+        known = F.struct(size.alias("total"), size.alias("keyed"), F.lit(0).cast("bigint").alias("gaps"))
+        counted = F.when(complete, known).otherwise(counted)
+    plans[collection.table] = counted
+    elements = F.coalesce(whole, F.flatten(F.filter(lists, lambda items: items.isNotNull())))
     for nested in collection.children:
         if tree is None or nested.key in tree.lists:
             inner = None if tree is None else tree.lists[nested.key]

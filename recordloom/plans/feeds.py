@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.session import shuffle_partitions
+from recordloom.session import deal, shuffle_partitions
 
 SPAN_BITS = 10  # a customer's orders are nested by ranges of 1,024 order keys
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return deal(rows) if spread else rows
 
 
 def wrap(value: Column | str) -> Column:
@@ -56,7 +57,7 @@ def gather(children: DataFrame, keys: list[str], by: list[str] | None = None, **
 
 def nest(gathered: DataFrame, keys: list[str], **lists: Column | str) -> DataFrame:
     """One row per key with a sorted JSON list per entry; NULL texts are left out."""
-    collected = [as_list(F.array_sort(F.collect_list(text))).alias(name) for name, text in lists.items()]
+    collected = [as_list(F.sort_array(F.collect_list(text))).alias(name) for name, text in lists.items()]
     return gathered.groupBy(*keys).agg(*collected)
 
 
@@ -86,9 +87,12 @@ def line_text() -> Column:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Flat feeds are ``spread`` unless few of their records will be made.
+
+
+def customers(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     """Flat customers, one record each."""
-    rows = table(spark, sf_dir, "customer")
+    rows = table(spark, sf_dir, "customer", spread)
     text = record(
         id="c_custkey",
         CustomerName=wrap("c_name"),
@@ -153,7 +157,7 @@ def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(packed, text, "l_orderkey")
 
 
-def stock_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stock_items(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     text = record(
         id="p_partkey",
         PartName=wrap("p_name"),
@@ -162,12 +166,12 @@ def stock_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         PartSize=wrap("p_size"),
         RetailPrice=wrap("p_retailprice"),
     )
-    return records(table(spark, sf_dir, "part"), text, "p_partkey")
+    return records(table(spark, sf_dir, "part", spread), text, "p_partkey")
 
 
-def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vendors(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     text = record(id="s_suppkey", VendorName=wrap("s_name"), Balance=wrap("s_acctbal"))
-    return records(table(spark, sf_dir, "supplier"), text, "s_suppkey")
+    return records(table(spark, sf_dir, "supplier", spread), text, "s_suppkey")
 
 
 def event_text() -> Column:
@@ -180,5 +184,5 @@ def event_text() -> Column:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(table(spark, sf_dir, "events"), event_text(), "event_id")
+def events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    return records(table(spark, sf_dir, "events", spread), event_text(), "event_id")

@@ -146,7 +146,7 @@ def paginate(spark, sf_dir):
 def sample_head3(spark, sf_dir):
     sources = {"customer": feeds.customers, "event": feeds.events, "stock_item": feeds.stock_items}
     samples = [
-        head(feed(spark, sf_dir)).select(F.lit(name).alias("entity"), V.pick(F.col("v"), ("id",), "bigint").alias("id"))
+        head(feed(spark, sf_dir, spread=False)).select(F.lit(name).alias("entity"), V.pick(F.col("v"), ("id",), "bigint").alias("id"))
         for name, feed in sources.items()
     ]
     return reduce(DataFrame.unionByName, samples)

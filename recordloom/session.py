@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # allowDuplicateKeys: a repeated key in one JSON object keeps its last value.
 # The adaptive settings let Spark split hot join keys at run time, also where
@@ -72,19 +73,19 @@ def staged_until_done(spark: SparkSession) -> Iterator[None]:
             where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later passes then start from a committed table instead of recomputing
     (or, after a lost executor, re-reading) everything above it. VARIANT columns
     are written shredded unless the session's settings say otherwise, so a later
-    pass reads only the paths it extracts.
+    pass reads only the paths it extracts. ``options`` are those of the Parquet writer.
     """
     path = scratch(df.sparkSession, label)
     kept = STAGED.get()
     if kept is not None:
         kept.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -118,6 +119,28 @@ def shuffle_partitions(*inputs: DataFrame, more: int = 0) -> int:
     return max(least, math.ceil(known * ENCODED_GROWTH / SHUFFLE_PARTITION_BYTES))
 
 
+SPREAD_BYTES = 1 << 20  # of compressed files: some hundred thousand narrow rows
+TASKS_PER_CORE = 4
+UNEVEN = 2  # the rows of the fullest task against an even share
+
+
+def deal(table: DataFrame) -> DataFrame:
+    """The table, its rows dealt to all cores if reading its files would leave most of them to a few tasks.
+
+    Files of narrow rows are small for the number of their rows, and no task reads less than a block of rows. Rows stay in the
+    order they lie in where that is not so. Counting the rows of each task reads no column.
+    """
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if not SPREAD_BYTES < size < UNKNOWN_BYTES:
+        return table
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    rows = [row[1] for row in table.groupBy(F.spark_partition_id()).count().collect()]
+    if max(rows, default=0) * cores <= UNEVEN * sum(rows):
+        return table
+    least = math.ceil(size * ENCODED_GROWTH / SHUFFLE_PARTITION_BYTES)
+    return table.repartition(max(least, min(TASKS_PER_CORE * cores, size // SPREAD_BYTES + 1)))
+
+
 @contextmanager
 def sized_shuffles(*inputs: DataFrame, more: int = 0) -> Iterator[int]:
     """Shuffles inside start with partitions that fit in memory for these inputs.

@@ -380,8 +380,8 @@ class TableStore:
         spread.write.partitionBy(BUCKET).parquet(path)
         schema = StructType([f for f in placed.schema.fields if f.name != BUCKET])
         written = self.spark.read.schema(placed.schema).parquet(path)
-        files = written.groupBy(BUCKET, "_metadata.file_path", "_metadata.file_size").agg(F.count("*").alias("n"))
-        sizes = files.groupBy(BUCKET).agg(F.sum("n").alias("n"), F.sum("file_size").alias("size")).collect()
+        once = F.when(F.col("_metadata.row_index") == 0, F.col("_metadata.file_size"))  # a file's size with its first row
+        sizes = written.groupBy(BUCKET).agg(F.count("*").alias("n"), F.sum(once).alias("size")).collect()
         parts = dict(version.parts)
         for row in sizes:
             parts[row[BUCKET]] = (*parts.get(row[BUCKET], ()), Piece(kind, folder, row.n, row.size))

@@ -4,8 +4,10 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from recordloom.operators.fanout import normalise, positioned, survey
+from recordloom.operators.catalogue import merged_schema
+from recordloom.operators.fanout import _count_list, _id_tree, normalise, positioned, survey
 from recordloom.session import stage
 from recordloom.sources.entities import Collection, Entity
 from recordloom.sources.families import BUSINESS, FAMILIES, MANUFACTURING, PROJECTS
@@ -103,6 +105,43 @@ def test_survey_counts_all_levels(variants):
     }
 
 
+def test_survey_counts_whatever_is_missing(variants):
+    rng = random.Random(3)
+
+    def item(inner):
+        made = {} if rng.random() < 0.1 else {"id": rng.choice(["", "a", "b", 7, None])}
+        return None if rng.random() < 0.05 else made | inner
+
+    def listed(make):
+        return [make() for _ in range(rng.randrange(4))]
+
+    def maybe(key, make):
+        return rng.choice([{key: listed(make)}] * 6 + [{key: None}, {}])
+
+    bills = [
+        {"id": i} | maybe("Operations", lambda: item(maybe("Material", lambda: item({"Qty": {"value": 1}})))) for i in range(300)
+    ]
+    operations = [o for b in bills for o in b.get("Operations") or []]
+    materials = [m for o in operations if o for m in o.get("Material") or []]
+    found = survey(positioned(variants(*map(json.dumps, bills))), BOM).tallies
+    for table, items in (("bill_of_material_operation", operations), ("bill_of_material_material", materials)):
+        keyed = sum(e is not None and e.get("id") is not None for e in items)
+        assert (found[table].total, found[table].keyed) == (len(items), keyed)
+
+
+def test_survey_of_complete_lists_reads_sizes(spark, variants):
+    text = '{"id":1,"Operations":[{"id":"2","Material":[{"id":"3"},{"id":""}]},{"id":"","Material":[]}]}'
+    records = positioned(variants(text))
+    plans = {}
+    _count_list(BOM.children[0], _id_tree(merged_schema(records, F.col("v")).schema["Operations"].dataType, BOM.children[0]), "wrapped", plans)
+    found = records.select(*[plan.alias(table) for table, plan in plans.items()])
+    assert "array_contains" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {k: tuple(v) for k, v in found.first().asDict().items()} == {
+        "bill_of_material_operation": (2, 2, 0),
+        "bill_of_material_material": (2, 2, 0),
+    }
+
+
 def test_places_order_the_emission(variants):
     records = variants('{"id":1,"Details":[{"id":5},{"id":6}]}', '{"id":2,"Details":[{"id":7}]}')
     _, details = normalise(positioned(records, run=4), BILL)

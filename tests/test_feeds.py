@@ -1,6 +1,7 @@
 """The same rows in other files give the same records."""
 
 import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +65,32 @@ def test_objects_are_told_without_copying_them(spark):
     both = v.select("i", V.is_object(F.col("v")), V.is_object(F.col("v"), ("a",)))
     assert [tuple(r)[1:] for r in both.orderBy("i").collect()] == [(True, False), (True, True)] + [(False, False)] * 6
     assert "map" not in V.is_object(F.col("v"))._jc.toString() and V.ANY_OBJECT == "struct<>"
+
+
+def test_staged_records_have_no_dictionaries(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("recordloom.session.scratch", lambda spark, label: f"{tmp_path}/{label}")
+    stage_records(feeds.vendors(spark, SOURCE), "records")
+    used = set()
+    for path in ds.dataset(f"{tmp_path}/records", format="parquet").files:
+        group = pq.ParquetFile(path).metadata.row_group(0)
+        used |= {encoding for i in range(group.num_columns) for encoding in group.column(i).encodings}
+    assert "PLAIN" in used and not {e for e in used if "DICTIONARY" in e}
+
+
+def test_many_narrow_rows_in_one_file_are_dealt_to_several_tasks(spark, tmp_path):
+    some = "array('click', 'view', 'error')[id % 3] event_type"
+    rows = spark.range(200_000).selectExpr(
+        "id event_id", "timestamp_millis(id * 977) ts", "xxhash64(id) user_id", some, "rand(1) value", "'{}' props"
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    dealt, read = feeds.events(spark, str(tmp_path)), feeds.events(spark, str(tmp_path), spread=False)
+    assert dealt.rdd.getNumPartitions() > 2 and read.rdd.getNumPartitions() <= 2
+    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{tmp_path}/cut/events.parquet")
+    assert "Repartition" not in feeds.events(spark, f"{tmp_path}/cut")._jdf.queryExecution().optimizedPlan().toString()
+    sums = [f.agg(F.count("*"), F.sum(F.hash("page", F.to_json("v")).cast("bigint"))).first() for f in (dealt, read)]
+    assert sums[0] == sums[1] and sums[0][0] == 200_000
+
+
+def test_small_tables_are_read_as_they_lie(spark):
+    plan = feeds.vendors(spark, SOURCE)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan

@@ -1,6 +1,8 @@
 """Deltas beside bases, splitting, sweeping, landings in any order, names that stay."""
 
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +154,25 @@ class TestDeltas:
         assert entry["same"] == counted["same"] - 100  # those the second run did not bring
 
 
+def test_pieces_know_their_rows_and_bytes_without_paths_of_rows(spark, store, variants):
+    counted = []
+    reading = type(spark.range(1)).groupBy
+
+    def watched(frame, *keys):
+        counted.append(keys)
+        return reading(frame, *keys)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(1)), "groupBy", watched)
+        run(store, variants, *texts(range(300), 1))
+    assert ("_bucket",) in counted and not any("file_path" in str(key) for keys in counted for key in keys)
+    for bucket, pieces in version(store).parts.items():
+        (piece,) = pieces
+        files = glob.glob(f"{store.root}/{piece.folder}/_bucket={bucket}/*.parquet")
+        assert piece.size == sum(map(os.path.getsize, files))
+        assert piece.rows == spark.read.parquet(*files).count()
+
+
 def test_row_hash_ignores_order_empty_columns_and_widening(spark):
     frames = [
         spark.createDataFrame([(5, "x")], "a bigint, b string"),
